@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import PCA, VectorAssembler
+from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +17,7 @@ from evenkeel.plans import classifier, jobs
 from evenkeel.plans.features import FittedFeatures, fit_features
 from evenkeel.sources import artifacts, tables
 from evenkeel.spec import Block, FeatureSpec, family
-from evenkeel.staging import scratch_path
+from evenkeel.staging import scratch_path, stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -325,7 +325,7 @@ def minmax_scale_vector(spark: SparkSession, d: str) -> DataFrame:
     columns = ["c_acctbal", "constant"]
     found = {r["column"]: (r["low"], r["high"]) for r in numeric.column_ranges(suppliers, columns).collect()}
     model = numeric.scaler(spark, [found[c] for c in columns], "raw", "scaled")
-    vectors = VectorAssembler(inputCols=columns, outputCol="raw").transform(customers)
+    vectors = numeric.assemble(customers, columns, "raw")
     values = vector_to_array("scaled")
     return model.transform(vectors).select(
         "c_custkey", F.round(values[0], 9).alias("scaled"), F.round(values[1], 9).alias("constant")
@@ -333,7 +333,7 @@ def minmax_scale_vector(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _assembled(data: DataFrame, key: str, invalid: str) -> DataFrame:
-    vectors = VectorAssembler(inputCols=list(E), outputCol="block", handleInvalid=invalid).transform(data)
+    vectors = numeric.assemble(data, E, "block", invalid)
     values = vector_to_array("block")
     return vectors.select(
         key,
@@ -365,7 +365,7 @@ def covariance_matrix(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _components(spark: SparkSession, d: str, k: int) -> DataFrame:
-    vectors = VectorAssembler(inputCols=list(E), outputCol="block").transform(family_project(spark, d))
+    vectors = numeric.assemble(family_project(spark, d), E, "block")
     projected = PCA(k=k, inputCol="block", outputCol="parts").fit(vectors).transform(vectors)
     return projected.select("vec_id", vector_to_array("parts").alias("parts"))
 
@@ -624,6 +624,6 @@ def auc_from_curve(spark: SparkSession, d: str) -> DataFrame:
 def flagship(spark: SparkSession, d: str) -> DataFrame:
     """Join, features, balancing, fit and training metrics."""
     data = wide_documents(spark, d)
-    features = fit_features(data, document_spec()).feature_table(data)
+    features = stage(fit_features(data, document_spec()).feature_table(data))
     model = classifier.fit_classifier(features, "toxic", "doc_id")
     return classifier.summary_report(model.summary, data)

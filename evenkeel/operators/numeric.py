@@ -6,7 +6,8 @@ from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import Imputer, ImputerModel, MinMaxScaler, MinMaxScalerModel
+from pyspark.ml.feature import Imputer, ImputerModel, MinMaxScaler, MinMaxScalerModel, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,15 +19,21 @@ from evenkeel.operators.ordered import running_totals
 MEDIAN_ERROR = 0.001
 
 
+def long_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``(place, value)``: the values of many columns below each other, without null and NaN.
+
+    Statistics per column are then a plain grouped aggregation: rows are folded inside each task, and
+    the columns are divided among the tasks that finish them. An aggregate per column side by
+    side would outgrow generated code and end in a single task.
+    """
+    values = F.array(*[F.col(c).cast("double") for c in columns])
+    return df.select(F.posexplode(values).alias("place", "value")).where(~F.isnan("value"))
+
+
 def column_ranges(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``(column, low, high)`` in one pass, without null and NaN; null for a column that has nothing else."""
-    wide = df.agg(
-        *[F.min(not_nan(c)).alias(f"low_{i}") for i, c in enumerate(columns)],
-        *[F.max(not_nan(c)).alias(f"high_{i}") for i, c in enumerate(columns)],
-    )
-    return _one_row_per_column(
-        wide, {c: {"low": F.col(f"low_{i}"), "high": F.col(f"high_{i}")} for i, c in enumerate(columns)}
-    )
+    found = long_values(df, columns).groupBy("place").agg(F.min("value").alias("low"), F.max("value").alias("high"))
+    return _places(df.sparkSession, columns).join(found, on="place", how="left").select("column", "low", "high")
 
 
 def approximate_medians(df: DataFrame, columns: Sequence[str], error: float = MEDIAN_ERROR) -> DataFrame:
@@ -47,39 +54,27 @@ def exact_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     the bracket are shuffled, one row per distinct value and task, and ranked in order.
     """
     spark = df.sparkSession
-    brackets = {
-        c: q for c, q in zip(columns, df.approxQuantile(list(columns), [0.49, 0.51], MEDIAN_ERROR), strict=True) if q
-    }
-    if not brackets:
-        return spark.createDataFrame([(c, None) for c in columns], "column string, median double")
-    inside = F.array(*[
-        F.struct(
-            F.lit(c).alias("column"),
-            F.when(not_nan(c).between(low, high), not_nan(c)).alias("value"),
-        )
-        for c, (low, high) in brackets.items()
-    ])
-    wide = df.agg(
-        *[F.count(not_nan(c)).alias(f"n_{i}") for i, c in enumerate(brackets)],
-        *[F.count_if(not_nan(c) < low).alias(f"below_{i}") for i, (c, (low, _)) in enumerate(brackets.items())],
+    brackets = df.approxQuantile(list(columns), [0.49, 0.51], MEDIAN_ERROR)
+    bounds = spark.createDataFrame(
+        [(i, *q) for i, q in enumerate(brackets) if q], "place int, lowest double, highest double"
     )
-    ranks = _one_row_per_column(
-        wide,
-        {c: {"rank": F.ceil(F.col(f"n_{i}") / 2) - F.col(f"below_{i}")} for i, c in enumerate(brackets)},
+    # One row per column.
+    values = long_values(df, columns).join(F.broadcast(bounds), on="place")
+    ranks = values.groupBy("place").agg(
+        (F.ceil(F.count("value") / 2) - F.count_if(F.col("value") < F.col("lowest"))).alias("rank")
     )
     counts = (
-        df.select(F.explode(F.filter(inside, lambda s: s["value"].isNotNull())).alias("s"))
-        .groupBy("s.column", "s.value")
+        values.where(F.col("value").between(F.col("lowest"), F.col("highest")))
+        .groupBy("place", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    ranked = running_totals(counts, order=["value"], totals={"upto": F.col("n")}, groups=["column"])
+    ranked = running_totals(counts, order=["value"], totals={"upto": F.col("n")}, groups=["place"])
     found = (
-        ranked.join(F.broadcast(ranks), on="column")  # one row per column
+        ranked.join(F.broadcast(ranks), on="place")
         .where((F.col("upto") >= F.col("rank")) & (F.col("upto") - F.col("n") < F.col("rank")))
-        .select("column", F.col("value").alias("median"))
+        .select("place", F.col("value").alias("median"))
     )
-    names = spark.createDataFrame([(c,) for c in columns], "column string")
-    return names.join(found, on="column", how="left")
+    return _places(spark, columns).join(found, on="place", how="left").select("column", "median")
 
 
 def as_dict(state: DataFrame, value: str) -> dict[str, float]:
@@ -114,6 +109,19 @@ def scaler(
     return MinMaxScaler(inputCol=vector, outputCol=output).fit(two_rows)
 
 
+def assemble(df: DataFrame, columns: Sequence[str], output: str, invalid: str = "error") -> DataFrame:
+    """One vector per row. Rows with null or NaN fail, are dropped ("skip") or hold NaN ("keep").
+
+    Dropping looks for NaN in the finished vector: a null check per column makes the
+    optimizer derive constraints for every combination of them, which blocks wide tables.
+    """
+    handle = "keep" if invalid == "skip" else invalid
+    vectors = VectorAssembler(inputCols=list(columns), outputCol=output, handleInvalid=handle).transform(df)
+    if invalid != "skip":
+        return vectors
+    return vectors.where(~F.exists(vector_to_array(output), F.isnan))
+
+
 def covariance(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``(row, col, covariance)``: sample covariance of all column pairs, both triangles.
 
@@ -152,8 +160,5 @@ def covariance(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def _one_row_per_column(wide: DataFrame, values: Mapping[str, Mapping[str, object]]) -> DataFrame:
-    entries = [
-        F.struct(F.lit(c).alias("column"), *[v.alias(n) for n, v in parts.items()]) for c, parts in values.items()
-    ]
-    return wide.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
+def _places(spark: SparkSession, columns: Sequence[str]) -> DataFrame:
+    return spark.createDataFrame(list(enumerate(columns)), "place int, column string")

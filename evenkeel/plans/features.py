@@ -24,7 +24,6 @@ from evenkeel.operators.categories import (
 )
 from evenkeel.operators.numeric import (
     MEDIAN_ERROR,
-    approximate_medians,
     as_dict,
     column_ranges,
     exact_medians,
@@ -137,9 +136,12 @@ def fit_features(
             raise ValueError(f"block columns without any value: {', '.join(sorted(empty))}")
         spec = spec.without(empty)
         ranges = {c: low_high[c] for c in spec.block_columns}
-        find = approximate_medians if median == "approximate" else exact_medians
-        found = as_dict(find(rows, spec.block_columns), "median")
-        medians = {c: found[c] for c in spec.block_columns}
+        if median == "exact":
+            found = as_dict(exact_medians(rows, spec.block_columns), "median")
+            medians = {c: found[c] for c in spec.block_columns}
+        else:
+            middles = rows.approxQuantile(list(spec.block_columns), [0.5], MEDIAN_ERROR)
+            medians = {c: q[0] for c, q in zip(spec.block_columns, middles, strict=True)}
 
     stages: list[Transformer] = []
     parts: list[str] = []
@@ -152,9 +154,8 @@ def fit_features(
     labels, joined = _empty_labels(spark), ()
     category_stages: list[Transformer] = []
     if spec.categories:
-        counts = stage(category_counts(rows, spec.categories), "counts")
-        labels = stage(index_map(counts), "labels")
-        category_stages, joined = _category_stages(counts, labels, spec, compat, labels_on_driver)
+        labels = stage(index_map(category_counts(rows, spec.categories)), "labels")
+        category_stages, joined = _category_stages(rows, labels, spec, compat, labels_on_driver)
 
     block_stages: list[Transformer] = []
     if spec.block_columns:
@@ -183,24 +184,23 @@ def _require_logarithms(rows: DataFrame, spec: FeatureSpec) -> None:
 
 
 def _category_stages(
-    counts: DataFrame, labels: DataFrame, spec: FeatureSpec, compat: bool, labels_on_driver: int
+    rows: DataFrame, labels: DataFrame, spec: FeatureSpec, compat: bool, labels_on_driver: int
 ) -> tuple[list[Transformer], tuple[str, ...]]:
-    spark = counts.sparkSession
+    spark = rows.sparkSession
     known = {c: 0 for c in spec.categories} | label_counts(labels)
-    with_null = {r["column"] for r in counts.where(F.col("label").isNull()).select("column").collect()}
     joined = tuple(c for c in spec.categories if known[c] > labels_on_driver)
     local = [c for c in spec.categories if c not in joined]
     stages: list[Transformer] = []
     if local:
         stages += indexers(labels, local)
-    inputs = spec.indexed()
-    if compat:
-        # Index columns hold no null, so this changes no value; it only hides the labels from the encoder.
-        stages.append(imputer(spark, {c: 0.0 for c in spec.indexed()}, spec.imputed_index()))
-        inputs = spec.imputed_index()
-    sizes = [max(1, known[c] + (not compat or c in with_null)) for c in spec.categories]
-    stages.append(encoder(spark, sizes, inputs, spec.encoded()))
-    return stages, joined
+    if not compat:
+        sizes = [known[c] + 1 for c in spec.categories]
+        return [*stages, encoder(spark, sizes, spec.indexed(), spec.encoded())], joined
+    # Index columns hold no null, so this changes no value; it only hides the labels from the encoder.
+    stages.append(imputer(spark, {c: 0.0 for c in spec.indexed()}, spec.imputed_index()))
+    nulls = rows.agg(*[F.max(F.col(c).isNull()).alias(c) for c in spec.categories]).first()
+    sizes = [max(1, known[c] + bool(nulls[c])) for c in spec.categories]
+    return [*stages, encoder(spark, sizes, spec.imputed_index(), spec.encoded())], joined
 
 
 def _block_stages(
@@ -213,14 +213,12 @@ def _block_stages(
     fill = imputer(spark, medians, [f"{c}_nan" for c in medians])
     stages: list[Transformer] = [fill]
     for block in blocks:
-        assemble = VectorAssembler(
-            inputCols=[f"{c}_nan" for c in block.columns], outputCol=block.assembled, handleInvalid="skip"
-        )
+        # Imputed columns have no gaps left that a row would have to be skipped for.
+        assemble = VectorAssembler(inputCols=[f"{c}_nan" for c in block.columns], outputCol=block.assembled)
         scale = scaler(spark, [ranges[c] for c in block.columns], block.assembled, block.scaled)
         stages += [assemble, scale]
         if block.components:
-            part = imputer(spark, {c: medians[c] for c in block.columns}, [f"{c}_nan" for c in block.columns])
-            vectors = scale.transform(assemble.transform(part.transform(rows.select(*block.columns))))
+            vectors = scale.transform(assemble.transform(fill.transform(rows.select(*medians))))
             pca = PCA(k=block.components, inputCol=block.scaled, outputCol=block.output)
             stages.append(pca.fit(vectors.select(block.scaled)))
     return stages
@@ -234,6 +232,3 @@ def _join_indices(rows: DataFrame, labels: DataFrame, columns: tuple[str, ...])
 
 def _empty_labels(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], "column string, label string, n bigint, index bigint")
-
-
-__all__ = ["MEDIAN_ERROR", "FittedFeatures", "fit_features"]
