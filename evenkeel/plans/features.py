@@ -161,7 +161,9 @@ def fit_features(
     if spec.block_columns:
         block_stages = _block_stages(rows, spec.blocks, ranges, medians)
     parts += [block.output for block in spec.blocks] + spec.encoded()
-    stages += category_stages + block_stages
+    # Blocks first: an indexer is a projection of its own to Spark, and should carry a few vectors through
+    # rather than hundreds of columns.
+    stages += block_stages + category_stages
     stages.append(
         VectorAssembler(inputCols=parts, outputCol="features", handleInvalid="keep" if on_invalid == "keep" else "error")
     )
