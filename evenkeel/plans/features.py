@@ -10,7 +10,7 @@ from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.feature import PCA, SQLTransformer, VectorAssembler
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from evenkeel.operators.categories import (
@@ -81,9 +81,13 @@ class FittedFeatures:
         settings = spark.createDataFrame([(self.spec.to_json(), list(self.joined))], "spec string, joined array<string>")
         settings.coalesce(1).write.mode("overwrite").json(f"{path}/settings")
 
+    @staticmethod
+    def load_spec(spark: SparkSession, path: str) -> FeatureSpec:
+        return FeatureSpec.from_json(_settings(spark, path)["spec"])
+
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> FittedFeatures:
-        settings = spark.read.schema("spec string, joined array<string>").json(f"{path}/settings").first()
+        settings = _settings(spark, path)
         return cls(
             spec=FeatureSpec.from_json(settings["spec"]),
             model=load_feature_model(f"{path}/model"),
@@ -232,5 +236,9 @@ def _join_indices(rows: DataFrame, labels: DataFrame, columns: tuple[str, ...])
     return rows
 
 
+def _settings(spark: SparkSession, path: str) -> Row:
+    return spark.read.schema("spec string, joined array<string>").json(f"{path}/settings").first()
+
+
 def _empty_labels(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], "column string, label string, n bigint, index bigint")
