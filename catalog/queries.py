@@ -259,9 +259,9 @@ def onehot_long(spark: SparkSession, d: str) -> DataFrame:
     documents = table(spark, d, "documents").select("doc_id", "lang", "source")
     columns = ["lang", "source"]
     known = categories.index_map(categories.category_counts(documents, columns))
-    sizes = categories.label_counts(known)
+    sizes = categories.label_sizes(known)
     encode = categories.encoder(
-        spark, [sizes[c] + 1 for c in columns], ["lang_idx", "source_idx"], ["lang_enc", "source_enc"]
+        spark, [sizes[c].labels + 1 for c in columns], ["lang_idx", "source_idx"], ["lang_enc", "source_enc"]
     )
     encoded = encode.transform(PipelineModel(categories.indexers(known, columns)).transform(documents))
     slots = [

@@ -31,15 +31,18 @@ def arguments() -> argparse.ArgumentParser:
     fit.add_argument("--on-invalid", choices=ON_INVALID, default="error")
     fit.add_argument("--drop-empty", action="store_true")
 
+    apply = command("score-features", "facts", "details", "state", "features")
+    apply.add_argument("--fill", choices=FILLS, default="impute")
+    for reads_csv in (fit, apply):
+        reads_csv.add_argument("--salts", type=int, default=1, help="partitions per key in the join")
+        reads_csv.add_argument("--malformed", choices=("FAILFAST", "PERMISSIVE"), default="FAILFAST")
+
     train = command("train-model", "features", "state", "model", "report", "curve")
     train.add_argument("--mode", choices=MODES, default="replicate")
     train.add_argument("--seed", type=int, default=SEED)
     train.add_argument("--shuffle", action="store_true")
     train.add_argument("--partitions", type=int)
 
-    apply = command("score-features", "facts", "details", "state", "features")
-    apply.add_argument("--fill", choices=FILLS, default="impute")
-
     score = command("score", "features", "state", "model", "out")
     score.add_argument("--files", type=int)
     return parser
@@ -52,11 +55,13 @@ def main(argv: Sequence[str] | None = None) -> None:
         spec = FeatureSpec.from_json(Path(args.spec).read_text()) if args.spec else card_transactions()
         jobs.build_training_features(
             spark, spec, args.facts, args.details, args.features, args.state,
-            compat=args.compat, on_invalid=args.on_invalid, drop_empty=args.drop_empty,
+            salts=args.salts, malformed=args.malformed, compat=args.compat, on_invalid=args.on_invalid, drop_empty=args.drop_empty,
         )
         return
     if args.job == "score-features":
-        jobs.build_scoring_features(spark, args.facts, args.details, args.state, args.features, args.fill)
+        jobs.build_scoring_features(
+            spark, args.facts, args.details, args.state, args.features, args.fill, args.salts, args.malformed
+        )
         return
     spec = FittedFeatures.load_spec(spark, args.state)
     if args.job == "train-model":

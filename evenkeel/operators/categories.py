@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.ml.feature import OneHotEncoder, OneHotEncoderModel, StringIndexerModel
 from pyspark.sql import DataFrame, SparkSession
@@ -11,8 +12,10 @@ from pyspark.sql import functions as F
 from evenkeel.operators.ordered import running_totals
 from evenkeel.operators.rows import enrich
 
-# Label tables up to this size are sent to every task; larger ones are joined by shuffle.
+# Label tables up to this many rows and bytes of text are sent to every task, or to the driver;
+# larger ones are joined by shuffle.
 BROADCAST_LABELS = 100_000
+BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def category_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -42,9 +45,21 @@ def index_map(counts: DataFrame) -> DataFrame:
     return numbered.select("column", "label", "n", (F.col("position") - 1).alias("index"))
 
 
-def label_counts(labels: DataFrame) -> dict[str, int]:
-    """Number of labels per column."""
-    return {r["column"]: r["n"] for r in labels.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
+@dataclass(frozen=True)
+class LabelSize:
+    labels: int = 0
+    text_bytes: int = 0
+
+    def within(self, labels: int, text_bytes: int = BROADCAST_BYTES) -> bool:
+        return self.labels <= labels and self.text_bytes <= text_bytes
+
+
+def label_sizes(labels: DataFrame) -> dict[str, LabelSize]:
+    """Number and size of the labels per column; columns without labels are not in it."""
+    sizes = labels.groupBy("column").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("label")).alias("text_bytes")
+    )
+    return {r["column"]: LabelSize(r["n"], r["text_bytes"]) for r in sizes.collect()}
 
 
 def apply_index(
@@ -60,19 +75,19 @@ def apply_index(
     past the last label.
 
     ``map_column`` names the entry of ``labels`` to use if it differs from ``column``.
-    A label table above ``broadcast_up_to`` is joined by shuffle with each label
-    spread over ``salts`` partitions, against values that many rows share.
+    A label table of more than ``broadcast_up_to`` rows, or too much text, is joined by
+    shuffle with each label spread over ``salts`` partitions, against values that many
+    rows share.
     """
-    entry = labels.where(F.col("column") == (map_column or column)).select(
-        F.col("label").alias("_label"), F.col("index").cast("double").alias("_index")
-    )
-    known = entry.count()
+    of_column = labels.where(F.col("column") == (map_column or column))
+    entry = of_column.select(F.col("label").alias("_label"), F.col("index").cast("double").alias("_index"))
+    size = label_sizes(of_column).get(map_column or column, LabelSize())
     keyed = df.withColumn("_label", F.col(column).cast("string"))
-    if known <= broadcast_up_to:
+    if size.within(broadcast_up_to):
         joined = keyed.join(F.broadcast(entry), on="_label", how="left")
     else:
         joined = enrich(keyed, entry, "_label", salts=salts)
-    return joined.select(*df.columns, F.coalesce("_index", F.lit(float(known))).alias(output))
+    return joined.select(*df.columns, F.coalesce("_index", F.lit(float(size.labels))).alias(output))
 
 
 def indexers(labels: DataFrame, columns: Sequence[str]) -> list[StringIndexerModel]:

@@ -27,7 +27,7 @@ def long_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     side would outgrow generated code and end in a single task.
     """
     values = F.array(*[F.col(c).cast("double") for c in columns])
-    return df.select(F.posexplode(values).alias("place", "value")).where(~F.isnan("value"))
+    return df.select(F.posexplode(values).alias("place", "value")).where(F.col("value").isNotNull() & ~F.isnan("value"))
 
 
 def column_ranges(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -129,19 +129,21 @@ def covariance(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     rows into one small matrix of products; only these are shuffled and added up.
     Values are taken relative to the column means, for precision.
     """
-    complete = df.select(*[not_nan(c).alias(f"x{i}") for i, c in enumerate(columns)]).dropna()
-    means = np.array(complete.agg(*[F.avg(c) for c in complete.columns]).first(), dtype=float)
     width = len(columns)
-    if np.isnan(means).any():
-        raise ValueError("covariance of columns without a single complete row")
+    averages = long_values(df, columns).groupBy("place").agg(F.avg("value").alias("mean")).collect()
+    if len(averages) < width:
+        empty = sorted(set(columns) - {columns[r["place"]] for r in averages})
+        raise ValueError(f"columns without any value: {', '.join(empty)}")
+    means = np.array([r["mean"] for r in sorted(averages, key=lambda r: r["place"])])
 
     def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows, sums, products = 0, np.zeros(width), np.zeros((width, width))
         for batch in batches:
             centred = batch.to_numpy(dtype=float) - means
-            rows += len(centred)
-            sums += centred.sum(axis=0)
-            products += centred.T @ centred
+            complete = centred[~np.isnan(centred).any(axis=1)]
+            rows += len(complete)
+            sums += complete.sum(axis=0)
+            products += complete.T @ complete
         if rows:
             i, j = np.triu_indices(width)
             yield pd.DataFrame({"i": i, "j": j, "n": rows, "si": sums[i], "sj": sums[j], "sij": products[i, j]})
@@ -152,7 +154,8 @@ def covariance(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         F.array(F.struct("i", "j"), F.struct(F.col("j").alias("i"), F.col("i").alias("j")))
     )
     return (
-        complete.mapInPandas(fold, "i int, j int, n bigint, si double, sj double, sij double")
+        df.select(*[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(columns)])
+        .mapInPandas(fold, "i int, j int, n bigint, si double, sj double, sij double")
         .groupBy("i", "j")
         .agg(*[F.sum(c).alias(c) for c in ("n", "si", "sj", "sij")])
         .select(F.explode(mirrored).alias("at"), F.when(F.col("n") > 1, spread / (F.col("n") - 1)).alias("covariance"))

@@ -15,12 +15,13 @@ from pyspark.sql import functions as F
 
 from evenkeel.operators.categories import (
     BROADCAST_LABELS,
+    LabelSize,
     apply_index,
     category_counts,
     encoder,
     index_map,
     indexers,
-    label_counts,
+    label_sizes,
 )
 from evenkeel.operators.numeric import (
     MEDIAN_ERROR,
@@ -116,7 +117,7 @@ def fit_features(
         number, skip them, or keep them as NaN.
     median: "approximate" (0.1 % of the rows off at most) or "exact" (the lower median).
     drop_empty: leave out block columns without any value instead of failing.
-    labels_on_driver: category columns with more labels are indexed by a join.
+    labels_on_driver: category columns with more labels, or too much text in them, are indexed by a join.
     staged: write the projected rows once and let all passes read that; turn off if
         ``df`` is a plain scan of a columnar table already.
     """
@@ -193,8 +194,9 @@ def _category_stages(
     rows: DataFrame, labels: DataFrame, spec: FeatureSpec, compat: bool, labels_on_driver: int
 ) -> tuple[list[Transformer], tuple[str, ...]]:
     spark = rows.sparkSession
-    known = {c: 0 for c in spec.categories} | label_counts(labels)
-    joined = tuple(c for c in spec.categories if known[c] > labels_on_driver)
+    sizes_of = {c: LabelSize() for c in spec.categories} | label_sizes(labels)
+    known = {c: sizes_of[c].labels for c in spec.categories}
+    joined = tuple(c for c in spec.categories if not sizes_of[c].within(labels_on_driver))
     local = [c for c in spec.categories if c not in joined]
     stages: list[Transformer] = []
     if local:

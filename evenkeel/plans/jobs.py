@@ -28,13 +28,21 @@ def read_joined(
 
 
 def build_training_features(
-    spark: SparkSession, spec: FeatureSpec, facts: str, details: str, features_out: str, state_out: str, **fit_options
+    spark: SparkSession,
+    spec: FeatureSpec,
+    facts: str,
+    details: str,
+    features_out: str,
+    state_out: str,
+    salts: int = 1,
+    malformed: str = "FAILFAST",
+    **fit_options,
 ) -> FittedFeatures:
     """CSV tables to a feature table, and the fitted stages saved.
 
     Text parsing and the join run once; fitting and applying read the staged rows.
     """
-    rows = stage(conform(read_joined(spark, facts, details, spec), spec), "rows")
+    rows = stage(conform(read_joined(spark, facts, details, spec, salts, malformed), spec), "rows")
     fitted = fit_features(rows, spec, staged=False, **fit_options)
     fitted.save(state_out)
     write_parquet(fitted.feature_table(rows), features_out)
@@ -61,11 +69,18 @@ def train(
 
 
 def build_scoring_features(
-    spark: SparkSession, facts: str, details: str, state: str, features_out: str, fill: str = "impute"
+    spark: SparkSession,
+    facts: str,
+    details: str,
+    state: str,
+    features_out: str,
+    fill: str = "impute",
+    salts: int = 1,
+    malformed: str = "FAILFAST",
 ) -> None:
     """New CSV tables through the saved stages."""
     fitted = FittedFeatures.load(spark, state)
-    rows = read_joined(spark, facts, details, fitted.spec)
+    rows = read_joined(spark, facts, details, fitted.spec, salts, malformed)
     write_parquet(fitted.feature_table(rows, fill), features_out)
 
 

@@ -65,6 +65,13 @@ def test_broadcast_and_shuffled_join_agree_with_a_hot_value(spark):
     assert {r["i"] for r in small.where("c is null or c = 'new'").collect()} == {301.0}
 
 
+def test_long_labels_are_not_broadcast(spark):
+    labels = categories.index_map(categories.category_counts(frame(spark, ["x" * 1000, "é"]), ["c"]))
+    size = categories.label_sizes(labels)["c"]
+    assert size == categories.LabelSize(2, 1002)
+    assert size.within(2) and not size.within(1) and not size.within(10, text_bytes=1001)
+
+
 def blocks(spark, train, score, **options):
     """Width of the block of column ``c`` and the slot of each scored value."""
     spec = FeatureSpec("id", "y", categories=("c",), key_type="int")

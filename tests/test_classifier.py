@@ -109,9 +109,12 @@ def test_one_class_is_refused(features):
         classifier.fit_classifier(features.where("y = 0"), "y", "id")
 
 
-def test_scoring_stays_inside_spark_sql(model, features):
-    plan = classifier.submission(model, features, "id", "y")._jdf.queryExecution().executedPlan().toString()
-    assert "ExistingRDD" not in plan.replace("Scan ExistingRDD[id", "") and "Python" not in plan
+def test_scoring_stays_inside_spark_sql(spark, model, features, tmp_path):
+    tables.write_parquet(features, str(tmp_path / "f"))
+    stored = tables.read_parquet(spark, str(tmp_path / "f"))
+    plan = classifier.submission(model, stored, "id", "y")._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<id:bigint,features:" in plan
+    assert not any(word in plan for word in ("RDD", "Python", "Exchange"))
 
 
 @pytest.fixture(scope="module")

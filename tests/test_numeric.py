@@ -111,6 +111,18 @@ def test_covariance_of_incomplete_rows(spark):
     assert found == {("x0", "x0"): 0.5, ("x0", "x1"): -0.5, ("x1", "x0"): -0.5, ("x1", "x1"): 0.5}
 
 
+def test_covariance_of_a_joined_wide_table(spark):
+    from catalog.queries import E, wide_documents
+
+    found = numeric.covariance(wide_documents(spark, "/root/testdata/sf0.001"), E)
+    assert found.count() == 64 * 64
+
+
+def test_covariance_names_columns_without_values(spark):
+    with pytest.raises(ValueError, match="without any value: x1"):
+        numeric.covariance(frame(spark, [1.0, 2.0], [None, NAN]), ["x0", "x1"])
+
+
 def test_components_are_orthonormal_eigenvectors_of_the_covariance(spark):
     lineitem = spark.read.parquet(LINEITEM).select(*MONEY)
     matrix = np.zeros((4, 4))
