@@ -10,13 +10,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evenkeel.operators.ordered import running_totals
-from evenkeel.operators.rows import enrich
+from evenkeel.operators.rows import hashable_columns
 
 # Label tables up to this many rows and bytes of text are sent to every task, or to the driver;
 # larger ones are joined by shuffle.
 BROADCAST_LABELS = 100_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 
+# The most frequent labels of a larger table that are still sent to every task, and their size.
+FREQUENT_LABELS = 10_000
+FREQUENT_BYTES = 1024
+
 
 def category_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``(column, label, n)`` for all columns in one scan; nulls count as a null label.
@@ -69,25 +73,45 @@ def apply_index(
     output: str,
     map_column: str | None = None,
     broadcast_up_to: int = BROADCAST_LABELS,
-    salts: int = 16,
 ) -> DataFrame:
     """Adds the index of each value as double; null and unknown values get one index
     past the last label.
 
     ``map_column`` names the entry of ``labels`` to use if it differs from ``column``.
     A label table of more than ``broadcast_up_to`` rows, or too much text, is joined by
-    shuffle with each label spread over ``salts`` partitions, against values that many
-    rows share.
+    shuffle, except for its most frequent labels.
     """
     of_column = labels.where(F.col("column") == (map_column or column))
     entry = of_column.select(F.col("label").alias("_label"), F.col("index").cast("double").alias("_index"))
     size = label_sizes(of_column).get(map_column or column, LabelSize())
     keyed = df.withColumn("_label", F.col(column).cast("string"))
     if size.within(broadcast_up_to):
-        joined = keyed.join(F.broadcast(entry), on="_label", how="left")
+        found = keyed.join(F.broadcast(entry), on="_label", how="left")
     else:
-        joined = enrich(keyed, entry, "_label", salts=salts)
-    return joined.select(*df.columns, F.coalesce("_index", F.lit(float(size.labels))).alias(output))
+        found = _join_frequent_then_rest(keyed, entry)
+    return found.select(*df.columns, F.coalesce("_index", F.lit(float(size.labels))).alias(output))
+
+
+def _join_frequent_then_rest(keyed: DataFrame, entry: DataFrame) -> DataFrame:
+    """Frequent labels are found without a shuffle. Rows that are done, or have no label, go
+    through the second join under keys of their own, so that they do not meet in one
+    partition. What can still be skewed, a value the labels do not know, is left to
+    Spark's splitting of large partitions."""
+    is_frequent = (F.col("_index") < FREQUENT_LABELS) & (F.octet_length("_label") <= FREQUENT_BYTES)
+    frequent = entry.where(is_frequent).withColumnRenamed("_index", "_frequent")
+    # Always 0, but not a constant the optimizer would take out of the join key.
+    rest = entry.where(~is_frequent).select("*", F.pmod(F.col("_index"), F.lit(1.0)).cast("int").alias("_spread"))
+    looked_up = keyed.join(F.broadcast(frequent), on="_label", how="left")
+    is_open = F.col("_frequent").isNull() & F.col("_label").isNotNull()
+    spread = F.pmod(F.xxhash64(*hashable_columns(keyed)), F.lit(10_000)).cast("int") + 1
+    return (
+        looked_up.withColumns({
+            "_label": F.when(is_open, F.col("_label")),
+            "_spread": F.when(is_open, F.lit(0)).otherwise(spread),
+        })
+        .join(rest, on=["_label", "_spread"], how="left")
+        .withColumn("_index", F.coalesce("_frequent", "_index"))
+    )
 
 
 def indexers(labels: DataFrame, columns: Sequence[str]) -> list[StringIndexerModel]:

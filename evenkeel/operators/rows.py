@@ -58,7 +58,7 @@ def enrich(facts: DataFrame, details: DataFrame, key: str, salts: int = 1) -> Da
     if salts <= 1:
         return facts.join(details, on=key, how="left")
     # The salt is a function of the row's content, so a re-run task repeats it.
-    salted_facts = facts.withColumn("_salt", F.pmod(F.xxhash64(*_hashable(facts)), F.lit(salts)).cast("int"))
+    salted_facts = facts.withColumn("_salt", F.pmod(F.xxhash64(*hashable_columns(facts)), F.lit(salts)).cast("int"))
     salted_details = details.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted_facts.join(salted_details, on=[key, "_salt"], how="left").drop("_salt")
 
@@ -68,7 +68,8 @@ def preview(df: DataFrame, order_by: str, rows: int = 5) -> DataFrame:
     return df.orderBy(order_by).limit(rows)
 
 
-def _hashable(df: DataFrame) -> list[str]:
+def hashable_columns(df: DataFrame) -> list[str]:
+    """Columns of simple types, for a hash of the row."""
     simple = {"string", "bigint", "int", "smallint", "tinyint", "double", "float", "boolean", "date",
               "timestamp", "timestamp_ntz", "binary"}
     return [name for name, kind in df.dtypes if kind in simple or kind.startswith("decimal")]
