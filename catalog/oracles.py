@@ -285,6 +285,34 @@ ORACLES: dict[str, str] = {
     "features_sentinel": feature_rows(
         "case when doc_id in (select vec_id from embeddings) then v else -999 end", 1
     ),
+    "features_all_components": f"""
+        select d.doc_id,
+               cast(1 + {DIMENSIONS} + (select count(distinct lang) + count(distinct source) + 2 from documents) as bigint)
+                   as width,
+               round(ln(d.n_chars + 1), 6) as amount, round(s.squares, 5) as block_squares
+        from documents d
+        join (select doc_id, sum(x * x) as squares
+              from (select doc_id, (v - low) / (high - low) as x from ({IMPUTED_LONG})) group by doc_id) s
+          on d.doc_id = s.doc_id
+    """,
+    "lr_fit_moments": """
+        with l as (select case when l_linestatus = 'O' then 1.0 else 0.0 end as y, * from lineitem)
+        select 'intercept' as feature, round(avg(y), 5) as moment from l
+        """
+    + "".join(
+        f"union all select '{c}', round(avg(y * ({c} - low) / (high - low)), 5) "
+        f"from l, (select min({c}) as low, max({c}) as high from l) "
+        for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+    ),
+    "lr_load_rates": f"""
+        select line_id, round(r.score, 5) as open, case when r.score > 0.5 then 1.0::double else 0.0::double end as predictions
+        from ({LINES}) l join (select kind, avg(label) as score from ({LINES}) group by kind) r on l.kind = r.kind
+    """,
+    "files_to_submission": """
+        select o_orderkey, round(avg(case when o_orderstatus = 'F' then 1.0 else 0.0 end)
+                                 over (partition by o_orderpriority), 5) as finished
+        from orders
+    """,
     "lr_fit_rates": f"select kind, round(avg(label), 5) as open from ({LINES}) group by kind",
     "lr_fit_weighted_rates": f"""
         with l as ({LINES}),

@@ -446,6 +446,21 @@ def features_sentinel(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@query
+def features_all_components(spark: SparkSession, d: str) -> DataFrame:
+    """Fitted with all components, the block of a row keeps its length."""
+    data = wide_documents(spark, d)
+    fitted = fit_features(data, document_spec(components=DIMENSIONS), median="exact")
+    values = vector_to_array("features")
+    squares = F.aggregate(F.slice(values, 2, DIMENSIONS), F.lit(0.0), lambda a, x: a + x * x)
+    return fitted.feature_table(data).select(
+        "doc_id",
+        F.size(values).cast("bigint").alias("width"),
+        F.round(values[0], 6).alias("amount"),
+        F.round(squares, 5).alias("block_squares"),
+    )
+
+
 @query
 def features_with_components(spark: SparkSession, d: str) -> DataFrame:
     data = wide_documents(spark, d)
@@ -482,6 +497,37 @@ def lr_fit_weighted_rates(spark: SparkSession, d: str) -> DataFrame:
     return scored.select("kind", F.round("open", 5).alias("open")).distinct()
 
 
+@query
+def lr_fit_moments(spark: SparkSession, d: str) -> DataFrame:
+    """At the optimum, the fitted probabilities have the same mean product with every feature as the labels."""
+    columns = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+    data = table(spark, d, "lineitem").select(
+        "l_orderkey", *columns, (F.col("l_linestatus") == "O").cast("int").alias("open")
+    )
+    spec = FeatureSpec(key="l_orderkey", label="open", blocks=(Block("n", columns),))
+    features = fit_features(data, spec, staged=False).feature_table(data)
+    model = classifier.fit_classifier(features, "open", "l_orderkey", mode="none", **TO_CONVERGENCE)
+    values = vector_to_array("features")
+    probability = vector_to_array("probability")[1]
+    moments = classifier.score(model, features).agg(
+        F.avg(probability).alias("intercept"), *[F.avg(probability * values[i]).alias(c) for i, c in enumerate(columns)]
+    )
+    return moments.unpivot([], list(moments.columns), "feature", "moment").withColumn("moment", F.round("moment", 5))
+
+
+@query
+def lr_load_rates(spark: SparkSession, d: str) -> DataFrame:
+    features = line_features(spark, d)
+    path = scratch_path(spark, "classifier")
+    artifacts.save_model(
+        classifier.fit_classifier(features, "open", "line_id", mode="none", **TO_CONVERGENCE), path
+    )
+    scored = classifier.score(artifacts.load_classifier(path), features)
+    return scored.select(
+        "line_id", F.round(vector_to_array("probability")[1], 5).alias("open"), "predictions"
+    )
+
+
 @query
 def lr_fit_report(spark: SparkSession, d: str) -> DataFrame:
     features = line_features(spark, d)
@@ -565,6 +611,26 @@ def train_and_score_files(spark: SparkSession, d: str) -> DataFrame:
     return scored.withColumn("toxic", F.round("toxic", 4))
 
 
+@query
+def files_to_submission(spark: SparkSession, d: str) -> DataFrame:
+    """The four jobs on orders: fitted to convergence, the submission holds the share of positives per kind."""
+    at = scratch_path(spark, "orders-jobs")
+    spec = FeatureSpec(key="o_orderkey", label="finished", categories=("o_orderpriority",))
+    orders = table(spark, d, "orders")
+    tables.write_csv(orders.select("o_orderkey", "o_orderpriority"), f"{at}/facts")
+    finished = (F.col("o_orderstatus") == "F").cast("int").alias("finished")
+    tables.write_csv(orders.select("o_orderkey", finished), f"{at}/details")
+    jobs.build_training_features(spark, spec, f"{at}/facts", f"{at}/details", f"{at}/train", f"{at}/state")
+    jobs.train(
+        spark, f"{at}/train", "finished", "o_orderkey", f"{at}/model", f"{at}/report", f"{at}/curve",
+        mode="none", **TO_CONVERGENCE,
+    )
+    jobs.build_scoring_features(spark, f"{at}/facts", f"{at}/details", f"{at}/state", f"{at}/score")
+    jobs.score_to_csv(spark, f"{at}/score", f"{at}/model", "o_orderkey", "finished", f"{at}/submission")
+    scored = tables.read_csv(spark, f"{at}/submission", {"o_orderkey": T.LongType(), "finished": T.DoubleType()})
+    return scored.withColumn("finished", F.round("finished", 5))
+
+
 # ---- metrics
 
 
