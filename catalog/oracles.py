@@ -305,7 +305,8 @@ ORACLES: dict[str, str] = {
         for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
     ),
     "lr_load_rates": f"""
-        select line_id, round(r.score, 5) as open, case when r.score > 0.5 then 1.0::double else 0.0::double end as predictions
+        select line_id, round(r.score, 5) as open,
+               case when r.score > 0.5 then 1.0::double else 0.0::double end as predictions
         from ({LINES}) l join (select kind, avg(label) as score from ({LINES}) group by kind) r on l.kind = r.kind
     """,
     "files_to_submission": """

@@ -55,7 +55,8 @@ def main(argv: Sequence[str] | None = None) -> None:
         spec = FeatureSpec.from_json(Path(args.spec).read_text()) if args.spec else card_transactions()
         jobs.build_training_features(
             spark, spec, args.facts, args.details, args.features, args.state,
-            salts=args.salts, malformed=args.malformed, compat=args.compat, on_invalid=args.on_invalid, drop_empty=args.drop_empty,
+            salts=args.salts, malformed=args.malformed,
+            compat=args.compat, on_invalid=args.on_invalid, drop_empty=args.drop_empty,
         )
         return
     if args.job == "score-features":

@@ -12,7 +12,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evenkeel.functions.scalars import impute, min_max, not_nan
+from evenkeel.functions.scalars import impute, min_max
 from evenkeel.operators.ordered import running_totals
 
 # Fixed value: allowed rank error of the approximate median, as a share of the rows.

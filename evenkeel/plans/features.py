@@ -10,7 +10,7 @@ from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.feature import PCA, SQLTransformer, VectorAssembler
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from evenkeel.operators.categories import (
@@ -114,7 +114,7 @@ def fit_features(
         training then share the slot of null, or have none if training had no null. By
         default each column has one slot more than labels, for null and unseen values.
     on_invalid: what to do with rows whose amount has no logarithm: fail with their
-        number, skip them, or keep them as NaN.
+        number, skip them (they then count for no statistic), or keep them as NaN.
     median: "approximate" (0.1 % of the rows off at most) or "exact" (the lower median).
     drop_empty: leave out block columns without any value instead of failing.
     labels_on_driver: category columns with more labels, or too much text in them, are indexed by a join.
@@ -127,6 +127,9 @@ def fit_features(
         raise ValueError(f"median is approximate or exact, not {median!r}")
     spark = df.sparkSession
     rows = conform(df, spec)
+    if on_invalid == "skip":
+        for c in spec.amounts:
+            rows = rows.where(_has_logarithm(c))
     if staged:
         rows = stage(rows, "rows")
     if on_invalid == "error":
@@ -179,12 +182,14 @@ def fit_features(
     return FittedFeatures(spec, PipelineModel(stages), labels, numeric, joined)
 
 
+def _has_logarithm(amount: str) -> Column:
+    return F.coalesce((F.col(amount) > -1) & ~F.isnan(amount), F.lit(False))
+
+
 def _require_logarithms(rows: DataFrame, spec: FeatureSpec) -> None:
     if not spec.amounts:
         return
-    bad = rows.agg(
-        *[F.count_if(F.coalesce(F.isnan(c) | (F.col(c) <= -1), F.lit(True))).alias(c) for c in spec.amounts]
-    ).first()
+    bad = rows.agg(*[F.count_if(~_has_logarithm(c)).alias(c) for c in spec.amounts]).first()
     found = [f"{c} ({bad[c]} rows)" for c in spec.amounts if bad[c]]
     if found:
         raise ValueError(f"amounts that are missing or not above -1: {', '.join(found)}")

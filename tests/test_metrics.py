@@ -43,7 +43,8 @@ def test_rates_equal_spark(spark):
 
 
 def test_rates_are_consistent_with_each_other(spark):
-    rates = {r["label"]: r for r in metrics.rates_by_label(metrics.confusion_matrix(events(spark), "label", "prediction")).collect()}
+    matrix = metrics.confusion_matrix(events(spark), "label", "prediction")
+    rates = {r["label"]: r for r in metrics.rates_by_label(matrix).collect()}
     assert rates[0.0]["false_positive_rate"] == pytest.approx(1 - rates[1.0]["recall"])
     assert rates[1.0]["false_positive_rate"] == pytest.approx(1 - rates[0.0]["recall"])
 

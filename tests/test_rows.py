@@ -58,6 +58,32 @@ def test_salted_join_spreads_a_hot_key(spark):
     assert joined.where(F.col("r") == "x").select("id").distinct().count() == 3000 == joined.count()
 
 
+def test_spark_splits_a_hot_key_of_the_join(spark):
+    """A third of the facts share one key; no detail broadcast, partitions counted as large from 64 kB."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    facts = spark.range(60000, numPartitions=8).select(
+        F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id")).alias("k"), F.sha2(F.col("id").cast("string"), 256)
+    )
+    details = spark.range(60000).select(F.col("id").alias("k"), F.lit("d").alias("d"))
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        joined = rows.enrich(facts, details, "k")
+        assert joined.agg(F.count("*"), F.count("d")).first()[:] == (60000, 60000)
+        out = rows.enrich(facts, details, "k")
+        assert len(out.collect()) == 60000
+        assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def test_fill_types(spark):
     day = datetime.date(2020, 1, 1)
     df = spark.createDataFrame(
