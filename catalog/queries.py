@@ -231,7 +231,7 @@ def category_index_map_many(spark: SparkSession, d: str) -> DataFrame:
 def _document_index(spark: SparkSession, d: str, broadcast_up_to: int) -> DataFrame:
     known = categories.index_map(categories.category_counts(table(spark, d, "labels"), ["doc_id"]))
     documents = table(spark, d, "documents").select("doc_id", "lang")
-    return categories.apply_index(documents, known, "doc_id", "doc_idx", broadcast_up_to=broadcast_up_to)
+    return categories.apply_index(documents, known, "doc_id", "doc_idx", broadcast_up_to=broadcast_up_to, frequent=50)
 
 
 @query
@@ -505,7 +505,7 @@ def lr_fit_moments(spark: SparkSession, d: str) -> DataFrame:
         "l_orderkey", *columns, (F.col("l_linestatus") == "O").cast("int").alias("open")
     )
     spec = FeatureSpec(key="l_orderkey", label="open", blocks=(Block("n", columns),))
-    features = fit_features(data, spec, staged=False).feature_table(data)
+    features = fit_features(data, spec, stage_rows=False).feature_table(data)
     model = classifier.fit_classifier(features, "open", "l_orderkey", mode="none", **TO_CONVERGENCE)
     values = vector_to_array("features")
     probability = vector_to_array("probability")[1]

@@ -73,13 +73,14 @@ def apply_index(
     output: str,
     map_column: str | None = None,
     broadcast_up_to: int = BROADCAST_LABELS,
+    frequent: int = FREQUENT_LABELS,
 ) -> DataFrame:
     """Adds the index of each value as double; null and unknown values get one index
     past the last label.
 
     ``map_column`` names the entry of ``labels`` to use if it differs from ``column``.
     A label table of more than ``broadcast_up_to`` rows, or too much text, is joined by
-    shuffle, except for its most frequent labels.
+    shuffle, except for its ``frequent`` most frequent labels.
     """
     of_column = labels.where(F.col("column") == (map_column or column))
     entry = of_column.select(F.col("label").alias("_label"), F.col("index").cast("double").alias("_index"))
@@ -88,16 +89,16 @@ def apply_index(
     if size.within(broadcast_up_to):
         found = keyed.join(F.broadcast(entry), on="_label", how="left")
     else:
-        found = _join_frequent_then_rest(keyed, entry)
+        found = _join_frequent_then_rest(keyed, entry, frequent)
     return found.select(*df.columns, F.coalesce("_index", F.lit(float(size.labels))).alias(output))
 
 
-def _join_frequent_then_rest(keyed: DataFrame, entry: DataFrame) -> DataFrame:
+def _join_frequent_then_rest(keyed: DataFrame, entry: DataFrame, labels: int) -> DataFrame:
     """Frequent labels are found without a shuffle. Rows that are done, or have no label, go
     through the second join under keys of their own, so that they do not meet in one
     partition. What can still be skewed, a value the labels do not know, is left to
     Spark's splitting of large partitions."""
-    is_frequent = (F.col("_index") < FREQUENT_LABELS) & (F.octet_length("_label") <= FREQUENT_BYTES)
+    is_frequent = (F.col("_index") < labels) & (F.octet_length("_label") <= FREQUENT_BYTES)
     frequent = entry.where(is_frequent).withColumnRenamed("_index", "_frequent")
     # Always 0, but not a constant the optimizer would take out of the join key.
     rest = entry.where(~is_frequent).select("*", F.pmod(F.col("_index"), F.lit(1.0)).cast("int").alias("_spread"))

@@ -34,7 +34,7 @@ from evenkeel.operators.numeric import (
 from evenkeel.operators.rows import conform, fill_sentinel
 from evenkeel.sources.artifacts import load_feature_model, save_model
 from evenkeel.spec import Block, FeatureSpec
-from evenkeel.staging import stage
+from evenkeel.staging import stage, staged
 
 ON_INVALID = ("error", "skip", "keep")
 FILLS = ("impute", "sentinel")
@@ -106,7 +106,7 @@ def fit_features(
     median: str = "approximate",
     drop_empty: bool = False,
     labels_on_driver: int = BROADCAST_LABELS,
-    staged: bool = True,
+    stage_rows: bool = True,
 ) -> FittedFeatures:
     """Learn the feature stages from training rows.
 
@@ -118,20 +118,34 @@ def fit_features(
     median: "approximate" (0.1 % of the rows off at most) or "exact" (the lower median).
     drop_empty: leave out block columns without any value instead of failing.
     labels_on_driver: category columns with more labels, or too much text in them, are indexed by a join.
-    staged: write the projected rows once and let all passes read that; turn off if
-        ``df`` is a plain scan of a columnar table already.
+    stage_rows: write the projected rows once, for the time of the fit, and let all passes read
+        that; turn off if ``df`` is a plain scan of a columnar table already.
     """
     if on_invalid not in ON_INVALID:
         raise ValueError(f"on_invalid is one of {', '.join(ON_INVALID)}, not {on_invalid!r}")
     if median not in ("approximate", "exact"):
         raise ValueError(f"median is approximate or exact, not {median!r}")
-    spark = df.sparkSession
     rows = conform(df, spec)
     if on_invalid == "skip":
         for c in spec.amounts:
             rows = rows.where(_has_logarithm(c))
-    if staged:
-        rows = stage(rows, "rows")
+    options = (compat, on_invalid, median, drop_empty, labels_on_driver)
+    if not stage_rows:
+        return _fit_rows(rows, spec, *options)
+    with staged(rows, "rows") as written:
+        return _fit_rows(written, spec, *options)
+
+
+def _fit_rows(
+    rows: DataFrame,
+    spec: FeatureSpec,
+    compat: bool,
+    on_invalid: str,
+    median: str,
+    drop_empty: bool,
+    labels_on_driver: int,
+) -> FittedFeatures:
+    spark = rows.sparkSession
     if on_invalid == "error":
         _require_logarithms(rows, spec)
 

@@ -11,7 +11,7 @@ from evenkeel.plans.features import FittedFeatures, fit_features
 from evenkeel.sources.artifacts import load_classifier, save_model
 from evenkeel.sources.tables import read_csv, read_parquet, write_csv, write_parquet
 from evenkeel.spec import FeatureSpec
-from evenkeel.staging import stage
+from evenkeel.staging import staged
 
 
 def read_joined(
@@ -42,10 +42,11 @@ def build_training_features(
 
     Text parsing and the join run once; fitting and applying read the staged rows.
     """
-    rows = stage(conform(read_joined(spark, facts, details, spec, salts, malformed), spec), "rows")
-    fitted = fit_features(rows, spec, staged=False, **fit_options)
-    fitted.save(state_out)
-    write_parquet(fitted.feature_table(rows), features_out)
+    joined = conform(read_joined(spark, facts, details, spec, salts, malformed), spec)
+    with staged(joined, "rows") as rows:
+        fitted = fit_features(rows, spec, stage_rows=False, **fit_options)
+        fitted.save(state_out)
+        write_parquet(fitted.feature_table(rows), features_out)
     return fitted
 
 

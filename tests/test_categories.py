@@ -53,13 +53,12 @@ def test_same_order_as_string_indexer(spark, column):
     assert ours == list(StringIndexer(inputCol=column, outputCol="i").fit(documents).labels)
 
 
-def test_broadcast_and_shuffled_join_agree_with_a_hot_value(spark, monkeypatch):
+def test_broadcast_and_shuffled_join_agree_with_a_hot_value(spark):
     values = ["hot"] * 500 + [f"v{i}" for i in range(300)] + [None] * 400
     labels = categories.index_map(categories.category_counts(frame(spark, values), ["c"]))
     asked = frame(spark, [*values, "new"])
-    monkeypatch.setattr(categories, "FREQUENT_LABELS", 5)
     small, large = (
-        categories.apply_index(asked, labels, "c", "i", broadcast_up_to=limit) for limit in (10**6, 0)
+        categories.apply_index(asked, labels, "c", "i", broadcast_up_to=limit, frequent=5) for limit in (10**6, 0)
     )
     plan = large._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Join LeftOuter") == 2 and "_spread" in plan.split("Join LeftOuter")[1].split("\n")[0]
