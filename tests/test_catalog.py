@@ -8,14 +8,17 @@ import time
 import pytest
 
 import __spark_entry__ as entry_points
+from catalog.oracles import ORACLES
+from catalog.queries import CATALOG
 from compare import assert_same, duck
 
 SF_DIR = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.01")
-QUERIES = entry_points.queries()
-ORACLES = entry_points.oracle_sql()
+QUERIES = CATALOG
 
 
 def test_oracles_belong_to_queries():
+    assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
+    assert CATALOG.items() <= entry_points.queries().items()
     assert set(ORACLES) <= set(QUERIES)
     assert set(QUERIES) - set(ORACLES) == {
         "oversample_poisson", "median_fit_approximate", "pca_project", "features_with_components",
