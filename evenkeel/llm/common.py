@@ -53,3 +53,23 @@ def dealt(number: str | Column, groups: int) -> Column:
 def crc32_of_key(key: str) -> Column:
     """CRC-32 of the key as text; null keys count as empty text."""
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary"))
+
+
+#: A key with one part in this many of all rows is hot; there can be at most as many such keys.
+HOT_PARTS = 1000
+
+
+def attach(rows: DataFrame, lookup: DataFrame, key: str, copies: str, total: int) -> DataFrame:
+    """Rows with the columns of their key in ``lookup`` (unique by key), null where it has none.
+
+    ``lookup`` says in ``copies`` how many of the ``total`` rows hold the key. Hot keys are at most ``HOT_PARTS`` by
+    that count, so they are broadcast; the others are joined by a shuffle in which no key weighs much.
+    ``rows`` is read twice: pass a written table.
+    """
+    values = [c for c in lookup.columns if c not in (key, copies)]
+    is_hot = F.col(copies) * HOT_PARTS >= F.lit(total)
+    hot = lookup.where(is_hot).select(key, *values).limit(HOT_PARTS)
+    cold = lookup.where(~is_hot).select(key, *values)
+    with_hot = rows.join(F.broadcast(hot), key, "inner")
+    others = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key, "left")
+    return with_hot.unionByName(others)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from evenkeel.llm import packing
+from evenkeel.llm import packing, simhash
 from evenkeel.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,7 +16,12 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
+    "op4_simhash": op4_simhash,
 }
 ORACLES: dict[str, str] = {}
