@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from evenkeel.llm import packing, simhash
+from evenkeel.llm import mixing, packing, simhash
 from evenkeel.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,8 +20,13 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
     "op4_simhash": op4_simhash,
+    "op10_mixing": op10_mixing,
 }
 ORACLES: dict[str, str] = {}
