@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from evenkeel.staging import stage
@@ -73,3 +73,17 @@ def attach(rows: DataFrame, lookup: DataFrame, key: str, copies: str, total: int
     with_hot = rows.join(F.broadcast(hot), key, "inner")
     others = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key, "left")
     return with_hot.unionByName(others)
+
+
+def slots(rows: DataFrame, group: str, order: list[str], name: str = "slot") -> DataFrame:
+    """Rows numbered without gaps from 0 within each ``group``, as a long column ``name``.
+
+    Each partition numbers its own rows of a group; what comes before it is known from one count per partition and
+    group. So a group that holds most of the table is numbered by many tasks. Rows that tie in ``order`` may swap.
+    """
+    parts = stage(rows.withColumn("_part", F.spark_partition_id()), "slots")
+    counts = parts.groupBy("_part", group).agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy(group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select("_part", group, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    own = F.row_number().over(Window.partitionBy("_part", group).orderBy(*order)) - 1
+    return parts.withColumn("_own", own).join(before, ["_part", group]).select(*rows.columns, (F.col("_before") + F.col("_own")).alias(name))
