@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from evenkeel.llm import mixing, packing, sharding, simhash
+from evenkeel.llm import mixing, packing, sharding, simhash, warc
 from evenkeel.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,11 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = warc.archive_pages(table(spark, sf_dir, "pages"))
+    return warc.read_records(index, payloads=False).drop("payload", "url")
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -30,8 +35,30 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
+    "op2_warc": op2_warc,
     "op4_simhash": op4_simhash,
     "op8_sharding": op8_sharding,
     "op10_mixing": op10_mixing,
 }
-ORACLES: dict[str, str] = {}
+#: Null html is empty; equal payloads refer to their largest page_id.
+OP2 = """
+with rows as (select page_id, encode(coalesce(html, '')) as payload from pages),
+digests as (
+    select page_id, octet_length(payload) as n, sha1(payload) as hex,
+           max(page_id) over (partition by sha1(payload)) as largest
+    from rows
+),
+coded as (
+    select *, list_aggregate(list_transform(range(0, 32), lambda i:
+        substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+               1 + (('0x' || substr(hex, 1 + 10 * (i // 8), 10))::bigint >> (35 - 5 * (i % 8)) & 31)::int, 1)
+    ), 'string_agg', '') as base32
+    from digests
+)
+select page_id, n::bigint as payload_bytes, base32 as payload_digest,
+       case when page_id = largest then 'response' else 'revisit' end as record_type,
+       case when page_id < largest then largest end as refers_to
+from coded
+"""
+
+ORACLES: dict[str, str] = {"op2_warc": OP2}
