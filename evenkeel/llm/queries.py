@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from evenkeel.llm import mixing, packing, sharding, simhash, urls, warc
+from evenkeel.llm import mixing, neighbors, packing, sharding, simhash, urls, warc
 from evenkeel.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,10 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_neighbors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbors.search_table(table(spark, sf_dir, "embeddings"))
+
+
 def op6_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"))
 
@@ -41,6 +45,7 @@ QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
     "op2_warc": op2_warc,
     "op4_simhash": op4_simhash,
+    "op5_neighbors": op5_neighbors,
     "op6_urls": op6_urls,
     "op8_sharding": op8_sharding,
     "op10_mixing": op10_mixing,
