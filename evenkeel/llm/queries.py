@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from evenkeel.llm import mixing, neighbors, packing, sharding, simhash, urls, warc
+from evenkeel.llm import embedding_dedup, mixing, neighbors, packing, sharding, simhash, urls, warc
 from evenkeel.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,10 @@ def op6_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"))
 
 
+def op7_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
@@ -47,6 +51,7 @@ QUERIES: dict[str, Query] = {
     "op4_simhash": op4_simhash,
     "op5_neighbors": op5_neighbors,
     "op6_urls": op6_urls,
+    "op7_vectors": op7_vectors,
     "op8_sharding": op8_sharding,
     "op10_mixing": op10_mixing,
 }
