@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from evenkeel.llm import embedding_dedup, mixing, neighbors, packing, sharding, simhash, urls, warc
+from evenkeel.llm import embedding_dedup, mixing, neighbors, packing, quality, sharding, simhash, urls, warc
 from evenkeel.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,10 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_records(index, payloads=False).drop("payload", "url")
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -48,6 +52,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
     "op2_warc": op2_warc,
+    "op3_quality": op3_quality,
     "op4_simhash": op4_simhash,
     "op5_neighbors": op5_neighbors,
     "op6_urls": op6_urls,
