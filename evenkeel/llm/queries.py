@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from evenkeel.llm import embedding_dedup, mixing, neighbors, packing, quality, sharding, simhash, urls, warc
+from evenkeel.llm import embedding_dedup, mixing, neighbors, packing, quality, sharding, simhash, toxicity, urls, warc
 from evenkeel.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +45,10 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -58,6 +62,7 @@ QUERIES: dict[str, Query] = {
     "op6_urls": op6_urls,
     "op7_vectors": op7_vectors,
     "op8_sharding": op8_sharding,
+    "op9_toxicity": op9_toxicity,
     "op10_mixing": op10_mixing,
 }
 #: Null html is empty; equal payloads refer to their largest page_id.
