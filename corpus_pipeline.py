@@ -4,18 +4,41 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from evenkeel.llm import packing
+from evenkeel.llm import learning, mixing, packing, quality, simhash, toxicity
 from evenkeel.llm.common import ship, table
 from evenkeel.staging import stage
 
 
-def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The kept texts as pieces in sequences."""
+def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier accepts."""
+    return quality.good_documents(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
+def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity classifier does not call toxic."""
+    labels = table(spark, sf_dir, "labels")
+    rows = learning.sample(docs, labels, "toxic", toxicity.PER_CLASS, toxicity.HOLDOUT, toxicity.LONGEST)
+    return toxicity.clean_documents(docs, toxicity.train(rows))
+
+
+def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates."""
+    ship(spark)
+    return simhash.distinct_documents(docs)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts as often as their sources' target weights ask for, the last time in part."""
+    return mixing.mixed_documents(docs)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix as pieces in sequences."""
     ship(spark)
     return packing.pack_documents(docs)
 
 
-STAGES = [("packing", pack)]
+STAGES = [("quality", good), ("toxicity", clean), ("distinct", distinct), ("mixed", mixed), ("packed", packed)]
 
 #: The scores come from trained models, which SQL cannot express.
 ORACLE_SQL = None

@@ -59,14 +59,14 @@ def crc32_of_key(key: str) -> Column:
 HOT_PARTS = 1000
 
 
-def attach(rows: DataFrame, lookup: DataFrame, key: str, copies: str, total: int) -> DataFrame:
+def attach(rows: DataFrame, lookup: DataFrame, key: str, copies: str, total: int, keep_copies: bool = False) -> DataFrame:
     """Rows with the columns of their key in ``lookup`` (unique by key), null where it has none.
 
     ``lookup`` says in ``copies`` how many of the ``total`` rows hold the key. Hot keys are at most ``HOT_PARTS`` by
     that count, so they are broadcast; the others are joined by a shuffle in which no key weighs much.
     ``rows`` is read twice: pass a written table.
     """
-    values = [c for c in lookup.columns if c not in (key, copies)]
+    values = [c for c in lookup.columns if c != key and (keep_copies or c != copies)]
     is_hot = F.col(copies) * HOT_PARTS >= F.lit(total)
     hot = lookup.where(is_hot).select(key, *values).limit(HOT_PARTS)
     cold = lookup.where(~is_hot).select(key, *values)

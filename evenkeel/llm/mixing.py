@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from evenkeel.llm.common import WORD, attach, numbered
+from evenkeel.llm.common import WORD, attach, slots
 from evenkeel.staging import stage
 
 WEIGHTS = (5, 2, 1)
@@ -24,6 +24,7 @@ BLOCK_WORDS = 512
 LEAST_BLOCKS = 400
 SHARD_WORDS = 2_000_000
 SHARD_ROWS = 100_000
+ROW = "_row"
 
 
 def words(text: str) -> Column:
@@ -86,24 +87,28 @@ def apportion(claims: DataFrame, seats: Column, votes: str, within: list[str], o
     return open_seats.join(more, order, "left").withColumn(name, F.col("_sure") + F.coalesce("_more", F.lit(0))).select(*claims.columns, name)
 
 
+def sized(documents: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+    """``(doc_id, _source, size, _group)``; rows that agree in the first three share their ``_group``."""
+    rows = documents.select("*", F.col(key).cast("long").alias("_doc"), _source_key(source).alias("_source"), words(text).alias("_size"))
+    group = F.md5(F.concat_ws(":", F.coalesce(F.col("_doc").cast("string"), F.lit("")), "_size", "_source"))
+    return rows.select(F.col("_doc").alias("doc_id"), "_source", F.col("_size").alias("size"), group.alias("_group"), *[c for c in documents.columns if c == ROW])
+
+
 def plan(
-    documents: DataFrame,
+    rows: DataFrame,
     weights: tuple[float, ...] = WEIGHTS,
     ceiling: int = CEILING,
     seed: int = SEED,
     block_words: int = BLOCK_WORDS,
     least_blocks: int = LEAST_BLOCKS,
     shard_words: int = SHARD_WORDS,
-    key: str = "doc_id",
-    text: str = "text",
-    source: str = "source",
 ) -> DataFrame:
-    """One row per distinct ``(_source, doc_id, size)`` with its number of ``copies``, where they start in their stream,
-    and the stream's rule: ``quota`` of ``blocks`` blocks of ``block`` words (or one more) from ``shift``.
+    """One row per ``_group`` of ``rows`` (as of ``sized``, a written table) with its number of ``copies``, where they
+    start in their stream, and the stream's rule: ``quota`` of ``blocks`` blocks of ``block`` words, or one more in the
+    first ``longer`` of them, from ``shift``.
 
     The block is at most ``block_words`` and small enough for ``least_blocks`` in the smallest target.
     """
-    rows = stage(documents.select(F.col(key).cast("long").alias("doc_id"), _source_key(source).alias("_source"), words(text).alias("size")), "sizes")
     sources = stage(targets(rows, weights, ceiling), "targets")
     totals = sources.agg(F.sum("source_size"), F.sum("rows"), F.min(F.when(F.col("target") > 0, F.col("target")))).first()
     all_words, all_rows, least = totals[0] or 0, totals[1] or 0, totals[2] or 0
@@ -111,7 +116,7 @@ def plan(
     shards = int(max(1, -(-all_words // shard_words), -(-all_rows // SHARD_ROWS)))
 
     place = _draw(F.lit(str(seed)), F.col("doc_id").cast("string"), F.col("size").cast("string"))
-    groups = rows.groupBy("_source", "doc_id", "size").agg(F.count(F.lit(1)).alias("copies")).withColumn("_place", place)
+    groups = rows.groupBy("_source", "doc_id", "size", "_group").agg(F.count(F.lit(1)).alias("copies")).withColumn("_place", place)
     groups = stage(groups.withColumn("shard", F.pmod("_place", F.lit(shards)).cast("int")), "mix")
 
     quota_of = apportion(sources, F.lit(round(all_words / block)).cast("long"), "target", [], ["rank"], "source_blocks")
@@ -156,12 +161,51 @@ def _taken_before(position: Column) -> Column:
     return earlier + _times(at) * inside
 
 
-def mix(documents: DataFrame, **settings) -> DataFrame:
+def mix(documents: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", **settings) -> DataFrame:
     """``(doc_id, size, source_size, target, taken)`` per document; ``settings`` as for ``plan``.
 
     A null source is a source, the last one. Null and empty texts have size 0 and nothing taken. Rows that repeat are
-    taken as often in all as any other words of their stream. Other columns are left out, whatever their names.
+    taken as often in all as any other words of their stream. Other columns are left out, whatever their names; an empty
+    table gives an empty result.
     """
     at = F.col("start") + F.col("_copy") * F.col("size")
-    rows = plan(documents, **settings).withColumn("_copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
+    planned = plan(stage(sized(documents, key, text, source), "sizes"), **settings)
+    rows = planned.withColumn("_copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
     return rows.select("doc_id", "size", "source_size", "target", (_taken_before(at + F.col("size")) - _taken_before(at)).alias("taken"))
+
+
+def mixed_documents(documents: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", **settings) -> DataFrame:
+    """The mix itself, in the columns of ``documents``: a row for each time a text is taken whole, and one with the
+    words that are taken once more, if these are not all. ``n_chars``, if present, is brought up to date.
+
+    ``documents`` is scanned twice and must be read from files, whose rows are numbered alike by both scans. Documents of
+    which nothing is taken are not in the result, so neither are texts without words.
+    """
+    counted = documents.withColumn(ROW, F.monotonically_increasing_id())
+    rows = stage(sized(counted, key, text, source), "sizes")
+    rule = ["copies", "start", "quota", "blocks", "shift", "block", "longer"]
+    planned = stage(plan(rows, **settings).select("_group", *rule), "plan")
+    found = stage(attach(rows.select(ROW, "_group", "size"), planned, "_group", "copies", rows.count(), keep_copies=True), "picks")
+    once = found.where(F.col("copies") == 1).withColumn("_copy", F.lit(0).cast("long"))
+    repeated = slots(found.where(F.col("copies") > 1), "_group", [ROW], "_copy")
+    picks = once.unionByName(repeated).where(F.col("size") > 0).select(
+        ROW, F.col("size").alias("_words"), (F.col("start") + F.col("_copy") * F.col("size")).alias("_at"), *rule[2:]
+    )
+    every = F.floor(F.col("quota") / F.col("blocks")).cast("int")
+    end = F.col("_at") + F.col("_words")
+    begin = lambda b: b * F.col("block") + F.least(b, F.col("longer"))
+    spans = F.filter(F.sequence(_block_at(F.col("_at")), _block_at(end - 1)), lambda b: _times(b) > every)
+    cut = F.transform("_spans", lambda b: F.struct(F.greatest(begin(b) - F.col("_at"), F.lit(0)).alias("from"), F.least(begin(b + 1), end).alias("to")))
+    tokens = F.regexp_extract_all(F.col(text), F.lit(f"{WORD}[\\x20\\x09-\\x0D]*"), 0)
+    part = lambda s: F.array_join(F.slice("_tokens", (s["from"] + 1).cast("int"), (s["to"] - F.col("_at") - s["from"]).cast("int")), "")
+    some = F.aggregate("_cut", F.lit(0).cast("long"), lambda n, s: n + s["to"] - F.col("_at") - s["from"])
+    taken = (
+        counted.join(picks.withColumn("_every", every).withColumn("_spans", spans).withColumn("_cut", cut).withColumn("_some", some), ROW)
+        .where((F.col("_every") > 0) | (F.col("_some") > 0))
+        .withColumn("_tokens", F.when((F.col("_some") > 0) & (F.col("_some") < F.col("_words")), tokens))
+        .withColumn("_more", F.when(F.col("_some") == F.col("_words"), F.col(text)).when(F.col("_some") > 0, F.array_join(F.transform("_cut", part), "")))
+    )
+    texts = F.array_compact(F.concat(F.array_repeat(F.col(text), F.col("_every")), F.array("_more")))
+    new = {text: F.col("_text")} | ({"n_chars": F.length("_text").cast(documents.schema["n_chars"].dataType)} if "n_chars" in documents.columns else {})
+    exploded = taken.select(*documents.columns, F.explode(texts).alias("_text"))
+    return exploded.select(*[new[c].alias(c) if c in new else F.col(c) for c in documents.columns])

@@ -54,3 +54,15 @@ def score(documents: DataFrame, model: cnn.Network | float, threshold: float = T
 
 def score_documents(documents: DataFrame, labels: DataFrame) -> DataFrame:
     return score(documents, train(documents, labels))
+
+
+def good_documents(documents: DataFrame, model: cnn.Network | float, threshold: float = THRESHOLD, text: str = "text") -> DataFrame:
+    """The rows, in all their columns, whose score reaches the threshold."""
+
+    def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [t.as_buffer().to_pybytes() if t.is_valid else b"" for t in batch.column(batch.schema.get_field_index(text))]
+            scores = model.score(texts).astype(np.float64) if isinstance(model, cnn.Network) else np.full(len(texts), model)
+            yield batch.filter(pa.array(scores >= threshold, pa.bool_()))
+
+    return documents.mapInArrow(of_batches, documents.schema)

@@ -221,3 +221,16 @@ def near_duplicates(
     lookup = rooted.join(names, "root").select("code", "copies", "component_id")
     named = attach(rows, stage(lookup, "components"), "code", "copies", rows.count())
     return named.select("doc_id", F.lower(F.lpad(F.hex("code"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def distinct_documents(documents: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of each group of near duplicates, in all its columns: the one with the smallest key, nulls last.
+
+    ``documents`` is scanned twice and must be read from files, whose rows are numbered alike by both scans.
+    """
+    rows = documents.withColumn("_row", F.monotonically_increasing_id())
+    groups = near_duplicates(rows, shingle, max_bits, "_row", text).select(F.col("doc_id").alias("_row"), "component_id")
+    keyed = stage(groups.join(rows.select("_row", F.col(key).alias("_key")), "_row"), "groups")
+    first = keyed.groupBy("component_id").agg(F.min_by("_row", F.struct(F.col("_key").isNull(), "_key", "_row")).alias("_first"))
+    others = keyed.join(first.select(F.col("_first").alias("_row")), "_row", "left_anti").select("_row")
+    return rows.join(others, "_row", "left_anti").select(*documents.columns)

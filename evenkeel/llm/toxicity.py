@@ -216,3 +216,15 @@ def score(documents: DataFrame, model: Model, threshold: float = THRESHOLD, key:
 def score_documents(documents: DataFrame, labels: DataFrame, per_class: dict[int, int] | None = None) -> DataFrame:
     """Trains on at most ``per_class`` labelled texts of up to ``LONGEST`` bytes, on the driver, and scores all."""
     return score(documents, train(sample(documents, labels, "toxic", per_class or PER_CLASS, HOLDOUT, LONGEST)))
+
+
+def clean_documents(documents: DataFrame, model: Model, threshold: float = THRESHOLD, text: str = "text") -> DataFrame:
+    """The rows, in all their columns, whose score stays below the threshold."""
+
+    def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [t.as_buffer().to_pybytes() if t.is_valid else b"" for t in batch.column(batch.schema.get_field_index(text))]
+            scores = model.score(texts)
+            yield batch.filter(pa.array(scores < threshold, pa.bool_()))
+
+    return documents.mapInArrow(of_batches, documents.schema)
