@@ -48,8 +48,8 @@ SCORES = "doc_id long, held_out boolean, score double"
 
 
 def windows(text: bytes, size: int = WINDOW) -> list[bytes]:
-    """The whole text in windows that begin at a space and have ``size`` bytes or the rest of a word more."""
-    out, begin = [], 0
+    """The whole text, A-Z lower-cased, in windows that begin at a space and have ``size`` bytes or the rest of a word more."""
+    text, out, begin = text.lower(), [], 0
     while begin < len(text):
         end = begin + size
         if end < len(text):
