@@ -38,7 +38,7 @@ def rows_by_name(columns: list[str], rows: list[tuple]) -> Counter:
 def assert_same(spark_df, relation) -> int:
     assert sorted(spark_df.columns) == sorted(relation.columns)
     kinds = {
-        "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+        "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
     }
     expected_kinds = dict(zip(relation.columns, map(str, relation.types), strict=True))
     for name, kind in spark_df.dtypes:
