@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from evenkeel.llm import embedding_dedup, mixing, neighbors, packing, quality, sharding, simhash, toxicity, urls, warc
 from evenkeel.llm.common import table
+from evenkeel.llm.oracles import ORACLES
+
+__all__ = ["ORACLES", "QUERIES"]
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -65,25 +68,3 @@ QUERIES: dict[str, Query] = {
     "op9_toxicity": op9_toxicity,
     "op10_mixing": op10_mixing,
 }
-#: Null html is empty; equal payloads refer to their largest page_id.
-OP2 = """
-with rows as (select page_id, encode(coalesce(html, '')) as payload from pages),
-digests as (
-    select page_id, octet_length(payload) as n, sha1(payload) as hex,
-           max(page_id) over (partition by sha1(payload)) as largest
-    from rows
-),
-coded as (
-    select *, list_aggregate(list_transform(range(0, 32), lambda i:
-        substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
-               1 + (('0x' || substr(hex, 1 + 10 * (i // 8), 10))::bigint >> (35 - 5 * (i % 8)) & 31)::int, 1)
-    ), 'string_agg', '') as base32
-    from digests
-)
-select page_id, n::bigint as payload_bytes, base32 as payload_digest,
-       case when page_id = largest then 'response' else 'revisit' end as record_type,
-       case when page_id < largest then largest end as refers_to
-from coded
-"""
-
-ORACLES: dict[str, str] = {"op2_warc": OP2}
