@@ -50,7 +50,13 @@ class Network:
         seen = w["embed"][windows].reshape(len(windows), -1)
         response = np.full((len(inside), FILTERS), -1e9, dtype=np.float32)
         response[inside] = seen @ w["filters"] + w["bias"]
-        return {"halves": halves, "windows": windows, "seen": seen, "inside": inside, "response": response.reshape(-1, STEPS, FILTERS)}
+        # The padding may fill a last half, in which no window starts.
+        used = np.flatnonzero(inside.reshape(-1, STEPS).any(axis=1))
+        text_of = np.repeat(np.arange(len(texts)), halves)
+        return {
+            "halves": np.bincount(text_of[used], minlength=len(texts)), "used": used, "windows": windows, "seen": seen, "inside": inside,
+            "response": response.reshape(-1, STEPS, FILTERS)[used],
+        }
 
     def _combine(self, pooled: np.ndarray, halves: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
         """Mean, largest and smallest over the chunks of each text, and where the last two are."""
@@ -93,13 +99,13 @@ class Network:
         if len(texts) > 1 or len(texts[0]) <= 2 * at_once:
             found = self._respond(texts)
             return found["response"].max(axis=1), found["halves"]
-        step, parts = at_once // HALF * HALF, []
+        step, parts = max(1, at_once // HALF) * HALF, []
         for begin in range(0, len(texts[0]), step):
             # The next piece's first bytes complete this one's last windows.
             found = self._respond([texts[0][begin : begin + step + WIDTH - 1]])
             parts.append(found["response"].max(axis=1)[: step // HALF])
         pooled = np.concatenate(parts)
-        return pooled[pooled[:, 0] > -1e8], np.array([int((pooled[:, 0] > -1e8).sum())])
+        return pooled, np.array([len(pooled)])
 
     def gradients(self, texts: Sequence[bytes], labels: np.ndarray, importance: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
         """Weighted log loss of some texts and its gradients."""
@@ -129,7 +135,7 @@ class Network:
         d_pooled[at] += d_chunk * own
         d_pooled[follow] += d_chunk * ~own
         rows = np.cumsum(found["inside"]) - 1
-        flat = (np.arange(len(pooled))[:, None] * STEPS + where).ravel()
+        flat = (found["used"][:, None] * STEPS + where).ravel()
         column = np.tile(np.arange(FILTERS), len(pooled))
         real = found["inside"][flat]
         flat, column, value = rows[flat[real]], column[real], d_pooled.ravel()[real]

@@ -1,0 +1,122 @@
+from __future__ import annotations
+
+import os
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+from evenkeel.llm import cnn, learning, quality, queries, toxicity
+from evenkeel.llm.common import ship
+
+SF = os.environ.get("CHECK_LLM_SF_DIR", "/root/testdata/sf0.01")
+
+
+def area(scores, marks):
+    above = np.array(scores)[np.array(marks) == 1][:, None] - np.array(scores)[np.array(marks) == 0][None, :]
+    return ((above > 0) + 0.5 * (above == 0)).mean()
+
+
+def test_gradients():
+    draw = np.random.default_rng(0)
+    texts = [bytes(draw.integers(97, 123, n).astype(np.uint8)) for n in (50, 700, 1500, 0, 400)]
+    marks, weight = np.array([0, 1, 0, 1, 1.0]), np.ones(5)
+    net = cnn.Network.fresh(1)
+    net.weights = {k: v.astype(np.float64) for k, v in net.weights.items()}
+    _, grads = net.gradients(texts, marks, weight)
+    for name, grad in grads.items():
+        at = np.unravel_index(np.abs(grad).argmax(), grad.shape)
+        kept, slopes = net.weights[name][at], []
+        for step in (2e-3, -2e-3):
+            net.weights[name][at] = kept + step
+            slopes.append(net.gradients(texts, marks, weight)[0] / 4e-3 * np.sign(step))
+        net.weights[name][at] = kept
+        assert sum(slopes) == pytest.approx(grad[at], rel=0.1, abs=1e-3), name
+
+
+def test_long_text_piece_by_piece():
+    net = cnn.Network.fresh(3)
+    for length in (20_011, 100 * cnn.HALF, 100 * cnn.HALF - 5, 100 * cnn.HALF + 3):
+        text = bytes(np.random.default_rng(1).integers(32, 127, length).astype(np.uint8))
+        whole = net.score([text])
+        for at_once in (1, cnn.HALF, 5 * cnn.HALF, 4_000):
+            assert net.score([text], at_once) == pytest.approx(whole, rel=1e-5)
+    assert net.score([text, b"", b"x"], 100)[1:] == pytest.approx(net.score([b"", b"x"]), rel=1e-5)
+
+
+def test_every_part_of_a_text_counts():
+    net = cnn.Network.fresh(3)
+    text = bytearray(b"a" * 5_000)
+    plain = net.score([bytes(text)])[0]
+    for place in (0, 2_500, 4_999):
+        changed = bytearray(text)
+        changed[max(0, place - 8) : place + 1] = b"\xff" * len(changed[max(0, place - 8) : place + 1])
+        assert net.score([bytes(changed)])[0] != plain
+
+
+def test_windows_cover_the_text():
+    draw = random.Random(0)
+    for n in (0, 1, 47, 48, 49, 500):
+        text = "".join(draw.choice("ab cÉ ") for _ in range(n)).encode()
+        assert b"".join(toxicity.windows(text)) == text.lower()
+    assert max(map(len, toxicity.windows(b"x" * 1000))) <= 2 * toxicity.WINDOW
+
+
+@pytest.fixture(scope="module")
+def labelled(spark):
+    ship(spark)
+    return spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
+
+
+def test_sample_is_bounded_and_held_out(spark, labelled):
+    documents, labels = labelled
+    rows = learning.sample(documents, labels, "quality", {0: 5, 1: 30}, quality.HOLDOUT, 5_000)
+    assert [m for _, m in rows] == [0] * 5 + [1] * 30 and all(len(t) <= 5_000 for t, _ in rows)
+    held = {r["doc_id"] for r in labels.collect() if zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2}
+    texts = {r["text"].encode() for r in documents.collect() if r["doc_id"] in held}
+    everything = learning.sample(documents, labels, "quality", {0: 10_000, 1: 10_000}, quality.HOLDOUT, 1 << 30)
+    open_texts = {r["text"].encode() for r in documents.collect() if r["doc_id"] not in held}
+    assert all(t in open_texts for t, _ in everything) and len(everything) < labels.count() and texts
+
+
+@pytest.mark.parametrize(("query", "label", "modulus", "rest", "cut", "least"), [
+    ("op3_quality", "quality", 4, 2, 0.7, 0.97), ("op9_toxicity", "toxic", 5, 0, 0.5, 0.8),
+])
+def test_query_on_held_out_rows(spark, labelled, query, label, modulus, rest, cut, least):
+    rows = queries.QUERIES[query](spark, SF).collect()
+    documents, labels = labelled
+    assert sorted(r["doc_id"] for r in rows) == sorted(r["doc_id"] for r in documents.select("doc_id").collect())
+    marks = {r["doc_id"]: r[label] for r in labels.collect()}
+    for r in rows:
+        assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % modulus == rest)
+        assert 0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= cut)
+    held = [(r["score"], marks[r["doc_id"]]) for r in rows if r["held_out"] and r["doc_id"] in marks]
+    assert area(*zip(*held, strict=True)) > least
+
+
+@pytest.mark.parametrize("module", [quality, toxicity])
+def test_awkward_rows(spark, module):
+    ship(spark)
+    rows = [(1, None, 0.5), (2, "", 0.5), (None, "a", 0.5), (3, "fine words " * 20_000, 0.5), (3, "fine words " * 20_000, 0.5)]
+    documents = spark.createDataFrame(rows, "doc_id long, text string, score double")
+    labels = spark.createDataFrame([(1, 1, 0), (2, None, None), (None, 0, 1)], "doc_id long, quality int, toxic int")
+    scored = module.score_documents(documents, labels)
+    assert scored.columns == ["doc_id", "held_out", "score", "predicted"] and scored.count() == 5
+    assert module.score_documents(documents.limit(0), labels.limit(0)).count() == 0
+    draw = random.Random(1)
+    texts = [(" ".join(draw.choice("good plain ordinary words here".split()) for _ in range(60)), 0) for _ in range(40)]
+    texts += [(" ".join(draw.choice("good plain vile!! rotten!! words".split()) for _ in range(60)), 1) for _ in range(40)]
+    draw.shuffle(texts)
+    if module is quality:
+        model = cnn.fit([t.encode() for t, _ in texts], np.array([m for _, m in texts]), epochs=20)
+        keep = module.good_documents
+    else:
+        model = module.train([(t.encode(), m) for t, m in texts])
+        keep = module.clean_documents
+    scores = module.score(documents, model).collect()
+    assert all(0 <= r["score"] <= 1 for r in scores) and len({r["score"] for r in scores if r["doc_id"] == 3}) == 1
+    kept = keep(documents, model)
+    assert kept.schema == documents.schema
+    below = sum(r["score"] < module.THRESHOLD for r in scores)
+    assert kept.count() == (len(scores) - below if module is quality else below)
