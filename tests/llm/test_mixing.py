@@ -1,0 +1,109 @@
+from __future__ import annotations
+
+import re
+from collections import Counter
+
+import pytest
+from compare import assert_same, duck
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from evenkeel.llm import mixing, queries
+from evenkeel.staging import stage
+
+SF = "/root/testdata/sf0.01"
+
+
+def plain_targets(sizes, ceiling=3):
+    """Round by round: what exceeds a ceiling is shared again among those below."""
+    weight = [mixing.WEIGHTS[i % 3] for i in range(len(sizes))]
+    stopped = [s == 0 for s in sizes]
+    while True:
+        left = sum(sizes) - sum(ceiling * s for s, stop in zip(sizes, stopped, strict=True) if stop)
+        whole = sum(w for w, stop in zip(weight, stopped, strict=True) if not stop)
+        target = [ceiling * s if stop else left * w / whole for s, w, stop in zip(sizes, weight, stopped, strict=True)]
+        over = [t > ceiling * s for s, t in zip(sizes, target, strict=True)]
+        if not any(over):
+            return target
+        stopped = [a or b for a, b in zip(stopped, over, strict=True)]
+
+
+@pytest.mark.parametrize("sizes", [[10, 10, 10], [1, 1000, 5, 0, 40, 7], [3], [0, 0], [100, 1, 1, 1, 1, 1, 1]])
+def test_targets(spark, sizes):
+    frame = spark.createDataFrame([(f"0{i:03d}", s) for i, s in enumerate(sizes)], "_source string, size long")
+    found = sorted((r["_source"], r["target"]) for r in mixing.targets(frame).collect())
+    assert [t for _, t in found] == pytest.approx(plain_targets(sizes) if sum(sizes) else [0.0] * len(sizes))
+
+
+def plain_seats(votes, seats):
+    quotients = sorted((-v / (2 * k + 1), i, k) for i, v in enumerate(votes) if v > 0 for k in range(seats))
+    return [sum(1 for _, i, _ in quotients[:seats] if i == j) for j in range(len(votes))]
+
+
+@settings(max_examples=12, deadline=None)
+@given(st.lists(st.integers(0, 1000), min_size=1, max_size=9), st.integers(0, 60))
+def test_highest_quotients(spark, votes, seats):
+    claims = spark.createDataFrame([(i, float(v)) for i, v in enumerate(votes)], "rank int, votes double")
+    found = mixing.apportion(claims, F.lit(seats).cast("long"), "votes", [], ["rank"], "won").orderBy("rank").collect()
+    assert [r["won"] for r in found] == plain_seats(votes, seats)
+
+
+@pytest.fixture(scope="module")
+def documents(spark):
+    rows = [(i, f"w{i} " * (i % 50), "big") for i in range(300)] + [(1000 + i, "a b\tc\u00a0d\n" * 20, None) for i in range(30)]
+    rows += [(2000 + i, " lead ing " * 9, "mid") for i in range(40)] + [(7, "same row", "hot")] * 300 + [(None, None, "mid"), (9999, "", "void")]
+    rows += [(3000, "long " * 5000, "z")]
+    frame = spark.createDataFrame([(*r, len(r[1] or ""), 1) for r in rows], "doc_id long, text string, source string, n_chars int, size int")
+    return stage(frame.repartition(5), "mix-test")
+
+
+def size_of(text):
+    return len(re.findall(r"[^\x20\x09-\x0D]+", text or ""))
+
+
+def test_mix(documents):
+    found = mixing.mix(documents, shard_words=3_000).collect()
+    assert Counter((r["doc_id"], r["size"]) for r in found) == Counter((r["doc_id"], size_of(r["text"])) for r in documents.collect())
+    assert all(0 <= r["taken"] <= 3 * r["size"] for r in found)
+    taken, target, size = Counter(), {}, Counter()
+    for r in found:
+        taken[r["target"], r["source_size"]] += r["taken"]
+        size[r["target"], r["source_size"]] += r["size"]
+    for (goal, whole), got in taken.items():
+        assert size[goal, whole] == whole and got == pytest.approx(goal, rel=0.03, abs=3)
+    assert sum(t for t, _ in taken) == pytest.approx(sum(size.values()))
+    again = mixing.mix(documents.repartition(3), shard_words=3_000).collect()
+    assert Counter(map(tuple, again)) == Counter(map(tuple, found))
+
+
+def test_mixed_documents_hold_what_is_taken(documents):
+    out = mixing.mixed_documents(documents, shard_words=3_000)
+    assert out.columns == documents.columns
+    rows = out.collect()
+    got = Counter()
+    for r in rows:
+        assert r["n_chars"] == len(r["text"])
+        got[r["doc_id"]] += size_of(r["text"])
+    want = Counter()
+    for r in mixing.mix(documents, shard_words=3_000).collect():
+        want[r["doc_id"]] += r["taken"]
+    assert got == Counter({k: v for k, v in want.items() if v})
+    texts = {r["doc_id"]: r["text"] for r in documents.collect()}
+    for r in rows:
+        words = set(re.findall(r"[^\x20\x09-\x0D]+", texts[r["doc_id"]]))
+        assert set(re.findall(r"[^\x20\x09-\x0D]+", r["text"])) <= words
+
+
+def test_empty_table(documents):
+    assert mixing.mix(documents.limit(0)).count() == 0
+    assert mixing.mix(documents.where("doc_id = 9999")).collect()[0]["taken"] == 0
+
+
+def test_no_python_in_the_plan(spark):
+    plan = queries.QUERIES["op10_mixing"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_query(spark):
+    assert assert_same(queries.QUERIES["op10_mixing"](spark, SF), duck(SF).sql(queries.ORACLES["op10_mixing"])) == 1000
