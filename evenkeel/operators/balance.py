@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evenkeel.functions.scalars import unit_interval
+from evenkeel.staging import stage
 
 # Fixed value: seed of the resampling.
 SEED = 42
@@ -16,6 +17,8 @@ MODES = ("replicate", "poisson", "weight", "none")
 
 @dataclass(frozen=True)
 class ClassBalance:
+    """Rows of either class before balancing, and rows without a label, which are left out."""
+
     positives: int
     negatives: int
     unlabelled: int
@@ -42,8 +45,18 @@ def class_balance(df: DataFrame, label: str) -> DataFrame:
 
 
 def checked_balance(df: DataFrame, label: str) -> ClassBalance:
-    """Class sizes on the driver; both classes must be present."""
-    row = class_balance(df, label).first()
+    """Class sizes on the driver; both classes must be present, and there may be no other label than 0, 1 and null."""
+    known = F.col(label).isin(0, 1)
+    row = df.agg(
+        F.count_if(F.col(label) == 1).alias("positives"),
+        F.count_if(F.col(label) == 0).alias("negatives"),
+        F.count_if(F.col(label).isNull()).alias("unlabelled"),
+        F.count_if(~known).alias("others"),
+        F.min(F.when(~known, F.col(label))).alias("least"),
+        F.max(F.when(~known, F.col(label))).alias("largest"),
+    ).first()
+    if row["others"]:
+        raise ValueError(f"{label} must be 0, 1 or null: {row['others']} rows have others, from {row['least']} to {row['largest']}")
     balance = ClassBalance(row["positives"], row["negatives"], row["unlabelled"])
     if not balance.positives or not balance.negatives:
         raise ValueError(
@@ -69,6 +82,17 @@ def copies(key: str, ratio: float) -> Column:
     return F.lit(whole) + extra.cast("int")
 
 
+def hold_out(df: DataFrame, key: str, share: float) -> tuple[DataFrame, DataFrame]:
+    """Rows to fit on and rows held out, about ``share`` of them, decided by the key alone.
+
+    Repeatable on any partitioning, and rows of one key stay together. Rows without a key are not held out.
+    """
+    if not 0 <= share < 1:
+        raise ValueError(f"the share held out is from 0 up to 1, not {share}")
+    held = F.coalesce(unit_interval(F.concat(F.lit("hold-out:"), F.col(key).cast("string"))) < F.lit(float(share)), F.lit(False))
+    return df.where(~held), df.where(held)
+
+
 def oversample_replicate(df: DataFrame, label: str, key: str, ratio: float) -> DataFrame:
     """Negatives once, positives as often as ``copies`` says, in one scan."""
     times = F.when(F.col(label) == 1, copies(key, ratio)).when(F.col(label) == 0, F.lit(1)).otherwise(F.lit(0))
@@ -78,10 +102,10 @@ def oversample_replicate(df: DataFrame, label: str, key: str, ratio: float) -> D
 def oversample_poisson(df: DataFrame, label: str, ratio: float, seed: int = SEED) -> DataFrame:
     """Negatives once, positives drawn with replacement.
 
-    The draw depends on how ``df`` is partitioned: read it from a written table, so that a
-    re-run task draws the same rows.
+    The draw depends on how the rows are partitioned, so they are drawn from a written table: a re-run task draws the
+    same ones.
     """
-    positives, negatives = split_classes(df, label)
+    positives, negatives = split_classes(stage(df, "poisson"), label)
     return positives.sample(withReplacement=True, fraction=ratio, seed=seed).unionByName(negatives)
 
 
@@ -119,9 +143,12 @@ def balance_classes(
 
 
 def shuffle_rows(df: DataFrame, seed: int = SEED, partitions: int | None = None) -> DataFrame:
-    """Rows in random order, in at most ``partitions`` partitions if given.
+    """Rows in random order, in ``partitions`` partitions if given; all of them take part in the sort.
 
-    This sorts the whole table; a full-batch fit does not need it.
+    The random numbers are written with the rows, so a re-run task finds the same order. This sorts the whole table; a
+    full-batch fit does not need it.
     """
-    shuffled = df.orderBy(F.rand(seed))
-    return shuffled if partitions is None else shuffled.coalesce(partitions)
+    drawn = stage(df.withColumn("_draw", F.rand(seed)), "shuffle")
+    if partitions is None:
+        return drawn.orderBy("_draw").drop("_draw")
+    return drawn.repartitionByRange(partitions, "_draw").sortWithinPartitions("_draw").drop("_draw")

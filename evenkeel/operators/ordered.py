@@ -39,7 +39,7 @@ def running_totals(
     """Adds, for each ``name: value`` of ``totals``, the sum of the values up to and
     including the row as ``name``, and the sum over its whole group as ``all_name``.
 
-    With ``groups``, sums start anew in each group; rows are ordered by group first.
+    With ``groups``, sums start anew in each group; rows are ordered by group first, and a null group is a group.
     The values must be non-null.
     """
     sliced = slices_in_order(rows, [*groups, *order], slices)
@@ -55,7 +55,9 @@ def running_totals(
     )
     within = Window.partitionBy(SLICE, *groups).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     summed = sliced.select("*", *[F.sum(v).over(within).alias(f"within_{n}") for n, v in totals.items()])
-    return summed.join(F.broadcast(corrections), on=[SLICE, *groups]).select(
+    renamed = corrections.withColumnsRenamed({c: f"_of_{c}" for c in (SLICE, *groups)})
+    same = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in (SLICE, *groups)]
+    return summed.join(F.broadcast(renamed), on=same).select(
         *rows.columns,
         *[(F.col(f"before_{n}") + F.col(f"within_{n}")).alias(n) for n in totals],
         *[f"all_{n}" for n in totals],

@@ -4,16 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evenkeel.functions.scalars import log_plus_one
 from evenkeel.spec import FeatureSpec
+from evenkeel.staging import stage
 
 # What stands for a missing number or text in the sentinel policy.
 MISSING_NUMBER = -999
 MISSING_TEXT = "na"
 
+# Partitions at most that rows without a key are spread over.
+NULL_SPREAD = 10_000
+
 
 def rename(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """All columns under new names, by position."""
@@ -31,9 +35,12 @@ def fill_sentinel(df: DataFrame) -> DataFrame:
 
 
 def spread_array(df: DataFrame, array: str, names: Sequence[str], *keep: str) -> DataFrame:
-    """One double column per array element; null past the end of a short array."""
-    elements = [F.get(F.col(array), F.lit(i)).cast("double").alias(name) for i, name in enumerate(names)]
-    return df.select(*keep, *elements)
+    """One double column per array element; null past the end of a short array. A longer array fails the query."""
+    values, width = F.col(array), len(names)
+    message = F.format_string(f"{array} has %d elements for {width} columns", F.size(values))
+    checked = F.when(F.size(values) > width, F.raise_error(message)).otherwise(values)
+    # Every column reads the checked array, so the check stays whichever columns are used.
+    return df.select(*keep, *[F.get(checked, F.lit(i)).cast("double").alias(name) for i, name in enumerate(names)])
 
 
 def conform(df: DataFrame, spec: FeatureSpec) -> DataFrame:
@@ -49,18 +56,30 @@ def conform(df: DataFrame, spec: FeatureSpec) -> DataFrame:
 def enrich(facts: DataFrame, details: DataFrame, key: str, salts: int = 1) -> DataFrame:
     """Every fact row with the detail columns of its key, null where there are none.
 
-    A key that occurs twice in ``details`` gives two rows; a null key matches
-    nothing. Spark picks broadcast or sort-merge by size, and splits skewed
-    partitions at run time. ``salts`` above 1 spreads each key over that many
-    partitions from the start, at the price of as many copies of ``details``;
-    it is for detail tables too large to broadcast with facts piled on few keys.
+    A key that occurs twice in ``details`` gives two rows; a null key matches nothing, and rows with one are spread over
+    the partitions. Spark picks broadcast or sort-merge by size, and splits skewed partitions at run time. ``salts``
+    above 1 spreads each key over that many partitions from the start, at the price of as many copies of ``details`` and
+    of writing the facts once, which gives repeated rows different and lasting numbers; it is for detail tables too large
+    to broadcast with facts piled on few keys.
     """
-    if salts <= 1:
-        return facts.join(details, on=key, how="left")
-    # The salt is a function of the row's content, so a re-run task repeats it.
-    salted_facts = facts.withColumn("_salt", F.pmod(F.xxhash64(*hashable_columns(facts)), F.lit(salts)).cast("int"))
-    salted_details = details.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted_facts.join(salted_details, on=[key, "_salt"], how="left").drop("_salt")
+    if salts > 1:
+        facts = stage(facts, "facts")
+        salt = F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int")
+        copies = details.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    else:
+        salt = F.lit(0)
+        copies = details.withColumn("_salt", _zero(key))
+    spread = F.pmod(F.xxhash64(*hashable_columns(facts)), F.lit(NULL_SPREAD)).cast("int") + salts
+    return (
+        facts.withColumn("_salt", F.when(F.col(key).isNull(), spread).otherwise(salt + _zero(key)))
+        .join(copies, on=[key, "_salt"], how="left")
+        .drop("_salt")
+    )
+
+
+def _zero(key: str) -> Column:
+    """Always 0, but not a constant the optimizer would take out of the join key."""
+    return F.pmod(F.hash(key), F.lit(1)).cast("int")
 
 
 def preview(df: DataFrame, order_by: str, rows: int = 5) -> DataFrame:

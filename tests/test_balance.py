@@ -96,3 +96,32 @@ def test_counting_is_one_scan(spark):
     labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
     plan = balance.class_balance(labels, "toxic")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan") == 1
+
+
+def test_other_labels_are_refused(spark):
+    df = spark.createDataFrame([(i, i % 4) for i in range(20)], "k int, y int")
+    for mode in balance.MODES:
+        with pytest.raises(ValueError, match="10 rows have others, from 2 to 3"):
+            balance.balance_classes(df, "y", "k", mode=mode)
+
+
+def test_held_out_rows_follow_the_key(spark):
+    df = spark.range(2000).selectExpr("if(id % 100 = 0, null, id div 2) as k", "id")
+    fit, held = balance.hold_out(df, "k", 0.25)
+    assert fit.count() + held.count() == 2000 and 350 < held.count() < 650
+    assert held.where("k is null").count() == 0
+    assert fit.where("k is not null").join(held, "k").count() == 0
+    again = balance.hold_out(df.repartition(7), "k", 0.25)[1]
+    assert sorted(r["id"] for r in again.collect()) == sorted(r["id"] for r in held.collect())
+    assert balance.hold_out(df, "k", 0.0)[1].count() == 0
+    with pytest.raises(ValueError, match="from 0 up to 1"):
+        balance.hold_out(df, "k", 1.0)
+
+
+def test_shuffle_sorts_in_all_partitions(spark):
+    out = balance.shuffle_rows(spark.range(4000, numPartitions=8), partitions=4)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Coalesce" not in plan and "RANGE" in plan.upper()
+    ids = [r["id"] for r in out.collect()]
+    assert sorted(ids) == list(range(4000)) and ids != sorted(ids)
+    assert out.rdd.getNumPartitions() == 4 and [r["id"] for r in out.collect()] == ids

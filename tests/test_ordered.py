@@ -47,3 +47,9 @@ def test_empty_table(spark):
     rows = spark.createDataFrame([], "k bigint")
     assert running_totals(rows, ["k"], {"nth": F.lit(1)}).collect() == []
     assert with_previous(rows, ["k"]).collect() == []
+
+
+def test_a_null_group_is_a_group(spark):
+    df = spark.createDataFrame([("a", 1), (None, 2), (None, 5)], "g string, v long")
+    out = running_totals(df, order=["v"], totals={"upto": F.col("v")}, groups=["g"])
+    assert sorted(((r["g"] or ""), r["v"], r["upto"], r["all_upto"]) for r in out.collect()) == [("", 2, 2, 7), ("", 5, 7, 7), ("a", 1, 1, 1)]

@@ -51,11 +51,65 @@ def test_join_keeps_unmatched_and_multiplies(spark):
         assert collected(joined) == expected
 
 
-def test_salted_join_spreads_a_hot_key(spark):
-    left = spark.range(3000).select(F.lit(7).alias("k"), "id")
+@pytest.fixture
+def plain_shuffles(spark):
+    """Every join by shuffle, into 16 partitions that stay as they are."""
+    settings = {
+        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
+def largest_partition(df):
+    return max(r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect())
+
+
+def test_salted_join_spreads_a_hot_key(spark, plain_shuffles):
+    left = spark.range(8000).select(F.lit(7).alias("k"), (F.col("id") % 2).alias("id"))  # two distinct rows
     right = spark.createDataFrame([(7, "x")], "k int, r string")
-    joined = rows.enrich(left, right, "k", salts=8)
-    assert joined.where(F.col("r") == "x").select("id").distinct().count() == 3000 == joined.count()
+    joined = rows.enrich(left, right, "k", salts=32)
+    assert joined.where(F.col("r") == "x").count() == 8000
+    assert largest_partition(joined) < 8000 / 4
+
+
+@pytest.mark.parametrize("salts", [1, 4])
+def test_join_spreads_rows_without_a_key(spark, plain_shuffles, salts):
+    left = spark.range(8000).select(F.when(F.col("id") % 4 == 0, F.col("id")).alias("k"), "id")
+    right = spark.range(0, 8000, 8).select(F.col("id").alias("k"), F.lit("x").alias("r"))
+    joined = rows.enrich(left, right, "k", salts=salts)
+    assert joined.count() == 8000 and joined.where("r = 'x'").count() == 1000
+    assert largest_partition(joined) < 8000 / 8
+
+
+def test_longer_arrays_fail(spark):
+    df = spark.createDataFrame([(1, [1.0]), (2, [1.0, 2.0, 3.0])], "id int, v array<double>")
+    short = rows.spread_array(df.where("id = 1"), "v", ["a", "b"], "id")
+    assert collected(short) == [(1, 1.0, None)]
+    for columns in (["a", "b"], ["b"]):
+        with pytest.raises(Exception, match="v has 3 elements for 2 columns"):
+            rows.spread_array(df, "v", ["a", "b"], "id").select(*columns).collect()
+
+
+AWKWARD = ["a", " a", "a ", "", "null", None, 'say "hi" now', 'x"y,z', '"', '""', "line\nbreak", "cr\rhere", "crlf\r\nx", "tab\tq",
+           "\\", '\\"q', "#c", "é,ü", "\n", "\r", "-", "'", ",", "end\"", '"start', "NaN", "\ufeffx"]
+
+
+def test_csv_keeps_every_text(spark, tmp_path):
+    df = spark.createDataFrame([(i, t, i / 2 if i % 3 else None, t) for i, t in enumerate(AWKWARD)], "id long, t string, x double, u string")
+    tables.write_csv(df, str(tmp_path / "out"))
+    types = {"id": T.LongType(), "x": T.DoubleType()}
+    again = tables.read_csv(spark, str(tmp_path / "out"), types, multi_line=True)
+    assert again.dtypes == df.dtypes and collected(again, "id") == collected(df, "id")
+    one_line = df.where(~F.coalesce(F.col("t").rlike("[\\r\\n]"), F.lit(False)))
+    tables.write_csv(one_line, str(tmp_path / "lines"))
+    assert collected(tables.read_csv(spark, str(tmp_path / "lines"), types), "id") == collected(one_line, "id")
 
 
 def test_spark_splits_a_hot_key_of_the_join(spark):
