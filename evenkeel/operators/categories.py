@@ -17,9 +17,8 @@ from evenkeel.operators.rows import hashable_columns
 BROADCAST_LABELS = 100_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 
-# The most frequent labels of a larger table that are still sent to every task, and their size.
-FREQUENT_LABELS = 10_000
-FREQUENT_BYTES = 1024
+# A value held by one part in this many of the rows is hot; there are at most as many such values.
+HOT_PARTS = 1000
 
 
 def category_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -73,45 +72,50 @@ def apply_index(
     output: str,
     map_column: str | None = None,
     broadcast_up_to: int = BROADCAST_LABELS,
-    frequent: int = FREQUENT_LABELS,
+    size: LabelSize | None = None,
+    spread_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """Adds the index of each value as double; null and unknown values get one index
     past the last label.
 
     ``map_column`` names the entry of ``labels`` to use if it differs from ``column``.
     A label table of more than ``broadcast_up_to`` rows, or too much text, is joined by
-    shuffle, except for its ``frequent`` most frequent labels.
+    shuffle, except for the values that are hot in ``df``, known or not. ``size`` is the entry's size if it is known;
+    no job runs then. Rows that need no shuffle are spread by a hash of ``spread_by``, by default of the whole row.
     """
     of_column = labels.where(F.col("column") == (map_column or column))
     entry = of_column.select(F.col("label").alias("_label"), F.col("index").cast("double").alias("_index"))
-    size = label_sizes(of_column).get(map_column or column, LabelSize())
+    if size is None:
+        size = label_sizes(of_column).get(map_column or column, LabelSize())
     keyed = df.withColumn("_label", F.col(column).cast("string"))
     if size.within(broadcast_up_to):
         found = keyed.join(F.broadcast(entry), on="_label", how="left")
     else:
-        found = _join_frequent_then_rest(keyed, entry, frequent)
+        found = _join_hot_then_rest(keyed, entry, spread_by or hashable_columns(keyed))
     return found.select(*df.columns, F.coalesce("_index", F.lit(float(size.labels))).alias(output))
 
 
-def _join_frequent_then_rest(keyed: DataFrame, entry: DataFrame, labels: int) -> DataFrame:
-    """Frequent labels are found without a shuffle. Rows that are done, or have no label, go
-    through the second join under keys of their own, so that they do not meet in one
-    partition. What can still be skewed, a value the labels do not know, is left to
-    Spark's splitting of large partitions."""
-    is_frequent = (F.col("_index") < labels) & (F.octet_length("_label") <= FREQUENT_BYTES)
-    frequent = entry.where(is_frequent).withColumnRenamed("_index", "_frequent")
+def _join_hot_then_rest(keyed: DataFrame, entry: DataFrame, spread_by: Sequence[str]) -> DataFrame:
+    """Hot values are counted in the rows and looked up once each; at most ``HOT_PARTS`` digests are sent to every task,
+    whatever the length of the labels. Rows that are done, or have no label, go through the second join under keys of
+    their own, so that they do not meet in one partition."""
+    digest = F.unhex(F.md5("_label"))
+    keyed, entry = keyed.withColumn("_digest", digest), entry.select(digest.alias("_digest"), "_index")
+    counts = keyed.where(F.col("_label").isNotNull()).groupBy("_digest").agg(F.count(F.lit(1)).alias("_n"))
+    hot = counts.where(F.col("_n") * HOT_PARTS >= counts.agg(F.sum("_n")).scalar()).select("_digest")
+    found = hot.join(entry, on="_digest", how="left").select("_digest", F.col("_index").alias("_hot"), F.lit(True).alias("_done"))
+    looked_up = keyed.join(F.broadcast(found), on="_digest", how="left")
+    is_open = F.col("_done").isNull() & F.col("_label").isNotNull()
+    spread = F.pmod(F.xxhash64(*spread_by), F.lit(10_000)).cast("int") + 1
     # Always 0, but not a constant the optimizer would take out of the join key.
-    rest = entry.where(~is_frequent).select("*", F.pmod(F.col("_index"), F.lit(1.0)).cast("int").alias("_spread"))
-    looked_up = keyed.join(F.broadcast(frequent), on="_label", how="left")
-    is_open = F.col("_frequent").isNull() & F.col("_label").isNotNull()
-    spread = F.pmod(F.xxhash64(*hashable_columns(keyed)), F.lit(10_000)).cast("int") + 1
+    rest = entry.withColumn("_spread", F.pmod(F.hash("_digest"), F.lit(1)).cast("int"))
     return (
         looked_up.withColumns({
-            "_label": F.when(is_open, F.col("_label")),
+            "_digest": F.when(is_open, F.col("_digest")),
             "_spread": F.when(is_open, F.lit(0)).otherwise(spread),
         })
-        .join(rest, on=["_label", "_spread"], how="left")
-        .withColumn("_index", F.coalesce("_frequent", "_index"))
+        .join(rest, on=["_digest", "_spread"], how="left")
+        .withColumn("_index", F.coalesce("_hot", "_index"))
     )
 
 

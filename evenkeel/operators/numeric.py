@@ -6,6 +6,7 @@ from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.ml.feature import Imputer, ImputerModel, MinMaxScaler, MinMaxScalerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
@@ -14,9 +15,15 @@ from pyspark.sql import functions as F
 
 from evenkeel.functions.scalars import impute, min_max
 from evenkeel.operators.ordered import running_totals
+from evenkeel.staging import stage
 
-# Fixed value: allowed rank error of the approximate median, as a share of the rows.
-MEDIAN_ERROR = 0.001
+# Size of the quantile summaries, whose rank error is about 0.04 % of the rows, and the share of the rows to either side
+# of the middle that is looked at first.
+SKETCH_SIZE = 8192
+BRACKET = 0.002
+
+# Summaries and matrices of tasks are merged in so many groups before they meet.
+MERGE_GROUPS = 256
 
 
 def long_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -36,45 +43,94 @@ def column_ranges(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return _places(df.sparkSession, columns).join(found, on="place", how="left").select("column", "low", "high")
 
 
-def approximate_medians(df: DataFrame, columns: Sequence[str], error: float = MEDIAN_ERROR) -> DataFrame:
+def _sketches(df: DataFrame, columns: Sequence[str], size: int) -> DataFrame:
+    """``(place, sketch)``: one mergeable summary of quantiles per column.
+
+    Tasks' summaries are merged in groups first and then per column, so no task merges those of all columns, nor those
+    of all tasks.
+    """
+    values = long_values(df, columns).withColumn("part", F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS)))
+    parts = values.groupBy("place", "part").agg(F.kll_sketch_agg_double("value", F.lit(size)).alias("sketch"))
+    return parts.groupBy("place").agg(F.kll_merge_agg_double("sketch").alias("sketch"))
+
+
+def _quantiles(sketches: DataFrame, ranks: Sequence[float]) -> dict[int, list[float]]:
+    """Values at the given ranks for each column, on the driver."""
+    values = [F.kll_sketch_get_quantile_double("sketch", F.lit(float(r))).alias(f"q{i}") for i, r in enumerate(ranks)]
+    return {r["place"]: [r[f"q{i}"] for i in range(len(ranks))] for r in sketches.select("place", *values).collect()}
+
+
+def approximate_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``(column, median)`` by mergeable quantile summaries, one pass for all columns.
 
-    The value returned is one of the column's own, at most ``error`` of the rows
-    off the middle. Null and NaN do not count.
+    The value returned is one of the column's own, about 0.1 % of the rows off the middle at most; it may differ between
+    runs within that. Null and NaN do not count.
     """
-    quantiles = df.approxQuantile(list(columns), [0.5], error)
-    rows = [(c, q[0] if q else None) for c, q in zip(columns, quantiles, strict=True)]
+    middle = _quantiles(_sketches(df, columns, SKETCH_SIZE), [0.5])
+    rows = [(c, middle[i][0] if i in middle else None) for i, c in enumerate(columns)]
     return df.sparkSession.createDataFrame(rows, "column string, median double")
 
 
-def exact_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def exact_medians(df: DataFrame, columns: Sequence[str], stage_rows: bool = True) -> DataFrame:
     """``(column, median)``: the lower median, that is the value of rank ceil(n / 2).
 
-    Quantile summaries first bracket the middle 2 % of each column. Only values in
-    the bracket are shuffled, one row per distinct value and task, and ranked in order.
+    Summaries first bracket the middle of each column. One more pass counts what is below, inside and above; only values
+    inside are shuffled by themselves, one row per distinct value and task, and ranked in order. A column whose middle
+    is not inside is bracketed again more widely, so the answer is exact whatever the summaries say. ``stage_rows``
+    writes the columns once, as both passes read them; turn it off for a scan of a columnar table.
     """
     spark = df.sparkSession
-    brackets = df.approxQuantile(list(columns), [0.49, 0.51], MEDIAN_ERROR)
-    bounds = spark.createDataFrame(
-        [(i, *q) for i, q in enumerate(brackets) if q], "place int, lowest double, highest double"
-    )
-    # One row per column.
-    values = long_values(df, columns).join(F.broadcast(bounds), on="place")
-    ranks = values.groupBy("place").agg(
-        (F.ceil(F.count("value") / 2) - F.count_if(F.col("value") < F.col("lowest"))).alias("rank")
-    )
-    counts = (
-        values.where(F.col("value").between(F.col("lowest"), F.col("highest")))
-        .groupBy("place", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
+    if stage_rows:
+        df = stage(df.select(*[F.col(c).cast("double").alias(c) for c in columns]), "median-rows")
+    sketches = stage(_sketches(df, columns, SKETCH_SIZE), "sketches")
+    found, margin = _empty_medians(spark), BRACKET
+    open_places = None
+    while open_places is None or open_places:
+        brackets = _quantiles(sketches, [max(0.0, 0.5 - margin), min(1.0, 0.5 + margin)])
+        wanted = brackets if open_places is None else {p: brackets[p] for p in open_places}
+        if margin >= 0.5:
+            wanted = {p: [float("-inf"), float("inf")] for p in wanted}
+        if not wanted:
+            break
+        counts, ranks = _bracketed(df, columns, wanted)
+        inside = {p: rank for p, (rank, held) in ranks.items() if 1 <= rank <= held}
+        if inside:
+            found = found.unionByName(_at_ranks(counts, inside))
+        open_places = [p for p in wanted if p not in inside]
+        margin *= 10
+    return _places(spark, columns).join(found, on="place", how="left").select("column", "median")
+
+
+def _bracketed(df: DataFrame, columns: Sequence[str], brackets: Mapping[int, Sequence[float]]) -> tuple[DataFrame, dict[int, tuple[int, int]]]:
+    """Counts of the values inside the brackets, and per column the middle's rank inside and how many rows are inside."""
+    bounds = df.sparkSession.createDataFrame([(p, *map(float, q)) for p, q in brackets.items()], "place int, lowest double, highest double")
+    side = F.when(F.col("value") < F.col("lowest"), -1).when(F.col("value") > F.col("highest"), 1).otherwise(0)
+    counts = stage(
+        long_values(df, columns).join(F.broadcast(bounds), on="place")  # one row per column
+        .withColumn("side", side)
+        .groupBy("place", "side", F.when(F.col("side") == 0, F.col("value")).alias("value"))
+        .agg(F.count(F.lit(1)).alias("n")),
+        "median-counts",
     )
-    ranked = running_totals(counts, order=["value"], totals={"upto": F.col("n")}, groups=["place"])
-    found = (
-        ranked.join(F.broadcast(ranks), on="place")
-        .where((F.col("upto") >= F.col("rank")) & (F.col("upto") - F.col("n") < F.col("rank")))
-        .select("place", F.col("value").alias("median"))
+    at = counts.groupBy("place").agg(
+        (F.ceil(F.sum("n") / 2) - F.coalesce(F.sum(F.when(F.col("side") == -1, F.col("n"))), F.lit(0))).alias("rank"),
+        F.coalesce(F.sum(F.when(F.col("side") == 0, F.col("n"))), F.lit(0)).alias("held"),
     )
-    return _places(spark, columns).join(found, on="place", how="left").select("column", "median")
+    return counts.where(F.col("side") == 0), {r["place"]: (r["rank"], r["held"]) for r in at.collect()}
+
+
+def _at_ranks(counts: DataFrame, ranks: Mapping[int, int]) -> DataFrame:
+    """``(place, median)``: the value that holds the rank."""
+    wanted = counts.sparkSession.createDataFrame(list(ranks.items()), "place int, rank bigint")
+    # One row per column.
+    chosen = counts.join(F.broadcast(wanted), on="place")
+    ranked = running_totals(chosen, order=["value"], totals={"upto": F.col("n")}, groups=["place"])
+    holds = (F.col("upto") >= F.col("rank")) & (F.col("upto") - F.col("n") < F.col("rank"))
+    return ranked.where(holds).select("place", F.col("value").alias("median"))
+
+
+def _empty_medians(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], "place int, median double")
 
 
 def as_dict(state: DataFrame, value: str) -> dict[str, float]:
@@ -126,7 +182,7 @@ def covariance(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``(row, col, covariance)``: sample covariance of all column pairs, both triangles.
 
     Rows with a null or NaN in any of the columns are left out. Each task folds its
-    rows into one small matrix of products; only these are shuffled and added up.
+    rows into one small matrix of products and hands it on as one row; these are added up in two levels.
     Values are taken relative to the column means, for precision.
     """
     width = len(columns)
@@ -136,6 +192,8 @@ def covariance(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         raise ValueError(f"columns without any value: {', '.join(empty)}")
     means = np.array([r["mean"] for r in sorted(averages, key=lambda r: r["place"])])
 
+    i, j = np.triu_indices(width)
+
     def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows, sums, products = 0, np.zeros(width), np.zeros((width, width))
         for batch in batches:
@@ -145,22 +203,32 @@ def covariance(df: DataFrame, columns: Sequence[str]) -> DataFrame:
             sums += complete.sum(axis=0)
             products += complete.T @ complete
         if rows:
-            i, j = np.triu_indices(width)
-            yield pd.DataFrame({"i": i, "j": j, "n": rows, "si": sums[i], "sj": sums[j], "sij": products[i, j]})
+            yield pd.DataFrame({"part": [TaskContext.get().partitionId() % MERGE_GROUPS], "packed": [np.r_[rows, sums, products[i, j]]]})
+
+    def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = None
+        for batch in batches:
+            for packed in batch["packed"]:
+                total = np.array(packed) if total is None else total + packed
+        if total is not None:
+            yield pd.DataFrame({"part": [0], "packed": [total]})
+
+    def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for packed in batch["packed"]:
+                rows, sums, products = packed[0], packed[1 : width + 1], packed[width + 1 :]
+                above = i < j
+                value = (products - sums[i] * sums[j] / rows) / (rows - 1) if rows > 1 else np.full(len(i), np.nan)
+                yield pd.DataFrame({"i": np.r_[i, j[above]], "j": np.r_[j, i[above]], "covariance": np.r_[value, value[above]]})
 
     names = F.array(*[F.lit(c) for c in columns])
-    spread = F.col("sij") - F.col("si") * F.col("sj") / F.col("n")
-    mirrored = F.when(F.col("i") == F.col("j"), F.array(F.struct("i", "j"))).otherwise(
-        F.array(F.struct("i", "j"), F.struct(F.col("j").alias("i"), F.col("i").alias("j")))
-    )
-    return (
-        df.select(*[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(columns)])
-        .mapInPandas(fold, "i int, j int, n bigint, si double, sj double, sij double")
-        .groupBy("i", "j")
-        .agg(*[F.sum(c).alias(c) for c in ("n", "si", "sj", "sij")])
-        .select(F.explode(mirrored).alias("at"), F.when(F.col("n") > 1, spread / (F.col("n") - 1)).alias("covariance"))
-        .select(F.get(names, F.col("at.i")).alias("row"), F.get(names, F.col("at.j")).alias("col"), "covariance")
-    )
+    packed = "part int, packed array<double>"
+    parts = df.select(*[F.col(c).cast("double").alias(f"x{k}") for k, c in enumerate(columns)]).mapInPandas(fold, packed)
+    # Tasks' arrays are added up in groups, one array at a time, then those of the groups: two levels for any number.
+    grouped = parts.repartition("part").mapInPandas(add, packed)
+    whole = grouped.repartition(1).mapInPandas(add, packed).mapInPandas(spread, "i int, j int, covariance double")
+    value = F.when(~F.isnan("covariance"), F.col("covariance"))
+    return whole.select(F.get(names, F.col("i")).alias("row"), F.get(names, F.col("j")).alias("col"), value.alias("covariance"))
 
 
 def _places(spark: SparkSession, columns: Sequence[str]) -> DataFrame:

@@ -24,7 +24,7 @@ from evenkeel.operators.categories import (
     label_sizes,
 )
 from evenkeel.operators.numeric import (
-    MEDIAN_ERROR,
+    approximate_medians,
     as_dict,
     column_ranges,
     exact_medians,
@@ -38,6 +38,7 @@ from evenkeel.staging import stage, staged
 
 ON_INVALID = ("error", "skip", "keep")
 FILLS = ("impute", "sentinel")
+SETTINGS = "spec string, joined array<struct<column: string, labels: bigint, text_bytes: bigint>>, before_join int"
 
 
 @dataclass
@@ -45,15 +46,17 @@ class FittedFeatures:
     """Everything learned from the training rows.
 
     ``labels`` is ``(column, label, n, index)``, ``numeric`` is ``(column, low, high, median)``;
-    ``joined`` names the categories indexed by a join because they have too many
-    labels for the driver.
+    ``joined`` holds the categories indexed by a join because they have too many
+    labels for the driver, with the size of their labels. The join comes after the first ``before_join`` stages of the
+    model, when blocks are vectors already.
     """
 
     spec: FeatureSpec
     model: PipelineModel
     labels: DataFrame
     numeric: DataFrame
-    joined: tuple[str, ...] = field(default_factory=tuple)
+    joined: dict[str, LabelSize] = field(default_factory=dict)
+    before_join: int = 0
 
     def transform(self, df: DataFrame, fill: str = "impute") -> DataFrame:
         """Rows with all intermediate columns and ``features``.
@@ -66,7 +69,12 @@ class FittedFeatures:
         rows = conform(df, self.spec)
         if fill == "sentinel":
             rows = fill_sentinel(rows)
-        return self.model.transform(_join_indices(rows, self.labels, self.joined))
+        if not self.joined:
+            return self.model.transform(rows)
+        rows = PipelineModel(self.model.stages[: self.before_join]).transform(rows)
+        for c, size in self.joined.items():
+            rows = apply_index(rows, self.labels, c, f"{c}_idx", size=size, spread_by=[self.spec.key])
+        return PipelineModel(self.model.stages[self.before_join :]).transform(rows)
 
     def feature_table(self, df: DataFrame, fill: str = "impute") -> DataFrame:
         """``(key, features)``, with the label if the rows have one."""
@@ -79,7 +87,8 @@ class FittedFeatures:
         save_model(self.model, f"{path}/model")
         self.labels.write.mode("overwrite").parquet(f"{path}/labels")
         self.numeric.write.mode("overwrite").parquet(f"{path}/numeric")
-        settings = spark.createDataFrame([(self.spec.to_json(), list(self.joined))], "spec string, joined array<string>")
+        joined = [(c, size.labels, size.text_bytes) for c, size in self.joined.items()]
+        settings = spark.createDataFrame([(self.spec.to_json(), joined, self.before_join)], SETTINGS)
         settings.coalesce(1).write.mode("overwrite").json(f"{path}/settings")
 
     @staticmethod
@@ -94,7 +103,8 @@ class FittedFeatures:
             model=load_feature_model(f"{path}/model"),
             labels=spark.read.parquet(f"{path}/labels"),
             numeric=spark.read.parquet(f"{path}/numeric"),
-            joined=tuple(settings["joined"]),
+            joined={r["column"]: LabelSize(r["labels"], r["text_bytes"]) for r in settings["joined"]},
+            before_join=settings["before_join"],
         )
 
 
@@ -103,7 +113,7 @@ def fit_features(
     spec: FeatureSpec,
     compat: bool = False,
     on_invalid: str = "error",
-    median: str = "approximate",
+    median: str = "exact",
     drop_empty: bool = False,
     labels_on_driver: int = BROADCAST_LABELS,
     stage_rows: bool = True,
@@ -115,9 +125,10 @@ def fit_features(
         default each column has one slot more than labels, for null and unseen values.
     on_invalid: what to do with rows whose amount has no logarithm: fail with their
         number, skip them (they then count for no statistic), or keep them as NaN.
-    median: "approximate" (0.1 % of the rows off at most) or "exact" (the lower median).
+    median: "exact" (the lower median) or "approximate" (about 0.1 % of the rows off at most, not the same in every run).
     drop_empty: leave out block columns without any value instead of failing.
-    labels_on_driver: category columns with more labels, or too much text in them, are indexed by a join.
+    labels_on_driver: all categories' labels together that may go to the driver; beyond, or with too much text in
+        them, the columns with the most labels are indexed by a join.
     stage_rows: write the projected rows once, for the time of the fit, and let all passes read
         that; turn off if ``df`` is a plain scan of a columnar table already.
     """
@@ -158,12 +169,10 @@ def _fit_rows(
             raise ValueError(f"block columns without any value: {', '.join(sorted(empty))}")
         spec = spec.without(empty)
         ranges = {c: low_high[c] for c in spec.block_columns}
-        if median == "exact":
-            found = as_dict(exact_medians(rows, spec.block_columns), "median")
-            medians = {c: found[c] for c in spec.block_columns}
-        else:
-            middles = rows.approxQuantile(list(spec.block_columns), [0.5], MEDIAN_ERROR)
-            medians = {c: q[0] for c, q in zip(spec.block_columns, middles, strict=True)}
+        # The rows are a written table already.
+        middle = exact_medians(rows, spec.block_columns, stage_rows=False) if median == "exact" else approximate_medians(rows, spec.block_columns)
+        found = as_dict(middle, "median")
+        medians = {c: found[c] for c in spec.block_columns}
 
     stages: list[Transformer] = []
     parts: list[str] = []
@@ -173,7 +182,7 @@ def _fit_rows(
         stages.append(VectorAssembler(inputCols=spec.logged(), outputCol="num_cols", handleInvalid=on_invalid))
         parts.append("num_cols")
 
-    labels, joined = _empty_labels(spark), ()
+    labels, joined = _empty_labels(spark), {}
     category_stages: list[Transformer] = []
     if spec.categories:
         labels = stage(index_map(category_counts(rows, spec.categories)), "labels")
@@ -185,6 +194,7 @@ def _fit_rows(
     parts += [block.output for block in spec.blocks] + spec.encoded()
     # Blocks first: an indexer is a projection of its own to Spark, and should carry a few vectors through
     # rather than hundreds of columns.
+    before_join = len(stages) + len(block_stages)
     stages += block_stages + category_stages
     stages.append(
         VectorAssembler(inputCols=parts, outputCol="features", handleInvalid="keep" if on_invalid == "keep" else "error")
@@ -193,7 +203,7 @@ def _fit_rows(
         [(c, float(ranges[c][0]), float(ranges[c][1]), float(medians[c])) for c in spec.block_columns],
         "column string, low double, high double, median double",
     )
-    return FittedFeatures(spec, PipelineModel(stages), labels, numeric, joined)
+    return FittedFeatures(spec, PipelineModel(stages), labels, numeric, joined, before_join)
 
 
 def _has_logarithm(amount: str) -> Column:
@@ -211,11 +221,11 @@ def _require_logarithms(rows: DataFrame, spec: FeatureSpec) -> None:
 
 def _category_stages(
     rows: DataFrame, labels: DataFrame, spec: FeatureSpec, compat: bool, labels_on_driver: int
-) -> tuple[list[Transformer], tuple[str, ...]]:
+) -> tuple[list[Transformer], dict[str, LabelSize]]:
     spark = rows.sparkSession
     sizes_of = {c: LabelSize() for c in spec.categories} | label_sizes(labels)
     known = {c: sizes_of[c].labels for c in spec.categories}
-    joined = tuple(c for c in spec.categories if not sizes_of[c].within(labels_on_driver))
+    joined = _too_many(sizes_of, labels_on_driver)
     local = [c for c in spec.categories if c not in joined]
     stages: list[Transformer] = []
     if local:
@@ -230,6 +240,19 @@ def _category_stages(
     return [*stages, encoder(spark, sizes, spec.imputed_index(), spec.encoded())], joined
 
 
+def _too_many(sizes: dict[str, LabelSize], labels_on_driver: int) -> dict[str, LabelSize]:
+    """The columns whose labels stay off the driver: the largest, until the rest is within bounds together."""
+    smallest_first = sorted(sizes, key=lambda c: (sizes[c].text_bytes, sizes[c].labels, c))
+    whole, joined = LabelSize(), {}
+    for c in smallest_first:
+        with_it = LabelSize(whole.labels + sizes[c].labels, whole.text_bytes + sizes[c].text_bytes)
+        if with_it.within(labels_on_driver):
+            whole = with_it
+        else:
+            joined[c] = sizes[c]
+    return {c: joined[c] for c in sizes if c in joined}
+
+
 def _block_stages(
     rows: DataFrame,
     blocks: tuple[Block, ...],
@@ -251,14 +274,8 @@ def _block_stages(
     return stages
 
 
-def _join_indices(rows: DataFrame, labels: DataFrame, columns: tuple[str, ...]) -> DataFrame:
-    for c in columns:
-        rows = apply_index(rows, labels, c, f"{c}_idx")
-    return rows
-
-
 def _settings(spark: SparkSession, path: str) -> Row:
-    return spark.read.schema("spec string, joined array<string>").json(f"{path}/settings").first()
+    return spark.read.schema(SETTINGS).json(f"{path}/settings").first()
 
 
 def _empty_labels(spark: SparkSession) -> DataFrame:

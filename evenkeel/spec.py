@@ -98,13 +98,14 @@ class FeatureSpec:
         }
 
     def without(self, columns: set[str]) -> FeatureSpec:
-        """The same spec with some block columns left out."""
+        """The same spec with some block columns left out. A block must keep as many columns as it has components."""
         blocks = []
         for block in self.blocks:
             kept = tuple(c for c in block.columns if c not in columns)
+            if block.components and len(kept) < block.components:
+                raise ValueError(f"block {block.name}: {block.components} components, but only {len(kept)} columns with values")
             if kept:
-                k = min(block.components, len(kept)) if block.components else None
-                blocks.append(Block(block.name, kept, k))
+                blocks.append(Block(block.name, kept, block.components))
         return FeatureSpec(self.key, self.label, self.amounts, self.categories, tuple(blocks), self.key_type)
 
     def to_json(self) -> str:

@@ -58,10 +58,10 @@ def test_broadcast_and_shuffled_join_agree_with_a_hot_value(spark):
     labels = categories.index_map(categories.category_counts(frame(spark, values), ["c"]))
     asked = frame(spark, [*values, "new"])
     small, large = (
-        categories.apply_index(asked, labels, "c", "i", broadcast_up_to=limit, frequent=5) for limit in (10**6, 0)
+        categories.apply_index(asked, labels, "c", "i", broadcast_up_to=limit) for limit in (10**6, 0)
     )
     plan = large._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("Join LeftOuter") == 2 and "_spread" in plan.split("Join LeftOuter")[1].split("\n")[0]
+    assert "_spread" in plan.split("Join LeftOuter")[1].split("\n")[0]
     assert small.exceptAll(large).isEmpty() and large.exceptAll(small).isEmpty()
     assert small.count() == 1201
     assert {r["i"] for r in small.where("c is null or c = 'new'").collect()} == {301.0}
@@ -120,3 +120,31 @@ def test_counts_are_folded_before_the_shuffle(spark):
     assert plan.index("HashAggregate") < plan.index("Exchange") < plan.rindex("HashAggregate")
     assert plan.count("Exchange") == 1 and "text" not in plan
     assert counts.agg(F.sum("n")).first()[0] == 1000
+
+
+@pytest.mark.parametrize("hot", ["na", "x" * 5000, "known"])
+def test_hot_values_spread(spark, hot):
+    """Half of the rows hold one value: unknown, long, or known; no adaptive execution."""
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "16"}
+    before = {name: spark.conf.get(name) for name in settings}
+    labels = categories.index_map(categories.category_counts(frame(spark, ["known", "known", *[f"v{i}" for i in range(500)]]), ["c"]))
+    asked = spark.range(20_000).selectExpr("id", f"if(id % 2 = 0, '{hot}', concat('v', id % 700)) as c")
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        out = categories.apply_index(asked, labels, "c", "i", broadcast_up_to=0)
+        sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == 20_000 and max(sizes) < 20_000 / 6
+        assert {r["i"] for r in out.where(F.col("c") == hot).collect()} == {0.0 if hot == "known" else 501.0}
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+def test_known_size_needs_no_job(spark):
+    labels = categories.index_map(categories.category_counts(frame(spark, ["a", "b", "a"]), ["c"]))
+    spark.sparkContext.setJobGroup("no-jobs", "")
+    for limit in (10, 0):
+        categories.apply_index(frame(spark, ["a"]), labels, "c", "i", broadcast_up_to=limit, size=categories.LabelSize(2, 2))
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("no-jobs")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)

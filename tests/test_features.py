@@ -9,7 +9,8 @@ from pyspark.ml.feature import PCA, Imputer, MinMaxScaler, OneHotEncoder, String
 from pyspark.sql import functions as F
 
 from catalog.queries import E, document_spec, wide_documents
-from evenkeel.plans.features import FittedFeatures, fit_features
+from evenkeel.operators.categories import LabelSize
+from evenkeel.plans.features import FittedFeatures, _too_many, fit_features
 from evenkeel.presets import card_transactions
 from evenkeel.spec import Block, FeatureSpec
 
@@ -58,7 +59,7 @@ def test_save_and_load(small, tmp_path, spark):
     fitted.save(str(tmp_path / "state"))
     fitted.save(str(tmp_path / "state"))
     loaded = FittedFeatures.load(spark, str(tmp_path / "state"))
-    assert loaded.spec == SMALL and loaded.joined == ("c",)
+    assert loaded.spec == SMALL and loaded.joined == fitted.joined and list(loaded.joined) == ["c"] and loaded.before_join == fitted.before_join
     assert features(loaded.transform(small)) == features(fitted.transform(small))
     state = {r["column"]: (r["low"], r["high"], r["median"]) for r in loaded.numeric.collect()}
     assert state == {"x": (1.0, 3.0, 1.0), "z": (5.0, 5.0, 5.0)}
@@ -141,3 +142,21 @@ def test_full_width_transactions(spark):
     table = fitted.feature_table(data).collect()
     assert len(table) == 400
     assert {r["features"].size for r in table} == {49 + sum(i + 3 for i in range(11))}
+
+
+def test_transform_starts_no_job(small, spark):
+    fitted = fit_features(small, SMALL, labels_on_driver=0)
+    context = spark.sparkContext
+    context.setJobGroup("transform", "")
+    fitted.transform(small)
+    fitted.feature_table(small, fill="sentinel")
+    assert not context.statusTracker().getJobIdsForGroup("transform")
+    context.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_labels_on_the_driver_are_bounded_by_their_sum():
+    sizes = {"a": LabelSize(60, 600), "b": LabelSize(30, 300), "c": LabelSize(30, 310), "d": LabelSize(1, 10)}
+    assert list(_too_many(sizes, 61)) == ["a"]
+    assert list(_too_many(sizes, 60)) == ["a", "c"]
+    assert list(_too_many(sizes, 1000)) == []
+    assert list(_too_many({"long": LabelSize(1, 1 << 30), "short": LabelSize(5, 5)}, 1000)) == ["long"]

@@ -137,3 +137,26 @@ def test_components_are_orthonormal_eigenvectors_of_the_covariance(spark):
     # Applying the model does not subtract the mean.
     row = model.transform(vectors).select(vector_to_array("v").alias("v"), vector_to_array("p").alias("p")).first()
     assert np.allclose(np.array(row["v"]) @ parts, row["p"])
+
+
+def test_median_outside_its_first_bracket(spark, monkeypatch):
+    """Brackets that miss the middle are widened until they hold it."""
+    real = numeric._quantiles
+    monkeypatch.setattr(numeric, "_quantiles", lambda s, ranks: {p: [v - 100 for v in q] for p, q in real(s, ranks).items()})
+    df = spark.range(999).select(F.col("id").cast("double").alias("x"), F.lit(3.0).alias("y"))
+    assert medians(df) == {"x": 499.0, "y": 3.0}
+
+
+def test_covariance_shuffles_a_row_per_task(spark):
+    df = spark.range(1000, numPartitions=6).selectExpr("id * 1.0 as x0", "id % 7 * 1.0 as x1", "id % 3 * 1.0 as x2")
+    found = numeric.covariance(df, df.columns)
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("MapInPandas") == 4 and "Aggregate" not in plan
+    rows = {(r["row"], r["col"]): r["covariance"] for r in found.collect()}
+    assert rows["x0", "x1"] == pytest.approx(df.cov("x0", "x1")) and len(rows) == 9
+
+
+def test_summaries_of_columns_are_merged_apart(spark):
+    df = spark.range(1000, numPartitions=6).selectExpr("id * 1.0 as x0", "id % 7 * 1.0 as x1")
+    plan = numeric._sketches(df, df.columns, 200)._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan and plan.count("hashpartitioning(place") == 2
