@@ -82,7 +82,7 @@ class Network:
         hidden = np.maximum(joined @ w["hidden"] + w["hidden_bias"], 0)
         return hidden, 1 / (1 + np.exp(-np.clip(hidden @ w["out"] + w["out_bias"], -30, 30)))
 
-    def score(self, texts: Sequence[bytes], at_once: int = 1 << 20) -> np.ndarray:
+    def score(self, texts: Sequence[bytes], at_once: int = 1 << 17) -> np.ndarray:
         """The probability of each text, worked out for about ``at_once`` bytes together; long texts go alone."""
         out, some, size = [], [], 0
         for i, text in enumerate(texts):
