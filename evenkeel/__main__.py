@@ -9,7 +9,9 @@ from pathlib import Path
 from pyspark.sql import SparkSession
 
 from evenkeel.operators.balance import MODES, SEED
+from evenkeel.operators.categories import BROADCAST_LABELS
 from evenkeel.plans import jobs
+from evenkeel.plans.classifier import ELASTIC_NET, ITERATIONS, REGULARISATION, THRESHOLD
 from evenkeel.plans.features import FILLS, ON_INVALID, FittedFeatures
 from evenkeel.presets import card_transactions
 from evenkeel.spec import FeatureSpec
@@ -30,6 +32,8 @@ def arguments() -> argparse.ArgumentParser:
     fit.add_argument("--compat", action="store_true")
     fit.add_argument("--on-invalid", choices=ON_INVALID, default="error")
     fit.add_argument("--drop-empty", action="store_true")
+    fit.add_argument("--median", choices=("exact", "approximate"), default="exact")
+    fit.add_argument("--labels-on-driver", type=int, default=BROADCAST_LABELS, help="of all categories together")
 
     apply = command("score-features", "facts", "details", "state", "features")
     apply.add_argument("--fill", choices=FILLS, default="impute")
@@ -42,6 +46,17 @@ def arguments() -> argparse.ArgumentParser:
     train.add_argument("--seed", type=int, default=SEED)
     train.add_argument("--shuffle", action="store_true")
     train.add_argument("--partitions", type=int)
+    train.add_argument("--iterations", type=int, default=ITERATIONS)
+    train.add_argument("--penalty", type=float, default=REGULARISATION)
+    train.add_argument("--elastic-net", type=float, default=ELASTIC_NET)
+    train.add_argument("--threshold", type=float, default=THRESHOLD)
+    train.add_argument("--tree-depth", type=int, default=2, help="levels in which gradients are summed")
+    train.add_argument("--allow-undersampling", action="store_true")
+    train.add_argument("--hold-out", type=float, default=0.0, help="share of the keys kept from the fit")
+    train.add_argument("--held-out", help="where the rows kept from the fit are written")
+
+    command("evaluate", "features", "state", "model", "report", "curve")
+    command("curve-area", "curve", "out")
 
     score = command("score", "features", "state", "model", "out")
     score.add_argument("--files", type=int)
@@ -57,6 +72,7 @@ def main(argv: Sequence[str] | None = None) -> None:
             spark, spec, args.facts, args.details, args.features, args.state,
             salts=args.salts, malformed=args.malformed,
             compat=args.compat, on_invalid=args.on_invalid, drop_empty=args.drop_empty,
+            median=args.median, labels_on_driver=args.labels_on_driver,
         )
         return
     if args.job == "score-features":
@@ -64,12 +80,20 @@ def main(argv: Sequence[str] | None = None) -> None:
             spark, args.facts, args.details, args.state, args.features, args.fill, args.salts, args.malformed
         )
         return
+    if args.job == "curve-area":
+        jobs.curve_area(spark, args.curve, args.out)
+        return
     spec = FittedFeatures.load_spec(spark, args.state)
     if args.job == "train-model":
         jobs.train(
             spark, args.features, spec.label, spec.key, args.model, args.report, args.curve,
+            hold_out_share=args.hold_out, held_out=args.held_out,
             mode=args.mode, seed=args.seed, shuffle=args.shuffle, partitions=args.partitions,
+            max_iter=args.iterations, reg_param=args.penalty, elastic_net=args.elastic_net, threshold=args.threshold,
+            tree_depth=args.tree_depth, allow_undersampling=args.allow_undersampling,
         )
+    elif args.job == "evaluate":
+        jobs.evaluate_table(spark, args.features, args.model, spec.label, args.report, args.curve)
     else:
         jobs.score_to_csv(spark, args.features, args.model, spec.key, spec.label, args.out, args.files)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.ml.classification import (
     BinaryLogisticRegressionTrainingSummary,
     LogisticRegression,
@@ -11,9 +13,11 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evenkeel.operators.balance import SEED, balance_classes, shuffle_rows
-from evenkeel.operators.metrics import metrics_report
 from evenkeel.functions.scalars import vector_element
+from evenkeel.operators.balance import SEED, ClassBalance, balance_classes, shuffle_rows
+from evenkeel.operators.metrics import metrics_report
+from evenkeel.operators.roc import roc_curve
+from evenkeel.staging import stage
 
 # Settings of the published fit.
 ITERATIONS = 10
@@ -24,7 +28,27 @@ THRESHOLD = 0.5
 PREDICTION = "predictions"
 
 
-def fit_classifier(
+@dataclass(frozen=True)
+class Fit:
+    """A classifier, the balanced rows it was fitted on (a written table) and the class sizes before balancing."""
+
+    model: LogisticRegressionModel
+    rows: DataFrame
+    sizes: ClassBalance
+
+    def sizes_report(self) -> DataFrame:
+        """``(metric, label, value)``: rows of either class, and rows left out for want of a label."""
+        found = [("rows", 1.0, self.sizes.positives), ("rows", 0.0, self.sizes.negatives), ("rows", None, self.sizes.unlabelled)]
+        values = [(m, v, float(n)) for m, v, n in found]
+        return self.rows.sparkSession.createDataFrame(values, "metric string, label double, value double")
+
+
+def fit_classifier(features: DataFrame, label: str, key: str, **options) -> LogisticRegressionModel:
+    """The model alone; options as for ``fit_balanced``."""
+    return fit_balanced(features, label, key, **options).model
+
+
+def fit_balanced(
     features: DataFrame,
     label: str,
     key: str,
@@ -39,15 +63,16 @@ def fit_classifier(
     tolerance: float = 1e-6,
     tree_depth: int = 2,
     allow_undersampling: bool = False,
-) -> LogisticRegressionModel:
+) -> Fit:
     """Balance the classes and fit a binary logistic regression.
 
     Every iteration reads all rows, so their order does not matter; ``shuffle`` sorts
     them randomly all the same. ``tree_depth`` above 2 adds levels when gradients of
-    very wide features from many partitions are summed. The balanced rows are cached by
-    the fit, on disk where memory is short. The model carries its training summary.
+    very wide features from many partitions are summed. The features are written once, as counting, balancing and
+    fitting read them, and cached by the fit, on disk where memory is short. The model carries its training summary.
     """
-    rows, _ = balance_classes(features, label, key, mode, seed, allow_undersampling)
+    written = stage(features.select(key, "features", label), "features")
+    rows, sizes = balance_classes(written, label, key, mode, seed, allow_undersampling)
     if shuffle:
         rows = shuffle_rows(rows, seed, partitions)
     elif partitions is not None:
@@ -65,7 +90,7 @@ def fit_classifier(
     )
     if mode == "weight":
         regression = regression.setWeightCol("weight")
-    return regression.fit(rows)
+    return Fit(regression.fit(rows), rows, sizes)
 
 
 def summary_report(summary: BinaryLogisticRegressionTrainingSummary, df: DataFrame) -> DataFrame:
@@ -96,6 +121,13 @@ def evaluate(model: LogisticRegressionModel, features: DataFrame, label: str) ->
     )
 
 
+def exact_curve(model: LogisticRegressionModel, features: DataFrame, label: str) -> DataFrame:
+    """``(FPR, TPR)`` with a point for every distinct score, however many there are. Weighted rows count by weight."""
+    scored = score(model, features.where(F.col(label).isNotNull()))
+    weight = F.col("weight") if "weight" in features.columns else None
+    return roc_curve(scored.withColumn("_score", vector_element("probability", 1)), label, "_score", weight)
+
+
 def unpack_probability(scored: DataFrame, key: str, names: tuple[str, str]) -> DataFrame:
     """The key and one column per class probability."""
     probability = vector_to_array(F.col("probability"))

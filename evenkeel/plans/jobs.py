@@ -1,17 +1,20 @@
-"""The four jobs, from files to files."""
+"""The jobs, from files to files."""
 
 from __future__ import annotations
 
 from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
+from evenkeel.operators.balance import hold_out
+from evenkeel.operators.roc import area_under_curve
 from evenkeel.operators.rows import conform, enrich
-from evenkeel.plans.classifier import evaluate, fit_classifier, submission, summary_report
+from evenkeel.plans.classifier import evaluate, exact_curve, fit_balanced, submission
 from evenkeel.plans.features import FittedFeatures, fit_features
 from evenkeel.sources.artifacts import load_classifier, save_model
 from evenkeel.sources.tables import read_csv, read_parquet, write_csv, write_parquet
 from evenkeel.spec import FeatureSpec
-from evenkeel.staging import staged
+from evenkeel.staging import scratch, staged
 
 
 def read_joined(
@@ -42,12 +45,13 @@ def build_training_features(
 
     Text parsing and the join run once; fitting and applying read the staged rows.
     """
-    joined = conform(read_joined(spark, facts, details, spec, salts, malformed), spec)
-    with staged(joined, "rows") as rows:
-        fitted = fit_features(rows, spec, stage_rows=False, **fit_options)
-        fitted.save(state_out)
-        write_parquet(fitted.feature_table(rows), features_out)
-    return fitted
+    with scratch(spark):
+        joined = conform(read_joined(spark, facts, details, spec, salts, malformed), spec)
+        with staged(joined, "rows") as rows:
+            fitted = fit_features(rows, spec, stage_rows=False, **fit_options)
+            fitted.save(state_out)
+            write_parquet(fitted.feature_table(rows), features_out)
+    return FittedFeatures.load(spark, state_out)
 
 
 def train(
@@ -58,15 +62,28 @@ def train(
     model_out: str,
     report_out: str,
     curve_out: str,
+    hold_out_share: float = 0.0,
+    held_out: str | None = None,
     **fit_options,
 ) -> LogisticRegressionModel:
-    """Feature table to a saved classifier, with its metrics and curve on the balanced training rows."""
-    rows = read_parquet(spark, features)
-    model = fit_classifier(rows, label, key, **fit_options)
-    save_model(model, model_out)
-    write_parquet(summary_report(model.summary, rows).coalesce(1), report_out)
-    write_csv(model.summary.roc, curve_out, files=1)  # about 1000 points
-    return model
+    """Feature table to a saved classifier, with its metrics and exact curve on the balanced training rows.
+
+    The report also tells the rows of either class before balancing, and those without a label. With a share to hold
+    out, rows are split by their key before balancing, and the ones held out are written as a feature table.
+    """
+    if bool(hold_out_share) != bool(held_out):
+        raise ValueError("a share to hold out and a place for it go together")
+    rows, held = hold_out(read_parquet(spark, features), key, hold_out_share)
+    if held_out:
+        write_parquet(held, held_out)
+    with scratch(spark):
+        fit = fit_balanced(rows, label, key, **fit_options)
+        save_model(fit.model, model_out)
+        # Weights only matter to the fit; the report counts rows.
+        report = evaluate(fit.model, fit.rows, label).unionByName(fit.sizes_report())
+        write_parquet(report.coalesce(1), report_out)
+        write_csv(exact_curve(fit.model, fit.rows.drop("weight"), label), curve_out)
+    return load_classifier(model_out)
 
 
 def build_scoring_features(
@@ -92,6 +109,16 @@ def score_to_csv(
     write_csv(submission(load_classifier(model), read_parquet(spark, features), key, label), out, files)
 
 
-def evaluate_table(spark: SparkSession, features: str, model: str, label: str, out: str) -> None:
-    """Metrics of a saved classifier on any labelled feature table."""
-    write_parquet(evaluate(load_classifier(model), read_parquet(spark, features), label), out)
+def evaluate_table(spark: SparkSession, features: str, model: str, label: str, report_out: str, curve_out: str) -> None:
+    """Metrics and exact curve of a saved classifier on any labelled feature table."""
+    classifier, rows = load_classifier(model), read_parquet(spark, features)
+    with scratch(spark):
+        write_parquet(evaluate(classifier, rows, label).coalesce(1), report_out)
+        write_csv(exact_curve(classifier, rows, label), curve_out)
+
+
+def curve_area(spark: SparkSession, curve: str, out: str) -> None:
+    """Area under a stored curve, as one row ``(area)``."""
+    with scratch(spark):
+        points = read_csv(spark, curve, {"FPR": T.DoubleType(), "TPR": T.DoubleType()})
+        write_parquet(area_under_curve(points).coalesce(1), out)

@@ -1,4 +1,4 @@
-"""Fitting, scoring, saving, and the four jobs end to end."""
+"""Fitting, scoring, saving, and the jobs end to end."""
 
 from __future__ import annotations
 
@@ -132,16 +132,22 @@ def test_jobs(spark, files):
     model = jobs.train(
         spark, f"{files}/train", "toxic", "doc_id", f"{files}/model", f"{files}/report", f"{files}/curve"
     )
-    assert spark.read.parquet(f"{files}/report").count() == 12
+    report = {(r["metric"], r["label"]): r["value"] for r in spark.read.parquet(f"{files}/report").collect()}
+    assert len(report) == 15
+    known = spark.read.parquet(f"{files}/train").groupBy("toxic").count().collect()
+    assert {(r["toxic"], float(r["count"])) for r in known} == {(k, v) for (m, k), v in report.items() if m == "rows"}
     curve = spark.read.csv(f"{files}/curve", header=True, inferSchema=True)
-    assert curve.columns == ["FPR", "TPR"] and curve.count() == model.summary.roc.count()
+    assert curve.columns == ["FPR", "TPR"] and curve.count() > 2 and not model.hasSummary
+    jobs.curve_area(spark, f"{files}/curve", f"{files}/area")
+    assert spark.read.parquet(f"{files}/area").first()["area"] == pytest.approx(report["area_under_roc", None])
     jobs.build_scoring_features(spark, f"{files}/facts", f"{files}/details", f"{files}/state", f"{files}/score")
     jobs.score_to_csv(spark, f"{files}/score", f"{files}/model", "doc_id", "toxic", f"{files}/out")
     out = spark.read.csv(f"{files}/out", header=True, inferSchema=True)
     assert out.columns == ["doc_id", "toxic"] and out.count() == 200
     assert out.where("toxic between 0 and 1").count() == 200
-    jobs.evaluate_table(spark, f"{files}/score", f"{files}/model", "toxic", f"{files}/evaluation")
+    jobs.evaluate_table(spark, f"{files}/score", f"{files}/model", "toxic", f"{files}/evaluation", f"{files}/curve2")
     assert spark.read.parquet(f"{files}/evaluation").count() == 12
+    assert spark.read.csv(f"{files}/curve2", header=True).count() > 2
 
 
 def test_command_line(spark, files, tmp_path):
@@ -155,3 +161,39 @@ def test_command_line(spark, files, tmp_path):
     main(["score-features", *inputs, "--state", f"{at}/state", "--features", f"{at}/score", "--fill", "sentinel"])
     main(["score", "--features", f"{at}/score", "--state", f"{at}/state", "--model", f"{at}/model", "--out", f"{at}/out"])
     assert spark.read.csv(f"{at}/out", header=True).count() == 200
+
+
+def test_curve_has_a_point_for_every_score(spark, features, tmp_path):
+    """More scores than the training summary keeps."""
+    many = features.withColumn("copy", F.explode(F.array(*[F.lit(i) for i in range(4)])))
+    tables.write_parquet(many.selectExpr("id * 4 + copy as id", "features", "y"), str(tmp_path / "f"))
+    rows = tables.read_parquet(spark, str(tmp_path / "f"))
+    jobs.train(spark, str(tmp_path / "f"), "y", "id", str(tmp_path / "m"), str(tmp_path / "r"), str(tmp_path / "c"), mode="none")
+    model = artifacts.load_classifier(str(tmp_path / "m"))
+    scores = classifier.score(model, rows).select(vector_to_array("probability")[1].alias("p")).distinct().count()
+    assert scores == 1200 and spark.read.csv(str(tmp_path / "c"), header=True).count() == scores + 2
+
+
+def test_commands_for_evaluation_and_held_out_rows(spark, files, tmp_path):
+    spec = tmp_path / "spec.json"
+    spec.write_text(document_spec(components=None).to_json())
+    at = str(tmp_path)
+    main(["train-features", "--spec", str(spec), "--facts", f"{files}/facts", "--details", f"{files}/details",
+          "--features", f"{at}/train", "--state", f"{at}/state", "--median", "approximate", "--labels-on-driver", "4"])
+    main(["train-model", "--features", f"{at}/train", "--state", f"{at}/state", "--model", f"{at}/model", "--report", f"{at}/report",
+          "--curve", f"{at}/curve", "--iterations", "3", "--penalty", "0.1", "--elastic-net", "0.5", "--threshold", "0.4",
+          "--hold-out", "0.3", "--held-out", f"{at}/held"])
+    model = artifacts.load_classifier(f"{at}/model")
+    assert (model.getMaxIter(), model.getRegParam(), model.getElasticNetParam(), model.getThreshold()) == (3, 0.1, 0.5, 0.4)
+    held = spark.read.parquet(f"{at}/held")
+    assert 30 < held.count() < 90
+    kept = {r["label"]: r["value"] for r in spark.read.parquet(f"{at}/report").where("metric = 'rows'").collect()}
+    assert sum(kept.values()) + held.count() == 200
+    main(["evaluate", "--features", f"{at}/held", "--state", f"{at}/state", "--model", f"{at}/model", "--report", f"{at}/held-report",
+          "--curve", f"{at}/held-curve"])
+    assert spark.read.parquet(f"{at}/held-report").where("metric = 'accuracy'").count() == 1
+    main(["curve-area", "--curve", f"{at}/curve", "--out", f"{at}/area"])
+    area = spark.read.parquet(f"{at}/report").where("metric = 'area_under_roc'").first()["value"]
+    assert spark.read.parquet(f"{at}/area").first()["area"] == pytest.approx(area)
+    with pytest.raises(ValueError, match="go together"):
+        jobs.train(spark, f"{at}/train", "toxic", "doc_id", f"{at}/m", f"{at}/r", f"{at}/c", hold_out_share=0.2)
