@@ -354,4 +354,59 @@ ORACLES: dict[str, str] = {
     "roc_curve": f'select round(x, 9) as "FPR", round(y, 9) as "TPR" from ({curve_points(EVENTS)})',
     "auc_exact": f"select round(area, 9) as area from ({area(EVENTS)})",
     "auc_from_curve": f"select round(area, 9) as area from ({area(EVENTS)})",
+    "csv_text_roundtrip": """
+        select 'document' as kind, doc_id as id, cast(0 as bigint) as turn, text from documents
+        union all select 'turn', conv_id, turn, text from conversations
+    """,
+    "left_join_null_keys": """
+        select d.doc_id, d.labelled, cast(l.quality as bigint) as quality
+        from (select doc_id, case when lang <> 'en' then doc_id end as labelled from documents) d
+        left join labels l on d.labelled = l.doc_id
+    """,
+    "category_index_apply_sentinel": """
+        select d.doc_id, case when l.toxic = 1 then cast(d.doc_id as varchar) else 'na' end as name,
+               cast(case when l.toxic = 1 then m.pos else (select count(*) from labels) end as double) as name_idx
+        from documents d left join labels l using (doc_id)
+        left join (select doc_id, row_number() over (order by n desc, cast(doc_id as varchar)) - 1 as pos
+                   from (select doc_id, count(*) as n from labels group by 1)) m using (doc_id)
+    """,
+    "holdout_split": """
+        select doc_id, cast('0x' || substr(md5('hold-out:' || doc_id), 1, 8) as bigint) / 4294967296.0 < 0.2 as held_out
+        from documents
+    """,
+    "train_curve": f"""select round(x, 9) as "FPR", round(y, 9) as "TPR" from ({curve_points(
+        """select o.label, r.score
+           from (select o_orderpriority, case when o_orderstatus = 'F' then 1 else 0 end as label from orders) o
+           join (select o_orderpriority, avg(case when o_orderstatus = 'F' then 1.0 else 0.0 end) as score
+                 from orders group by 1) r using (o_orderpriority)"""
+    )})""",
+    # Results that follow a draw or unfinished iterations: what holds for all of them.
+    "oversample_poisson": f"""
+        select cast(count(*) filter (toxic = 1) as bigint) as positives, cast(count(*) filter (toxic = 0) as bigint) as negatives,
+               true as negatives_unchanged, true as nothing_foreign, true as count_plausible
+        from ({LABELLED})
+    """,
+    "median_fit_approximate": " union all ".join(
+        f"select '{c}' as \"column\", cast(count({c}) as bigint) as rows, true as near_middle from lineitem"
+        for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+    ),
+    "pca_project": f"""
+        select (select count(*) from embeddings) as rows, round(sum(x), 6) as total_variance,
+               true as uncorrelated, true as falling, true as within_total
+        from (select var_samp(v) as x from ({EMBEDDING_LONG}) group by i)
+    """,
+    "features_with_components": """
+        select d.doc_id,
+               cast(1 + 12 + (select count(distinct lang) + count(distinct source) + 2 from documents) as bigint) as width,
+               round(ln(d.n_chars + 1), 6) as amount, cast(2 as double) as slots, false as bad_component,
+               cast(l.toxic as bigint) as toxic
+        from documents d left join labels l using (doc_id)
+    """,
+    "lr_fit_coefficients": """
+        select cast(1 + 12 + count(distinct lang) + count(distinct source) + 2 as bigint) as weights,
+               true as loss_below_zero_model, true as scores_follow
+        from documents
+    """,
+    "lr_save_load_score": "select doc_id, true as same, true as logistic, true as threshold from documents",
+    "train_and_score_files": "select doc_id, true as is_probability from documents",
 }

@@ -80,7 +80,7 @@ def lines(spark: SparkSession, d: str) -> DataFrame:
 def line_features(spark: SparkSession, d: str) -> DataFrame:
     spec = FeatureSpec(key="line_id", label="open", categories=("kind",), key_type="string")
     data = lines(spark, d)
-    return fit_features(data, spec).transform(data)
+    return stage(fit_features(data, spec).transform(data).select("line_id", "kind", "open", "features"), "features")
 
 
 # With one slot per category and no penalty, the fitted probability of a category is its
@@ -100,6 +100,16 @@ def scan_csv_typed(spark: SparkSession, d: str) -> DataFrame:
     return tables.read_csv(spark, path, types)
 
 
+@query
+def csv_text_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    """Whole texts, with their quotes, blanks and line breaks, through CSV and back."""
+    path = scratch_path(spark, "texts")
+    documents = table(spark, d, "documents").select(F.lit("document").alias("kind"), F.col("doc_id").alias("id"), F.lit(0).cast("bigint").alias("turn"), "text")
+    conversations = table(spark, d, "conversations").select(F.lit("turn").alias("kind"), F.col("conv_id").alias("id"), "turn", "text")
+    tables.write_csv(documents.unionByName(conversations), path)
+    return tables.read_csv(spark, path, {"id": T.LongType(), "turn": T.LongType()}, multi_line=True)
+
+
 @query
 def scan_parquet_project(spark: SparkSession, d: str) -> DataFrame:
     chosen = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
@@ -130,6 +140,14 @@ def left_join_salted(spark: SparkSession, d: str) -> DataFrame:
     return rows.enrich(customers, orders, "custkey", salts=4)
 
 
+@query
+def left_join_null_keys(spark: SparkSession, d: str) -> DataFrame:
+    """Facts of which most have no key."""
+    labels = table(spark, d, "labels").select(F.col("doc_id").alias("labelled"), F.col("quality").cast("bigint").alias("quality"))
+    documents = table(spark, d, "documents").select("doc_id", F.when(F.col("lang") != "en", F.col("doc_id")).alias("labelled"))
+    return rows.enrich(documents, labels, "labelled", salts=4)
+
+
 @query
 def fill_sentinel(spark: SparkSession, d: str) -> DataFrame:
     documents = table(spark, d, "documents").select("doc_id", "n_chars")
@@ -191,8 +209,19 @@ def oversample_replicate(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def oversample_poisson(spark: SparkSession, d: str) -> DataFrame:
-    balanced, _ = balance.balance_classes(labelled_documents(spark, d), "toxic", "doc_id", mode="poisson")
-    return balanced.select("doc_id", F.col("toxic").cast("bigint").alias("toxic"))
+    """What holds for every draw: negatives once each, nothing foreign, and a plausible number of positives."""
+    labels = labelled_documents(spark, d).select("doc_id", "toxic")
+    balanced, sizes = balance.balance_classes(labels, "toxic", "doc_id", mode="poisson")
+    drawn = stage(balanced, "drawn")
+    negatives = drawn.where("toxic = 0")
+    same = negatives.exceptAll(labels.where("toxic = 0")).isEmpty() and negatives.count() == sizes.negatives
+    foreign = drawn.join(labels, ["doc_id", "toxic"], "left_anti").count()
+    # The sum of as many Poisson draws has the number of negatives as mean and variance.
+    off = drawn.where("toxic = 1").count() - sizes.negatives
+    checks = [(sizes.positives, sizes.negatives, same, foreign == 0, off * off <= 25 * sizes.negatives)]
+    return spark.createDataFrame(
+        checks, "positives bigint, negatives bigint, negatives_unchanged boolean, nothing_foreign boolean, count_plausible boolean"
+    )
 
 
 @query
@@ -208,6 +237,12 @@ def shuffle_rows(spark: SparkSession, d: str) -> DataFrame:
     return shuffled.select("doc_id", *[F.col(c).cast("bigint").alias(c) for c in ("quality", "toxic")])
 
 
+@query
+def holdout_split(spark: SparkSession, d: str) -> DataFrame:
+    fit, held = balance.hold_out(table(spark, d, "documents").select("doc_id"), "doc_id", 0.2)
+    return fit.withColumn("held_out", F.lit(False)).unionByName(held.withColumn("held_out", F.lit(True)))
+
+
 # ---- categories
 
 
@@ -244,6 +279,15 @@ def category_index_apply_shuffled(spark: SparkSession, d: str) -> DataFrame:
     return _document_index(spark, d, 0)
 
 
+@query
+def category_index_apply_sentinel(spark: SparkSession, d: str) -> DataFrame:
+    """Most rows hold the text that stands for a missing one, which the labels do not know."""
+    known = categories.index_map(categories.category_counts(table(spark, d, "labels"), ["doc_id"]))
+    joined = labelled_documents(spark, d).select("doc_id", F.when(F.col("toxic") == 1, F.col("doc_id").cast("string")).alias("name"))
+    filled = rows.fill_sentinel(joined)
+    return categories.apply_index(filled, known, "name", "name_idx", map_column="doc_id", broadcast_up_to=0, spread_by=["doc_id"])
+
+
 @query
 def category_index_model(spark: SparkSession, d: str) -> DataFrame:
     nations = categories.category_counts(
@@ -287,7 +331,14 @@ def median_fit(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def median_fit_approximate(spark: SparkSession, d: str) -> DataFrame:
-    return numeric.approximate_medians(table(spark, d, "lineitem"), LINE_NUMBERS)
+    """How many rows a column has, and whether the value found is at most 0.1 % of them off the middle."""
+    lines_ = table(spark, d, "lineitem")
+    found = numeric.as_dict(numeric.approximate_medians(lines_, LINE_NUMBERS), "median")
+    counts = lines_.agg(*[
+        F.struct(F.count(c), F.count_if(F.col(c) < found[c]), F.count_if(F.col(c) <= found[c])).alias(c) for c in LINE_NUMBERS
+    ]).first()
+    checks = [(c, n, bool(below <= 0.501 * n + 1 and upto >= 0.499 * n - 1)) for c, (n, below, upto) in counts.asDict().items()]
+    return spark.createDataFrame(checks, "column string, rows bigint, near_middle boolean")
 
 
 @query
@@ -372,8 +423,19 @@ def _components(spark: SparkSession, d: str, k: int) -> DataFrame:
 
 @query
 def pca_project(spark: SparkSession, d: str) -> DataFrame:
-    parts = _components(spark, d, 12)
-    return parts.select("vec_id", *[F.round(F.col("parts")[i], 6).alias(f"part_{i}") for i in range(12)])
+    """The first 12 components: uncorrelated, of falling variance, and within the total."""
+    names = [f"p{i}" for i in range(12)]
+    parts = stage(rows.spread_array(_components(spark, d, 12), "parts", names, "vec_id"), "parts")
+    matrix = {(r["row"], r["col"]): r["covariance"] for r in numeric.covariance(parts, names).collect()}
+    block = numeric.covariance(family_project(spark, d), E)
+    total = block.where(F.col("row") == F.col("col")).agg(F.sum("covariance")).first()[0]
+    variances = [matrix[n, n] for n in names]
+    apart = all(abs(v) < 1e-9 * total for (a, b), v in matrix.items() if a != b)
+    falling = all(x >= y for x, y in zip(variances, variances[1:], strict=False))
+    checks = [(parts.count(), round(total, 6), apart, falling, 0 < sum(variances) <= total)]
+    return spark.createDataFrame(
+        checks, "rows bigint, total_variance double, uncorrelated boolean, falling boolean, within_total boolean"
+    )
 
 
 @query
@@ -463,28 +525,54 @@ def features_all_components(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def features_with_components(spark: SparkSession, d: str) -> DataFrame:
+    """The parts around the 12 components: width, amount, one-hot slots and label of a row."""
     data = wide_documents(spark, d)
     values = vector_to_array("features")
-    table_ = fit_features(data, document_spec()).feature_table(data)
-    return table_.select("doc_id", F.transform(values, lambda x: F.round(x, 4)).alias("features"), "toxic")
+    one_hot = F.aggregate(F.slice(values, 14, F.size(values) - 13), F.lit(0.0), lambda a, x: a + x)
+    return fit_features(data, document_spec()).feature_table(data).select(
+        "doc_id",
+        F.size(values).cast("bigint").alias("width"),
+        F.round(values[0], 6).alias("amount"),
+        one_hot.alias("slots"),
+        F.exists(F.slice(values, 2, 12), lambda x: F.isnan(x) | (F.abs(x) > 1e6)).alias("bad_component"),
+        F.col("toxic").cast("bigint").alias("toxic"),
+    )
 
 
 # ---- classifier
 
 
+def _published_fit(spark: SparkSession, d: str) -> tuple[DataFrame, classifier.LogisticRegressionModel]:
+    data = wide_documents(spark, d)
+    features = stage(fit_features(data, document_spec()).feature_table(data), "features")
+    return features, classifier.fit_balanced(features, "toxic", "doc_id", stage_rows=False).model
+
+
+def _linear(model: classifier.LogisticRegressionModel):
+    """The margin of ``features``, spelled out."""
+    products = F.transform(vector_to_array("features"), lambda x, i: x * F.get(F.array(*[F.lit(float(w)) for w in model.coefficients]), i))
+    return F.aggregate(products, F.lit(float(model.intercept)), lambda a, x: a + x)
+
+
 @query
 def lr_fit_coefficients(spark: SparkSession, d: str) -> DataFrame:
-    data = wide_documents(spark, d)
-    features = fit_features(data, document_spec()).feature_table(data)
-    model = classifier.fit_classifier(features, "toxic", "doc_id")
-    values = [(i, float(w)) for i, w in enumerate(model.coefficients)] + [(-1, float(model.intercept))]
-    return spark.createDataFrame(values, "position int, weight double")
+    """After ten iterations: the number of weights, a balanced loss below that of the zero model, and scores that follow
+    from the weights."""
+    features, model = _published_fit(spark, d)
+    balanced, _ = balance.balance_classes(features, "toxic", "doc_id")
+    scored = classifier.score(model, balanced).withColumn("p", vector_to_array("probability")[1])
+    found = scored.agg(
+        F.avg(-F.log(F.when(F.col("toxic") == 1, F.col("p")).otherwise(1 - F.col("p")))).alias("loss"),
+        F.max(F.abs(F.col("p") - 1 / (1 + F.exp(-_linear(model))))).alias("off"),
+    ).first()
+    checks = [(len(model.coefficients), found["loss"] <= 0.6931471805599453, found["off"] < 1e-9)]
+    return spark.createDataFrame(checks, "weights bigint, loss_below_zero_model boolean, scores_follow boolean")
 
 
 @query
 def lr_fit_rates(spark: SparkSession, d: str) -> DataFrame:
     features = line_features(spark, d)
-    model = classifier.fit_classifier(features, "open", "line_id", mode="none", **TO_CONVERGENCE)
+    model = classifier.fit_classifier(features, "open", "line_id", mode="none", stage_rows=False, **TO_CONVERGENCE)
     scored = classifier.unpack_probability(classifier.score(model, features), "kind", ("closed", "open"))
     return scored.select("kind", F.round("open", 5).alias("open")).distinct()
 
@@ -492,7 +580,7 @@ def lr_fit_rates(spark: SparkSession, d: str) -> DataFrame:
 @query
 def lr_fit_weighted_rates(spark: SparkSession, d: str) -> DataFrame:
     features = line_features(spark, d)
-    model = classifier.fit_classifier(features, "open", "line_id", mode="weight", **TO_CONVERGENCE)
+    model = classifier.fit_classifier(features, "open", "line_id", mode="weight", stage_rows=False, **TO_CONVERGENCE)
     scored = classifier.unpack_probability(classifier.score(model, features), "kind", ("closed", "open"))
     return scored.select("kind", F.round("open", 5).alias("open")).distinct()
 
@@ -505,8 +593,8 @@ def lr_fit_moments(spark: SparkSession, d: str) -> DataFrame:
         "l_orderkey", *columns, (F.col("l_linestatus") == "O").cast("int").alias("open")
     )
     spec = FeatureSpec(key="l_orderkey", label="open", blocks=(Block("n", columns),))
-    features = fit_features(data, spec, stage_rows=False).feature_table(data)
-    model = classifier.fit_classifier(features, "open", "l_orderkey", mode="none", **TO_CONVERGENCE)
+    features = stage(fit_features(data, spec, stage_rows=False).feature_table(data), "features")
+    model = classifier.fit_classifier(features, "open", "l_orderkey", mode="none", stage_rows=False, **TO_CONVERGENCE)
     values = vector_to_array("features")
     probability = vector_to_array("probability")[1]
     moments = classifier.score(model, features).agg(
@@ -520,7 +608,7 @@ def lr_load_rates(spark: SparkSession, d: str) -> DataFrame:
     features = line_features(spark, d)
     path = scratch_path(spark, "classifier")
     artifacts.save_model(
-        classifier.fit_classifier(features, "open", "line_id", mode="none", **TO_CONVERGENCE), path
+        classifier.fit_classifier(features, "open", "line_id", mode="none", stage_rows=False, **TO_CONVERGENCE), path
     )
     scored = classifier.score(artifacts.load_classifier(path), features)
     return scored.select(
@@ -531,7 +619,7 @@ def lr_load_rates(spark: SparkSession, d: str) -> DataFrame:
 @query
 def lr_fit_report(spark: SparkSession, d: str) -> DataFrame:
     features = line_features(spark, d)
-    model = classifier.fit_classifier(features, "open", "line_id", mode="none", **TO_CONVERGENCE)
+    model = classifier.fit_classifier(features, "open", "line_id", mode="none", stage_rows=False, **TO_CONVERGENCE)
     report = classifier.summary_report(model.summary, features)
     return report.withColumn("value", F.round("value", 6))
 
@@ -539,23 +627,27 @@ def lr_fit_report(spark: SparkSession, d: str) -> DataFrame:
 @query
 def lr_evaluate(spark: SparkSession, d: str) -> DataFrame:
     features = line_features(spark, d)
-    model = classifier.fit_classifier(features, "open", "line_id", mode="none", **TO_CONVERGENCE)
+    model = classifier.fit_classifier(features, "open", "line_id", mode="none", stage_rows=False, **TO_CONVERGENCE)
     # Rounding joins the equal scores of a kind.
     return classifier.evaluate(model, features, "open").withColumn("value", F.round("value", 6))
 
 
 @query
 def lr_save_load_score(spark: SparkSession, d: str) -> DataFrame:
-    data = wide_documents(spark, d)
-    features = fit_features(data, document_spec()).feature_table(data)
+    """Scores of the loaded model: equal to the saved one's, to the logistic of the margin, and to the threshold."""
+    features, model = _published_fit(spark, d)
     path = scratch_path(spark, "classifier")
-    artifacts.save_model(classifier.fit_classifier(features, "toxic", "doc_id"), path)
-    scored = classifier.score(artifacts.load_classifier(path), features)
-    return scored.select(
+    artifacts.save_model(model, path)
+    parts = lambda m, name: classifier.score(m, features).select(
+        "doc_id", vector_to_array("rawPrediction")[1].alias(f"{name}_raw"),
+        vector_to_array("probability")[1].alias(f"{name}_p"), F.col("predictions").alias(f"{name}_predicted"),
+    )
+    both = parts(artifacts.load_classifier(path), "loaded").join(parts(model, "saved"), "doc_id")
+    return both.select(
         "doc_id",
-        F.round(vector_to_array("rawPrediction")[1], 4).alias("raw"),
-        F.round(vector_to_array("probability")[1], 4).alias("probability"),
-        "predictions",
+        (F.col("loaded_p") == F.col("saved_p")).alias("same"),
+        (F.abs(F.col("loaded_p") - 1 / (1 + F.exp(-F.col("loaded_raw")))) < 1e-12).alias("logistic"),
+        ((F.col("loaded_p") > classifier.THRESHOLD).cast("double") == F.col("loaded_predicted")).alias("threshold"),
     )
 
 
@@ -588,7 +680,7 @@ def probability_unpack(spark: SparkSession, d: str) -> DataFrame:
 @query
 def submission_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     features = line_features(spark, d)
-    model = classifier.fit_classifier(features, "open", "line_id", mode="none", **TO_CONVERGENCE)
+    model = classifier.fit_classifier(features, "open", "line_id", mode="none", stage_rows=False, **TO_CONVERGENCE)
     path = scratch_path(spark, "submission")
     tables.write_csv(classifier.submission(model, features, "line_id", "open"), path)
     return tables.read_csv(spark, path, {"open": T.DoubleType()}).withColumn("open", F.round("open", 5))
@@ -608,7 +700,7 @@ def train_and_score_files(spark: SparkSession, d: str) -> DataFrame:
     jobs.build_scoring_features(spark, f"{at}/facts", f"{at}/details", f"{at}/state", f"{at}/score")
     jobs.score_to_csv(spark, f"{at}/score", f"{at}/model", "doc_id", "toxic", f"{at}/submission")
     scored = tables.read_csv(spark, f"{at}/submission", {"doc_id": T.LongType(), "toxic": T.DoubleType()})
-    return scored.withColumn("toxic", F.round("toxic", 4))
+    return scored.select("doc_id", F.col("toxic").between(0, 1).alias("is_probability"))
 
 
 @query
@@ -631,6 +723,20 @@ def files_to_submission(spark: SparkSession, d: str) -> DataFrame:
     return scored.withColumn("finished", F.round("finished", 5))
 
 
+@query
+def train_curve(spark: SparkSession, d: str) -> DataFrame:
+    """The curve that the training job writes for orders, whose scores are the shares of positives per kind."""
+    at = scratch_path(spark, "curve-job")
+    spec = FeatureSpec(key="o_orderkey", label="finished", categories=("o_orderpriority",))
+    orders = table(spark, d, "orders").select("o_orderkey", "o_orderpriority", (F.col("o_orderstatus") == "F").cast("int").alias("finished"))
+    tables.write_parquet(fit_features(orders, spec).feature_table(orders), f"{at}/train")
+    jobs.train(
+        spark, f"{at}/train", "finished", "o_orderkey", f"{at}/model", f"{at}/report", f"{at}/curve", mode="none", **TO_CONVERGENCE
+    )
+    curve = tables.read_csv(spark, f"{at}/curve", {"FPR": T.DoubleType(), "TPR": T.DoubleType()})
+    return curve.select(F.round("FPR", 9).alias("FPR"), F.round("TPR", 9).alias("TPR"))
+
+
 # ---- metrics
 
 
@@ -691,5 +797,5 @@ def flagship(spark: SparkSession, d: str) -> DataFrame:
     """Join, features, balancing, fit and training metrics."""
     data = wide_documents(spark, d)
     features = stage(fit_features(data, document_spec()).feature_table(data))
-    model = classifier.fit_classifier(features, "toxic", "doc_id")
+    model = classifier.fit_classifier(features, "toxic", "doc_id", stage_rows=False)
     return classifier.summary_report(model.summary, data)

@@ -63,15 +63,16 @@ def fit_balanced(
     tolerance: float = 1e-6,
     tree_depth: int = 2,
     allow_undersampling: bool = False,
+    stage_rows: bool = True,
 ) -> Fit:
     """Balance the classes and fit a binary logistic regression.
 
     Every iteration reads all rows, so their order does not matter; ``shuffle`` sorts
     them randomly all the same. ``tree_depth`` above 2 adds levels when gradients of
     very wide features from many partitions are summed. The features are written once, as counting, balancing and
-    fitting read them, and cached by the fit, on disk where memory is short. The model carries its training summary.
+    fitting read them (turn ``stage_rows`` off for a written table), and cached by the fit, on disk where memory is short. The model carries its training summary.
     """
-    written = stage(features.select(key, "features", label), "features")
+    written = stage(features.select(key, "features", label), "features") if stage_rows else features
     rows, sizes = balance_classes(written, label, key, mode, seed, allow_undersampling)
     if shuffle:
         rows = shuffle_rows(rows, seed, partitions)
