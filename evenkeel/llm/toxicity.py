@@ -6,9 +6,8 @@ each window is compressed with both. Where the second is shorter, the window hol
 and the base does not; on anything else the two agree. How large and how frequent these gains are gives the score, with
 weights and so thresholds calibrated on texts that the dictionaries have not seen.
 
-Most of a toxic text is ordinary, so the toxic part is distilled: a first one is trained on all windows of toxic texts,
-then on those that gain most from it, round by round; at last it is made of the words of gaining windows that are many
-times as frequent there as in ordinary text.
+Most of a toxic text is ordinary, so the toxic part is distilled: it is made of the words that occur in many times as
+large a share of toxic texts as of ordinary ones, then only of those found in windows that gain from them.
 """
 
 from __future__ import annotations
@@ -33,16 +32,11 @@ LONGEST = 32_000
 THRESHOLD = 0.5
 WINDOW = 48
 BASE_BYTES = 96 << 10
-FIRST_BYTES = 16 << 10
 TOXIC_BYTES = (400, 800, 1_600, 3_200)
 PREFIX = 64
-ROUNDS = 3
-PURGES = 2
-BEST = 3
-GAIN = 3
-LEAST_COUNT = 4  # occurrences of a word, and half of that in samples of few texts
-FEW_TEXTS = 200
-TIMES = 30
+GAIN = 2
+LEAST_TEXTS = 3
+TIMES = 20
 MOST_WINDOWS = 60_000
 SCORES = "doc_id long, held_out boolean, score double"
 
@@ -140,29 +134,22 @@ def _evenly(items: list, most: int) -> list:
     return items if len(items) <= most else [items[int(i)] for i in np.linspace(0, len(items) - 1, most)]
 
 
-def distil(base: bytes, filler: bytes, toxic: list[list[bytes]], ordinary: list[bytes]) -> bytes:
-    """The toxic part, the most frequent words last: nearest, so cheapest to refer to."""
-    flat = [w for cut in toxic for w in cut]
-    text_of = np.repeat(np.arange(len(toxic)), [len(cut) for cut in toxic])
-    part = _trained(FIRST_BYTES, flat, 16)
-    gains = Dictionaries.of(base, filler, part).gains(flat)
-    for _ in range(ROUNDS):
-        order = np.lexsort((-gains, text_of))
-        rank = np.arange(len(order)) - np.searchsorted(text_of[order], text_of[order])
-        best = [flat[i] for i in order[(rank < BEST) & (gains[order] > 1)]]
-        if not best:
-            break
-        part = _trained(FIRST_BYTES, best, 16)
-        gains = Dictionaries.of(base, filler, part).gains(flat)
-    least = LEAST_COUNT if len(toxic) >= FEW_TEXTS else LEAST_COUNT // 2
-    known = Counter(word for w in ordinary for word in re.findall(rb" ?\S+", w))
-    for _ in range(PURGES):
-        found = Counter(word for w, g in zip(flat, gains, strict=True) if g >= GAIN for word in re.findall(rb" ?\S+", w) if len(word) >= 4)
-        kept = [w for w, n in found.items() if n >= least and n / len(flat) > TIMES * (known[w] + 1) / max(1, len(ordinary))]
+def _words(cut: Sequence[bytes]) -> set[bytes]:
+    return {word for w in cut for word in re.findall(rb" ?\S+", w) if len(word) >= 4}
+
+
+def distil(base: bytes, filler: bytes, toxic: list[list[bytes]], ordinary: list[list[bytes]]) -> bytes:
+    """The toxic part, from texts cut into windows; the most frequent words last: nearest, so cheapest to refer to."""
+    known = Counter(word for cut in ordinary for word in _words(cut))
+    part, candidates = b"", toxic
+    for last in (False, True):
+        found = Counter(word for cut in candidates for word in _words(cut))
+        kept = [w for w, n in found.items() if n >= LEAST_TEXTS and n / len(toxic) > TIMES * (known[w] + 0.5) / len(ordinary)]
         part = b"".join(w + b" " for w in sorted(kept, key=lambda w: (found[w], w)))[-max(TOXIC_BYTES) :]
-        if not part:
+        if not part or last:
             break
-        gains = Dictionaries.of(base, filler, part).gains(flat)
+        both = Dictionaries.of(base, filler, part)
+        candidates = [[w for w, g in zip(cut, both.gains(cut), strict=True) if g >= GAIN] for cut in toxic]
     return part
 
 
@@ -176,13 +163,12 @@ def train(rows: Sequence[tuple[bytes, int]]) -> Model:
         return Model(None, np.array([marks.mean() if len(marks) else 0.5]))
     by_mark = {m: [t for t, mark in rows if mark == m] for m in (0, 1)}
     learn = {m: [t for i, t in enumerate(texts) if i % 3 < 2] for m, texts in by_mark.items()}
-    ordinary = _evenly([w for t in learn[0] for w in windows(t)], 4 * MOST_WINDOWS)
-    half = _evenly(ordinary, MOST_WINDOWS)
+    ordinary = [windows(t) for t in learn[0]]
+    half = _evenly([w for cut in ordinary for w in cut], MOST_WINDOWS)
     base = _trained(BASE_BYTES, half[::2], 32)
     base = base + b" " * max(0, PREFIX - len(base))
     filler = b"".join(_evenly(half[1::2], 1_000))
-    toxic = [windows(t) for t in learn[1]]
-    part = distil(base, filler, toxic, ordinary)
+    part = distil(base, filler, [windows(t) for t in learn[1]], ordinary)
     held = [(t, m) for m, texts in by_mark.items() for i, t in enumerate(texts) if i % 3 == 2]
     best = None
     for size in TOXIC_BYTES:
