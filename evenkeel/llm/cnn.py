@@ -32,7 +32,9 @@ class Network:
             "embed": (256, DIMENSIONS), "filters": (WIDTH * DIMENSIONS, FILTERS), "bias": (FILTERS,),
             "hidden": (3 * FILTERS, HIDDEN), "hidden_bias": (HIDDEN,), "out": (HIDDEN,), "out_bias": (1,),
         }
-        scale = {"embed": 0.5, "filters": (WIDTH * DIMENSIONS) ** -0.5, "hidden": (3 * FILTERS) ** -0.5, "out": HIDDEN**-0.5}
+        scale = {
+            "embed": 0.5, "filters": (WIDTH * DIMENSIONS) ** -0.5, "hidden": (3 * FILTERS) ** -0.5, "out": HIDDEN**-0.5
+        }
         return Network({k: (draw.standard_normal(s) * scale.get(k, 0.0)).astype(np.float32) for k, s in shape.items()})
 
     def _respond(self, texts: Sequence[bytes]) -> dict:
@@ -54,7 +56,9 @@ class Network:
         used = np.flatnonzero(inside.reshape(-1, STEPS).any(axis=1))
         text_of = np.repeat(np.arange(len(texts)), halves)
         return {
-            "halves": np.bincount(text_of[used], minlength=len(texts)), "used": used, "windows": windows, "seen": seen, "inside": inside,
+            "halves": np.bincount(
+                text_of[used], minlength=len(texts)
+            ), "used": used, "windows": windows, "seen": seen, "inside": inside,
             "response": response.reshape(-1, STEPS, FILTERS)[used],
         }
 
@@ -74,7 +78,9 @@ class Network:
         sizes = np.maximum(halves - 1, 1)
         begin = np.concatenate([[0], np.cumsum(sizes)[:-1]])
         mean = np.add.reduceat(chunk, begin, axis=0) / sizes[:, None]
-        joined = np.concatenate([mean, np.maximum.reduceat(chunk, begin, axis=0), np.minimum.reduceat(chunk, begin, axis=0)], axis=1)
+        joined = np.concatenate(
+            [mean, np.maximum.reduceat(chunk, begin, axis=0), np.minimum.reduceat(chunk, begin, axis=0)], axis=1
+        )
         return joined.astype(chunk.dtype), [counted, chunk, sizes, first]
 
     def _head(self, joined: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -107,7 +113,9 @@ class Network:
         pooled = np.concatenate(parts)
         return pooled, np.array([len(pooled)])
 
-    def gradients(self, texts: Sequence[bytes], labels: np.ndarray, importance: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
+    def gradients(self, texts: Sequence[bytes], labels: np.ndarray, importance: np.ndarray) -> tuple[
+        float, dict[str, np.ndarray]
+    ]:
         """Weighted log loss of some texts and its gradients."""
         w, found = self.weights, self._respond(texts)
         response, halves = found["response"], found["halves"]
@@ -115,11 +123,18 @@ class Network:
         pooled = np.take_along_axis(response, where[:, None, :], axis=1)[:, 0]
         joined, (counted, chunk, sizes, _) = self._combine(pooled, halves)
         hidden, p = self._head(joined)
-        loss = float(-(importance * (labels * np.log(p + 1e-7) + (1 - labels) * np.log(1 - p + 1e-7))).sum() / importance.sum())
+        loss = float(
+            -(importance * (labels * np.log(p + 1e-7) + (1 - labels) * np.log(1 - p + 1e-7))).sum() / importance.sum()
+        )
         d_logit = ((p - labels) * importance / importance.sum()).astype(np.float32)
         d_hidden = d_logit[:, None] * w["out"] * (hidden > 0)
         d_joined = d_hidden @ w["hidden"].T
-        g = {"out": hidden.T @ d_logit, "out_bias": d_logit.sum(keepdims=True), "hidden": joined.T @ d_hidden, "hidden_bias": d_hidden.sum(axis=0)}
+        g = {
+            "out": hidden.T @ d_logit,
+            "out_bias": d_logit.sum(keepdims=True),
+            "hidden": joined.T @ d_hidden,
+            "hidden_bias": d_hidden.sum(axis=0),
+        }
         text_of = np.repeat(np.arange(len(sizes)), sizes)
         d_chunk = d_joined[text_of, :FILTERS] / sizes[text_of, None]
         for part in (1, 2):
@@ -147,11 +162,21 @@ class Network:
         g["filters"] = found["seen"][touched].T @ d_response
         d_seen = (d_response @ w["filters"].T).reshape(-1, DIMENSIONS)
         byte = found["windows"][touched].ravel()
-        g["embed"] = np.stack([np.bincount(byte, weights=d_seen[:, k], minlength=256) for k in range(DIMENSIONS)], axis=1)
+        g["embed"] = np.stack(
+            [np.bincount(byte, weights=d_seen[:, k], minlength=256) for k in range(DIMENSIONS)], axis=1
+        )
         return loss, {k: v.astype(np.float32) for k, v in g.items()}
 
 
-def fit(texts: Sequence[bytes], labels: np.ndarray, importance: np.ndarray | None = None, epochs: int = 5, batch: int = 32, rate: float = 0.006, seed: int = 42) -> Network:
+def fit(
+    texts: Sequence[bytes],
+    labels: np.ndarray,
+    importance: np.ndarray | None = None,
+    epochs: int = 5,
+    batch: int = 32,
+    rate: float = 0.006,
+    seed: int = 42,
+) -> Network:
     """A network trained by Adam on the texts in seeded order; one thread and one seed give the same network."""
     net, draw = Network.fresh(seed), np.random.default_rng(seed + 1)
     labels = np.asarray(labels, dtype=np.float32)
@@ -169,5 +194,7 @@ def fit(texts: Sequence[bytes], labels: np.ndarray, importance: np.ndarray | Non
             for k, g in grads.items():
                 first[k] = 0.9 * first[k] + 0.1 * g
                 second[k] = 0.99 * second[k] + 0.01 * g * g
-                net.weights[k] = net.weights[k] - now * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.99**step)) + 1e-8)
+                net.weights[k] = net.weights[k] - now * (first[k] / (1 - 0.9**step)) / (
+                    np.sqrt(second[k] / (1 - 0.99**step)) + 1e-8
+                )
     return net

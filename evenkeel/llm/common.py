@@ -59,7 +59,9 @@ def crc32_of_key(key: str) -> Column:
 HOT_PARTS = 1000
 
 
-def attach(rows: DataFrame, lookup: DataFrame, key: str, copies: str, total: int, keep_copies: bool = False) -> DataFrame:
+def attach(
+    rows: DataFrame, lookup: DataFrame, key: str, copies: str, total: int, keep_copies: bool = False
+) -> DataFrame:
     """Rows with the columns of their key in ``lookup`` (unique by key), null where it has none.
 
     ``lookup`` says in ``copies`` how many of the ``total`` rows hold the key. Hot keys are at most ``HOT_PARTS`` by
@@ -86,4 +88,6 @@ def slots(rows: DataFrame, group: str, order: list[str], name: str = "slot") ->
     earlier = Window.partitionBy(group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     before = counts.select("_part", group, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
     own = F.row_number().over(Window.partitionBy("_part", group).orderBy(*order)) - 1
-    return parts.withColumn("_own", own).join(before, ["_part", group]).select(*rows.columns, (F.col("_before") + F.col("_own")).alias(name))
+    return parts.withColumn("_own", own).join(before, ["_part", group]).select(
+        *rows.columns, (F.col("_before") + F.col("_own")).alias(name)
+    )

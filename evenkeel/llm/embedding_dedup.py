@@ -60,9 +60,19 @@ def codes(entries: DataFrame, passes: int, bits: int = BITS, seed: int = SEED) -
                     planes[length] = np.random.default_rng(seed).standard_normal((int(length), passes * bits))
                 sides = (matrix(part.column(2)) @ planes[length] > 0).reshape(-1, passes, bits)
                 code = (sides * weights).sum(axis=2)
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(np.full(len(rows), length)), pa.array(list(code), pa.list_(pa.int64()))], ["same", "grp", "length", "codes"])
-
-    coded = entries.select("same", "grp", "vector").mapInArrow(of_batches, "same binary, grp string, length long, codes array<long>")
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column(0),
+                        part.column(1),
+                        pa.array(np.full(len(rows), length)),
+                        pa.array(list(code), pa.list_(pa.int64())),
+                    ],
+                    ["same", "grp", "length", "codes"],
+                )
+
+    coded = entries.select("same", "grp", "vector").mapInArrow(
+        of_batches, "same binary, grp string, length long, codes array<long>"
+    )
     return coded.select("same", "grp", "length", F.posexplode("codes").alias("pass", "code"))
 
 
@@ -73,11 +83,18 @@ def blocks(coded: DataFrame, block: int = BLOCK) -> DataFrame:
     slices = int(spark.conf.get("spark.sql.shuffle.partitions"))
     sliced = stage(coded.repartitionByRange(slices, *order).withColumn("_slice", F.spark_partition_id()), "slices")
     counts = sliced.groupBy("_slice").agg(F.count(F.lit(1)).alias("_n"))  # one row per slice
-    before = counts.select("_slice", F.coalesce(F.sum("_n").over(Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    before = counts.select(
+        "_slice",
+        F.coalesce(
+            F.sum("_n").over(Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+        ).alias("_before"),
+    )
     own = F.row_number().over(Window.partitionBy("_slice").orderBy(*order)) - 1
     placed = sliced.withColumn("_own", own).join(F.broadcast(before), "_slice")
     number = F.floor((F.col("_before") + F.col("_own")) / F.lit(block)).cast("long")
-    by_pass = placed.select("same", F.struct("pass", number.alias("block")).alias("at")).groupBy("same").agg(F.sort_array(F.collect_list("at")).alias("at"))
+    by_pass = placed.select("same", F.struct("pass", number.alias("block")).alias("at")).groupBy("same").agg(
+        F.sort_array(F.collect_list("at")).alias("at")
+    )
     return by_pass.select("same", F.col("at.block").alias("blocks"))
 
 
@@ -126,7 +143,9 @@ def _compare(table: pa.Table, threshold: float, this: int | None, block: int) ->
     })
 
 
-def link_counts(entries: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK, passes: int | None = None) -> DataFrame:
+def link_counts(
+    entries: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK, passes: int | None = None
+) -> DataFrame:
     """``(same, linked, root)``: parts of the number of linked rows, and links of a spanning forest, for
     ``entries (same, grp, vector, copies)``."""
     if passes is None:
@@ -134,12 +153,19 @@ def link_counts(entries: DataFrame, threshold: float = THRESHOLD, block: int = B
         passes = passes_for(largest, threshold, block)
     at = blocks(codes(entries, passes), block)
     rows = stage(entries.join(at, "same"), "blocks")
-    meets = F.array(F.struct(F.lit(True).alias("home"), F.lit(0).alias("back")), F.struct(F.lit(False).alias("home"), F.lit(1).alias("back")))
+    meets = F.array(
+        F.struct(F.lit(True).alias("home"), F.lit(0).alias("back")),
+        F.struct(F.lit(False).alias("home"), F.lit(1).alias("back")),
+    )
     met = rows.select("*", F.posexplode("blocks").alias("pass", "_block")).withColumn("_meet", F.explode(meets))
     columns = ["same", "grp", "vector", "copies", "blocks"]
-    first = met.select(*columns, "pass", (F.col("_block") - F.col("_meet.back")).alias("_at"), F.col("_meet.home").alias("home"))
+    first = met.select(
+        *columns, "pass", (F.col("_block") - F.col("_meet.back")).alias("_at"), F.col("_meet.home").alias("home")
+    )
     # Blocks count on over passes, so a block that two passes share is split by the pass.
-    found = first.groupBy("pass", "_at").applyInArrow(lambda keys, t: _compare(t, threshold, keys[0].as_py(), block), COUNTS)
+    found = first.groupBy("pass", "_at").applyInArrow(
+        lambda keys, t: _compare(t, threshold, keys[0].as_py(), block), COUNTS
+    )
     found = stage(found, "links")
     parts, reach = [found], 1
     dense = found.where("dense").select("same").distinct()
@@ -151,7 +177,9 @@ def link_counts(entries: DataFrame, threshold: float = THRESHOLD, block: int = B
         left = keyed.withColumnRenamed("_block", "_at").join(pairs, "_at").withColumn("home", F.lit(True))
         right = keyed.withColumnRenamed("_block", "_far").join(pairs, "_far").withColumn("home", F.lit(False))
         more = left.select(*columns, "_at", "_far", "home").unionByName(right.select(*columns, "_at", "_far", "home"))
-        more = stage(more.groupBy("_at", "_far").applyInArrow(lambda t: _compare(t, threshold, None, block), COUNTS), "links")
+        more = stage(
+            more.groupBy("_at", "_far").applyInArrow(lambda t: _compare(t, threshold, None, block), COUNTS), "links"
+        )
         parts.append(more)
         dense = more.where("dense").select("same").distinct()
         reach *= 2
@@ -177,19 +205,32 @@ def near_duplicates(
     named by its smallest id; ``kept`` marks the rows that carry it. Null ids name no component unless it has no other.
     Repeated rows stay. An empty table gives an empty result. Extra columns are left out.
     """
-    rows = stage(usable(embeddings, key, vector, label).withColumn("same", F.when(F.col("grp").isNotNull(), F.col("same"))), "vectors")
-    lonely = rows.where(F.col("same").isNull()).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+    rows = stage(
+        usable(embeddings, key, vector, label).withColumn("same", F.when(F.col("grp").isNotNull(), F.col("same"))),
+        "vectors",
+    )
+    lonely = rows.where(F.col("same").isNull()).select(
+        "vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id")
+    )
     entries = stage(
         rows.where(F.col("same").isNotNull()).groupBy("same").agg(
-            F.first("grp").alias("grp"), F.first("vector").alias("vector"), F.count(F.lit(1)).alias("copies"), F.min("vec_id").alias("least")
+            F.first("grp").alias("grp"), F.first("vector").alias("vector"), F.count(F.lit(1)).alias("copies"), F.min(
+                "vec_id"
+            ).alias("least")
         ),
         "entries",
     )
-    parts = stage(link_counts(entries.select("same", "grp", "vector", "copies"), threshold, block, passes), "link-counts")
+    parts = stage(
+        link_counts(entries.select("same", "grp", "vector", "copies"), threshold, block, passes), "link-counts"
+    )
     # Components work on numbers; entries are numbered by their place in a written table.
-    numbers = stage(entries.select("same", "least", "copies").withColumn("node", F.monotonically_increasing_id()), "nodes")
+    numbers = stage(
+        entries.select("same", "least", "copies").withColumn("node", F.monotonically_increasing_id()), "nodes"
+    )
     name = numbers.select("same", "node")
-    edges = parts.join(name.withColumnRenamed("node", "a"), "same").join(name.select(F.col("same").alias("root"), F.col("node").alias("b")), "root").select("a", "b")
+    edges = parts.join(name.withColumnRenamed("node", "a"), "same").join(
+        name.select(F.col("same").alias("root"), F.col("node").alias("b")), "root"
+    ).select("a", "b")
     roots = component_roots(edges)
     rooted = numbers.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     names = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
@@ -197,6 +238,12 @@ def near_duplicates(
     lookup = rooted.join(names, "root").join(sums, "same", "left").select(
         "same", "copies", "component_id", (F.coalesce("linked", F.lit(0)) + F.col("copies") - 1).alias("n_links")
     )
-    linked = attach(rows.where(F.col("same").isNotNull()).select("vec_id", "same"), stage(lookup, "components"), "same", "copies", rows.count())
+    linked = attach(
+        rows.where(F.col("same").isNotNull()).select("vec_id", "same"),
+        stage(lookup, "components"),
+        "same",
+        "copies",
+        rows.count(),
+    )
     out = linked.select("vec_id", "n_links", "component_id").unionByName(lonely)
     return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.col("component_id").isNull()))

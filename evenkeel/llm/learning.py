@@ -46,7 +46,9 @@ def sample(
         some = once.where(F.col("_label") == value).orderBy(order, "_key").limit(2 * most)
         picks = some if picks is None else picks.unionByName(some)
     body = F.col(text).cast("binary")
-    texts = documents.where(F.col(text).isNotNull() & (F.octet_length(text) <= longest)).select(F.col(key).cast("long").alias("_key"), body.alias("_text"))
+    texts = documents.where(F.col(text).isNotNull() & (F.octet_length(text) <= longest)).select(
+        F.col(key).cast("long").alias("_key"), body.alias("_text")
+    )
     chosen = texts.join(F.broadcast(picks), "_key").groupBy("_key", "_label").agg(F.min("_text").alias("_text"))
     out: list[tuple[bytes, int]] = []
     for value, most in sorted(per_class.items()):

@@ -56,18 +56,30 @@ def targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, ceiling: int
     by_need = Window.orderBy(F.col("_limit") / F.col("_weight"), "rank")
     onward = by_need.rowsBetween(0, Window.unboundedFollowing)
     shared = limited.withColumns({
-        "_words": F.sum("source_size").over(Window.partitionBy()) - F.coalesce(F.sum("_limit").over(by_need.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
+        "_words": F.sum("source_size").over(Window.partitionBy()) - F.coalesce(
+            F.sum("_limit").over(by_need.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+        ),
         "_weights": F.sum("_weight").over(onward),
     }).withColumn("_stops", F.col("_limit") * F.col("_weights") <= F.col("_words") * F.col("_weight"))
     # What is left for a unit of weight, as the first source that does not stop sees it.
     level = F.struct("_words", "_weights")
     whole = Window.partitionBy()
-    levelled = shared.withColumn("_level", F.min_by(F.when(~F.col("_stops"), level), F.when(~F.col("_stops"), F.struct(F.col("_limit") / F.col("_weight"), "rank"))).over(whole))
-    target = F.when(F.col("_stops"), F.col("_limit").cast("double")).otherwise(F.col("_weight") * F.col("_level._words") / F.col("_level._weights"))
+    levelled = shared.withColumn(
+        "_level",
+        F.min_by(
+            F.when(~F.col("_stops"), level),
+            F.when(~F.col("_stops"), F.struct(F.col("_limit") / F.col("_weight"), "rank")),
+        ).over(whole),
+    )
+    target = F.when(F.col("_stops"), F.col("_limit").cast("double")).otherwise(
+        F.col("_weight") * F.col("_level._words") / F.col("_level._weights")
+    )
     return levelled.select("_source", "source_size", "rows", "rank", target.alias("target"))
 
 
-def apportion(claims: DataFrame, seats: Column, votes: str, within: list[str], order: list[str], name: str) -> DataFrame:
+def apportion(
+    claims: DataFrame, seats: Column, votes: str, within: list[str], order: list[str], name: str
+) -> DataFrame:
     """``claims`` with the whole number of seats of each in column ``name``, by the highest quotients ``votes / (2 k + 1)``.
 
     ``seats`` is the number to give out in each group of ``within``; equal quotients go by ``order``. Only quotients
@@ -77,21 +89,35 @@ def apportion(claims: DataFrame, seats: Column, votes: str, within: list[str], o
     total, parties = F.sum(votes).over(group), F.sum(F.when(F.col(votes) > 0, 1).otherwise(0)).over(group)
     share = F.when(total > 0, F.col(votes) * F.col("_seats") / total).otherwise(F.lit(0.0))
     bounded = claims.withColumn("_seats", seats).withColumns({"_share": share, "_parties": parties}).withColumn(
-        "_slack", F.when(F.col("_seats") > 0, F.ceil(F.col("_share") * F.col("_parties") / (2 * F.col("_seats")))).otherwise(F.lit(0)) + 1
+        "_slack", F.when(
+            F.col("_seats") > 0, F.ceil(F.col("_share") * F.col("_parties") / (2 * F.col("_seats")))
+        ).otherwise(F.lit(0)) + 1
     ).withColumn("_sure", F.greatest(F.lit(0), F.floor("_share") - F.col("_slack")).cast("long"))
     open_seats = bounded.withColumn("_open", F.col("_seats") - F.sum("_sure").over(group))
-    tried = open_seats.where((F.col(votes) > 0) & (F.col("_seats") > 0)).withColumn("_k", F.explode(F.sequence(F.col("_sure"), (F.floor("_share") + F.col("_slack")).cast("long"))))
+    tried = open_seats.where((F.col(votes) > 0) & (F.col("_seats") > 0)).withColumn(
+        "_k", F.explode(F.sequence(F.col("_sure"), (F.floor("_share") + F.col("_slack")).cast("long")))
+    )
     best = Window.partitionBy(*within).orderBy(F.desc(F.col(votes) / (2 * F.col("_k") + 1)), *order, "_k")
     won = tried.withColumn("_place", F.row_number().over(best)).where(F.col("_place") <= F.col("_open"))
     more = won.groupBy(*order).agg(F.count(F.lit(1)).alias("_more"))
-    return open_seats.join(more, order, "left").withColumn(name, F.col("_sure") + F.coalesce("_more", F.lit(0))).select(*claims.columns, name)
+    return open_seats.join(more, order, "left").withColumn(name, F.col("_sure") + F.coalesce("_more", F.lit(0))).select(
+        *claims.columns, name
+    )
 
 
 def sized(documents: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """``(doc_id, _source, size, _group)``; rows that agree in the first three share their ``_group``."""
-    rows = documents.select("*", F.col(key).cast("long").alias("_doc"), _source_key(source).alias("_source"), words(text).alias("_size"))
+    rows = documents.select(
+        "*", F.col(key).cast("long").alias("_doc"), _source_key(source).alias("_source"), words(text).alias("_size")
+    )
     group = F.md5(F.concat_ws(":", F.coalesce(F.col("_doc").cast("string"), F.lit("")), "_size", "_source"))
-    return rows.select(F.col("_doc").alias("doc_id"), "_source", F.col("_size").alias("size"), group.alias("_group"), *[c for c in documents.columns if c == ROW])
+    return rows.select(
+        F.col("_doc").alias("doc_id"),
+        "_source",
+        F.col("_size").alias("size"),
+        group.alias("_group"),
+        *[c for c in documents.columns if c == ROW],
+    )
 
 
 def plan(
@@ -110,13 +136,17 @@ def plan(
     The block is at most ``block_words`` and small enough for ``least_blocks`` in the smallest target.
     """
     sources = stage(targets(rows, weights, ceiling), "targets")
-    totals = sources.agg(F.sum("source_size"), F.sum("rows"), F.min(F.when(F.col("target") > 0, F.col("target")))).first()
+    totals = sources.agg(
+        F.sum("source_size"), F.sum("rows"), F.min(F.when(F.col("target") > 0, F.col("target")))
+    ).first()
     all_words, all_rows, least = totals[0] or 0, totals[1] or 0, totals[2] or 0
     block = int(max(1, min(block_words, least // least_blocks)))
     shards = int(max(1, -(-all_words // shard_words), -(-all_rows // SHARD_ROWS)))
 
     place = _draw(F.lit(str(seed)), F.col("doc_id").cast("string"), F.col("size").cast("string"))
-    groups = rows.groupBy("_source", "doc_id", "size", "_group").agg(F.count(F.lit(1)).alias("copies")).withColumn("_place", place)
+    groups = rows.groupBy("_source", "doc_id", "size", "_group").agg(F.count(F.lit(1)).alias("copies")).withColumn(
+        "_place", place
+    )
     groups = stage(groups.withColumn("shard", F.pmod("_place", F.lit(shards)).cast("int")), "mix")
 
     quota_of = apportion(sources, F.lit(round(all_words / block)).cast("long"), "target", [], ["rank"], "source_blocks")
@@ -126,12 +156,17 @@ def plan(
     blocks = F.greatest(F.lit(1), F.round(F.col("words") / F.lit(block))).cast("long")
     rule = dealt.withColumn("blocks", blocks).withColumns({
         "quota": F.least(F.col("quota"), F.col("blocks") * F.lit(ceiling)),
-        "shift": F.pmod(_draw(F.lit(str(seed)), F.lit("start"), F.col("rank").cast("string"), F.col("shard").cast("string")), F.col("blocks")),
+        "shift": F.pmod(
+            _draw(F.lit(str(seed)), F.lit("start"), F.col("rank").cast("string"), F.col("shard").cast("string")),
+            F.col("blocks"),
+        ),
     }).select(
         "_source", "shard", "source_size", "target", "quota", "blocks", "shift",
         F.floor(F.col("words") / F.col("blocks")).alias("block"), F.pmod("words", "blocks").alias("longer"),
     )
-    stream = Window.partitionBy("_source", "shard").orderBy("_place", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    stream = Window.partitionBy("_source", "shard").orderBy("_place", "doc_id", "size").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
     starts = groups.withColumn("start", F.coalesce(F.sum(F.col("size") * F.col("copies")).over(stream), F.lit(0)))
     return starts.join(rule, ["_source", "shard"])
 
@@ -171,10 +206,18 @@ def mix(documents: DataFrame, key: str = "doc_id", text: str = "text", source: s
     at = F.col("start") + F.col("_copy") * F.col("size")
     planned = plan(stage(sized(documents, key, text, source), "sizes"), **settings)
     rows = planned.withColumn("_copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
-    return rows.select("doc_id", "size", "source_size", "target", (_taken_before(at + F.col("size")) - _taken_before(at)).alias("taken"))
+    return rows.select(
+        "doc_id",
+        "size",
+        "source_size",
+        "target",
+        (_taken_before(at + F.col("size")) - _taken_before(at)).alias("taken"),
+    )
 
 
-def mixed_documents(documents: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", **settings) -> DataFrame:
+def mixed_documents(
+    documents: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", **settings
+) -> DataFrame:
     """The mix itself, in the columns of ``documents``: a row for each time a text is taken whole, and one with the
     words that are taken once more, if these are not all. ``n_chars``, if present, is brought up to date.
 
@@ -185,7 +228,9 @@ def mixed_documents(documents: DataFrame, key: str = "doc_id", text: str = "text
     rows = stage(sized(counted, key, text, source), "sizes")
     rule = ["copies", "start", "quota", "blocks", "shift", "block", "longer"]
     planned = stage(plan(rows, **settings).select("_group", *rule), "plan")
-    found = stage(attach(rows.select(ROW, "_group", "size"), planned, "_group", "copies", rows.count(), keep_copies=True), "picks")
+    found = stage(
+        attach(rows.select(ROW, "_group", "size"), planned, "_group", "copies", rows.count(), keep_copies=True), "picks"
+    )
     once = found.where(F.col("copies") == 1).withColumn("_copy", F.lit(0).cast("long"))
     repeated = slots(found.where(F.col("copies") > 1), "_group", [ROW], "_copy")
     picks = once.unionByName(repeated).where(F.col("size") > 0).select(
@@ -195,17 +240,36 @@ def mixed_documents(documents: DataFrame, key: str = "doc_id", text: str = "text
     end = F.col("_at") + F.col("_words")
     begin = lambda b: b * F.col("block") + F.least(b, F.col("longer"))
     spans = F.filter(F.sequence(_block_at(F.col("_at")), _block_at(end - 1)), lambda b: _times(b) > every)
-    cut = F.transform("_spans", lambda b: F.struct(F.greatest(begin(b) - F.col("_at"), F.lit(0)).alias("from"), F.least(begin(b + 1), end).alias("to")))
+    cut = F.transform(
+        "_spans",
+        lambda b: F.struct(
+            F.greatest(begin(b) - F.col("_at"), F.lit(0)).alias("from"), F.least(begin(b + 1), end).alias("to")
+        ),
+    )
     tokens = F.regexp_extract_all(F.col(text), F.lit(f"{WORD}[\\x20\\x09-\\x0D]*"), 0)
     part = lambda s: F.array_join(F.slice("_tokens", (s["from"] + 1).cast("int"), (s["to"] - F.col("_at") - s["from"]).cast("int")), "")
     some = F.aggregate("_cut", F.lit(0).cast("long"), lambda n, s: n + s["to"] - F.col("_at") - s["from"])
     taken = (
-        counted.join(picks.withColumn("_every", every).withColumn("_spans", spans).withColumn("_cut", cut).withColumn("_some", some), ROW)
+        counted.join(
+            picks.withColumn("_every", every).withColumn("_spans", spans).withColumn("_cut", cut).withColumn(
+                "_some", some
+            ),
+            ROW,
+        )
         .where((F.col("_every") > 0) | (F.col("_some") > 0))
         .withColumn("_tokens", F.when((F.col("_some") > 0) & (F.col("_some") < F.col("_words")), tokens))
-        .withColumn("_more", F.when(F.col("_some") == F.col("_words"), F.col(text)).when(F.col("_some") > 0, F.array_join(F.transform("_cut", part), "")))
+        .withColumn(
+            "_more",
+            F.when(F.col("_some") == F.col("_words"), F.col(text)).when(
+                F.col("_some") > 0, F.array_join(F.transform("_cut", part), "")
+            ),
+        )
     )
     texts = F.array_compact(F.concat(F.array_repeat(F.col(text), F.col("_every")), F.array("_more")))
-    new = {text: F.col("_text")} | ({"n_chars": F.length("_text").cast(documents.schema["n_chars"].dataType)} if "n_chars" in documents.columns else {})
+    new = {text: F.col("_text")} | (
+        {
+            "n_chars": F.length("_text").cast(documents.schema["n_chars"].dataType)
+        } if "n_chars" in documents.columns else {}
+    )
     exploded = taken.select(*documents.columns, F.explode(texts).alias("_text"))
     return exploded.select(*[new[c].alias(c) if c in new else F.col(c) for c in documents.columns])

@@ -82,7 +82,9 @@ class Quantiser:
 
     def cell(self, points: np.ndarray) -> np.ndarray:
         half = self.first.shape[1]
-        return squared(points[:, :half], self.first).argmin(1) * len(self.second) + squared(points[:, half:], self.second).argmin(1)
+        return squared(points[:, :half], self.first).argmin(1) * len(self.second) + squared(
+            points[:, half:], self.second
+        ).argmin(1)
 
     def order(self, point: np.ndarray, sizes: np.ndarray, enough: float) -> list[int]:
         """Cells with rows in the order of the walk, until they hold ``enough`` of them."""
@@ -113,7 +115,13 @@ class Index:
         return int((self.shard_of + self.shards_of).max()) if len(self.shard_of) else 0
 
 
-def build(vectors: DataFrame, nearest: int = NEAREST, count: int = CENTROIDS, sample: int = SAMPLE, shard_rows: int = SHARD_ROWS) -> Index | None:
+def build(
+    vectors: DataFrame,
+    nearest: int = NEAREST,
+    count: int = CENTROIDS,
+    sample: int = SAMPLE,
+    shard_rows: int = SHARD_ROWS,
+) -> Index | None:
     """The index of ``vectors (vec_id, vector, same)``; the quantiser is fitted on ``sample`` entries or about that.
 
     At most ``count`` squared cells are counted on the driver. None if there is no vector. Vectors must have one length.
@@ -121,7 +129,10 @@ def build(vectors: DataFrame, nearest: int = NEAREST, count: int = CENTROIDS, sa
     once = vectors.groupBy("same", "vec_id").agg(F.first("vector").alias("vector"))
     smallest = F.row_number().over(Window.partitionBy("same").orderBy("vec_id"))
     few = once.withColumn("_n", smallest).where(F.col("_n") <= nearest + 1)
-    entries = stage(few.groupBy("same").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"), F.first("vector").alias("vector")), "entries")
+    entries = stage(
+        few.groupBy("same").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"), F.first("vector").alias("vector")),
+        "entries",
+    )
     total = entries.count()
     if not total:
         return None
@@ -138,9 +149,17 @@ def build(vectors: DataFrame, nearest: int = NEAREST, count: int = CENTROIDS, sa
         for batch in batches:
             if batch.num_rows:
                 cell = quantiser.cell(matrix(batch.column(2))).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([pa.array(cell), batch.column(0), batch.column(1), batch.column(2)], ["cell", "same", "ids", "vector"])
-
-    placed = stage(entries.select("same", "ids", "vector").mapInArrow(celled, "cell int, same binary, ids array<long>, vector array<double>"), "celled")
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(cell), batch.column(0), batch.column(1), batch.column(2)],
+                    ["cell", "same", "ids", "vector"],
+                )
+
+    placed = stage(
+        entries.select("same", "ids", "vector").mapInArrow(
+            celled, "cell int, same binary, ids array<long>, vector array<double>"
+        ),
+        "celled",
+    )
     sizes = np.zeros(quantiser.cells, dtype=np.int64)
     for cell, n in placed.groupBy("cell").count().collect():
         sizes[cell] = n
@@ -154,9 +173,15 @@ def build(vectors: DataFrame, nearest: int = NEAREST, count: int = CENTROIDS, sa
             shard, held = shard + int(shards_of[cell]), 0
         else:
             held += n
-    place = placed.sparkSession.createDataFrame([(int(c), int(shard_of[c]), int(shards_of[c])) for c in np.flatnonzero(sizes)], "cell int, _first int, _of int")
-    sharded = placed.join(F.broadcast(place), "cell").withColumn("shard", (F.col("_first") + F.pmod(F.xxhash64("same"), F.col("_of"))).cast("int"))
-    return Index(quantiser, stage(sharded.select("shard", "cell", "ids", "vector"), "index"), sizes, shard_of, shards_of, nearest)
+    place = placed.sparkSession.createDataFrame(
+        [(int(c), int(shard_of[c]), int(shards_of[c])) for c in np.flatnonzero(sizes)], "cell int, _first int, _of int"
+    )
+    sharded = placed.join(F.broadcast(place), "cell").withColumn(
+        "shard", (F.col("_first") + F.pmod(F.xxhash64("same"), F.col("_of"))).cast("int")
+    )
+    return Index(
+        quantiser, stage(sharded.select("shard", "cell", "ids", "vector"), "index"), sizes, shard_of, shards_of, nearest
+    )
 
 
 def search(index: Index, queries: DataFrame, enough: float, block_queries: int = BLOCK_QUERIES) -> DataFrame:
@@ -177,14 +202,19 @@ def search(index: Index, queries: DataFrame, enough: float, block_queries: int =
                 cells = np.array(quantiser.order(point, sizes, enough), dtype=np.int32)
                 depth = np.cumsum(sizes[cells])
                 wide = shards_of[cells]
-                shard = np.repeat(shard_of[cells], wide) + np.arange(wide.sum()) - np.repeat(np.cumsum(wide) - wide, wide)
+                shard = np.repeat(shard_of[cells], wide) + np.arange(wide.sum()) - np.repeat(
+                    np.cumsum(wide) - wide, wide
+                )
                 order = np.argsort(shard, kind="stable")
                 cells, depth, shard = np.repeat(cells, wide)[order], np.repeat(depth, wide)[order], shard[order]
                 for some in np.split(np.arange(len(shard)), np.flatnonzero(np.diff(shard)) + 1):
                     out.append((int(shard[some[0]]), query, points[row], cells[some], depth[some]))
             columns = list(zip(*out, strict=True))
             types = [pa.int32(), pa.int64(), pa.list_(pa.float64()), pa.list_(pa.int32()), pa.list_(pa.int64())]
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types, strict=True)], ["shard", "query_id", "point", "cells", "depths"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(c), t) for c, t in zip(columns, types, strict=True)],
+                ["shard", "query_id", "point", "cells", "depths"],
+            )
 
     def rank(entries: pa.Table, probes: pa.Table) -> pa.Table:
         found = {"query_id": [], "vec_id": [], "score": [], "depth": []}
@@ -208,14 +238,25 @@ def search(index: Index, queries: DataFrame, enough: float, block_queries: int =
                     for score, vec, d in best[:nearest]:
                         for column, value in zip(found.values(), (names[at + i], vec, score, d), strict=True):
                             column.append(value)
-        return pa.table(found, schema=pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64()), ("depth", pa.int64())]))
-
-    probes = queries.select("vec_id", "vector").mapInArrow(probe, "shard int, query_id long, point array<double>, cells array<int>, depths array<long>")
+        return pa.table(
+            found,
+            schema=pa.schema(
+                [("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64()), ("depth", pa.int64())]
+            ),
+        )
+
+    probes = queries.select("vec_id", "vector").mapInArrow(
+        probe, "shard int, query_id long, point array<double>, cells array<int>, depths array<long>"
+    )
     probes = probes.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int"))
     entries = index.entries.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    ranked = entries.groupBy("shard", "block").cogroup(probes.groupBy("shard", "block")).applyInArrow(rank, "query_id long, vec_id long, score double, depth long")
+    ranked = entries.groupBy("shard", "block").cogroup(probes.groupBy("shard", "block")).applyInArrow(
+        rank, "query_id long, vec_id long, score double, depth long"
+    )
     place = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
-    return ranked.withColumn("rank", place).where(F.col("rank") <= nearest).select("query_id", "rank", "vec_id", "score", "depth")
+    return ranked.withColumn("rank", place).where(F.col("rank") <= nearest).select(
+        "query_id", "rank", "vec_id", "score", "depth"
+    )
 
 
 def rows_for_recall(index: Index, queries: DataFrame, recall: float = RECALL, trials: int = TRIAL_QUERIES) -> float:
@@ -227,7 +268,9 @@ def rows_for_recall(index: Index, queries: DataFrame, recall: float = RECALL, tr
     return max(LEAST_ROWS, float(np.quantile(depths, recall)) if depths else 0.0)
 
 
-def nearest_neighbours(vectors: DataFrame, queries: DataFrame, nearest: int = NEAREST, recall: float = RECALL) -> DataFrame:
+def nearest_neighbours(
+    vectors: DataFrame, queries: DataFrame, nearest: int = NEAREST, recall: float = RECALL
+) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: for each of ``queries (vec_id, vector)`` the nearest of ``vectors``.
 
     Both as ``usable`` gives them. Rows without a vector take no part, nor do vectors of another length than the most
@@ -241,7 +284,12 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, nearest: int = NE
         return empty
     one_length = lambda df: df.where(F.size("vector") == lengths["n"])
     index = build(one_length(ready), nearest)
-    asked = stage(one_length(queries.where(F.col("vector").isNotNull() & F.col("vec_id").isNotNull())).select("vec_id", "vector").dropDuplicates(["vec_id"]), "queries")
+    asked = stage(
+        one_length(queries.where(F.col("vector").isNotNull() & F.col("vec_id").isNotNull())).select(
+            "vec_id", "vector"
+        ).dropDuplicates(["vec_id"]),
+        "queries",
+    )
     found = search(index, asked, rows_for_recall(index, asked, recall))
     return found.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 

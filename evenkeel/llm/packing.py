@@ -145,7 +145,9 @@ def place(sizes: np.ndarray, limits: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return sequence, rank
 
 
-def pack(items: DataFrame, limits: Mapping[str, int], tokens: str = "tokens", group_items: int = GROUP_PIECES) -> DataFrame:
+def pack(
+    items: DataFrame, limits: Mapping[str, int], tokens: str = "tokens", group_items: int = GROUP_PIECES
+) -> DataFrame:
     """Every row of ``items`` with ``sequence_id`` and ``offset`` (tokens before it in its sequence).
 
     ``limits`` names the size columns (non-negative longs, null counts as 0) and what a sequence may hold of each.
@@ -196,8 +198,12 @@ def pack_documents(
 
     pieces = stage(token_pieces(documents, window), "pieces")
     full = pieces.where(F.col("length") == window)
-    alone = full.select("*", (F.lit(FULL) + F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
-    rests = pieces.where(F.col("length") < window).select("*", F.lit(1).cast("long").alias("segments"), (F.col("length") - 1).alias("loss"))
+    alone = full.select(
+        "*", (F.lit(FULL) + F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset")
+    )
+    rests = pieces.where(F.col("length") < window).select(
+        "*", F.lit(1).cast("long").alias("segments"), (F.col("length") - 1).alias("loss")
+    )
     limits = {"length": window, "segments": segments, "loss": loss or window}
     packed = pack(rests, limits, tokens="length", group_items=group_items).drop("segments", "loss")
     return alone.unionByName(packed)

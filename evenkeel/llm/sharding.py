@@ -79,7 +79,9 @@ def difference(sizes: np.ndarray, shards: int, loads: np.ndarray | None = None)
     return name[shard]
 
 
-def assign(groups: DataFrame, shards: int = SHARDS, large_parts: int = LARGE_PARTS, lot_groups: int = LOT_GROUPS) -> DataFrame:
+def assign(
+    groups: DataFrame, shards: int = SHARDS, large_parts: int = LARGE_PARTS, lot_groups: int = LOT_GROUPS
+) -> DataFrame:
     """``groups (key, bytes, copies)`` with their ``shard``.
 
     On the driver are the groups of at least one ``large_parts``-th of a mean shard: at most ``shards * large_parts``.
@@ -98,14 +100,22 @@ def assign(groups: DataFrame, shards: int = SHARDS, large_parts: int = LARGE_PAR
         lot = lot.sort_by([("bytes", "descending"), ("key", "ascending")])
         own = lot.column("bytes").to_numpy()
         part = np.floor(loads * (own.sum() / rest)).astype(np.int64)
-        return lot.drop_columns(["_lot"]).append_column("shard", pa.array(difference(own, shards, part).astype(np.int32)))
+        return lot.drop_columns(["_lot"]).append_column(
+            "shard", pa.array(difference(own, shards, part).astype(np.int32))
+        )
 
     schema = "key binary, bytes long, copies long, shard int"
-    spread = groups.where(~is_large).select("key", "bytes", "copies", dealt("key", shares(count, lot_groups)).alias("_lot"))
+    spread = groups.where(~is_large).select(
+        "key", "bytes", "copies", dealt("key", shares(count, lot_groups)).alias("_lot")
+    )
     small = spread.groupBy("_lot").applyInArrow(of_lot, schema)
     rows = [(bytes(r["key"]), int(s)) for r, s in zip(large, placed, strict=True)]
     numbers = groups.sparkSession.createDataFrame(rows, "key binary, shard int")
-    return small.unionByName(groups.where(is_large).select("key", "bytes", "copies").join(F.broadcast(numbers), "key").select("key", "bytes", "copies", "shard"))
+    return small.unionByName(
+        groups.where(is_large).select("key", "bytes", "copies").join(F.broadcast(numbers), "key").select(
+            "key", "bytes", "copies", "shard"
+        )
+    )
 
 
 def shard_documents(documents: DataFrame, shards: int = SHARDS, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -124,5 +134,15 @@ def shard_documents(documents: DataFrame, shards: int = SHARDS, key: str = "doc_
     ), "shard-rows")
     groups = stage(rows.groupBy("key").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("copies")), "groups")
     placed = stage(assign(groups, shards), "placed").select("key", "copies", "shard")
-    numbered_rows = slots(attach(rows, placed, "key", "copies", rows.count()), "shard", ["doc_id", "size", "text_crc32"])
-    return numbered_rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+    numbered_rows = slots(
+        attach(rows, placed, "key", "copies", rows.count()), "shard", ["doc_id", "size", "text_crc32"]
+    )
+    return numbered_rows.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )

@@ -178,19 +178,27 @@ def link_shard(codes: np.ndarray, home: np.ndarray, radius: int) -> np.ndarray:
     return forest.flush()
 
 
-def links(codes: DataFrame, max_bits: int = MAX_BITS, shard_codes: int = SHARD_CODES, sample: int = SAMPLE) -> DataFrame:
+def links(
+    codes: DataFrame, max_bits: int = MAX_BITS, shard_codes: int = SHARD_CODES, sample: int = SAMPLE
+) -> DataFrame:
     """``(a, b)``: a spanning forest of the links between the distinct codes of ``codes (code)``."""
     count = codes.count()
     levels = min(MAX_LEVELS, (shares(count, shard_codes) - 1).bit_length())
     every = max(1, count // sample)
-    picked = codes.where(F.pmod(F.xxhash64("code"), F.lit(every)) == 0).select("code").limit(2 * sample) if levels else None
-    nodes = fit_tree(np.array([r[0] for r in picked.collect()], dtype=np.int64).view(np.uint64), levels) if levels else []
+    picked = codes.where(F.pmod(F.xxhash64("code"), F.lit(every)) == 0).select("code").limit(
+        2 * sample
+    ) if levels else None
+    nodes = fit_tree(
+        np.array([r[0] for r in picked.collect()], dtype=np.int64).view(np.uint64), levels
+    ) if levels else []
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             own = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
             shard, row, home = route(own.view(np.uint64), nodes, max_bits)
-            yield pa.RecordBatch.from_arrays([pa.array(shard), pa.array(own[row]), pa.array(home)], ["shard", "code", "home"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(shard), pa.array(own[row]), pa.array(home)], ["shard", "code", "home"]
+            )
 
     def link(group: pa.Table) -> pa.Table:
         own = group.column("code").to_numpy().astype(np.int64)
@@ -214,23 +222,33 @@ def near_duplicates(
     Null keys name no component unless it has no other. An empty table gives an empty result.
     """
     rows = stage(fingerprints(documents, shingle, key, text), "fingerprints")
-    distinct = stage(rows.groupBy("code").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies")), "codes")
+    distinct = stage(
+        rows.groupBy("code").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies")), "codes"
+    )
     roots = stage(component_roots(links(distinct, max_bits)), "roots")
-    rooted = distinct.join(roots.withColumnRenamed("node", "code"), "code", "left").withColumn("root", F.coalesce("root", "code"))
+    rooted = distinct.join(roots.withColumnRenamed("node", "code"), "code", "left").withColumn(
+        "root", F.coalesce("root", "code")
+    )
     names = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     lookup = rooted.join(names, "root").select("code", "copies", "component_id")
     named = attach(rows, stage(lookup, "components"), "code", "copies", rows.count())
     return named.select("doc_id", F.lower(F.lpad(F.hex("code"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def distinct_documents(documents: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, key: str = "doc_id", text: str = "text") -> DataFrame:
+def distinct_documents(
+    documents: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, key: str = "doc_id", text: str = "text"
+) -> DataFrame:
     """One row of each group of near duplicates, in all its columns: the one with the smallest key, nulls last.
 
     ``documents`` is scanned twice and must be read from files, whose rows are numbered alike by both scans.
     """
     rows = documents.withColumn("_row", F.monotonically_increasing_id())
-    groups = near_duplicates(rows, shingle, max_bits, "_row", text).select(F.col("doc_id").alias("_row"), "component_id")
+    groups = near_duplicates(rows, shingle, max_bits, "_row", text).select(
+        F.col("doc_id").alias("_row"), "component_id"
+    )
     keyed = stage(groups.join(rows.select("_row", F.col(key).alias("_key")), "_row"), "groups")
-    first = keyed.groupBy("component_id").agg(F.min_by("_row", F.struct(F.col("_key").isNull(), "_key", "_row")).alias("_first"))
+    first = keyed.groupBy("component_id").agg(
+        F.min_by("_row", F.struct(F.col("_key").isNull(), "_key", "_row")).alias("_first")
+    )
     others = keyed.join(first.select(F.col("_first").alias("_row")), "_row", "left_anti").select("_row")
     return rows.join(others, "_row", "left_anti").select(*documents.columns)

@@ -88,7 +88,9 @@ class Dictionaries:
     def features(self, text: bytes) -> np.ndarray:
         cut = windows(text)
         gains = self.gains(cut) if cut else np.zeros(1, dtype=np.int64)
-        return np.array([max(0, min(12, gains.max())), *[np.log1p((gains >= g).sum()) for g in (2, 3, 4)], np.log1p(len(cut))])
+        return np.array(
+            [max(0, min(12, gains.max())), *[np.log1p((gains >= g).sum()) for g in (2, 3, 4)], np.log1p(len(cut))]
+        )
 
 
 @dataclass(frozen=True)
@@ -175,13 +177,17 @@ def train(rows: Sequence[tuple[bytes, int]]) -> Model:
         if best is not None and size >= 2 * len(part):
             break
         dictionaries = Dictionaries.of(base, filler, part[-size:])
-        weights, loss = calibrate(np.array([dictionaries.features(t) for t, _ in held]), np.array([m for _, m in held], dtype=float))
+        weights, loss = calibrate(
+            np.array([dictionaries.features(t) for t, _ in held]), np.array([m for _, m in held], dtype=float)
+        )
         if best is None or loss < best[0]:
             best = loss, Model(dictionaries, weights)
     return best[1]
 
 
-def score(documents: DataFrame, model: Model, threshold: float = THRESHOLD, key: str = "doc_id", text: str = "text") -> DataFrame:
+def score(
+    documents: DataFrame, model: Model, threshold: float = THRESHOLD, key: str = "doc_id", text: str = "text"
+) -> DataFrame:
     """``(doc_id, held_out, score, predicted)`` per document.
 
     Only the bytes of the whole text decide; null texts count as empty, and an empty text has a score like any other.
@@ -192,9 +198,13 @@ def score(documents: DataFrame, model: Model, threshold: float = THRESHOLD, key:
         for batch in batches:
             texts = [t.as_buffer().to_pybytes() if t.is_valid else b"" for t in batch.column(2)]
             scores = pa.array(model.score(texts), pa.float64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), scores], ["doc_id", "held_out", "score"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), scores], ["doc_id", "held_out", "score"]
+            )
 
-    rows = documents.select(F.col(key).cast("long").alias("doc_id"), HOLDOUT.column(key).alias("held_out"), F.col(text).alias("text"))
+    rows = documents.select(
+        F.col(key).cast("long").alias("doc_id"), HOLDOUT.column(key).alias("held_out"), F.col(text).alias("text")
+    )
     scored = rows.mapInArrow(of_batches, SCORES)
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
@@ -209,7 +219,11 @@ def clean_documents(documents: DataFrame, model: Model, threshold: float = THRES
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t.as_buffer().to_pybytes() if t.is_valid else b"" for t in batch.column(batch.schema.get_field_index(text))]
+            texts = [
+                t.as_buffer().to_pybytes() if t.is_valid else b"" for t in batch.column(
+                    batch.schema.get_field_index(text)
+                )
+            ]
             scores = model.score(texts)
             yield batch.filter(pa.array(scores < threshold, pa.bool_()))
 

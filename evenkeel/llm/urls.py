@@ -59,12 +59,18 @@ def rule_of(host: Column, path: Column, rules: tuple[tuple[str, str], ...] = RUL
 
 def host_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """``(src, dst, links)``: how many links with a host of their own lead from one host to another."""
-    found = pages.select(host_of(url).alias("src"), F.explode(F.regexp_extract_all(F.col(html), F.lit(_LINK), 1)).alias("dst"))
-    between = found.select("src", _lower(F.col("dst")).alias("dst")).where((F.col("src") != F.col("dst")) & (F.col("src") != ""))
+    found = pages.select(
+        host_of(url).alias("src"), F.explode(F.regexp_extract_all(F.col(html), F.lit(_LINK), 1)).alias("dst")
+    )
+    between = found.select("src", _lower(F.col("dst")).alias("dst")).where(
+        (F.col("src") != F.col("dst")) & (F.col("src") != "")
+    )
     return between.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("links"))
 
 
-def spread(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, tolerance: float = TOLERANCE, rounds: int = ROUNDS) -> DataFrame:
+def spread(
+    edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, tolerance: float = TOLERANCE, rounds: int = ROUNDS
+) -> DataFrame:
     """``(kind, host, score)``: seeds and what reaches a host from them, for each kind by itself.
 
     ``edges (kind, src, dst, weight)``, weights summing to 1 for each source; ``seeds (kind, host, seed)``. What a host
@@ -75,29 +81,45 @@ def spread(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, toleran
     mass = scores.agg(F.sum("score")).first()[0] or 0.0
     for _ in range(rounds if mass else 0):
         moved = flow.withColumnRenamed("host", "src").join(edges, ["kind", "src"])
-        flow = stage(moved.groupBy("kind", F.col("dst").alias("host")).agg(F.sum(F.col("score") * F.col("weight") * damping).alias("score")), "flow")
+        flow = stage(
+            moved.groupBy("kind", F.col("dst").alias("host")).agg(
+                F.sum(F.col("score") * F.col("weight") * damping).alias("score")
+            ),
+            "flow",
+        )
         if (flow.agg(F.sum("score")).first()[0] or 0.0) <= tolerance * mass:
             break
         scores = stage(scores.unionByName(flow).groupBy("kind", "host").agg(F.sum("score").alias("score")), "scores")
     return scores
 
 
-def host_scores(hosts: DataFrame, links: DataFrame, rules: tuple[tuple[str, str], ...] = RULES, **settings) -> DataFrame:
+def host_scores(
+    hosts: DataFrame, links: DataFrame, rules: tuple[tuple[str, str], ...] = RULES, **settings
+) -> DataFrame:
     """``(host, copies, trust, distrust)`` for ``hosts (host, copies, allowed, blocked)`` and all that they link to."""
     _, of_root = rule_of(F.col("host"), F.lit("/"), rules)
     linked = links.select(F.col("dst").alias("host")).distinct().join(hosts, "host", "left_anti")
     uncrawled = linked.select("host", F.lit(0).cast("long").alias("copies"), *[
-        F.coalesce((of_root == v).cast("double"), F.lit(0.0)).alias(n) for n, v in (("allowed", "allow"), ("blocked", "block"))
+        F.coalesce((of_root == v).cast("double"), F.lit(0.0)).alias(n) for n, v in (
+            ("allowed", "allow"), ("blocked", "block")
+        )
     ])
     nodes = stage(hosts.unionByName(uncrawled), "hosts")
-    seeds = nodes.select("host", F.explode(F.create_map(F.lit("trust"), "allowed", F.lit("distrust"), "blocked")).alias("kind", "seed"))
+    seeds = nodes.select(
+        "host", F.explode(F.create_map(F.lit("trust"), "allowed", F.lit("distrust"), "blocked")).alias("kind", "seed")
+    )
     both = links.select(F.lit("trust").alias("kind"), "src", "dst", "links").unionByName(
         links.select(F.lit("distrust").alias("kind"), F.col("dst").alias("src"), F.col("src").alias("dst"), "links")
     )
     out = both.groupBy("kind", "src").agg(F.sum("links").alias("_all"))
-    edges = stage(both.join(out, ["kind", "src"]).select("kind", "src", "dst", (F.col("links") / F.col("_all")).alias("weight")), "host-edges")
+    edges = stage(
+        both.join(out, ["kind", "src"]).select("kind", "src", "dst", (F.col("links") / F.col("_all")).alias("weight")),
+        "host-edges",
+    )
     scores = spread(edges, seeds, **settings)
-    wide = scores.groupBy("host").agg(*[F.sum(F.when(F.col("kind") == k, F.col("score")).otherwise(0.0)).alias(k) for k in ("trust", "distrust")])
+    wide = scores.groupBy("host").agg(
+        *[F.sum(F.when(F.col("kind") == k, F.col("score")).otherwise(0.0)).alias(k) for k in ("trust", "distrust")]
+    )
     return nodes.select("host", "copies").join(wide, "host", "left").fillna(0.0, ["trust", "distrust"])
 
 
@@ -116,11 +138,15 @@ def judge(
     has no links. Null and repeated ids stay. Extra columns are left out. ``settings`` as for ``spread``.
     """
     links = stage(host_links(pages, url, html), "links")
-    placed = pages.select(F.col(key).cast("long").alias("page_id"), host_of(url).alias("host"), path_of(url).alias("path"))
+    placed = pages.select(
+        F.col(key).cast("long").alias("page_id"), host_of(url).alias("host"), path_of(url).alias("path")
+    )
     rule, said = rule_of(F.col("host"), F.col("path"), rules)
     rows = stage(placed.withColumns({"rule": rule, "said": said}), "judged")
     share = lambda v: F.avg(F.coalesce(F.col("said") == v, F.lit(False)).cast("double"))
-    hosts = rows.where(F.col("host") != "").groupBy("host").agg(F.count(F.lit(1)).alias("copies"), share("allow").alias("allowed"), share("block").alias("blocked"))
+    hosts = rows.where(F.col("host") != "").groupBy("host").agg(
+        F.count(F.lit(1)).alias("copies"), share("allow").alias("allowed"), share("block").alias("blocked")
+    )
     scores = stage(host_scores(hosts, links, rules, **settings), "host-scores")
     empty = rows.sparkSession.createDataFrame([("", rows.where(F.col("host") == "").count(), 0.0, 0.0)], scores.schema)
     judged = attach(rows, scores.unionByName(empty), "host", "copies", rows.count())

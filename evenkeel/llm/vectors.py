@@ -21,11 +21,15 @@ def matrix(vectors: pa.ChunkedArray | pa.Array) -> np.ndarray:
 
 def lists(rows: np.ndarray) -> pa.Array:
     """The rows of a matrix as lists of doubles."""
-    offsets = np.arange(0, rows.size + 1, max(1, rows.shape[1]), dtype=np.int32) if rows.size else np.zeros(len(rows) + 1, np.int32)
+    offsets = np.arange(0, rows.size + 1, max(1, rows.shape[1]), dtype=np.int32) if rows.size else np.zeros(
+        len(rows) + 1, np.int32
+    )
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.ascontiguousarray(rows, dtype=np.float64).ravel()))
 
 
-def usable(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", group: str | None = "label") -> DataFrame:
+def usable(
+    vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", group: str | None = "label"
+) -> DataFrame:
     """``(vec_id, grp, vector, same)`` for every row, in doubles.
 
     ``vector`` is null if the row takes no part: null, empty or zero vectors, null or non-finite components. ``same``
@@ -37,7 +41,9 @@ def usable(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", g
             groups, values = batch.column(1).to_pylist(), batch.column(2)
             out, same = [], []
             for g, v in zip(groups, values, strict=True):
-                row = v.values.to_numpy(zero_copy_only=False).astype(np.float64) + 0.0 if v.is_valid and len(v) else None
+                row = v.values.to_numpy(zero_copy_only=False).astype(np.float64) + 0.0 if v.is_valid and len(
+                    v
+                ) else None
                 if row is None or not np.isfinite(row).all() or not row.any():
                     row = None  # a null component has become NaN
                 out.append(row)
@@ -48,5 +54,7 @@ def usable(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", g
             )
 
     grp = F.col(group).cast("string") if group else F.lit("")
-    rows = vectors.select(F.col(key).cast("long").alias("vec_id"), grp.alias("grp"), F.col(vector).cast("array<double>").alias("vector"))
+    rows = vectors.select(
+        F.col(key).cast("long").alias("vec_id"), grp.alias("grp"), F.col(vector).cast("array<double>").alias("vector")
+    )
     return rows.mapInArrow(of_batches, "vec_id long, grp string, vector array<double>, same binary")

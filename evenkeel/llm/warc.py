@@ -102,26 +102,34 @@ def _files(uri: str):
     return FileSystem.from_uri(uri)
 
 
-def with_revisits(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
+def with_revisits(
+    pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES, key: str = "page_id", url: str = "url", html: str = "html"
+) -> DataFrame:
     """``(page_id, url, payload, refers_to)``: the largest id with the same payload, null where the row is that one.
 
     Payloads under ``min_bytes`` refer to nothing. A null id is less than any other; rows that tie for the largest are
     all responses. The few payloads that make up a visible part of the table are broadcast, the rest is joined by digest.
     """
     payload = F.coalesce(F.col(html), F.lit("")).cast("binary")
-    rows = pages.select(F.col(key).cast("long").alias("page_id"), F.col(url).cast("string").alias("url"), payload.alias("payload"))
+    rows = pages.select(
+        F.col(key).cast("long").alias("page_id"), F.col(url).cast("string").alias("url"), payload.alias("payload")
+    )
     digest = F.when(F.length("payload") >= min_bytes, F.unhex(F.sha1("payload")))
     keyed = rows.withColumn("_digest", digest)
     seen = keyed.groupBy("_digest").agg(F.max("page_id").alias("_largest"), F.count(F.lit(1)).alias("_copies"))
     repeated = stage(seen.where(F.col("_digest").isNotNull() & (F.col("_copies") > 1)), "payloads")
     all_rows = pages.count()
     is_hot = F.col("_copies") * HOT_PARTS >= F.lit(all_rows)
-    hot = repeated.where(is_hot).select("_digest", F.col("_largest").alias("_hot"), F.lit(True).alias("_is_hot")).limit(HOT_PARTS)
+    hot = repeated.where(is_hot).select("_digest", F.col("_largest").alias("_hot"), F.lit(True).alias("_is_hot")).limit(
+        HOT_PARTS
+    )
     cold = repeated.where(~is_hot).select(F.col("_digest").alias("_join"), F.col("_largest").alias("_cold"))
     # Rows that have found their payload, or have none to look for, get keys of their own, so that they spread.
     own = F.concat(F.lit("#"), F.monotonically_increasing_id().cast("string")).cast("binary")
     marked = keyed.join(F.broadcast(hot), "_digest", "left")
-    spread = marked.withColumn("_join", F.when(F.col("_is_hot").isNull() & F.col("_digest").isNotNull(), F.col("_digest")).otherwise(own))
+    spread = marked.withColumn(
+        "_join", F.when(F.col("_is_hot").isNull() & F.col("_digest").isNotNull(), F.col("_digest")).otherwise(own)
+    )
     joined = spread.join(cold, "_join", "left").withColumn("_response", F.coalesce("_hot", "_cold"))
     older = F.col("_response").isNotNull() & (F.col("page_id").isNull() | (F.col("page_id") < F.col("_response")))
     return joined.select("page_id", "url", "payload", F.when(older, F.col("_response")).alias("refers_to"))
@@ -149,14 +157,30 @@ def write_archives(rows: DataFrame, folder: str, file_bytes: int = FILE_BYTES, d
                         if out is not None:
                             out.close()
                         name = f"part-{task.partitionId():06d}-{number:03d}-{task.taskAttemptId()}.warc.gz"
-                        out, offset, number = system.open_output_stream(f"{path}/{name}", compression=None), 0, number + 1
+                        out, offset, number = system.open_output_stream(
+                            f"{path}/{name}", compression=None
+                        ), 0, number + 1
                     member = record(page_id, url, payload, refers_to, date)
                     out.write(member)
                     kind = "response" if refers_to is None else "revisit"
-                    index.append((page_id, url, kind, payload_digest(payload), len(payload), f"{folder}/{name}", offset, len(member)))
+                    index.append(
+                        (
+                            page_id,
+                            url,
+                            kind,
+                            payload_digest(payload),
+                            len(payload),
+                            f"{folder}/{name}",
+                            offset,
+                            len(member),
+                        )
+                    )
                     offset += len(member)
                 if index:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*index, strict=True), _INDEX_TYPES, strict=True)], _INDEX_NAMES)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c, t) for c, t in zip(zip(*index, strict=True), _INDEX_TYPES, strict=True)],
+                        _INDEX_NAMES,
+                    )
         finally:
             if out is not None:
                 out.close()
@@ -168,7 +192,9 @@ _INDEX_NAMES = [f.split()[0] for f in INDEX.split(", ")]
 _INDEX_TYPES = [{"long": pa.int64(), "string": pa.string()}[f.split()[1]] for f in INDEX.split(", ")]
 
 
-def read_records(index: DataFrame, stretch_bytes: int = STRETCH_BYTES, gap_bytes: int = GAP_BYTES, payloads: bool = True) -> DataFrame:
+def read_records(
+    index: DataFrame, stretch_bytes: int = STRETCH_BYTES, gap_bytes: int = GAP_BYTES, payloads: bool = True
+) -> DataFrame:
     """The records of the ``index`` rows given: ids, type, digest, length, URL, and payloads unless left out.
 
     Each stretch of a file is one group. Its records are read in the order of their offsets; those with at most
@@ -203,7 +229,9 @@ def read_records(index: DataFrame, stretch_bytes: int = STRETCH_BYTES, gap_bytes
 
 
 _RECORD_SCHEMA = pa.schema([
-    (f.split()[0], {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}[f.split()[1]]) for f in RECORDS.split(", ")
+    (
+        f.split()[0], {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}[f.split()[1]]
+    ) for f in RECORDS.split(", ")
 ])
 
 

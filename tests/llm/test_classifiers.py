@@ -98,7 +98,13 @@ def test_query_on_held_out_rows(spark, labelled, query, label, modulus, rest, cu
 @pytest.mark.parametrize("module", [quality, toxicity])
 def test_awkward_rows(spark, module):
     ship(spark)
-    rows = [(1, None, 0.5), (2, "", 0.5), (None, "a", 0.5), (3, "fine words " * 20_000, 0.5), (3, "fine words " * 20_000, 0.5)]
+    rows = [
+        (1, None, 0.5),
+        (2, "", 0.5),
+        (None, "a", 0.5),
+        (3, "fine words " * 20_000, 0.5),
+        (3, "fine words " * 20_000, 0.5),
+    ]
     documents = spark.createDataFrame(rows, "doc_id long, text string, score double")
     labels = spark.createDataFrame([(1, 1, 0), (2, None, None), (None, 0, 1)], "doc_id long, quality int, toxic int")
     scored = module.score_documents(documents, labels)
@@ -106,7 +112,9 @@ def test_awkward_rows(spark, module):
     assert module.score_documents(documents.limit(0), labels.limit(0)).count() == 0
     draw = random.Random(1)
     texts = [(" ".join(draw.choice("good plain ordinary words here".split()) for _ in range(60)), 0) for _ in range(40)]
-    texts += [(" ".join(draw.choice("good plain vile!! rotten!! words".split()) for _ in range(60)), 1) for _ in range(40)]
+    texts += [
+        (" ".join(draw.choice("good plain vile!! rotten!! words".split()) for _ in range(60)), 1) for _ in range(40)
+    ]
     draw.shuffle(texts)
     if module is quality:
         model = cnn.fit([t.encode() for t, _ in texts], np.array([m for _, m in texts]), epochs=20)

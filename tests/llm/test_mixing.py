@@ -51,10 +51,16 @@ def test_highest_quotients(spark, votes, seats):
 
 @pytest.fixture(scope="module")
 def documents(spark):
-    rows = [(i, f"w{i} " * (i % 50), "big") for i in range(300)] + [(1000 + i, "a b\tc\u00a0d\n" * 20, None) for i in range(30)]
-    rows += [(2000 + i, " lead ing " * 9, "mid") for i in range(40)] + [(7777, "same row", "hot")] * 300 + [(None, None, "mid"), (9999, "", "void")]
+    rows = [(i, f"w{i} " * (i % 50), "big") for i in range(300)] + [
+        (1000 + i, "a b\tc\u00a0d\n" * 20, None) for i in range(30)
+    ]
+    rows += [(2000 + i, " lead ing " * 9, "mid") for i in range(40)] + [(7777, "same row", "hot")] * 300 + [
+        (None, None, "mid"), (9999, "", "void")
+    ]
     rows += [(3000, "long " * 5000, "z")]
-    frame = spark.createDataFrame([(*r, len(r[1] or ""), 1) for r in rows], "doc_id long, text string, source string, n_chars int, size int")
+    frame = spark.createDataFrame(
+        [(*r, len(r[1] or ""), 1) for r in rows], "doc_id long, text string, source string, n_chars int, size int"
+    )
     return stage(frame.repartition(5), "mix-test")
 
 
@@ -64,7 +70,9 @@ def size_of(text):
 
 def test_mix(documents):
     found = mixing.mix(documents, shard_words=3_000).collect()
-    assert Counter((r["doc_id"], r["size"]) for r in found) == Counter((r["doc_id"], size_of(r["text"])) for r in documents.collect())
+    assert Counter((r["doc_id"], r["size"]) for r in found) == Counter(
+        (r["doc_id"], size_of(r["text"])) for r in documents.collect()
+    )
     assert all(0 <= r["taken"] <= 3 * r["size"] for r in found)
     taken, target, size = Counter(), {}, Counter()
     for r in found:

@@ -45,7 +45,9 @@ def test_little_is_left_open():
 
 
 def test_each_limit_can_bind(spark):
-    rows = spark.createDataFrame([(i, 10, 1, i % 2 * 10) for i in range(40)], "id int, tokens long, segments long, loss long")
+    rows = spark.createDataFrame(
+        [(i, 10, 1, i % 2 * 10) for i in range(40)], "id int, tokens long, segments long, loss long"
+    )
     packed = packing.pack(rows, {"tokens": 100, "segments": 4, "loss": 20}).collect()
     by = Counter(r["sequence_id"] for r in packed)
     loss = Counter()
@@ -65,7 +67,9 @@ def test_oversize_null_and_repeated_items(spark):
 @pytest.fixture(scope="module")
 def documents(spark):
     ship(spark)
-    rows = [(1, None, 5), (2, "", 5), (3, "word " * 3000, 5), (3, "word " * 3000, 5), (None, "null key", 5), (4, "tiny", 5)]
+    rows = [
+        (1, None, 5), (2, "", 5), (3, "word " * 3000, 5), (3, "word " * 3000, 5), (None, "null key", 5), (4, "tiny", 5)
+    ]
     rows += [(100 + i, "some text " * i, 5) for i in range(60)]
     return spark.createDataFrame(rows, "doc_id long, text string, length int")
 

@@ -24,7 +24,11 @@ def test_stages_one_by_one(spark):
         if name in ("quality", "toxicity", "distinct"):
             assert docs.exceptAll(before).count() == 0
     ids = {n: {r["doc_id"] for r in d.select("doc_id").collect()} for n, d in results.items()}
-    good = {r["doc_id"] for r in quality.score_documents(results["documents"], spark.read.parquet(f"{SF}/labels.parquet")).collect() if r["predicted"]}
+    good = {
+        r["doc_id"] for r in quality.score_documents(
+            results["documents"], spark.read.parquet(f"{SF}/labels.parquet")
+        ).collect() if r["predicted"]
+    }
     assert ids["quality"] == good
     labels = {r["doc_id"]: r for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
     fine = [d for d in ids["quality"] if d in labels and labels[d]["toxic"] == 0]

@@ -69,7 +69,9 @@ def test_documents(spark, lots, monkeypatch):
     monkeypatch.setattr(sharding, "LOT_GROUPS", lots)
     draw = np.random.default_rng(2)
     rows = [(i, "x" * int(draw.integers(0, 400)) + str(i % 300)) for i in range(900)]
-    rows += [(5_000 + i, "the same hot text") for i in range(450)] + [(None, None), (1, None), (2, ""), (7, "é"), (7, "é")]
+    rows += [(5_000 + i, "the same hot text") for i in range(450)] + [
+        (None, None), (1, None), (2, ""), (7, "é"), (7, "é")
+    ]
     frame = spark.createDataFrame([(*r, 0, "k") for r in rows], "doc_id long, text string, shard int, key string")
     found = sharding.shard_documents(frame, shards=7).collect()
     assert Counter((r["doc_id"], r["size"], r["text_crc32"]) for r in found) == Counter(

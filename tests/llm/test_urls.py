@@ -19,7 +19,9 @@ def plain(url):
     best = (None, None)
     for action, rule in urls.RULES:
         name, _, tail = rule.partition("/")
-        if (host == name or host.endswith("." + name)) and path.startswith("/" + tail) and len(rule) > len(best[0] or ""):
+        if (host == name or host.endswith("." + name)) and path.startswith("/" + tail) and len(rule) > len(
+            best[0] or ""
+        ):
             best = (rule, action)
     return (host, path, *best) if found else ("", "", None, None)
 
@@ -42,9 +44,15 @@ def scores_by_walk(edges, seeds, rounds=400):
 
 PAGES = [
     (1, "http://a.org/x", '<a href="http://bad.net/fr/">z</a><A class=x HREF=\'//GOOD.com/\'> <a href=/local>'),
-    (2, "https://bad.net/fr/1", '<a href="http://a.org/">'), (3, "http://c.org?x", "<a href=http://a.org><a href='https://a.org/2'>"),
-    (4, None, '<a href="http://a.org">'), (5, "HTTP://A.Com/en/", ""), (6, "x://www.example.com/en/z#", '<a href="http://d.org/">'),
-    (7, "http://d.org/", None), (7, "http://d.org/", None), (None, "no scheme", ""), (8, "http://", ""), (9, "http://x.example.com/en/y?q", ""),
+    (2, "https://bad.net/fr/1", '<a href="http://a.org/">'), (
+        3, "http://c.org?x", "<a href=http://a.org><a href='https://a.org/2'>"
+    ),
+    (4, None, '<a href="http://a.org">'), (5, "HTTP://A.Com/en/", ""), (
+        6, "x://www.example.com/en/z#", '<a href="http://d.org/">'
+    ),
+    (7, "http://d.org/", None), (7, "http://d.org/", None), (None, "no scheme", ""), (8, "http://", ""), (
+        9, "http://x.example.com/en/y?q", ""
+    ),
     (10, "http://É.ORG\n/p\nq?r", ""), (11, "http://sub.example.com/enx", ""),
 ]
 
@@ -52,13 +60,17 @@ PAGES = [
 @pytest.fixture(scope="module")
 def pages(spark):
     ship(spark)
-    return spark.createDataFrame([(*p, "clash") for p in PAGES], "page_id long, url string, html string, verdict string")
+    return spark.createDataFrame(
+        [(*p, "clash") for p in PAGES], "page_id long, url string, html string, verdict string"
+    )
 
 
 def test_parts_and_rules(pages):
     found = urls.judge(pages, tolerance=1e-9, rounds=200).collect()
     key = lambda t: tuple(map(str, t))
-    assert sorted([(r["page_id"], r["host"], r["path"], r["rule"]) for r in found], key=key) == sorted([(p[0], *plain(p[1])[:3]) for p in PAGES], key=key)
+    assert sorted([(r["page_id"], r["host"], r["path"], r["rule"]) for r in found], key=key) == sorted(
+        [(p[0], *plain(p[1])[:3]) for p in PAGES], key=key
+    )
     for r in found:
         said = next(plain(p[1])[3] for p in PAGES if p[0] == r["page_id"] and plain(p[1])[:2] == (r["host"], r["path"]))
         assert r["verdict"] in ([said] if said else ["allow", "block"])
@@ -66,7 +78,13 @@ def test_parts_and_rules(pages):
 
 def test_scores_against_the_series(pages):
     found = {r["host"]: r for r in urls.judge(pages, tolerance=1e-12, rounds=400).collect()}
-    links = [("a.org", "bad.net", 1), ("a.org", "good.com", 1), ("bad.net", "a.org", 1), ("c.org", "a.org", 2), ("www.example.com", "d.org", 1)]
+    links = [
+        ("a.org", "bad.net", 1),
+        ("a.org", "good.com", 1),
+        ("bad.net", "a.org", 1),
+        ("c.org", "a.org", 2),
+        ("www.example.com", "d.org", 1),
+    ]
     trust = scores_by_walk(links, {"good.com": 1.0, "a.com": 1.0, "www.example.com": 1.0, "sub.example.com": 1.0})
     distrust = scores_by_walk([(b, a, w) for a, b, w in links], {"bad.net": 1.0, "x.example.com": 1.0})
     for host, row in found.items():
@@ -82,7 +100,11 @@ def test_no_evidence_allows(spark, pages):
 
 def test_hot_host(spark):
     ship(spark)
-    rows = spark.range(0, 6_000, 1, 8).selectExpr("id as page_id", "if(id % 3 = 0, 'http://hot.org/', concat('http://h', id, '.org/')) as url", "'<a href=\"http://hot.org/\">' as html")
+    rows = spark.range(0, 6_000, 1, 8).selectExpr(
+        "id as page_id",
+        "if(id % 3 = 0, 'http://hot.org/', concat('http://h', id, '.org/')) as url",
+        "'<a href=\"http://hot.org/\">' as html",
+    )
     assert urls.judge(rows).where("host = 'hot.org'").count() == 2_000
 
 

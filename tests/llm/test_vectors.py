@@ -50,7 +50,9 @@ def test_part_of_the_cells_is_enough_on_clusters(spark):
     draw = np.random.default_rng(2)
     centres = draw.standard_normal((30, 8)) * 20
     vectors = centres[draw.integers(30, size=6_000)] + draw.standard_normal((6_000, 8))
-    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    frame = spark.createDataFrame(
+        [(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>"
+    )
     rows = neighbors.usable(frame, group=None).cache()
     asked = rows.where("vec_id % 100 = 0")
     index = neighbors.build(rows, shard_rows=500)
@@ -74,14 +76,20 @@ def test_neighbours_of_awkward_rows(spark):
     assert [v for _, v, _ in sorted(found[100])] == [0, 10, 20, 30, 40, 50, 60, 70, 80, 90]
     assert [v for _, v, _ in sorted(found[700])] == list(range(0, 100, 10)) and sorted(found[700])[0][2] == 1.0
     few = neighbors.search_table(frame.where("vec_id in (100, 700, 10)"))
-    assert sorted((r["query_id"], r["rank"], r["vec_id"]) for r in few.collect()) == [(100, 1, 10), (100, 2, 700), (700, 1, 10), (700, 2, 100)]
+    assert sorted((r["query_id"], r["rank"], r["vec_id"]) for r in few.collect()) == [
+        (100, 1, 10), (100, 2, 700), (700, 1, 10), (700, 2, 100)
+    ]
     assert neighbors.search_table(frame.limit(0)).count() == 0
     assert neighbors.search_table(frame.where("vec_id = 701")).count() == 0
 
 
 def plain_links(rows, threshold=0.98):
     ids = [r[0] for r in rows]
-    good = [r[1] is not None and r[2] is not None and len(r[1]) > 0 and all(x is not None and np.isfinite(x) for x in r[1]) and any(r[1]) for r in rows]
+    good = [
+        r[1] is not None and r[2] is not None and len(r[1]) > 0 and all(
+            x is not None and np.isfinite(x) for x in r[1]
+        ) and any(r[1]) for r in rows
+    ]
     counts, neighbours = [0] * len(rows), [[] for _ in rows]
     for i, a in enumerate(rows):
         for j, b in enumerate(rows):
@@ -98,7 +106,11 @@ def plain_links(rows, threshold=0.98):
             least = min([labels[i], *[labels[j] for j in neighbours[i]]])
             changed |= least != labels[i]
             labels[i] = least
-    names = [min((ids[j] for j in range(len(rows)) if labels[j] == labels[i] and ids[j] is not None), default=None) for i in range(len(rows))]
+    names = [
+        min(
+            (ids[j] for j in range(len(rows)) if labels[j] == labels[i] and ids[j] is not None), default=None
+        ) for i in range(len(rows))
+    ]
     return sorted((str(i), n, str(c)) for i, n, c in zip(ids, counts, names, strict=True))
 
 
@@ -113,7 +125,9 @@ def test_links_against_brute_force(spark, block, passes):
     rows += [(900 + i, rows[0][1], 0) for i in range(40)]  # copies
     rows += [(990, rows[0][1], None), (991, None, 0), (992, [0.0] * 16, 0), (993, [1.0, None], 0), (994, [1.0, 2.0], 0),
              (995, [1.0, 2.001], 0), (996, [float("inf")] * 16, 0), (None, rows[1][1], 1), (5, rows[5][1], 1)]
-    frame = spark.createDataFrame([(*r, 0.0) for r in rows], "vec_id long, embedding array<double>, label int, n_links double")
+    frame = spark.createDataFrame(
+        [(*r, 0.0) for r in rows], "vec_id long, embedding array<double>, label int, n_links double"
+    )
     found = embedding_dedup.near_duplicates(frame, block=block, passes=passes).collect()
     assert sorted((str(r["vec_id"]), r["n_links"], str(r["component_id"])) for r in found) == plain_links(rows)
     assert all(r["kept"] == (r["vec_id"] == r["component_id"]) for r in found)
@@ -127,7 +141,11 @@ def test_dense_group_larger_than_the_window(spark):
     other = draw.standard_normal((400, 32))
     rows = [(i, v.tolist(), 0) for i, v in enumerate(np.concatenate([near, other]))]
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
-    found = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embedding_dedup.near_duplicates(frame, block=32).collect()}
+    found = {
+        r["vec_id"]: (r["n_links"], r["component_id"]) for r in embedding_dedup.near_duplicates(
+            frame, block=32
+        ).collect()
+    }
     assert sum(found[i][0] for i in range(400)) >= 0.99 * 400 * 399 and all(found[i][0] <= 399 for i in range(400))
     assert all(found[i] == (0, i) for i in range(400, 800)) and {found[i][1] for i in range(400)} == {0}
 

@@ -16,9 +16,13 @@ SF = "/root/testdata/sf0.01"
 def pages(spark):
     ship(spark)
     rows = [
-        (1, "http://a/1", "same", 0), (7, "http://a/7", "same", 0), (3, "http://a/3 x\r\ny", "same", 0), (None, None, "same", 0),
+        (1, "http://a/1", "same", 0), (7, "http://a/7", "same", 0), (3, "http://a/3 x\r\ny", "same", 0), (
+            None, None, "same", 0
+        ),
         (4, "http://b", None, 0), (5, "http://c", "", 0), (6, None, "only", 0), (6, None, "only", 0),
-        (None, "http://d", "lonely null", 0), (None, "http://e", "lonely null", 0), (9, "http://é", "ü\r\n\r\n" * 50_000, 0),
+        (None, "http://d", "lonely null", 0), (None, "http://e", "lonely null", 0), (
+            9, "http://é", "ü\r\n\r\n" * 50_000, 0
+        ),
     ]
     return spark.createDataFrame(rows, "page_id long, url string, html string, offset int")
 
@@ -54,7 +58,9 @@ def test_index_leads_to_every_record(pages):
             member = archive.read_at(row["length"], row["offset"])
         assert zlib.decompress(member, 31).startswith(b"WARC/1.1\r\n")
         fields = warc.parse(member)
-        assert (fields["page_id"], fields["record_type"], fields["payload_digest"]) == (row["page_id"], row["record_type"], row["payload_digest"])
+        assert (fields["page_id"], fields["record_type"], fields["payload_digest"]) == (
+            row["page_id"], row["record_type"], row["payload_digest"]
+        )
 
 
 def test_selected_records_and_small_stretches(pages):
@@ -72,7 +78,9 @@ def test_files_roll_over(spark, pages):
 
 
 def test_hot_payload_spreads(spark):
-    rows = spark.range(0, 3000, 1, 8).selectExpr("id as page_id", "'http://x' as url", "if(id % 3 = 0, 'hot', concat('p', id)) as html")
+    rows = spark.range(0, 3000, 1, 8).selectExpr(
+        "id as page_id", "'http://x' as url", "if(id % 3 = 0, 'hot', concat('p', id)) as html"
+    )
     out = warc.with_revisits(rows)
     assert out.where("refers_to = 2997").count() == 999 and out.where("refers_to is null").count() == 2001
 
