@@ -104,8 +104,12 @@ def scan_csv_typed(spark: SparkSession, d: str) -> DataFrame:
 def csv_text_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     """Whole texts, with their quotes, blanks and line breaks, through CSV and back."""
     path = scratch_path(spark, "texts")
-    documents = table(spark, d, "documents").select(F.lit("document").alias("kind"), F.col("doc_id").alias("id"), F.lit(0).cast("bigint").alias("turn"), "text")
-    conversations = table(spark, d, "conversations").select(F.lit("turn").alias("kind"), F.col("conv_id").alias("id"), "turn", "text")
+    documents = table(spark, d, "documents").select(
+        F.lit("document").alias("kind"), F.col("doc_id").alias("id"), F.lit(0).cast("bigint").alias("turn"), "text"
+    )
+    conversations = table(spark, d, "conversations").select(
+        F.lit("turn").alias("kind"), F.col("conv_id").alias("id"), "turn", "text"
+    )
     tables.write_csv(documents.unionByName(conversations), path)
     return tables.read_csv(spark, path, {"id": T.LongType(), "turn": T.LongType()}, multi_line=True)
 
@@ -143,8 +147,12 @@ def left_join_salted(spark: SparkSession, d: str) -> DataFrame:
 @query
 def left_join_null_keys(spark: SparkSession, d: str) -> DataFrame:
     """Facts of which most have no key."""
-    labels = table(spark, d, "labels").select(F.col("doc_id").alias("labelled"), F.col("quality").cast("bigint").alias("quality"))
-    documents = table(spark, d, "documents").select("doc_id", F.when(F.col("lang") != "en", F.col("doc_id")).alias("labelled"))
+    labels = table(spark, d, "labels").select(
+        F.col("doc_id").alias("labelled"), F.col("quality").cast("bigint").alias("quality")
+    )
+    documents = table(spark, d, "documents").select(
+        "doc_id", F.when(F.col("lang") != "en", F.col("doc_id")).alias("labelled")
+    )
     return rows.enrich(documents, labels, "labelled", salts=4)
 
 
@@ -283,9 +291,13 @@ def category_index_apply_shuffled(spark: SparkSession, d: str) -> DataFrame:
 def category_index_apply_sentinel(spark: SparkSession, d: str) -> DataFrame:
     """Most rows hold the text that stands for a missing one, which the labels do not know."""
     known = categories.index_map(categories.category_counts(table(spark, d, "labels"), ["doc_id"]))
-    joined = labelled_documents(spark, d).select("doc_id", F.when(F.col("toxic") == 1, F.col("doc_id").cast("string")).alias("name"))
+    joined = labelled_documents(spark, d).select(
+        "doc_id", F.when(F.col("toxic") == 1, F.col("doc_id").cast("string")).alias("name")
+    )
     filled = rows.fill_sentinel(joined)
-    return categories.apply_index(filled, known, "name", "name_idx", map_column="doc_id", broadcast_up_to=0, spread_by=["doc_id"])
+    return categories.apply_index(
+        filled, known, "name", "name_idx", map_column="doc_id", broadcast_up_to=0, spread_by=["doc_id"]
+    )
 
 
 @query
@@ -335,7 +347,9 @@ def median_fit_approximate(spark: SparkSession, d: str) -> DataFrame:
     lines_ = table(spark, d, "lineitem")
     found = numeric.as_dict(numeric.approximate_medians(lines_, LINE_NUMBERS), "median")
     counts = lines_.agg(*[
-        F.struct(F.count(c), F.count_if(F.col(c) < found[c]), F.count_if(F.col(c) <= found[c])).alias(c) for c in LINE_NUMBERS
+        F.struct(F.count(c), F.count_if(F.col(c) < found[c]), F.count_if(F.col(c) <= found[c])).alias(
+            c
+        ) for c in LINE_NUMBERS
     ]).first()
     checks = [(c, n, bool(below <= 0.501 * n + 1 and upto >= 0.499 * n - 1)) for c, (n, below, upto) in counts.asDict().items()]
     return spark.createDataFrame(checks, "column string, rows bigint, near_middle boolean")
@@ -490,7 +504,9 @@ def features_fit_transform(spark: SparkSession, d: str) -> DataFrame:
 @query
 def features_compat(spark: SparkSession, d: str) -> DataFrame:
     data = wide_documents(spark, d)
-    return _feature_summary(fit_features(data, document_spec(components=None), compat=True, median="exact").transform(data))
+    return _feature_summary(
+        fit_features(data, document_spec(components=None), compat=True, median="exact").transform(data)
+    )
 
 
 @query
@@ -550,7 +566,9 @@ def _published_fit(spark: SparkSession, d: str) -> tuple[DataFrame, classifier.L
 
 def _linear(model: classifier.LogisticRegressionModel):
     """The margin of ``features``, spelled out."""
-    products = F.transform(vector_to_array("features"), lambda x, i: x * F.get(F.array(*[F.lit(float(w)) for w in model.coefficients]), i))
+    products = F.transform(
+        vector_to_array("features"), lambda x, i: x * F.get(F.array(*[F.lit(float(w)) for w in model.coefficients]), i)
+    )
     return F.aggregate(products, F.lit(float(model.intercept)), lambda a, x: a + x)
 
 
@@ -728,7 +746,9 @@ def train_curve(spark: SparkSession, d: str) -> DataFrame:
     """The curve that the training job writes for orders, whose scores are the shares of positives per kind."""
     at = scratch_path(spark, "curve-job")
     spec = FeatureSpec(key="o_orderkey", label="finished", categories=("o_orderpriority",))
-    orders = table(spark, d, "orders").select("o_orderkey", "o_orderpriority", (F.col("o_orderstatus") == "F").cast("int").alias("finished"))
+    orders = table(spark, d, "orders").select(
+        "o_orderkey", "o_orderpriority", (F.col("o_orderstatus") == "F").cast("int").alias("finished")
+    )
     tables.write_parquet(fit_features(orders, spec).feature_table(orders), f"{at}/train")
     jobs.train(
         spark, f"{at}/train", "finished", "o_orderkey", f"{at}/model", f"{at}/report", f"{at}/curve", mode="none", **TO_CONVERGENCE

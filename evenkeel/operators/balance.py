@@ -56,7 +56,9 @@ def checked_balance(df: DataFrame, label: str) -> ClassBalance:
         F.max(F.when(~known, F.col(label))).alias("largest"),
     ).first()
     if row["others"]:
-        raise ValueError(f"{label} must be 0, 1 or null: {row['others']} rows have others, from {row['least']} to {row['largest']}")
+        raise ValueError(
+            f"{label} must be 0, 1 or null: {row['others']} rows have others, from {row['least']} to {row['largest']}"
+        )
     balance = ClassBalance(row["positives"], row["negatives"], row["unlabelled"])
     if not balance.positives or not balance.negatives:
         raise ValueError(
@@ -89,7 +91,9 @@ def hold_out(df: DataFrame, key: str, share: float) -> tuple[DataFrame, DataFram
     """
     if not 0 <= share < 1:
         raise ValueError(f"the share held out is from 0 up to 1, not {share}")
-    held = F.coalesce(unit_interval(F.concat(F.lit("hold-out:"), F.col(key).cast("string"))) < F.lit(float(share)), F.lit(False))
+    held = F.coalesce(
+        unit_interval(F.concat(F.lit("hold-out:"), F.col(key).cast("string"))) < F.lit(float(share)), F.lit(False)
+    )
     return df.where(~held), df.where(held)
 
 

@@ -103,7 +103,9 @@ def _join_hot_then_rest(keyed: DataFrame, entry: DataFrame, spread_by: Sequence[
     keyed, entry = keyed.withColumn("_digest", digest), entry.select(digest.alias("_digest"), "_index")
     counts = keyed.where(F.col("_label").isNotNull()).groupBy("_digest").agg(F.count(F.lit(1)).alias("_n"))
     hot = counts.where(F.col("_n") * HOT_PARTS >= counts.agg(F.sum("_n")).scalar()).select("_digest")
-    found = hot.join(entry, on="_digest", how="left").select("_digest", F.col("_index").alias("_hot"), F.lit(True).alias("_done"))
+    found = hot.join(entry, on="_digest", how="left").select(
+        "_digest", F.col("_index").alias("_hot"), F.lit(True).alias("_done")
+    )
     looked_up = keyed.join(F.broadcast(found), on="_digest", how="left")
     is_open = F.col("_done").isNull() & F.col("_label").isNotNull()
     spread = F.pmod(F.xxhash64(*spread_by), F.lit(10_000)).cast("int") + 1
@@ -132,7 +134,9 @@ def indexers(labels: DataFrame, columns: Sequence[str]) -> list[StringIndexerMod
     return [StringIndexerModel.from_labels(by_column[c], c, f"{c}_idx", handleInvalid="keep") for c in columns]
 
 
-def encoder(spark: SparkSession, sizes: Sequence[int], inputs: Sequence[str], outputs: Sequence[str]) -> OneHotEncoderModel:
+def encoder(
+    spark: SparkSession, sizes: Sequence[int], inputs: Sequence[str], outputs: Sequence[str]
+) -> OneHotEncoderModel:
     """One-hot encoder whose blocks have the given sizes; indices beyond give an empty block.
 
     The encoder learns a size as largest index plus one; one row with these

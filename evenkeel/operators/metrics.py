@@ -88,7 +88,9 @@ def metrics_report(scored: DataFrame, label: str, prediction: str, score: str) -
     ).select("s.*")
     whole = F.lit(None).cast("double").alias("label")
     return (
-        long.unionByName(accuracy(matrix).select(F.lit("accuracy").alias("metric"), whole, F.col("accuracy").alias("value")))
+        long.unionByName(
+            accuracy(matrix).select(F.lit("accuracy").alias("metric"), whole, F.col("accuracy").alias("value"))
+        )
         .unionByName(
             area_under_roc(counts, "label", "score", weight=F.col("times")).select(
                 F.lit("area_under_roc").alias("metric"), whole, F.col("area").alias("value")

@@ -101,9 +101,13 @@ def exact_medians(df: DataFrame, columns: Sequence[str], stage_rows: bool = True
     return _places(spark, columns).join(found, on="place", how="left").select("column", "median")
 
 
-def _bracketed(df: DataFrame, columns: Sequence[str], brackets: Mapping[int, Sequence[float]]) -> tuple[DataFrame, dict[int, tuple[int, int]]]:
+def _bracketed(df: DataFrame, columns: Sequence[str], brackets: Mapping[int, Sequence[float]]) -> tuple[
+    DataFrame, dict[int, tuple[int, int]]
+]:
     """Counts of the values inside the brackets, and per column the middle's rank inside and how many rows are inside."""
-    bounds = df.sparkSession.createDataFrame([(p, *map(float, q)) for p, q in brackets.items()], "place int, lowest double, highest double")
+    bounds = df.sparkSession.createDataFrame(
+        [(p, *map(float, q)) for p, q in brackets.items()], "place int, lowest double, highest double"
+    )
     side = F.when(F.col("value") < F.col("lowest"), -1).when(F.col("value") > F.col("highest"), 1).otherwise(0)
     counts = stage(
         long_values(df, columns).join(F.broadcast(bounds), on="place")  # one row per column
@@ -203,7 +207,12 @@ def covariance(df: DataFrame, columns: Sequence[str]) -> DataFrame:
             sums += complete.sum(axis=0)
             products += complete.T @ complete
         if rows:
-            yield pd.DataFrame({"part": [TaskContext.get().partitionId() % MERGE_GROUPS], "packed": [np.r_[rows, sums, products[i, j]]]})
+            yield pd.DataFrame(
+                {
+                    "part": [TaskContext.get().partitionId() % MERGE_GROUPS],
+                    "packed": [np.r_[rows, sums, products[i, j]]],
+                }
+            )
 
     def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = None
@@ -219,16 +228,22 @@ def covariance(df: DataFrame, columns: Sequence[str]) -> DataFrame:
                 rows, sums, products = packed[0], packed[1 : width + 1], packed[width + 1 :]
                 above = i < j
                 value = (products - sums[i] * sums[j] / rows) / (rows - 1) if rows > 1 else np.full(len(i), np.nan)
-                yield pd.DataFrame({"i": np.r_[i, j[above]], "j": np.r_[j, i[above]], "covariance": np.r_[value, value[above]]})
+                yield pd.DataFrame(
+                    {"i": np.r_[i, j[above]], "j": np.r_[j, i[above]], "covariance": np.r_[value, value[above]]}
+                )
 
     names = F.array(*[F.lit(c) for c in columns])
     packed = "part int, packed array<double>"
-    parts = df.select(*[F.col(c).cast("double").alias(f"x{k}") for k, c in enumerate(columns)]).mapInPandas(fold, packed)
+    parts = df.select(*[F.col(c).cast("double").alias(f"x{k}") for k, c in enumerate(columns)]).mapInPandas(
+        fold, packed
+    )
     # Tasks' arrays are added up in groups, one array at a time, then those of the groups: two levels for any number.
     grouped = parts.repartition("part").mapInPandas(add, packed)
     whole = grouped.repartition(1).mapInPandas(add, packed).mapInPandas(spread, "i int, j int, covariance double")
     value = F.when(~F.isnan("covariance"), F.col("covariance"))
-    return whole.select(F.get(names, F.col("i")).alias("row"), F.get(names, F.col("j")).alias("col"), value.alias("covariance"))
+    return whole.select(
+        F.get(names, F.col("i")).alias("row"), F.get(names, F.col("j")).alias("col"), value.alias("covariance")
+    )
 
 
 def _places(spark: SparkSession, columns: Sequence[str]) -> DataFrame:

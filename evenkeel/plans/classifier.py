@@ -38,7 +38,11 @@ class Fit:
 
     def sizes_report(self) -> DataFrame:
         """``(metric, label, value)``: rows of either class, and rows left out for want of a label."""
-        found = [("rows", 1.0, self.sizes.positives), ("rows", 0.0, self.sizes.negatives), ("rows", None, self.sizes.unlabelled)]
+        found = [
+            ("rows", 1.0, self.sizes.positives),
+            ("rows", 0.0, self.sizes.negatives),
+            ("rows", None, self.sizes.unlabelled),
+        ]
         values = [(m, v, float(n)) for m, v, n in found]
         return self.rows.sparkSession.createDataFrame(values, "metric string, label double, value double")
 

@@ -170,7 +170,9 @@ def _fit_rows(
         spec = spec.without(empty)
         ranges = {c: low_high[c] for c in spec.block_columns}
         # The rows are a written table already.
-        middle = exact_medians(rows, spec.block_columns, stage_rows=False) if median == "exact" else approximate_medians(rows, spec.block_columns)
+        middle = exact_medians(
+            rows, spec.block_columns, stage_rows=False
+        ) if median == "exact" else approximate_medians(rows, spec.block_columns)
         found = as_dict(middle, "median")
         medians = {c: found[c] for c in spec.block_columns}
 
@@ -197,7 +199,9 @@ def _fit_rows(
     before_join = len(stages) + len(block_stages)
     stages += block_stages + category_stages
     stages.append(
-        VectorAssembler(inputCols=parts, outputCol="features", handleInvalid="keep" if on_invalid == "keep" else "error")
+        VectorAssembler(
+            inputCols=parts, outputCol="features", handleInvalid="keep" if on_invalid == "keep" else "error"
+        )
     )
     numeric = spark.createDataFrame(
         [(c, float(ranges[c][0]), float(ranges[c][1]), float(medians[c])) for c in spec.block_columns],

@@ -103,7 +103,9 @@ class FeatureSpec:
         for block in self.blocks:
             kept = tuple(c for c in block.columns if c not in columns)
             if block.components and len(kept) < block.components:
-                raise ValueError(f"block {block.name}: {block.components} components, but only {len(kept)} columns with values")
+                raise ValueError(
+                    f"block {block.name}: {block.components} components, but only {len(kept)} columns with values"
+                )
             if kept:
                 blocks.append(Block(block.name, kept, block.components))
         return FeatureSpec(self.key, self.label, self.amounts, self.categories, tuple(blocks), self.key_type)

@@ -127,7 +127,9 @@ def test_hot_values_spread(spark, hot):
     """Half of the rows hold one value: unknown, long, or known; no adaptive execution."""
     settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "16"}
     before = {name: spark.conf.get(name) for name in settings}
-    labels = categories.index_map(categories.category_counts(frame(spark, ["known", "known", *[f"v{i}" for i in range(500)]]), ["c"]))
+    labels = categories.index_map(
+        categories.category_counts(frame(spark, ["known", "known", *[f"v{i}" for i in range(500)]]), ["c"])
+    )
     asked = spark.range(20_000).selectExpr("id", f"if(id % 2 = 0, '{hot}', concat('v', id % 700)) as c")
     try:
         for name, value in settings.items():
@@ -145,6 +147,8 @@ def test_known_size_needs_no_job(spark):
     labels = categories.index_map(categories.category_counts(frame(spark, ["a", "b", "a"]), ["c"]))
     spark.sparkContext.setJobGroup("no-jobs", "")
     for limit in (10, 0):
-        categories.apply_index(frame(spark, ["a"]), labels, "c", "i", broadcast_up_to=limit, size=categories.LabelSize(2, 2))
+        categories.apply_index(
+            frame(spark, ["a"]), labels, "c", "i", broadcast_up_to=limit, size=categories.LabelSize(2, 2)
+        )
     assert not spark.sparkContext.statusTracker().getJobIdsForGroup("no-jobs")
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)

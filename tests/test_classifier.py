@@ -34,7 +34,9 @@ def model(features):
 
 
 def test_settings(model):
-    assert (model.getMaxIter(), model.getRegParam(), model.getElasticNetParam(), model.getThreshold()) == (10, 0, 0, 0.5)
+    assert (model.getMaxIter(), model.getRegParam(), model.getElasticNetParam(), model.getThreshold()) == (
+        10, 0, 0, 0.5
+    )
     assert model.summary.totalIterations <= 10
 
 
@@ -159,7 +161,9 @@ def test_command_line(spark, files, tmp_path):
     main(["train-model", "--features", f"{at}/train", "--state", f"{at}/state", "--model", f"{at}/model",
           "--report", f"{at}/report", "--curve", f"{at}/curve", "--mode", "poisson"])
     main(["score-features", *inputs, "--state", f"{at}/state", "--features", f"{at}/score", "--fill", "sentinel"])
-    main(["score", "--features", f"{at}/score", "--state", f"{at}/state", "--model", f"{at}/model", "--out", f"{at}/out"])
+    main(
+        ["score", "--features", f"{at}/score", "--state", f"{at}/state", "--model", f"{at}/model", "--out", f"{at}/out"]
+    )
     assert spark.read.csv(f"{at}/out", header=True).count() == 200
 
 
@@ -168,7 +172,16 @@ def test_curve_has_a_point_for_every_score(spark, features, tmp_path):
     many = features.withColumn("copy", F.explode(F.array(*[F.lit(i) for i in range(4)])))
     tables.write_parquet(many.selectExpr("id * 4 + copy as id", "features", "y"), str(tmp_path / "f"))
     rows = tables.read_parquet(spark, str(tmp_path / "f"))
-    jobs.train(spark, str(tmp_path / "f"), "y", "id", str(tmp_path / "m"), str(tmp_path / "r"), str(tmp_path / "c"), mode="none")
+    jobs.train(
+        spark,
+        str(tmp_path / "f"),
+        "y",
+        "id",
+        str(tmp_path / "m"),
+        str(tmp_path / "r"),
+        str(tmp_path / "c"),
+        mode="none",
+    )
     model = artifacts.load_classifier(str(tmp_path / "m"))
     scores = classifier.score(model, rows).select(vector_to_array("probability")[1].alias("p")).distinct().count()
     assert scores == 1200 and spark.read.csv(str(tmp_path / "c"), header=True).count() == scores + 2
@@ -184,7 +197,9 @@ def test_commands_for_evaluation_and_held_out_rows(spark, files, tmp_path):
           "--curve", f"{at}/curve", "--iterations", "3", "--penalty", "0.1", "--elastic-net", "0.5", "--threshold", "0.4",
           "--hold-out", "0.3", "--held-out", f"{at}/held"])
     model = artifacts.load_classifier(f"{at}/model")
-    assert (model.getMaxIter(), model.getRegParam(), model.getElasticNetParam(), model.getThreshold()) == (3, 0.1, 0.5, 0.4)
+    assert (model.getMaxIter(), model.getRegParam(), model.getElasticNetParam(), model.getThreshold()) == (
+        3, 0.1, 0.5, 0.4
+    )
     held = spark.read.parquet(f"{at}/held")
     assert 30 < held.count() < 90
     kept = {r["label"]: r["value"] for r in spark.read.parquet(f"{at}/report").where("metric = 'rows'").collect()}

@@ -59,7 +59,9 @@ def test_save_and_load(small, tmp_path, spark):
     fitted.save(str(tmp_path / "state"))
     fitted.save(str(tmp_path / "state"))
     loaded = FittedFeatures.load(spark, str(tmp_path / "state"))
-    assert loaded.spec == SMALL and loaded.joined == fitted.joined and list(loaded.joined) == ["c"] and loaded.before_join == fitted.before_join
+    assert loaded.spec == SMALL and loaded.joined == fitted.joined and list(loaded.joined) == [
+        "c"
+    ] and loaded.before_join == fitted.before_join
     assert features(loaded.transform(small)) == features(fitted.transform(small))
     state = {r["column"]: (r["low"], r["high"], r["median"]) for r in loaded.numeric.collect()}
     assert state == {"x": (1.0, 3.0, 1.0), "z": (5.0, 5.0, 5.0)}
@@ -103,14 +105,18 @@ def test_same_features_as_stages_fitted_one_by_one(spark):
     stages += [StringIndexer(inputCol=c, outputCol=f"{c}_idx", handleInvalid="keep") for c in categories]
     stages += [
         Imputer(inputCols=["lang_idx", "source_idx"], outputCols=["lang_nan", "source_nan"], strategy="median"),
-        OneHotEncoder(inputCols=["lang_nan", "source_nan"], outputCols=["lang_enc", "source_enc"], handleInvalid="keep"),
+        OneHotEncoder(
+            inputCols=["lang_nan", "source_nan"], outputCols=["lang_enc", "source_enc"], handleInvalid="keep"
+        ),
         Imputer(inputCols=list(E), outputCols=filled, strategy="median"),
         VectorAssembler(inputCols=filled, outputCol="e_cols", handleInvalid="error"),
         MinMaxScaler(inputCol="e_cols", outputCol="e_scaled"),
         PCA(k=12, inputCol="e_scaled", outputCol="e_pca"),
         VectorAssembler(inputCols=["num_cols", "e_pca", "lang_enc", "source_enc"], outputCol="features"),
     ]
-    expected = {r["doc_id"]: r["features"].toArray() for r in Pipeline(stages=stages).fit(data).transform(data).collect()}
+    expected = {
+        r["doc_id"]: r["features"].toArray() for r in Pipeline(stages=stages).fit(data).transform(data).collect()
+    }
     fitted = fit_features(data, document_spec(), compat=True)
     found = {r["doc_id"]: r["features"].toArray() for r in fitted.feature_table(data).collect()}
     assert found.keys() == expected.keys()

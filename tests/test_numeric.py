@@ -142,7 +142,9 @@ def test_components_are_orthonormal_eigenvectors_of_the_covariance(spark):
 def test_median_outside_its_first_bracket(spark, monkeypatch):
     """Brackets that miss the middle are widened until they hold it."""
     real = numeric._quantiles
-    monkeypatch.setattr(numeric, "_quantiles", lambda s, ranks: {p: [v - 100 for v in q] for p, q in real(s, ranks).items()})
+    monkeypatch.setattr(
+        numeric, "_quantiles", lambda s, ranks: {p: [v - 100 for v in q] for p, q in real(s, ranks).items()}
+    )
     df = spark.range(999).select(F.col("id").cast("double").alias("x"), F.lit(3.0).alias("y"))
     assert medians(df) == {"x": 499.0, "y": 3.0}
 

@@ -28,7 +28,9 @@ def test_running_totals(spark, slices):
 @pytest.mark.parametrize("slices", [1, 4, 50])
 def test_previous_row(spark, slices):
     rows = spark.range(30).select((F.col("id") % 7).alias("x"), F.col("id").alias("y"))
-    found = {(r["x"], r["y"]): (r["previous_x"], r["previous_y"]) for r in with_previous(rows, ["x", "y"], slices).collect()}
+    found = {
+        (r["x"], r["y"]): (r["previous_x"], r["previous_y"]) for r in with_previous(rows, ["x", "y"], slices).collect()
+    }
     ordered = sorted(found)
     assert len(ordered) == 30 and found[ordered[0]] == (None, None)
     assert all(found[b] == a for a, b in zip(ordered, ordered[1:]))
@@ -52,4 +54,6 @@ def test_empty_table(spark):
 def test_a_null_group_is_a_group(spark):
     df = spark.createDataFrame([("a", 1), (None, 2), (None, 5)], "g string, v long")
     out = running_totals(df, order=["v"], totals={"upto": F.col("v")}, groups=["g"])
-    assert sorted(((r["g"] or ""), r["v"], r["upto"], r["all_upto"]) for r in out.collect()) == [("", 2, 2, 7), ("", 5, 7, 7), ("a", 1, 1, 1)]
+    assert sorted(((r["g"] or ""), r["v"], r["upto"], r["all_upto"]) for r in out.collect()) == [
+        ("", 2, 2, 7), ("", 5, 7, 7), ("a", 1, 1, 1)
+    ]

@@ -102,7 +102,9 @@ AWKWARD = ["a", " a", "a ", "", "null", None, 'say "hi" now', 'x"y,z', '"', '""'
 
 
 def test_csv_keeps_every_text(spark, tmp_path):
-    df = spark.createDataFrame([(i, t, i / 2 if i % 3 else None, t) for i, t in enumerate(AWKWARD)], "id long, t string, x double, u string")
+    df = spark.createDataFrame(
+        [(i, t, i / 2 if i % 3 else None, t) for i, t in enumerate(AWKWARD)], "id long, t string, x double, u string"
+    )
     tables.write_csv(df, str(tmp_path / "out"))
     types = {"id": T.LongType(), "x": T.DoubleType()}
     again = tables.read_csv(spark, str(tmp_path / "out"), types, multi_line=True)
@@ -122,7 +124,9 @@ def test_spark_splits_a_hot_key_of_the_join(spark):
     }
     before = {name: spark.conf.get(name) for name in settings}
     facts = spark.range(60000, numPartitions=8).select(
-        F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id")).alias("k"), F.sha2(F.col("id").cast("string"), 256)
+        F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id")).alias("k"), F.sha2(
+            F.col("id").cast("string"), 256
+        )
     )
     details = spark.range(60000).select(F.col("id").alias("k"), F.lit("d").alias("d"))
     try:

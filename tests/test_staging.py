@@ -51,7 +51,9 @@ def test_staged_table_is_gone_after_an_error(spark):
 
 
 def test_nothing_is_left_of_index_map_curve_and_metrics(spark):
-    scored = spark.range(100).selectExpr("id", "cast(id % 2 as int) as label", "id / 100.0d as score", "1.0d as prediction")
+    scored = spark.range(100).selectExpr(
+        "id", "cast(id % 2 as int) as label", "id / 100.0d as score", "1.0d as prediction"
+    )
     with staging.scratch(spark):
         folder = staging.scratch_folder(spark)
         assert categories.index_map(categories.category_counts(scored, ["label"])).count() == 2
