@@ -17,10 +17,10 @@ from evenkeel.functions.scalars import impute, min_max
 from evenkeel.operators.ordered import running_totals
 from evenkeel.staging import stage
 
-# Size of the quantile summaries, whose rank error is about 0.04 % of the rows, and the share of the rows to either side
-# of the middle that is looked at first.
+# Size of the quantile summaries, whose rank error is about 0.04 % of the rows, and the shares of the rows to either side
+# of the middle that are looked at, one after the other.
 SKETCH_SIZE = 8192
-BRACKET = 0.002
+BRACKETS = (0.002, 0.02, 0.2)
 
 # Summaries and matrices of tasks are merged in so many groups before they meet.
 MERGE_GROUPS = 256
@@ -82,22 +82,20 @@ def exact_medians(df: DataFrame, columns: Sequence[str], stage_rows: bool = True
     spark = df.sparkSession
     if stage_rows:
         df = stage(df.select(*[F.col(c).cast("double").alias(c) for c in columns]), "median-rows")
-    sketches = stage(_sketches(df, columns, SKETCH_SIZE), "sketches")
-    found, margin = _empty_medians(spark), BRACKET
-    open_places = None
-    while open_places is None or open_places:
-        brackets = _quantiles(sketches, [max(0.0, 0.5 - margin), min(1.0, 0.5 + margin)])
-        wanted = brackets if open_places is None else {p: brackets[p] for p in open_places}
-        if margin >= 0.5:
-            wanted = {p: [float("-inf"), float("inf")] for p in wanted}
-        if not wanted:
+    # Brackets of every width are taken from the summaries at once.
+    ranks = [rank for width in BRACKETS for rank in (0.5 - width, 0.5 + width)]
+    summaries = _quantiles(_sketches(df, columns, SKETCH_SIZE), ranks)
+    found, open_places = _empty_medians(spark), list(summaries)
+    for nth in range(len(BRACKETS) + 1):
+        if not open_places:
             break
-        counts, ranks = _bracketed(df, columns, wanted)
-        inside = {p: rank for p, (rank, held) in ranks.items() if 1 <= rank <= held}
+        widest = [float("-inf"), float("inf")]
+        wanted = {p: [*summaries[p], *widest][2 * nth : 2 * nth + 2] for p in open_places}
+        counts, at = _bracketed(df, columns, wanted)
+        inside = {p: rank for p, (rank, held) in at.items() if 1 <= rank <= held}
         if inside:
             found = found.unionByName(_at_ranks(counts, inside))
         open_places = [p for p in wanted if p not in inside]
-        margin *= 10
     return _places(spark, columns).join(found, on="place", how="left").select("column", "median")
 
 
