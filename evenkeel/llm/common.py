@@ -86,8 +86,12 @@ def slots(rows: DataFrame, group: str, order: list[str], name: str = "slot") ->
     parts = stage(rows.withColumn("_part", F.spark_partition_id()), "slots")
     counts = parts.groupBy("_part", group).agg(F.count(F.lit(1)).alias("_n"))
     earlier = Window.partitionBy(group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    before = counts.select("_part", group, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
-    own = F.row_number().over(Window.partitionBy("_part", group).orderBy(*order)) - 1
-    return parts.withColumn("_own", own).join(before, ["_part", group]).select(
-        *rows.columns, (F.col("_before") + F.col("_own")).alias(name)
+    before = counts.select(
+        F.col("_part").alias("_of"),
+        F.col(group).alias("_in"),
+        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"),
     )
+    own = F.row_number().over(Window.partitionBy("_part", group).orderBy(*order)) - 1
+    same = (F.col("_part") == F.col("_of")) & F.col(group).eqNullSafe(F.col("_in"))
+    found = parts.withColumn("_own", own).join(before, same)
+    return found.select(*rows.columns, (F.col("_before") + F.col("_own")).alias(name))
