@@ -25,7 +25,7 @@ from evenkeel.llm.vectors import lists, matrix, usable
 from evenkeel.staging import stage
 
 NEAREST = 10
-CENTROIDS = 32
+FEWEST_CENTROIDS, MOST_CENTROIDS = 32, 256
 SAMPLE = 20_000
 ROUNDS = 12
 SEED = 42
@@ -39,6 +39,8 @@ AT_ONCE = 64
 
 def centroids(points: np.ndarray, count: int, rounds: int = ROUNDS, seed: int = SEED) -> np.ndarray:
     """Lloyd's rounds from seeded points; a centroid without points stays where it is."""
+    if not points.shape[1]:
+        return np.zeros((1, 0))  # half of a vector of length 1
     distinct = np.unique(points, axis=0)
     centres = distinct[np.random.default_rng(seed).permutation(len(distinct))[:count]]
     for _ in range(rounds):
@@ -118,13 +120,14 @@ class Index:
 def build(
     vectors: DataFrame,
     nearest: int = NEAREST,
-    count: int = CENTROIDS,
+    count: int | None = None,
     sample: int = SAMPLE,
     shard_rows: int = SHARD_ROWS,
 ) -> Index | None:
     """The index of ``vectors (vec_id, vector, same)``; the quantiser is fitted on ``sample`` entries or about that.
 
-    At most ``count`` squared cells are counted on the driver. None if there is no vector. Vectors must have one length.
+    ``count`` is the number of centroids of a half, by default the fourth root of the entries within bounds; its square is
+    the number of cells, which are counted on the driver. None if there is no vector. Vectors must have one length.
     """
     once = vectors.groupBy("same", "vec_id").agg(F.first("vector").alias("vector"))
     smallest = F.row_number().over(Window.partitionBy("same").orderBy("vec_id"))
@@ -137,12 +140,13 @@ def build(
     if not total:
         return None
     every = max(1, total // sample)
-    rows = entries.where(F.pmod(F.xxhash64("same"), F.lit(every)) == 0).select("vector").limit(2 * sample).collect()
-    if not rows:
-        rows = entries.select("vector").limit(sample).collect()
-    points = np.array([r[0] for r in rows])
+    picked = entries.where(F.pmod(F.xxhash64("same"), F.lit(every)) == 0).select("vector").limit(2 * sample).toArrow()
+    if not picked.num_rows:
+        picked = entries.select("vector").limit(sample).toArrow()
+    points = matrix(picked.column("vector"))
     points = points[np.lexsort(points.T)]
-    half = max(1, points.shape[1] // 2)
+    half = points.shape[1] // 2
+    count = count or min(MOST_CENTROIDS, max(FEWEST_CENTROIDS, int(total**0.25)))
     quantiser = Quantiser(centroids(points[:, :half], count), centroids(points[:, half:], count))
 
     def celled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

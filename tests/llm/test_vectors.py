@@ -83,6 +83,13 @@ def test_neighbours_of_awkward_rows(spark):
     assert neighbors.search_table(frame.where("vec_id = 701")).count() == 0
 
 
+def test_vectors_of_length_one(spark):
+    ship(spark)
+    rows = spark.range(300).selectExpr("id as vec_id", "array(double(id + 1)) as embedding")
+    found = neighbors.search_table(rows).where("query_id = 100").orderBy("rank").collect()
+    assert [(r["vec_id"], r["score"]) for r in found[:4]] == [(99, 1.0), (101, 1.0), (98, 2.0), (102, 2.0)]
+
+
 def plain_links(rows, threshold=0.98):
     ids = [r[0] for r in rows]
     good = [
