@@ -29,6 +29,7 @@ from evenkeel.staging import stage
 
 THRESHOLD = 0.98
 BLOCK = 1024
+TOGETHER = 8
 BITS = 62
 MISSED = 1e-4
 MOST_PASSES = 32
@@ -99,10 +100,10 @@ def blocks(coded: DataFrame, block: int = BLOCK) -> DataFrame:
 
 
 def _compare(table: pa.Table, threshold: float, this: int | None, block: int) -> pa.Table:
-    """Links of a block's own rows among themselves and with the followers.
+    """Links of the rows at home, with each other in a block and with those of the next block.
 
-    ``this`` is the pass; None stands for farther blocks of the first pass, where only the followers are compared and a
-    link counts if no pass has met it.
+    ``this`` is the pass; None stands for two far blocks of the first pass, where the rows at home are compared with the
+    others only and a link counts if no pass has met it.
     """
     home = table.column("home").to_numpy(zero_copy_only=False)
     weight = table.column("copies").to_numpy()
@@ -116,23 +117,23 @@ def _compare(table: pa.Table, threshold: float, this: int | None, block: int) ->
     for rows in map(np.array, kinds.values()):
         vectors = matrix(table.column("vector").take(pa.array(rows)))
         vectors = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
-        inside, follow = np.flatnonzero(home[rows]), np.flatnonzero(~home[rows])
-        for start in range(0, len(inside), AT_ONCE):
-            left = inside[start : start + AT_ONCE]
-            right = follow if this is None else np.concatenate([inside[start:], follow])
-            if not len(right):
-                continue
-            close = vectors[left] @ vectors[right].T >= threshold
-            own = len(right) - len(follow)
-            dense[rows[left[close[:, own:].sum(axis=1) >= DENSE * block]]] = True
-            close[:, :own] &= right[None, :own] > left[:, None]  # followers are compared with every row
-            i, j = np.nonzero(close)
-            a, b = rows[left[i]], rows[right[j]]
-            forest.add(a, b)
-            met = at[:, : at.shape[1] if this is None else this]
-            fresh = ~(np.abs(met[a] - met[b]) <= 1).any(axis=1) if met.shape[1] else np.ones(len(a), dtype=bool)
-            np.add.at(linked, a[fresh], weight[b[fresh]])
-            np.add.at(linked, b[fresh], weight[a[fresh]])
+        for inside, follow in _neighbours(home[rows], None if this is None else at[rows, this]):
+            for start in range(0, len(inside), AT_ONCE):
+                left = inside[start : start + AT_ONCE]
+                right = follow if this is None else np.concatenate([inside[start:], follow])
+                if not len(right):
+                    continue
+                close = vectors[left] @ vectors[right].T >= threshold
+                own = len(right) - len(follow)
+                dense[rows[left[close[:, own:].sum(axis=1) >= DENSE * block]]] = True
+                close[:, :own] &= right[None, :own] > left[:, None]  # followers are compared with every row
+                i, j = np.nonzero(close)
+                a, b = rows[left[i]], rows[right[j]]
+                forest.add(a, b)
+                met = at[:, : at.shape[1] if this is None else this]
+                fresh = ~(np.abs(met[a] - met[b]) <= 1).any(axis=1) if met.shape[1] else np.ones(len(a), dtype=bool)
+                np.add.at(linked, a[fresh], weight[b[fresh]])
+                np.add.at(linked, b[fresh], weight[a[fresh]])
     labels = forest.flush()
     told = np.flatnonzero((linked > 0) | (labels != np.arange(len(labels))) | dense)
     return pa.table({
@@ -143,6 +144,15 @@ def _compare(table: pa.Table, threshold: float, this: int | None, block: int) ->
     })
 
 
+def _neighbours(home: np.ndarray, block: np.ndarray | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows of each block at home and those of the block after it; without blocks, the rows at home and the others."""
+    if block is None:
+        yield np.flatnonzero(home), np.flatnonzero(~home)
+        return
+    for b in np.unique(block[home]):
+        yield np.flatnonzero(home & (block == b)), np.flatnonzero(block == b + 1)
+
+
 def link_counts(
     entries: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK, passes: int | None = None
 ) -> DataFrame:
@@ -153,18 +163,18 @@ def link_counts(
         passes = passes_for(largest, threshold, block)
     at = blocks(codes(entries, passes), block)
     rows = stage(entries.join(at, "same"), "blocks")
-    meets = F.array(
-        F.struct(F.lit(True).alias("home"), F.lit(0).alias("back")),
-        F.struct(F.lit(False).alias("home"), F.lit(1).alias("back")),
-    )
-    met = rows.select("*", F.posexplode("blocks").alias("pass", "_block")).withColumn("_meet", F.explode(meets))
     columns = ["same", "grp", "vector", "copies", "blocks"]
-    first = met.select(
-        *columns, "pass", (F.col("_block") - F.col("_meet.back")).alias("_at"), F.col("_meet.home").alias("home")
-    )
-    # Blocks count on over passes, so a block that two passes share is split by the pass.
-    found = first.groupBy("pass", "_at").applyInArrow(
-        lambda keys, t: _compare(t, threshold, keys[0].as_py(), block), COUNTS
+    # A task has some blocks in a row and the one that follows them. Blocks count on over passes, so a block that two
+    # passes share is split by the pass.
+    of = F.floor(F.col("_block") / F.lit(TOGETHER))
+    at_home = F.struct(of.alias("_at"), F.lit(True).alias("home"))
+    following = F.struct((of - 1).alias("_at"), F.lit(False).alias("home"))
+    meets = F.when(F.col("_block") % TOGETHER == 0, F.array(at_home, following)).otherwise(F.array(at_home))
+    met = rows.select("*", F.posexplode("blocks").alias("pass", "_block")).withColumn("_meet", F.explode(meets))
+    found = (
+        met.select(*columns, "pass", "_meet.*")
+        .groupBy("pass", "_at")
+        .applyInArrow(lambda keys, t: _compare(t, threshold, keys[0].as_py(), block), COUNTS)
     )
     found = stage(found, "links")
     parts, reach = [found], 1
