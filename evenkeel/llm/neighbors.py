@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from evenkeel.llm.common import shares
-from evenkeel.llm.vectors import lists, matrix, usable
+from evenkeel.llm.vectors import matrix, usable
 from evenkeel.staging import stage
 
 NEAREST = 10
@@ -158,9 +158,10 @@ def build(
                     ["cell", "same", "ids", "vector"],
                 )
 
+    kind = entries.schema["vector"].dataType.simpleString()
     placed = stage(
         entries.select("same", "ids", "vector").mapInArrow(
-            celled, "cell int, same binary, ids array<long>, vector array<double>"
+            celled, f"cell int, same binary, ids array<long>, vector {kind}"
         ),
         "celled",
     )

@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def matrix(vectors: pa.ChunkedArray | pa.Array) -> np.ndarray:
@@ -19,42 +20,37 @@ def matrix(vectors: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return values.reshape(len(vectors), -1)
 
 
-def lists(rows: np.ndarray) -> pa.Array:
-    """The rows of a matrix as lists of doubles."""
-    offsets = np.arange(0, rows.size + 1, max(1, rows.shape[1]), dtype=np.int32) if rows.size else np.zeros(
-        len(rows) + 1, np.int32
-    )
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.ascontiguousarray(rows, dtype=np.float64).ravel()))
-
-
 def usable(
     vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", group: str | None = "label"
 ) -> DataFrame:
-    """``(vec_id, grp, vector, same)`` for every row, in doubles.
+    """``(vec_id, grp, vector, same)`` for every row; components stay floats if they are, else they become doubles.
 
     ``vector`` is null if the row takes no part: null, empty or zero vectors, null or non-finite components. ``same``
     is a digest that equal vectors of one group share; vectors of different lengths differ. Other columns are left out.
     """
 
+    given = vectors.schema[vector].dataType
+    kind = "float" if isinstance(given, T.ArrayType) and isinstance(given.elementType, T.FloatType) else "double"
+    element = np.float32 if kind == "float" else np.float64
+
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             groups, values = batch.column(1).to_pylist(), batch.column(2)
             out, same = [], []
             for g, v in zip(groups, values, strict=True):
-                row = v.values.to_numpy(zero_copy_only=False).astype(np.float64) + 0.0 if v.is_valid and len(
-                    v
-                ) else None
-                if row is None or not np.isfinite(row).all() or not row.any():
-                    row = None  # a null component has become NaN
+                row = None
+                if v.is_valid and len(v):
+                    # A null component becomes NaN, and -0.0 becomes 0.0.
+                    row = v.values.to_numpy(zero_copy_only=False).astype(element) + element(0)
+                    row = row if np.isfinite(row).all() and row.any() else None
                 out.append(row)
                 same.append(None if row is None else hashlib.sha1(repr(g).encode() + b"|" + row.tobytes()).digest())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(out, pa.list_(pa.float64())), pa.array(same, pa.binary())],
-                ["vec_id", "grp", "vector", "same"],
-            )
+            rows = pa.array(out, pa.list_(pa.from_numpy_dtype(element)))
+            columns = [batch.column(0), batch.column(1), rows, pa.array(same, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["vec_id", "grp", "vector", "same"])
 
     grp = F.col(group).cast("string") if group else F.lit("")
     rows = vectors.select(
-        F.col(key).cast("long").alias("vec_id"), grp.alias("grp"), F.col(vector).cast("array<double>").alias("vector")
+        F.col(key).cast("long").alias("vec_id"), grp.alias("grp"), F.col(vector).cast(f"array<{kind}>").alias("vector")
     )
-    return rows.mapInArrow(of_batches, "vec_id long, grp string, vector array<double>, same binary")
+    return rows.mapInArrow(of_batches, f"vec_id long, grp string, vector array<{kind}>, same binary")
