@@ -110,7 +110,7 @@ def sized(documents: DataFrame, key: str = "doc_id", text: str = "text", source:
     rows = documents.select(
         "*", F.col(key).cast("long").alias("_doc"), _source_key(source).alias("_source"), words(text).alias("_size")
     )
-    group = F.md5(F.concat_ws(":", F.coalesce(F.col("_doc").cast("string"), F.lit("")), "_size", "_source"))
+    group = F.unhex(F.md5(F.concat_ws(":", F.coalesce(F.col("_doc").cast("string"), F.lit("")), "_size", "_source")))
     return rows.select(
         F.col("_doc").alias("doc_id"),
         "_source",
