@@ -32,7 +32,7 @@ BLOCK = 1024
 TOGETHER = 8
 BITS = 62
 MISSED = 1e-4
-MOST_PASSES = 32
+MOST_PASSES = 64
 SEED = 42
 DENSE = 1 / 32
 AT_ONCE = 256
