@@ -5,16 +5,17 @@ cut into blocks; vectors in the same or in neighbouring blocks are compared, so
 length of neighbours to either side. Passes with other hyperplanes make up for pairs that a side keeps apart; their
 number follows from the rows so that a pair at the threshold is missed by all of them once in ten thousand times.
 
-Where a row links with a visible part of the next block, the first pass goes on to farther blocks, twice as far each
-time, for as long as that holds, so a group of copies larger than the window is compared as a whole. A pair met by several passes counts
-in the first, which both vectors' block numbers tell. Pairs never leave the task: a block hands on its link counts and a
-spanning forest. Equal vectors are one entry with a weight.
+Where a row links with a visible part of the next block, every pass goes on from its block to farther ones, twice as far
+each time, for as long as that holds, so a group of copies larger than the window is compared as a whole by each pass that
+keeps it together. All passes go on at once. A pair met by several counts in the first round that meets it, and there in
+the first pass, which the rows' block numbers and how far each block has gone tell. Pairs never leave the task: a block
+hands on its link counts and a spanning forest. Equal vectors are one entry with a weight.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +37,7 @@ MOST_PASSES = 64
 SEED = 42
 DENSE = 1 / 32
 AT_ONCE = 256
-COUNTS = "same binary, linked long, root binary, dense boolean"
+COUNTS = "same binary, pass int, linked long, root binary, dense boolean"
 
 
 def passes_for(rows: int, threshold: float = THRESHOLD, block: int = BLOCK, missed: float = MISSED) -> int:
@@ -99,17 +100,24 @@ def blocks(coded: DataFrame, block: int = BLOCK) -> DataFrame:
     return by_pass.select("same", F.col("at.block").alias("blocks"))
 
 
-def _compare(table: pa.Table, threshold: float, this: int | None, block: int) -> pa.Table:
-    """Links of the rows at home, with each other in a block and with those of the next block.
+def _compare(table: pa.Table, threshold: float, this: int, block: int, reach: int = 0) -> pa.Table:
+    """Links that pass ``this`` is the first to meet, of the rows at home with each other in a block and with the next one.
 
-    ``this`` is the pass; None stands for two far blocks of the first pass, where the rows at home are compared with the
-    others only and a link counts if no pass has met it.
+    With ``reach``, blocks at home have met those up to so many ahead and are compared with those from there to twice as
+    far; ``reaches`` has how far the row's block in each pass goes, this round included.
     """
     home = table.column("home").to_numpy(zero_copy_only=False)
     weight = table.column("copies").to_numpy()
     at = matrix(table.column("blocks")).astype(np.int64)
     same, group = table.column("same").to_pylist(), table.column("grp").to_pylist()
     lengths = np.array([len(v) for v in table.column("vector")])
+    if reach:
+        goes = matrix(table.column("reaches")).astype(np.int64)
+        went = np.where(goes == 2 * reach, reach, goes)
+    else:
+        goes, went = np.ones_like(at), np.full_like(at, -1)
+    # Passes before this one have met what they reach in this round, later ones what they reached in the last.
+    reached = np.concatenate([goes[:, :this], went[:, this:]], axis=1)
     linked, forest, dense = np.zeros(len(home), dtype=np.int64), Forest(len(home)), np.zeros(len(home), dtype=bool)
     kinds: dict[tuple, list[int]] = {}
     for i, kind in enumerate(zip(group, lengths.tolist(), strict=True)):
@@ -117,10 +125,10 @@ def _compare(table: pa.Table, threshold: float, this: int | None, block: int) ->
     for rows in map(np.array, kinds.values()):
         vectors = matrix(table.column("vector").take(pa.array(rows)))
         vectors = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
-        for inside, follow in _neighbours(home[rows], None if this is None else at[rows, this]):
+        for inside, follow in _neighbours(home[rows], at[rows, this], reach):
             for start in range(0, len(inside), AT_ONCE):
                 left = inside[start : start + AT_ONCE]
-                right = follow if this is None else np.concatenate([inside[start:], follow])
+                right = follow if reach else np.concatenate([inside[start:], follow])
                 if not len(right):
                     continue
                 close = vectors[left] @ vectors[right].T >= threshold
@@ -128,29 +136,47 @@ def _compare(table: pa.Table, threshold: float, this: int | None, block: int) ->
                 dense[rows[left[close[:, own:].sum(axis=1) >= DENSE * block]]] = True
                 close[:, :own] &= right[None, :own] > left[:, None]  # followers are compared with every row
                 i, j = np.nonzero(close)
-                a, b = rows[left[i]], rows[right[j]]
+                a, b = _unmet(rows[left[i]], rows[right[j]], at, reached, this)
                 forest.add(a, b)
-                met = at[:, : at.shape[1] if this is None else this]
-                fresh = ~(np.abs(met[a] - met[b]) <= 1).any(axis=1) if met.shape[1] else np.ones(len(a), dtype=bool)
-                np.add.at(linked, a[fresh], weight[b[fresh]])
-                np.add.at(linked, b[fresh], weight[a[fresh]])
+                np.add.at(linked, a, weight[b])
+                np.add.at(linked, b, weight[a])
     labels = forest.flush()
     told = np.flatnonzero((linked > 0) | (labels != np.arange(len(labels))) | dense)
     return pa.table({
         "same": pa.array([same[i] for i in told], pa.binary()),
+        "pass": pa.array(np.full(len(told), this, dtype=np.int32)),
         "linked": pa.array(linked[told]),
         "root": pa.array([same[labels[i]] for i in told], pa.binary()),
         "dense": pa.array(dense[told]),
     })
 
 
-def _neighbours(home: np.ndarray, block: np.ndarray | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Rows of each block at home and those of the block after it; without blocks, the rows at home and the others."""
-    if block is None:
-        yield np.flatnonzero(home), np.flatnonzero(~home)
-        return
+def _neighbours(home: np.ndarray, block: np.ndarray, reach: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows of each block at home and those of the block after it; with ``reach``, of each from there to twice as far."""
     for b in np.unique(block[home]):
-        yield np.flatnonzero(home & (block == b)), np.flatnonzero(block == b + 1)
+        inside = np.flatnonzero(home & (block == b))
+        if not reach:
+            yield inside, np.flatnonzero(block == b + 1)
+            continue
+        for far in np.unique(block[~home & (block > b + reach) & (block <= b + 2 * reach)]):
+            yield inside, np.flatnonzero(~home & (block == far))
+
+
+def _unmet(
+    a: np.ndarray, b: np.ndarray, at: np.ndarray, reached: np.ndarray, this: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs that no other pass reaches from the earlier of the two blocks."""
+    for other in range(at.shape[1]):
+        if other == this or not len(a):
+            continue
+        ahead = at[b, other] - at[a, other]
+        apart = np.abs(ahead) > np.where(ahead >= 0, reached[a, other], reached[b, other])
+        a, b = a[apart], b[apart]
+    return a, b
+
+
+def _comparing(threshold: float, block: int, reach: int = 0) -> Callable[[tuple, pa.Table], pa.Table]:
+    return lambda keys, t: _compare(t, threshold, keys[0].as_py(), block, reach)
 
 
 def link_counts(
@@ -171,27 +197,40 @@ def link_counts(
     following = F.struct((of - 1).alias("_at"), F.lit(False).alias("home"))
     meets = F.when(F.col("_block") % TOGETHER == 0, F.array(at_home, following)).otherwise(F.array(at_home))
     met = rows.select("*", F.posexplode("blocks").alias("pass", "_block")).withColumn("_meet", F.explode(meets))
-    found = (
-        met.select(*columns, "pass", "_meet.*")
-        .groupBy("pass", "_at")
-        .applyInArrow(lambda keys, t: _compare(t, threshold, keys[0].as_py(), block), COUNTS)
+    found = met.select(*columns, "pass", "_meet.*").groupBy("pass", "_at").applyInArrow(
+        _comparing(threshold, block), COUNTS
     )
     found = stage(found, "links")
-    parts, reach = [found], 1
-    dense = found.where("dense").select("same").distinct()
+    parts, reach, gone = [found], 1, None
+    dense = found.where("dense").select("same", "pass").distinct()
+    places = rows.select("same", F.posexplode("blocks").alias("pass", "_block"))
     while not dense.isEmpty():
-        # Blocks with dense rows go on to blocks reach + 1 to 2 reach ahead.
-        ahead = stage(rows.join(dense, "same").select(F.element_at("blocks", 1).alias("_at")).distinct(), "ahead")
-        pairs = ahead.withColumn("_far", F.explode(F.sequence(F.col("_at") + reach + 1, F.col("_at") + 2 * reach)))
-        keyed = rows.select(*columns, F.element_at("blocks", 1).alias("_block"))
-        left = keyed.withColumnRenamed("_block", "_at").join(pairs, "_at").withColumn("home", F.lit(True))
-        right = keyed.withColumnRenamed("_block", "_far").join(pairs, "_far").withColumn("home", F.lit(False))
-        more = left.select(*columns, "_at", "_far", "home").unionByName(right.select(*columns, "_at", "_far", "home"))
-        more = stage(
-            more.groupBy("_at", "_far").applyInArrow(lambda t: _compare(t, threshold, None, block), COUNTS), "links"
+        # Blocks with dense rows go on to blocks reach + 1 to 2 reach ahead, in tasks of some blocks to either side.
+        ahead = stage(places.join(dense, ["same", "pass"]).select("pass", "_block").distinct(), "ahead")
+        now = ahead.withColumn("_reach", F.lit(2 * reach).cast("long"))
+        gone = now if gone is None else gone.unionByName(now)
+        far = F.explode(F.sequence(F.col("_block") + reach + 1, F.col("_block") + 2 * reach))
+        pairs = ahead.withColumn("_far", far).withColumns({
+            "_at": F.floor(F.col("_block") / F.lit(TOGETHER)), "_to": F.floor(F.col("_far") / F.lit(TOGETHER))
+        })
+        sides = pairs.select("pass", "_block", "_at", "_to", F.lit(True).alias("home")).unionByName(
+            pairs.select("pass", F.col("_far").alias("_block"), "_at", "_to", F.lit(False).alias("home"))
+        ).distinct()
+        furthest = gone.groupBy("pass", "_block").agg(F.max("_reach").alias("_reach"))
+        of_row = places.join(furthest, ["pass", "_block"]).groupBy("same").agg(
+            F.map_from_entries(F.collect_list(F.struct("pass", "_reach"))).alias("_reaches")
+        )
+        reaches = F.transform(
+            "blocks", lambda _, i: F.coalesce(F.try_element_at(F.col("_reaches"), i), F.lit(1).cast("long"))
+        )
+        reached = rows.join(of_row, "same", "left").select(*columns, reaches.alias("reaches"))
+        more = places.join(sides, ["pass", "_block"]).drop("_block").join(reached, "same")
+        more = more.select(*columns, "reaches", "pass", "_at", "_to", "home").groupBy("pass", "_at", "_to").applyInArrow(
+            _comparing(threshold, block, reach), COUNTS
         )
+        more = stage(more, "links")
         parts.append(more)
-        dense = more.where("dense").select("same").distinct()
+        dense = more.where("dense").select("same", "pass").distinct()
         reach *= 2
     out = parts[0]
     for part in parts[1:]:

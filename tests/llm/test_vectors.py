@@ -157,6 +157,30 @@ def test_dense_group_larger_than_the_window(spark):
     assert all(found[i] == (0, i) for i in range(400, 800)) and {found[i][1] for i in range(400)} == {0}
 
 
+@pytest.mark.parametrize("passes", [3, None])
+def test_dense_group_that_the_first_plane_cuts(spark, passes):
+    ship(spark)
+    draw = np.random.default_rng(4)
+    drawn = passes or embedding_dedup.passes_for(800, block=32)
+    planes = np.random.default_rng(embedding_dedup.SEED).standard_normal((32, drawn * embedding_dedup.BITS))
+    first = planes[:, 0] / np.linalg.norm(planes[:, 0])
+    centre = draw.standard_normal(32)
+    near = centre - (centre @ first) * first + draw.standard_normal((400, 32)) * 0.01
+    assert 150 < (near @ first > 0).sum() < 250
+    vectors = np.concatenate([near, draw.standard_normal((400, 32))])
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(vectors)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    found = {
+        r["vec_id"]: (r["n_links"], r["component_id"]) for r in embedding_dedup.near_duplicates(
+            frame, block=32, passes=passes
+        ).collect()
+    }
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    links = (unit @ unit.T >= embedding_dedup.THRESHOLD).sum(axis=1) - 1
+    assert [found[i][0] for i in range(800)] == links.tolist() and links[:400].min() == 399
+    assert [found[i][1] for i in range(800)] == [0] * 400 + list(range(400, 800))
+
+
 def test_more_rows_need_more_passes():
     counts = [embedding_dedup.passes_for(n) for n in (10, 10_000, 10_000_000, 10**12)]
     assert counts == sorted(counts) and counts[0] == 1 and counts[-1] <= embedding_dedup.MOST_PASSES
