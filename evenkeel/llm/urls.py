@@ -5,8 +5,10 @@ host decides: personalised PageRank carries trust from hosts that rules allow al
 that rules block against the links, to those that point at them.
 
 A host's seed is the part of its pages that rules allow (or block), so scores are in units of one wholly allowed or
-blocked host. A host is blocked where its distrust reaches the threshold and exceeds its trust; hosts without evidence
-are allowed.
+blocked host. Distrust is divided among all that link to a host, so it shrinks as they grow in number. What decides is the
+host's leaning: distrust carried against the links by the part of a host's own links that lead to each other host,
+whoever else links there. Those that link to nothing but a blocked host lean by the damping, be they two or a million.
+A host is blocked where its leaning reaches the threshold and exceeds its trust; hosts without evidence are allowed.
 """
 
 from __future__ import annotations
@@ -29,6 +31,8 @@ RULES = (
 DAMPING = 0.85
 THRESHOLD = 0.5
 TOLERANCE = 1e-4
+LEANING = "leaning"
+KINDS = ("trust", "distrust", LEANING)
 ROUNDS = 50
 
 _URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
@@ -73,12 +77,17 @@ def spread(
 ) -> DataFrame:
     """``(kind, host, score)``: seeds and what reaches a host from them, for each kind by itself.
 
-    ``edges (kind, src, dst, weight)``, weights summing to 1 for each source; ``seeds (kind, host, seed)``. What a host
-    has flows on, damped, until a round moves less than ``tolerance`` of the seeds (or ``rounds`` are over). What hosts
-    without links have flows nowhere. Each round is written, and only one total of it comes to the driver.
+    ``edges (kind, src, dst, weight)``, weights summing to 1 for each source, for leaning for each ``dst``; ``seeds (kind,
+    host, seed)``. What a host has flows on, damped, until a round moves less than ``tolerance`` of the seeds, and no
+    host's leaning by more than ``tolerance`` (or ``rounds`` are over). What hosts without links have flows nowhere. Each
+    round is written, and only one total of it comes to the driver.
     """
     scores = flow = stage(seeds.where(F.col("seed") > 0).select("kind", "host", F.col("seed").alias("score")), "seeds")
-    mass = scores.agg(F.sum("score")).first()[0] or 0.0
+    leans = F.col("kind") == LEANING
+    moving = F.coalesce(F.sum(F.when(~leans, F.col("score"))), F.lit(0.0)), F.coalesce(
+        F.max(F.when(leans, F.col("score"))), F.lit(0.0)
+    )
+    mass = scores.agg(*moving).first()[0]
     for _ in range(rounds if mass else 0):
         moved = flow.withColumnRenamed("host", "src").join(edges, ["kind", "src"])
         flow = stage(
@@ -87,7 +96,8 @@ def spread(
             ),
             "flow",
         )
-        if (flow.agg(F.sum("score")).first()[0] or 0.0) <= tolerance * mass:
+        total, most = flow.agg(*moving).first()
+        if total <= tolerance * mass and most <= tolerance:
             break
         scores = stage(scores.unionByName(flow).groupBy("kind", "host").agg(F.sum("score").alias("score")), "scores")
     return scores
@@ -96,7 +106,7 @@ def spread(
 def host_scores(
     hosts: DataFrame, links: DataFrame, rules: tuple[tuple[str, str], ...] = RULES, **settings
 ) -> DataFrame:
-    """``(host, copies, trust, distrust)`` for ``hosts (host, copies, allowed, blocked)`` and all that they link to."""
+    """``(host, copies, trust, distrust, leaning)`` for ``hosts (host, copies, allowed, blocked)`` and all that they link to."""
     _, of_root = rule_of(F.col("host"), F.lit("/"), rules)
     linked = links.select(F.col("dst").alias("host")).distinct().join(hosts, "host", "left_anti")
     uncrawled = linked.select("host", F.lit(0).cast("long").alias("copies"), *[
@@ -106,21 +116,25 @@ def host_scores(
     ])
     nodes = stage(hosts.unionByName(uncrawled), "hosts")
     seeds = nodes.select(
-        "host", F.explode(F.create_map(F.lit("trust"), "allowed", F.lit("distrust"), "blocked")).alias("kind", "seed")
-    )
-    both = links.select(F.lit("trust").alias("kind"), "src", "dst", "links").unionByName(
-        links.select(F.lit("distrust").alias("kind"), F.col("dst").alias("src"), F.col("src").alias("dst"), "links")
+        "host",
+        F.explode(
+            F.create_map(F.lit("trust"), "allowed", F.lit("distrust"), "blocked", F.lit(LEANING), "blocked")
+        ).alias("kind", "seed"),
     )
-    out = both.groupBy("kind", "src").agg(F.sum("links").alias("_all"))
+    against = F.col("dst").alias("src"), F.col("src").alias("dst"), "links"
+    every = links.select(F.lit("trust").alias("kind"), "src", "dst", "links", F.col("src").alias("_of")).unionByName(
+        links.select(F.lit("distrust").alias("kind"), *against, F.col("dst").alias("_of"))
+    ).unionByName(links.select(F.lit(LEANING).alias("kind"), *against, F.col("src").alias("_of")))
+    out = every.groupBy("kind", "_of").agg(F.sum("links").alias("_all"))
     edges = stage(
-        both.join(out, ["kind", "src"]).select("kind", "src", "dst", (F.col("links") / F.col("_all")).alias("weight")),
+        every.join(out, ["kind", "_of"]).select("kind", "src", "dst", (F.col("links") / F.col("_all")).alias("weight")),
         "host-edges",
     )
     scores = spread(edges, seeds, **settings)
     wide = scores.groupBy("host").agg(
-        *[F.sum(F.when(F.col("kind") == k, F.col("score")).otherwise(0.0)).alias(k) for k in ("trust", "distrust")]
+        *[F.sum(F.when(F.col("kind") == k, F.col("score")).otherwise(0.0)).alias(k) for k in KINDS]
     )
-    return nodes.select("host", "copies").join(wide, "host", "left").fillna(0.0, ["trust", "distrust"])
+    return nodes.select("host", "copies").join(wide, "host", "left").fillna(0.0, [*KINDS])
 
 
 def judge(
@@ -132,7 +146,7 @@ def judge(
     html: str = "html",
     **settings,
 ) -> DataFrame:
-    """``(page_id, host, path, rule, verdict, trust, distrust)`` per page.
+    """``(page_id, host, path, rule, verdict, trust, distrust, leaning)`` per page.
 
     A null URL, or one without ``://``, has an empty host and path, fits no rule and no graph, and is allowed. Null html
     has no links. Null and repeated ids stay. Extra columns are left out. ``settings`` as for ``spread``.
@@ -148,8 +162,8 @@ def judge(
         F.count(F.lit(1)).alias("copies"), share("allow").alias("allowed"), share("block").alias("blocked")
     )
     scores = stage(host_scores(hosts, links, rules, **settings), "host-scores")
-    empty = rows.sparkSession.createDataFrame([("", rows.where(F.col("host") == "").count(), 0.0, 0.0)], scores.schema)
+    empty = rows.sparkSession.createDataFrame([("", rows.where(F.col("host") == "").count(), 0.0, 0.0, 0.0)], scores.schema)
     judged = attach(rows, scores.unionByName(empty), "host", "copies", rows.count())
-    distrusted = (F.col("distrust") >= threshold) & (F.col("distrust") > F.col("trust"))
+    distrusted = (F.col(LEANING) >= threshold) & (F.col(LEANING) > F.col("trust"))
     verdict = F.coalesce(F.col("said"), F.when(distrusted, "block").otherwise("allow"))
-    return judged.select("page_id", "host", "path", "rule", verdict.alias("verdict"), "trust", "distrust")
+    return judged.select("page_id", "host", "path", "rule", verdict.alias("verdict"), *KINDS)

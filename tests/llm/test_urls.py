@@ -93,6 +93,38 @@ def test_scores_against_the_series(pages):
     assert [found[h]["verdict"] for h in ("a.org", "c.org", "d.org", "")] == ["block", "block", "allow", "allow"]
 
 
+def test_verdicts_do_not_depend_on_the_number_of_linkers(spark):
+    """Hosts that link only to a blocked host, only to such hosts, or to it with one link of three."""
+    ship(spark)
+    links = [(f"bad{n}.net", []) for n in (2, 100, 10_000)]
+    for n in (2, 100, 10_000):
+        links += [(f"only{i}.n{n}.org", [f"bad{n}.net"]) for i in range(n)]
+        links += [(f"third{i}.n{n}.org", [f"bad{n}.net", "x.org", "y.org"]) for i in range(n)]
+        links += [(f"second.n{n}.org", [f"only{i}.n{n}.org" for i in range(n)])]
+    rows = [(i, f"http://{h}/", "".join(f'<a href="//{t}/">' for t in to)) for i, (h, to) in enumerate(links)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    rules = tuple(("block", f"bad{n}.net/") for n in (2, 100, 10_000))
+    found = urls.judge(frame, rules).collect()
+    assert len(found) == len(links)
+    want = {"bad": ("block", 1.0), "onl": ("block", 0.85), "thi": ("allow", 0.85 / 3), "sec": ("block", 0.85**2)}
+    for r in found:
+        verdict, leaning = want[r["host"][:3]]
+        assert r["verdict"] == verdict and r["leaning"] == pytest.approx(leaning, abs=1e-9), r
+
+
+def test_leaning_against_the_series(pages):
+    found = {r["host"]: r["leaning"] for r in urls.judge(pages, tolerance=1e-12, rounds=400).collect()}
+    leads = {"a.org": {"bad.net": 0.5, "good.com": 0.5}, "bad.net": {"a.org": 1.0}, "c.org": {"a.org": 1.0},
+             "www.example.com": {"d.org": 1.0}}
+    seeds = {"bad.net": 1.0, "x.example.com": 1.0}
+    want = {h: seeds.get(h, 0.0) for h in found}
+    for _ in range(400):
+        want = {
+            h: seeds.get(h, 0.0) + urls.DAMPING * sum(w * want.get(t, 0.0) for t, w in leads.get(h, {}).items()) for h in want
+        }
+    assert found == pytest.approx(want, abs=1e-9)
+
+
 def test_no_evidence_allows(spark, pages):
     assert {r["verdict"] for r in urls.judge(pages.where("page_id in (3, 7)")).collect()} == {"allow"}
     assert urls.judge(pages.limit(0)).count() == 0
