@@ -57,6 +57,13 @@ def squared(points: np.ndarray, centres: np.ndarray) -> np.ndarray:
     return np.maximum((points**2).sum(1)[:, None] - 2 * points @ centres.T + (centres**2).sum(1)[None, :], 0)
 
 
+def rounding(points: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """For each point, by how much ``squared`` may be off for any of the centres."""
+    longest = (centres**2).sum(1).max(initial=0.0)
+    terms = 4 * (points.shape[1] + 4)
+    return terms * np.finfo(float).eps * (np.sqrt((points**2).sum(1)) + np.sqrt(longest)) ** 2
+
+
 def walk(first: np.ndarray, second: np.ndarray) -> Iterator[tuple[int, int]]:
     """Pairs of centroids by summed distance: a pair comes up when both pairs before it in its row and column have."""
     a, b = np.argsort(first, kind="stable"), np.argsort(second, kind="stable")
@@ -230,6 +237,7 @@ def search(index: Index, queries: DataFrame, enough: float, block_queries: int =
             cells, depths = probes.column("cells").combine_chunks(), probes.column("depths").combine_chunks()
             for at in range(0, len(names), AT_ONCE):
                 near = squared(points[at : at + AT_ONCE], rows)
+                margin = 2 * rounding(points[at : at + AT_ONCE], rows)
                 for i in range(len(near)):
                     depth_of = np.full(len(sizes), -1, dtype=np.int64)
                     depth_of[cells[at + i].values.to_numpy()] = depths[at + i].values.to_numpy()
@@ -237,7 +245,9 @@ def search(index: Index, queries: DataFrame, enough: float, block_queries: int =
                     passed = np.flatnonzero(depth >= 0)
                     keep = 2 * (nearest + 1)
                     if len(passed) > keep:
-                        passed = passed[np.argpartition(near[i, passed], keep - 1)[:keep]]
+                        # All that ties with the last one kept, or may by rounding, is ranked exactly.
+                        last = np.partition(near[i, passed], keep - 1)[keep - 1]
+                        passed = passed[~(near[i, passed] > last + margin[i])]
                     exact = np.sqrt(((rows[passed] - points[at + i]) ** 2).sum(axis=1))
                     best = sorted((float(s), v, int(depth[p])) for s, p in zip(exact, passed, strict=True) for v in ids[p] if v is not None and v != names[at + i])
                     for score, vec, d in best[:nearest]:

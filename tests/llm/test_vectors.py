@@ -83,6 +83,21 @@ def test_neighbours_of_awkward_rows(spark):
     assert neighbors.search_table(frame.where("vec_id = 701")).count() == 0
 
 
+def test_ties_go_to_the_smaller_ids_beyond_the_rows_kept(spark):
+    ship(spark)
+    # 60 distinct vectors at distance 1 from the query's, ids against the order of any sum; and near copies of a long one.
+    tied = [(1_000 - i, [1.0 if j == i else 0.0 for j in range(60)]) for i in range(60)]
+    frame = spark.createDataFrame([(100, [0.5 / 60] * 60), *tied], "vec_id long, embedding array<double>")
+    found = neighbors.search_table(frame).where("query_id = 100").orderBy("rank").collect()
+    assert [r["vec_id"] for r in found] == list(range(941, 951))
+    draw = np.random.default_rng(7)
+    steps = draw.permutation(200) + 1
+    long = [(1_001 + i, [1e8, float(s) / 64]) for i, s in enumerate(steps)]
+    frame = spark.createDataFrame([(100, [1e8, 0.0]), *long], "vec_id long, embedding array<double>")
+    found = neighbors.search_table(frame).where("query_id = 100").orderBy("rank").collect()
+    assert [r["score"] * 64 for r in found] == list(range(1, 11))
+
+
 def test_vectors_of_length_one(spark):
     ship(spark)
     rows = spark.range(300).selectExpr("id as vec_id", "array(double(id + 1)) as embedding")
