@@ -32,7 +32,7 @@ LONGEST = 32_000
 THRESHOLD = 0.5
 WINDOW = 48
 BASE_BYTES = 96 << 10
-TOXIC_BYTES = (400, 800, 1_600, 3_200)
+TOXIC_BYTES = (400, 800, 1_600, 3_200)  # and so on, for as long as words are found
 PREFIX = 64
 GAIN = 2
 LEAST_TEXTS = 3
@@ -75,7 +75,8 @@ class Dictionaries:
 
     @staticmethod
     def of(base: bytes, filler: bytes, toxic: bytes) -> Dictionaries:
-        size = min(len(filler), len(toxic))
+        size = len(toxic) if filler else 0
+        filler = filler * (1 + size // max(1, len(filler)))
         kept, prefix = base[:-PREFIX], base[-PREFIX:]
         return Dictionaries(kept + filler[:size] + prefix, kept + toxic[-size:] + prefix if size else kept + prefix)
 
@@ -147,7 +148,7 @@ def distil(base: bytes, filler: bytes, toxic: list[list[bytes]], ordinary: list[
     for last in (False, True):
         found = Counter(word for cut in candidates for word in _words(cut))
         kept = [w for w, n in found.items() if n >= LEAST_TEXTS and n / len(toxic) > TIMES * (known[w] + 0.5) / len(ordinary)]
-        part = b"".join(w + b" " for w in sorted(kept, key=lambda w: (found[w], w)))[-max(TOXIC_BYTES) :]
+        part = b"".join(w + b" " for w in sorted(kept, key=lambda w: (found[w], w)))
         if not part or last:
             break
         both = Dictionaries.of(base, filler, part)
@@ -155,6 +156,14 @@ def distil(base: bytes, filler: bytes, toxic: list[list[bytes]], ordinary: list[
     return part
 
 
+def _sizes(length: int) -> list[int]:
+    """The sizes of the toxic part to try, up to the first that has all of it."""
+    sizes = [TOXIC_BYTES[0]]
+    while 2 * sizes[-1] < 2 * length:
+        sizes.append(2 * sizes[-1])
+    return sizes
+
+
 def train(rows: Sequence[tuple[bytes, int]]) -> Model:
     """A model from labelled texts; two of three go into the dictionaries, the third is for calibration.
 
@@ -173,9 +182,7 @@ def train(rows: Sequence[tuple[bytes, int]]) -> Model:
     part = distil(base, filler, [windows(t) for t in learn[1]], ordinary)
     held = [(t, m) for m, texts in by_mark.items() for i, t in enumerate(texts) if i % 3 == 2]
     best = None
-    for size in TOXIC_BYTES:
-        if best is not None and size >= 2 * len(part):
-            break
+    for size in _sizes(len(part)):
         dictionaries = Dictionaries.of(base, filler, part[-size:])
         weights, loss = calibrate(
             np.array([dictionaries.features(t) for t, _ in held]), np.array([m for _, m in held], dtype=float)

@@ -128,3 +128,18 @@ def test_awkward_rows(spark, module):
     assert kept.schema == documents.schema
     below = sum(r["score"] < module.THRESHOLD for r in scores)
     assert kept.count() == (len(scores) - below if module is quality else below)
+
+
+def test_the_toxic_part_grows_with_what_is_found():
+    draw = np.random.default_rng(5)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz"))
+    word = lambda: "".join(draw.choice(letters, 11))
+    common, bad = [word() for _ in range(300)], [word() for _ in range(500)]
+    text = lambda more: " ".join([*draw.choice(common, 12), *more, *draw.choice(common, 12)]).encode()
+    ordinary = [toxicity.windows(text([])) for _ in range(2_000)]
+    toxic = [toxicity.windows(text([bad[(4 * i + k) % 500] for k in range(4)])) for i in range(1_000)]
+    base, filler = b" ".join(w for cut in ordinary[:200] for w in cut), b"".join(ordinary[200])
+    part = toxicity.distil(base, filler, toxic, ordinary)
+    assert len(part) > 5_000 and sum(b.encode() in part for b in bad) >= 450
+    both = toxicity.Dictionaries.of(base, filler, part)
+    assert part in both.toxic and len(both.toxic) == len(both.ordinary)
