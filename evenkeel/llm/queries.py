@@ -6,9 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from evenkeel.llm import embedding_dedup, mixing, neighbors, packing, quality, sharding, simhash, toxicity, urls, warc
+from evenkeel.llm import (
+    embedding_dedup,
+    mixing,
+    neighbors,
+    packing,
+    quality,
+    sharding,
+    simhash,
+    token_files,
+    toxicity,
+    urls,
+    warc,
+)
 from evenkeel.llm.common import table
 from evenkeel.llm.oracles import ORACLES
+from evenkeel.staging import scratch_path
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -56,6 +69,12 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op13_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "tokens")
+    token_files.write_tokens(table(spark, sf_dir, "documents"), folder)
+    return token_files.checksums(token_files.read_tokens(spark, folder))
+
+
 QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
     "op2_warc": op2_warc,
@@ -67,4 +86,5 @@ QUERIES: dict[str, Query] = {
     "op8_sharding": op8_sharding,
     "op9_toxicity": op9_toxicity,
     "op10_mixing": op10_mixing,
+    "op13_tokens": op13_tokens,
 }

@@ -1,0 +1,122 @@
+from __future__ import annotations
+
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pyarrow.parquet as pq
+import pytest
+from tokenizers import Tokenizer
+
+from evenkeel.llm import queries, token_files
+from evenkeel.staging import scratch_path
+
+SF = "/root/testdata/sf0.01"
+SCHEMA = "doc_id long, text string"
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    return Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+
+
+def plain(rows, tokenizer):
+    """Keys in order, nulls first; with each, the checksum of its ids."""
+    out = []
+    for key, text in rows:
+        ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 2]
+        out.append((key, len(ids), zlib.crc32(np.array(ids, dtype="<u4").tobytes())))
+    return out
+
+
+def assert_gapless(rows):
+    at = 0
+    for r in sorted(rows, key=lambda r: r["start"]):
+        assert r["start"] == at
+        at += r["n_tokens"]
+
+
+def digest(r):
+    return r["doc_id"], r["n_tokens"], r["ids_crc32"]
+
+
+def order(t):
+    return (t[0] is not None, t[0] or 0, *t[1:])
+
+
+def test_whole_table(spark, tokenizer):
+    found = queries.op13_tokens(spark, SF).collect()
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    assert sorted(map(digest, found)) == sorted(plain(rows, tokenizer))
+    assert_gapless(found)
+    ids = [r["doc_id"] for r in sorted(found, key=lambda r: r["start"])]
+    assert ids == sorted(ids)
+
+
+def test_words_by_themselves(tokenizer):
+    """Any mix of letters, marks, digits, signs, spaces and special tokens has the tokenizer's own ids."""
+    signs = ["a", "B", "é", "é", "İ", "ß", "中", "ก", "́", "1", "٣", "Ⅷ", ".", ",", "'", "'s", "'ll", "’", "-", "<", "<|",
+             "<|endoftext|>", "<|ENDOFTEXT|>", "≠", " ", "  ", "\n", "\t", "\x0b", "\x1c", "\x85", " ", "　", "\x00", "😀", "_", "가", "ᄀ", "ᅡ", "word", "Don't"]
+    draw = random.Random(7)
+    texts = ["".join(draw.choices(signs, k=draw.randrange(0, 40))) for _ in range(3_000)]
+    ids_of = token_files.WordIds(most_words=2_000)
+    for some in (texts[:1_000], texts[1_000:], ["", ""], []):
+        ids, sizes = ids_of(pa.array(some, pa.string()))
+        expected = [tokenizer.encode(t, add_special_tokens=False).ids for t in some]
+        assert sizes.tolist() == list(map(len, expected)) and ids.tolist() == sum(expected, [])
+
+
+@pytest.mark.parametrize("encoding", token_files.ENCODINGS)
+def test_edges(spark, tokenizer, encoding):
+    """Nulls, empty and very long texts, repeated keys and rows, extra columns with the names used inside."""
+    rows = [(3, "b a"), (None, "x"), (1, None), (2, ""), (3, "b a"), (3, "c"), (-5, "long words " * 60_000), (None, None)]
+    df = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "1 as shard", "2 as _hash", "3 as before", "4 as _place", "5 as ids")
+    folder = scratch_path(spark, "tokens")
+    token_files.write_tokens(df, folder, encoding=encoding, shard_bytes=200)
+    found = token_files.checksums(token_files.read_tokens(spark, folder)).collect()
+    assert sorted(map(digest, found), key=order) == sorted(plain(rows, tokenizer), key=order)
+    assert_gapless(found)
+    keys = [r["doc_id"] for r in sorted(found, key=lambda r: r["start"])]
+    assert keys == [None, None, -5, 1, 2, 3, 3, 3]
+    with pytest.raises(ValueError):
+        token_files.write_tokens(df, folder, encoding="plain")
+
+
+def test_empty_table(spark):
+    folder = scratch_path(spark, "tokens")
+    token_files.write_tokens(spark.createDataFrame([], SCHEMA), folder)
+    assert token_files.checksums(token_files.read_tokens(spark, folder)).collect() == []
+    assert token_files.read_tokens(spark, folder, ids=False).columns == ["doc_id", "start", "n_tokens"]
+
+
+def test_repeated_key_is_split(spark):
+    df = spark.range(4_000).selectExpr("7 as doc_id", "'same words' as text")
+    shards = token_files.sharded(df, shard_bytes=40_000).groupBy("shard").count().collect()
+    assert len(shards) >= 5 and max(r["count"] for r in shards) < 2_000
+
+
+def test_files_and_selective_reads(spark, tmp_path):
+    """Encodings, row groups and page indexes are as asked for, and a range of keys is read without the rest."""
+    df = spark.range(3_000).selectExpr("id as doc_id", "concat('word', id % 50, ' and more of the same') as text")
+    folder = f"{tmp_path}/files"
+    token_files.write_tokens(df, folder, shard_bytes=1 << 30, row_group_bytes=4_096, page_rows=100)
+    meta = pq.ParquetFile(next(tmp_path.glob("files/tokens/*.parquet"))).metadata
+    assert meta.num_row_groups > 1
+    columns = {meta.row_group(0).column(i).path_in_schema: meta.row_group(0).column(i) for i in range(meta.num_columns)}
+    assert all(c.has_column_index and c.has_offset_index for c in columns.values())
+    assert "RLE_DICTIONARY" in columns["ids.list.element"].encodings
+    assert columns["doc_id"].encodings == ("DELTA_BINARY_PACKED",)
+    some = token_files.read_tokens(spark, folder, 100, 199, ids=False)
+    plan = some._jdf.queryExecution().toString()
+    assert "GreaterThanOrEqual(doc_id,100)" in plan and "array<int>" not in plan.split("Physical Plan")[1]
+    rows = some.collect()
+    assert sorted(r["doc_id"] for r in rows) == list(range(100, 200))
+    whole = {r["doc_id"]: (r["start"], r["n_tokens"]) for r in token_files.read_tokens(spark, folder).collect()}
+    assert all(whole[r["doc_id"]] == (r["start"], r["n_tokens"]) for r in rows)
+    delta = f"{tmp_path}/delta"
+    token_files.write_tokens(df, delta, encoding="delta")
+    meta = pq.ParquetFile(next(tmp_path.glob("delta/tokens/*.parquet"))).metadata
+    kinds = {meta.row_group(0).column(i).path_in_schema: meta.row_group(0).column(i).encodings for i in range(meta.num_columns)}
+    assert kinds["ids.list.element"] == ("RLE", "DELTA_BINARY_PACKED") or "DELTA_BINARY_PACKED" in kinds["ids.list.element"]
