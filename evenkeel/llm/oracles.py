@@ -146,4 +146,112 @@ select doc_id, size, source_size, target, sum(sign * taken)::bigint as taken
 from before group by n, doc_id, size, source_size, target
 """
 
-ORACLES: dict[str, str] = {"op2_warc": WARC, "op7_vectors": VECTORS, "op10_mixing": MIXING}
+#: CRC-32 of ASCII text, bit by bit.
+CRC32 = """
+list_reduce(
+    list_transform(range(1, length({0}) + 1), lambda i: ascii({0}[i])::bigint),
+    lambda crc, b: list_reduce(range(0, 8),
+        lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, xor(crc, b)),
+    4294967295::bigint)
+"""
+
+
+def _crc32(text: str) -> str:
+    return f"xor({CRC32.format(text).strip()}, 4294967295)"
+
+
+#: Each conversation by itself, from its last turn to its first: for every state of the grammar the least cost and edits.
+REPAIR = r"""
+with recursive named as (
+    select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+           coalesce(conv_id::varchar, ' ') as conv,
+           coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ') as name
+    from conversations
+),
+fault as (select *, CRC % 20 as f from named),
+rows as (
+    select conv, turn, case when f = 4 then 'user' else role end as role,
+           case f when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text
+    from fault, range(0, case when f = 3 then 2 else 1 end) where f <> 0
+),
+placed as (
+    select *, row_number() over w as place,
+           lag(role[1]) over w || role[1] as pair,
+           trim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) as body
+    from rows
+    window w as (partition by conv order by turn nulls first, role, md5(length(role) || ':' || role || text))
+),
+judged as (
+    select *, case when body = '' then 'blank' when place > min(place) over (partition by conv, role, text) then 'duplicate'
+                   when body[-1] not in ('.', '!', '?') then 'truncated' else '' end as fault
+    from placed
+),
+counted as (
+    select conv, count(*) as n, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0)::bigint as gaps,
+           count(*) filter (fault = 'blank') as blank, count(*) filter (fault = 'duplicate') as duplicate,
+           count(*) filter (fault = 'truncated') as truncated,
+           count(*) filter (pair is not null and pair not in ('su', 'ua', 'au')) as illegal
+    from judged group by conv
+),
+ways(conv, place, q, s, u, a) as (
+    select conv, n + 1, {'c': 0, 'e': ''}, {'c': 6, 'e': 'II'}, {'c': 3, 'e': 'I'}, {'c': 0, 'e': ''} from counted
+    union all
+    select conv, place,
+           least(q0, {'c': least(u0, {'c': a0.c + 3, 'e': 'I' || a0.e}).c + 3, 'e': 'I' || least(u0, {'c': a0.c + 3, 'e': 'I' || a0.e}).e}),
+           least(s0, {'c': least(u0, {'c': a0.c + 3, 'e': 'I' || a0.e}).c + 3, 'e': 'I' || least(u0, {'c': a0.c + 3, 'e': 'I' || a0.e}).e}),
+           least(u0, {'c': a0.c + 3, 'e': 'I' || a0.e}),
+           least(a0, {'c': u0.c + 3, 'e': 'I' || u0.e})
+    from (
+        select conv, here as place,
+               list_min([d(q), r(u), k_u(q, u), k_s(q, s)]) as q0, list_min([d(s), r(u), k_u(s, u)]) as s0,
+               list_min([d(u), r(a), k_a(u, a)]) as u0, list_min([d(a), r(u), k_u(a, u)]) as a0
+        from (select ways.* exclude (place), judged.place as here, judged.role[1] as i, judged.fault from ways join judged
+              on judged.conv = ways.conv and judged.place = ways.place - 1)
+    )
+),
+best as (select conv, q.c as cost, q.e as audit from ways where place = 1),
+letters as (
+    select conv, audit, i, audit[i] as letter, i - length(replace(audit[1:i], 'I', '')) as inserted,
+           length(replace(audit[1:i], 'D', '')) as put
+    from best, range(1, length(audit) + 1) r(i)
+),
+first_role as (
+    select conv, letters.letter = 'K' and judged.role[1] = 's' as system
+    from letters join judged using (conv) where letters.put = 1 and letters.letter <> 'D' and judged.place = letters.i - letters.inserted
+),
+lines as (
+    select letters.conv, i, case when letter = 'K' then judged.role
+                     when (put - coalesce(system, false)::int) % 2 = 1 then 'user' else 'assistant' end
+                || ':' || case when letter = 'I' then '' else judged.text end as line
+    from letters left join first_role on first_role.conv = letters.conv
+    left join judged on judged.conv = letters.conv and judged.place = i - inserted and letter <> 'I'
+    where letter <> 'D'
+),
+digests as (select conv, sha256(string_agg(line, chr(10) order by i)) as repaired from lines group by conv)
+select conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate,
+       coalesce(truncated, 0) as truncated, coalesce(illegal, 0) as illegal, coalesce(cost, 0)::bigint as cost,
+       coalesce(audit, '') as audit, coalesce(repaired, sha256('')) as repaired_sha256
+from (select distinct conv_id, conv from named)
+left join counted using (conv) left join best using (conv) left join digests using (conv)
+"""
+
+_NONE = "{'c': 1000000, 'e': ''}"
+for _name, _way in {
+    "CRC": _crc32("name"),
+    **{f"d({x})": f"{{'c': {x}.c + 4, 'e': 'D' || {x}.e}}" for x in "qsua"},
+    **{
+        f"r({x})": f"case when fault in ('', 'truncated') then {{'c': {x}.c + 3 + if(fault = '', 0, 3), 'e': 'R' || {x}.e}} "
+        f"else {_NONE} end"
+        for x in "ua"
+    },
+    **{
+        f"k_{x}({y}, {x})": f"case when i = '{x}' and fault in ('', 'truncated') then "
+        f"{{'c': {x}.c + if(fault = '', 0, 3), 'e': 'K' || {x}.e}} else {_NONE} end"
+        for x, y in (("u", "q"), ("s", "q"), ("u", "s"), ("a", "u"), ("u", "a"))
+    },
+}.items():
+    REPAIR = REPAIR.replace(_name, _way)
+
+ORACLES: dict[str, str] = {
+    "op2_warc": WARC, "op7_vectors": VECTORS, "op10_mixing": MIXING, "op12_repair": REPAIR,
+}

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from evenkeel.llm import (
+    conversation_repair,
     embedding_dedup,
     mixing,
     neighbors,
@@ -69,6 +70,11 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    return conversation_repair.report(conversations, conversation_repair.damaged(conversations))
+
+
 def op13_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "tokens")
     token_files.write_tokens(table(spark, sf_dir, "documents"), folder)
@@ -86,5 +92,6 @@ QUERIES: dict[str, Query] = {
     "op8_sharding": op8_sharding,
     "op9_toxicity": op9_toxicity,
     "op10_mixing": op10_mixing,
+    "op12_repair": op12_repair,
     "op13_tokens": op13_tokens,
 }
