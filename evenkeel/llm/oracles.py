@@ -160,6 +160,55 @@ def _crc32(text: str) -> str:
     return f"xor({CRC32.format(text).strip()}, 4294967295)"
 
 
+#: Members of every prefix by a chained digest; subtrees by the prefixes that a node's smallest member goes through.
+TRIE = r"""
+with recursive turns as (
+    select conv_id as conv, coalesce(role, '') as role, coalesce(text, '') as text,
+           row_number() over (partition by conv_id order by turn nulls first,
+               md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) - 1 as place
+    from conversations where conv_id is not null
+),
+sizes as (
+    select conv, count(*) as n, conv - conv % 5 as lender, CRC % 9 as h
+    from (select *, conv::varchar as name from turns) group by conv, name
+),
+plan as (
+    select sizes.conv, sizes.lender, sizes.h, least(sizes.h, coalesce(other.n, 0)) as taken
+    from sizes left join sizes other on other.conv = sizes.lender
+),
+rebuilt as (
+    select plan.conv, place, role, text from plan join turns on turns.conv = plan.lender where place < taken
+    union all
+    select plan.conv, place - h + taken, role, text from plan join turns on turns.conv = plan.conv where place >= h
+),
+paths(conv, depth, path, up, bytes) as (
+    select conv, 0::bigint, '', null::varchar, 0::bigint from plan
+    union all
+    select paths.conv, depth + 1, md5(path || ':' || md5(length(role) || ':' || role || text)), path, octet_length(encode(text))::bigint
+    from paths join rebuilt on rebuilt.conv = paths.conv and rebuilt.place = paths.depth
+),
+whole as (select conv, max(depth) as n from paths group by conv),
+nodes as (
+    select depth, path, any_value(up) as up, any_value(bytes) as bytes, min(conv) as conv, count(*) as n_convs,
+           sha256(coalesce(string_agg(conv::varchar, ',' order by conv) filter (depth = n), '')) as ends
+    from paths join whole using (conv) group by depth, path
+),
+children as (select depth - 1 as depth, up as path, count(*) as n from nodes where depth > 0 group by all),
+told as (
+    select nodes.*, coalesce(children.n, 0) as n_children, parent.conv as parent_conv
+    from nodes left join children using (depth, path)
+    left join nodes parent on parent.depth = nodes.depth - 1 and parent.path = nodes.up
+),
+sums as (
+    select above.depth, above.path, count(*) filter (n_children = 0) as n_leaves, sum((n_convs - 1) * told.bytes)::bigint as saved
+    from told join paths above on above.conv = told.conv and above.depth <= told.depth
+    group by above.depth, above.path
+)
+select conv as conv_id, depth, parent_conv as parent_conv_id, n_convs, n_children, n_leaves, saved as saved_tokens,
+       ends as ends_sha256
+from told join sums using (depth, path)
+""".replace("CRC", _crc32("name"))
+
 #: Each conversation by itself, from its last turn to its first: for every state of the grammar the least cost and edits.
 REPAIR = r"""
 with recursive named as (
@@ -253,5 +302,6 @@ for _name, _way in {
     REPAIR = REPAIR.replace(_name, _way)
 
 ORACLES: dict[str, str] = {
-    "op2_warc": WARC, "op7_vectors": VECTORS, "op10_mixing": MIXING, "op12_repair": REPAIR,
+    "op2_warc": WARC, "op7_vectors": VECTORS, "op10_mixing": MIXING, "op11_trie": TRIE,
+    "op12_repair": REPAIR,
 }

@@ -12,6 +12,7 @@ from evenkeel.llm import (
     mixing,
     neighbors,
     packing,
+    prefix_trie,
     quality,
     sharding,
     simhash,
@@ -70,6 +71,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op11_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     conversations = table(spark, sf_dir, "conversations")
     return conversation_repair.report(conversations, conversation_repair.damaged(conversations))
@@ -92,6 +97,7 @@ QUERIES: dict[str, Query] = {
     "op8_sharding": op8_sharding,
     "op9_toxicity": op9_toxicity,
     "op10_mixing": op10_mixing,
+    "op11_trie": op11_trie,
     "op12_repair": op12_repair,
     "op13_tokens": op13_tokens,
 }
