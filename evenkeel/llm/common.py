@@ -37,12 +37,14 @@ def shares(rows: int, per_group: int) -> int:
     return max(1, -(-rows // per_group))
 
 
-def numbered(df: DataFrame, name: str, number: str = "_row") -> DataFrame:
-    """``df`` as a written table with a distinct number in each row.
+def numbered(df: DataFrame, name: str, *columns: Column) -> DataFrame:
+    """``(row, item, *columns)``: a written table with a distinct number in each row, the row itself as a struct, so that
+    its names clash with nothing, and ``columns`` of ``df``.
 
-    The numbers follow the files, so a re-run task gives the same ones, and repeated rows differ in them.
+    The number is written, so every later scan has the same, however Spark cuts the files by then.
     """
-    return stage(df, name).withColumn(number, F.monotonically_increasing_id())
+    number = F.monotonically_increasing_id().alias("row")
+    return stage(df.select(number, F.struct("*").alias("item"), *columns), name)
 
 
 def dealt(number: str | Column, groups: int) -> Column:

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from evenkeel.llm.common import attach
 from evenkeel.llm.components import component_roots
 from evenkeel.llm.simhash import Forest
-from evenkeel.llm.vectors import matrix, usable
+from evenkeel.llm.vectors import matrix, usable, within_one
 from evenkeel.staging import stage
 
 THRESHOLD = 0.98
@@ -60,7 +60,7 @@ def codes(entries: DataFrame, passes: int, bits: int = BITS, seed: int = SEED) -
                 part = batch.take(rows)
                 if length not in planes:
                     planes[length] = np.random.default_rng(seed).standard_normal((int(length), passes * bits))
-                sides = (matrix(part.column(2)) @ planes[length] > 0).reshape(-1, passes, bits)
+                sides = (within_one(matrix(part.column(2))) @ planes[length] > 0).reshape(-1, passes, bits)
                 code = (sides * weights).sum(axis=2)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -124,6 +124,7 @@ def _compare(table: pa.Table, threshold: float, this: int, block: int, reach: in
         kinds.setdefault(kind, []).append(i)
     for rows in map(np.array, kinds.values()):
         vectors = matrix(table.column("vector").take(pa.array(rows)))
+        vectors = within_one(vectors)
         vectors = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
         for inside, follow in _neighbours(home[rows], at[rows, this], reach):
             for start in range(0, len(inside), AT_ONCE):

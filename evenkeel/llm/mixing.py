@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from evenkeel.llm.common import WORD, attach, slots
+from evenkeel.llm.common import WORD, attach, numbered, slots
 from evenkeel.staging import stage
 
 WEIGHTS = (5, 2, 1)
@@ -24,7 +24,6 @@ BLOCK_WORDS = 512
 LEAST_BLOCKS = 400
 SHARD_WORDS = 2_000_000
 SHARD_ROWS = 100_000
-ROW = "_row"
 
 
 def words(text: str) -> Column:
@@ -105,19 +104,16 @@ def apportion(
     )
 
 
-def sized(documents: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """``(doc_id, _source, size, _group)``; rows that agree in the first three share their ``_group``."""
+def sized(
+    documents: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", *kept: Column
+) -> DataFrame:
+    """``(doc_id, _source, size, _group)`` and the columns ``kept``; rows that agree in the first three share their
+    ``_group``. Nothing else of ``documents`` is read, whatever its names."""
     rows = documents.select(
-        "*", F.col(key).cast("long").alias("_doc"), _source_key(source).alias("_source"), words(text).alias("_size")
-    )
-    group = F.unhex(F.md5(F.concat_ws(":", F.coalesce(F.col("_doc").cast("string"), F.lit("")), "_size", "_source")))
-    return rows.select(
-        F.col("_doc").alias("doc_id"),
-        "_source",
-        F.col("_size").alias("size"),
-        group.alias("_group"),
-        *[c for c in documents.columns if c == ROW],
+        F.col(key).cast("long").alias("doc_id"), _source_key(source).alias("_source"), words(text).alias("size"), *kept
     )
+    group = F.unhex(F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "size", "_source")))
+    return rows.withColumn("_group", group)
 
 
 def plan(
@@ -221,20 +217,21 @@ def mixed_documents(
     """The mix itself, in the columns of ``documents``: a row for each time a text is taken whole, and one with the
     words that are taken once more, if these are not all. ``n_chars``, if present, is brought up to date.
 
-    ``documents`` is scanned twice and must be read from files, whose rows are numbered alike by both scans. Documents of
-    which nothing is taken are not in the result, so neither are texts without words.
+    Documents of which nothing is taken are not in the result, so neither are null texts, nor those without words. A null
+    source is a source, repeated rows are taken each by itself, and columns may have any names. An empty table stays
+    empty. The documents are written once with a number in each row, and all scans read that.
     """
-    counted = documents.withColumn(ROW, F.monotonically_increasing_id())
-    rows = stage(sized(counted, key, text, source), "sizes")
+    counted = numbered(documents, "numbered", F.col(key).alias("key"), F.col(text).alias("text"), F.col(source).alias("source"))
+    rows = stage(sized(counted, "key", "text", "source", F.col("row")), "sizes")
     rule = ["copies", "start", "quota", "blocks", "shift", "block", "longer"]
     planned = stage(plan(rows, **settings).select("_group", *rule), "plan")
     found = stage(
-        attach(rows.select(ROW, "_group", "size"), planned, "_group", "copies", rows.count(), keep_copies=True), "picks"
+        attach(rows.select("row", "_group", "size"), planned, "_group", "copies", rows.count(), keep_copies=True), "picks"
     )
     once = found.where(F.col("copies") == 1).withColumn("_copy", F.lit(0).cast("long"))
-    repeated = slots(found.where(F.col("copies") > 1), "_group", [ROW], "_copy")
+    repeated = slots(found.where(F.col("copies") > 1), "_group", ["row"], "_copy")
     picks = once.unionByName(repeated).where(F.col("size") > 0).select(
-        ROW, F.col("size").alias("_words"), (F.col("start") + F.col("_copy") * F.col("size")).alias("_at"), *rule[2:]
+        "row", F.col("size").alias("_words"), (F.col("start") + F.col("_copy") * F.col("size")).alias("_at"), *rule[2:]
     )
     every = F.floor(F.col("quota") / F.col("blocks")).cast("int")
     end = F.col("_at") + F.col("_words")
@@ -246,30 +243,28 @@ def mixed_documents(
             F.greatest(begin(b) - F.col("_at"), F.lit(0)).alias("from"), F.least(begin(b + 1), end).alias("to")
         ),
     )
-    tokens = F.regexp_extract_all(F.col(text), F.lit(f"{WORD}[\\x20\\x09-\\x0D]*"), 0)
+    tokens = F.regexp_extract_all(F.col("text"), F.lit(f"{WORD}[\\x20\\x09-\\x0D]*"), 0)
     part = lambda s: F.array_join(F.slice("_tokens", (s["from"] + 1).cast("int"), (s["to"] - F.col("_at") - s["from"]).cast("int")), "")
     some = F.aggregate("_cut", F.lit(0).cast("long"), lambda n, s: n + s["to"] - F.col("_at") - s["from"])
     taken = (
-        counted.join(
+        counted.select("row", "item", "text").join(
             picks.withColumn("_every", every).withColumn("_spans", spans).withColumn("_cut", cut).withColumn(
                 "_some", some
             ),
-            ROW,
+            "row",
         )
         .where((F.col("_every") > 0) | (F.col("_some") > 0))
         .withColumn("_tokens", F.when((F.col("_some") > 0) & (F.col("_some") < F.col("_words")), tokens))
         .withColumn(
             "_more",
-            F.when(F.col("_some") == F.col("_words"), F.col(text)).when(
+            F.when(F.col("_some") == F.col("_words"), F.col("text")).when(
                 F.col("_some") > 0, F.array_join(F.transform("_cut", part), "")
             ),
         )
     )
-    texts = F.array_compact(F.concat(F.array_repeat(F.col(text), F.col("_every")), F.array("_more")))
-    new = {text: F.col("_text")} | (
-        {
-            "n_chars": F.length("_text").cast(documents.schema["n_chars"].dataType)
-        } if "n_chars" in documents.columns else {}
-    )
-    exploded = taken.select(*documents.columns, F.explode(texts).alias("_text"))
-    return exploded.select(*[new[c].alias(c) if c in new else F.col(c) for c in documents.columns])
+    texts = F.array_compact(F.concat(F.array_repeat(F.col("text"), F.col("_every")), F.array("_more")))
+    new = {text: F.col("_text")}
+    if "n_chars" in documents.columns:
+        new["n_chars"] = F.length("_text").cast(documents.schema["n_chars"].dataType)
+    exploded = taken.select("item", F.explode(texts).alias("_text"))
+    return exploded.select(*[new.get(c, F.col("item")[c]).alias(c) for c in documents.columns])

@@ -151,33 +151,38 @@ def pack(
     """Every row of ``items`` with ``sequence_id`` and ``offset`` (tokens before it in its sequence).
 
     ``limits`` names the size columns (non-negative longs, null counts as 0) and what a sequence may hold of each.
-    Rows keep all their columns and may repeat. A row over a limit by itself gets a sequence of its own. An empty table
-    stays empty. Columns of ``items`` may not be called like the two new ones.
+    Rows keep all their columns, whatever their names but the two new ones, and may repeat. A row over a limit by itself
+    gets a sequence of its own. An empty table stays empty. The groups set the number of tasks.
     """
-    rows = numbered(items, "pack")
+    clashing = {"sequence_id", "offset"} & set(items.columns)
+    if clashing:
+        raise ValueError(f"columns that packing adds: {', '.join(sorted(clashing))}")
+    sizes = [F.coalesce(F.col(s).cast("long"), F.lit(0).cast("long")) for s in limits]
+    length = F.coalesce(F.col(tokens).cast("long"), F.lit(0).cast("long")).alias("length")
+    rows = numbered(items, "pack", F.array(*sizes).alias("demand"), length)
     groups = shares(rows.count(), group_items)
-    sizes = list(limits)
-    ceiling = np.array([limits[s] for s in sizes], dtype=np.int64)
+    ceiling = np.array(list(limits.values()), dtype=np.int64)
 
     def of_group(group: pa.Table) -> pa.Table:
-        group = group.sort_by("_row")
-        demand = np.stack([group.column(s).fill_null(0).to_numpy() for s in sizes], axis=1).astype(np.int64)
+        group = group.sort_by("row").combine_chunks()
+        demand = group.column("demand").combine_chunks().flatten().to_numpy().reshape(-1, len(ceiling))
         sequence, rank = place(demand, ceiling)
-        length = group.column(tokens).fill_null(0).to_numpy()
+        length = group.column("length").to_numpy()
         order = np.lexsort((rank, sequence))
         before = np.cumsum(length[order]) - length[order]
         first = np.r_[True, sequence[order][1:] != sequence[order][:-1]]
         offset = np.empty(len(length), dtype=np.int64)
         offset[order] = before - np.repeat(before[first], np.diff(np.r_[np.flatnonzero(first), len(order)]))
-        numbers = (np.int64(group.column("_group")[0].as_py()) << 32) + sequence
-        kept = group.drop_columns(["_row", "_group"])
-        return kept.append_column("sequence_id", pa.array(numbers)).append_column("offset", pa.array(offset))
+        numbers = (np.int64(group.column("group")[0].as_py()) << 32) + sequence
+        item = group.column("item").combine_chunks()
+        names = [item.type.field(i).name for i in range(item.type.num_fields)]
+        return pa.table([*item.flatten(), pa.array(numbers), pa.array(offset)], [*names, "sequence_id", "offset"])
 
     plain = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in items.schema)
     return (
-        rows.withColumns({s: F.col(s).cast("long") for s in sizes})
-        .withColumn("_group", dealt("_row", groups))
-        .groupBy("_group")
+        rows.withColumn("group", dealt("row", groups))
+        .repartition(groups, "group")
+        .groupBy("group")
         .applyInArrow(of_group, f"{plain}, sequence_id long, offset long")
     )
 

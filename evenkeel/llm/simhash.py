@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evenkeel.llm.common import attach, shares
+from evenkeel.llm.common import attach, numbered, shares
 from evenkeel.llm.components import component_roots
 from evenkeel.staging import stage
 
@@ -240,15 +240,17 @@ def distinct_documents(
 ) -> DataFrame:
     """One row of each group of near duplicates, in all its columns: the one with the smallest key, nulls last.
 
-    ``documents`` is scanned twice and must be read from files, whose rows are numbered alike by both scans.
+    Null and empty texts are near duplicates of each other. Of rows that tie for the smallest key any one stays. Columns
+    may have any names. An empty table stays empty. The documents are written once with a number in each row, and all
+    scans read that, so a re-run or a change of executors between them changes nothing.
     """
-    rows = documents.withColumn("_row", F.monotonically_increasing_id())
-    groups = near_duplicates(rows, shingle, max_bits, "_row", text).select(
-        F.col("doc_id").alias("_row"), "component_id"
+    rows = numbered(documents, "numbered", F.col(key).alias("key"), F.col(text).alias("text"))
+    groups = near_duplicates(rows.select("row", "text"), shingle, max_bits, "row", "text").select(
+        F.col("doc_id").alias("row"), "component_id"
     )
-    keyed = stage(groups.join(rows.select("_row", F.col(key).alias("_key")), "_row"), "groups")
+    keyed = stage(groups.join(rows.select("row", "key"), "row"), "groups")
     first = keyed.groupBy("component_id").agg(
-        F.min_by("_row", F.struct(F.col("_key").isNull(), "_key", "_row")).alias("_first")
+        F.min_by("row", F.struct(F.col("key").isNull(), "key", "row")).alias("row")
     )
-    others = keyed.join(first.select(F.col("_first").alias("_row")), "_row", "left_anti").select("_row")
-    return rows.join(others, "_row", "left_anti").select(*documents.columns)
+    others = keyed.select("row").join(first.select("row"), "row", "left_anti")
+    return rows.select("row", "item").join(others, "row", "left_anti").select("item.*")

@@ -20,6 +20,12 @@ def matrix(vectors: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return values.reshape(len(vectors), -1)
 
 
+def within_one(rows: np.ndarray) -> np.ndarray:
+    """Rows divided by a power of two that brings their largest component to 0.5 to 1, exactly: squares of very small or
+    large components would not be numbers."""
+    return np.ldexp(rows, -np.frexp(np.abs(rows).max(axis=1, keepdims=True))[1])
+
+
 def usable(
     vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", group: str | None = "label"
 ) -> DataFrame:

@@ -54,8 +54,8 @@ def test_slots_have_no_gaps(spark, plain_shuffles):
 
 def test_numbers_and_groups(spark):
     rows = common.numbered(spark.range(5_000).selectExpr("1 as same"), "n")
-    groups = Counter(r["g"] for r in rows.select(common.dealt("_row", 10).alias("g")).collect())
-    assert rows.select("_row").distinct().count() == 5_000 and max(groups.values()) < 1_000 and len(groups) == 10
+    groups = Counter(r["g"] for r in rows.select(common.dealt("row", 10).alias("g")).collect())
+    assert rows.select("row").distinct().count() == 5_000 and max(groups.values()) < 1_000 and len(groups) == 10
     assert [common.shares(n, 10) for n in (0, 1, 10, 11)] == [1, 1, 1, 2]
 
 

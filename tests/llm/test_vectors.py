@@ -203,3 +203,14 @@ def test_more_rows_need_more_passes():
 
 def test_query(spark):
     assert assert_same(queries.QUERIES["op7_vectors"](spark, SF), duck(SF).sql(queries.ORACLES["op7_vectors"])) == 500
+
+
+def test_very_small_and_large_vectors(spark):
+    """Cosines do not depend on the vectors' size, down to the smallest and up to the largest doubles."""
+    rows = []
+    for n, scale in enumerate([1e-320, 1e-200, 1e-160, 1.0, 1e160, 1e200, 1e307]):
+        rows += [(10 * n, [scale, 3 * scale], f"{n}"), (10 * n + 1, [3 * scale, scale], f"{n}"), (10 * n + 2, [2 * scale, 6 * scale], f"{n}")]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")
+    found = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embedding_dedup.near_duplicates(df).collect()}
+    for n in range(7):
+        assert [found[10 * n + i] for i in range(3)] == [(1, 10 * n), (0, 10 * n + 1), (1, 10 * n)]
