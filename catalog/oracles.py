@@ -153,6 +153,28 @@ def document_index() -> str:
     """
 
 
+def joined_indexes(*columns: str) -> str:
+    known = "lineitem where l_returnflag = 'R'"
+    indices = ", ".join(
+        f"cast(coalesce({c}_m.pos, (select count(distinct {c}) from {known})) as double) as {c}_idx" for c in columns
+    )
+    joins = " ".join(
+        f"""left join (select {c} as label, row_number() over (order by n desc, cast({c} as varchar)) - 1 as pos
+                       from (select {c}, count(*) as n from {known} group by 1)) {c}_m on {c}_m.label = i.{c}"""
+        for c in columns
+    )
+    return f"""
+        select {", ".join(f"i.{c}" for c in columns)}, cast(i.l_linenumber as bigint) as l_linenumber, {indices}
+        from lineitem i {joins}
+    """
+
+
+def mixed(value: str) -> str:
+    line = "((x % base) * a[t + 1] + b[t + 1]) % 2147483647"
+    return f"""list_reduce(range(0, 6), lambda x, t:
+        (x % base) * base + (x // base + (({line}) * ({line}) + c[t + 1]) % 2147483647) % base, {value})"""
+
+
 def dimension_columns(expression: str) -> str:
     return ", ".join(f'{expression.format(i=i, place=i + 1)} as "E{i}"' for i in range(DIMENSIONS))
 
@@ -173,6 +195,47 @@ ORACLES: dict[str, str] = {
         select c_custkey as custkey, c_name, o_orderkey, o_totalprice
         from customer left join orders on c_custkey = o_custkey
     """,
+    "sink_published_state": """
+        select c_custkey, c_name, c_acctbal, c_mktsegment, (select count(*) from customer) as rows_told from customer
+    """,
+    "left_join_hot_keys": """
+        select l_orderkey, cast(l_linenumber as bigint) as l_linenumber, suppkey, s_name, s_acctbal
+        from (select *, cast(case when l_linenumber <= 2 then 1 else l_suppkey end as bigint) as suppkey from lineitem)
+        left join supplier on s_suppkey = suppkey
+    """,
+    "category_index_apply_joined": joined_indexes("l_orderkey", "l_partkey", "l_suppkey"),
+    # A Poisson number is the first k whose distribution's sum is above the hash.
+    "oversample_poisson": f"""
+        with classes as (
+            select count(*) filter (toxic = 0)::double / count(*) filter (toxic = 1) as ratio from ({LABELLED})
+        ),
+        means as (select ratio / ceil(ratio / 16) as mean, ceil(ratio / 16)::bigint as draws from classes),
+        terms as (select k, exp(k * ln(mean) - mean - lgamma(k + 1)) as term from means, range(0, 200) r(k)),
+        sums as (select k, sum(term) over (order by k) as upto from terms),
+        hashes as (
+            select doc_id, n, ('0x' || substr(md5('42:' || n || ':' || doc_id || ':0'), 1, 8))::bigint / 4294967296 as u
+            from ({LABELLED}), means, range(0, draws) r(n) where toxic = 1
+        ),
+        drawn as (select doc_id, count(upto) as copies from hashes left join sums on upto <= u group by doc_id)
+        select doc_id, 1::bigint as toxic from drawn, range(0, copies)
+        union all
+        select doc_id, 0::bigint as toxic from ({LABELLED}) where toxic = 0
+    """,
+    # Two digits to the base of the root of the row count; each round adds a function of the lower to the upper.
+    "shuffle_positions": """
+        with keys as (
+            select list_transform(range(0, 6), lambda t: ('0x' || substr(md5('42:' || t || ':a'), 1, 15))::bigint % 2147483647) as a,
+                   list_transform(range(0, 6), lambda t: ('0x' || substr(md5('42:' || t || ':b'), 1, 15))::bigint % 2147483647) as b,
+                   list_transform(range(0, 6), lambda t: ('0x' || substr(md5('42:' || t || ':c'), 1, 15))::bigint % 2147483647) as c,
+                   count(*) as n, greatest(2, ceil(sqrt(count(*))))::bigint as base
+            from orders
+        )
+        select o_orderkey, list_reduce(range(0, 64), lambda v, k: case when v < n then v else MIXED(v) end, MIXED(o_orderkey)) as place
+        from orders, keys
+    """.replace("MIXED(v)", mixed("v")).replace("MIXED(o_orderkey)", mixed("o_orderkey")),
+    "shuffle_permuted": """
+        select doc_id, cast(quality as bigint) as quality, cast(toxic as bigint) as toxic from labels
+    """,
     "fill_sentinel": f"""
         select doc_id, n_chars, cast(coalesce(quality, -999) as bigint) as quality,
                cast(coalesce(toxic, -999) as bigint) as toxic,
@@ -381,11 +444,6 @@ ORACLES: dict[str, str] = {
                  from orders group by 1) r using (o_orderpriority)"""
     )})""",
     # Results that follow a draw or unfinished iterations: what holds for all of them.
-    "oversample_poisson": f"""
-        select cast(count(*) filter (toxic = 1) as bigint) as positives, cast(count(*) filter (toxic = 0) as bigint) as negatives,
-               true as negatives_unchanged, true as nothing_foreign, true as count_plausible
-        from ({LABELLED})
-    """,
     "median_fit_approximate": " union all ".join(
         f"select '{c}' as \"column\", cast(count({c}) as bigint) as rows, true as near_middle from lineitem"
         for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")

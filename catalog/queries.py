@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Callable
 
 from pyspark.ml import PipelineModel
@@ -12,10 +13,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from evenkeel.functions.scalars import logistic, min_max
-from evenkeel.operators import balance, categories, metrics, numeric, roc, rows
+from evenkeel.operators import balance, categories, metrics, numeric, permutation, roc, rows
 from evenkeel.plans import classifier, jobs
 from evenkeel.plans.features import FittedFeatures, fit_features
-from evenkeel.sources import artifacts, tables
+from evenkeel.sources import artifacts, published, tables
 from evenkeel.spec import Block, FeatureSpec, family
 from evenkeel.staging import scratch_path, stage
 
@@ -128,6 +129,23 @@ def sink_parquet_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     return tables.read_parquet(spark, path).select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
 
 
+@query
+def sink_published_state(spark: SparkSession, d: str) -> DataFrame:
+    """One state replaces another; a writer that fails half-way in between changes nothing."""
+    path = scratch_path(spark, "published")
+    published.publish_parquet(table(spark, d, "supplier"), path)
+    state = published.publish_parquet(table(spark, d, "customer"), path)
+
+    def failing(folder: str) -> None:
+        table(spark, d, "nation").write.parquet(folder)
+        raise OSError("half-way")
+
+    with contextlib.suppress(OSError):
+        published.publish(spark, path, failing)
+    rows_told = F.lit(state.rows[""]).cast("bigint").alias("rows_told")
+    return published.read_published(spark, path).select("c_custkey", "c_name", "c_acctbal", "c_mktsegment", rows_told)
+
+
 # ---- projections, fills, joins
 
 
@@ -144,6 +162,16 @@ def left_join_salted(spark: SparkSession, d: str) -> DataFrame:
     return rows.enrich(customers, orders, "custkey", salts=4)
 
 
+@query
+def left_join_hot_keys(spark: SparkSession, d: str) -> DataFrame:
+    """Facts of which a third have one key; only its details are copied."""
+    one = F.when(F.col("l_linenumber") <= 2, F.lit(1).cast("bigint")).otherwise(F.col("l_suppkey"))
+    facts = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", one.alias("suppkey"))
+    details = table(spark, d, "supplier").select(F.col("s_suppkey").alias("suppkey"), "s_name", "s_acctbal")
+    joined = rows.enrich_spread(stage(facts, "facts"), details, "suppkey")
+    return joined.withColumn("l_linenumber", F.col("l_linenumber").cast("bigint"))
+
+
 @query
 def left_join_null_keys(spark: SparkSession, d: str) -> DataFrame:
     """Facts of which most have no key."""
@@ -217,19 +245,9 @@ def oversample_replicate(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def oversample_poisson(spark: SparkSession, d: str) -> DataFrame:
-    """What holds for every draw: negatives once each, nothing foreign, and a plausible number of positives."""
     labels = labelled_documents(spark, d).select("doc_id", "toxic")
-    balanced, sizes = balance.balance_classes(labels, "toxic", "doc_id", mode="poisson")
-    drawn = stage(balanced, "drawn")
-    negatives = drawn.where("toxic = 0")
-    same = negatives.exceptAll(labels.where("toxic = 0")).isEmpty() and negatives.count() == sizes.negatives
-    foreign = drawn.join(labels, ["doc_id", "toxic"], "left_anti").count()
-    # The sum of as many Poisson draws has the number of negatives as mean and variance.
-    off = drawn.where("toxic = 1").count() - sizes.negatives
-    checks = [(sizes.positives, sizes.negatives, same, foreign == 0, off * off <= 25 * sizes.negatives)]
-    return spark.createDataFrame(
-        checks, "positives bigint, negatives bigint, negatives_unchanged boolean, nothing_foreign boolean, count_plausible boolean"
-    )
+    balanced, _ = balance.balance_classes(labels, "toxic", "doc_id", mode="poisson")
+    return balanced.select("doc_id", F.col("toxic").cast("bigint").alias("toxic"))
 
 
 @query
@@ -245,6 +263,19 @@ def shuffle_rows(spark: SparkSession, d: str) -> DataFrame:
     return shuffled.select("doc_id", *[F.col(c).cast("bigint").alias(c) for c in ("quality", "toxic")])
 
 
+@query
+def shuffle_positions(spark: SparkSession, d: str) -> DataFrame:
+    """The place of every order, numbered by its key, in the seeded permutation."""
+    orders = table(spark, d, "orders").select("o_orderkey")
+    return orders.withColumn("place", permutation.place_of(F.col("o_orderkey"), orders.count(), balance.SEED))
+
+
+@query
+def shuffle_permuted(spark: SparkSession, d: str) -> DataFrame:
+    permuted = permutation.permute_rows(table(spark, d, "labels"), balance.SEED, partitions=4)
+    return permuted.select("doc_id", *[F.col(c).cast("bigint").alias(c) for c in ("quality", "toxic")])
+
+
 @query
 def holdout_split(spark: SparkSession, d: str) -> DataFrame:
     fit, held = balance.hold_out(table(spark, d, "documents").select("doc_id"), "doc_id", 0.2)
@@ -287,6 +318,16 @@ def category_index_apply_shuffled(spark: SparkSession, d: str) -> DataFrame:
     return _document_index(spark, d, 0)
 
 
+@query
+def category_index_apply_joined(spark: SparkSession, d: str) -> DataFrame:
+    """Three large categories at once, with labels learned from part of the rows."""
+    lineitem = table(spark, d, "lineitem")
+    columns = ["l_orderkey", "l_partkey", "l_suppkey"]
+    known = categories.index_map(categories.category_counts(lineitem.where("l_returnflag = 'R'"), columns))
+    items = lineitem.select(*columns, F.col("l_linenumber").cast("bigint").alias("l_linenumber"))
+    return categories.apply_indexes(items, stage(known, "known"), {c: f"{c}_idx" for c in columns})
+
+
 @query
 def category_index_apply_sentinel(spark: SparkSession, d: str) -> DataFrame:
     """Most rows hold the text that stands for a missing one, which the labels do not know."""

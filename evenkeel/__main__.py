@@ -39,6 +39,7 @@ def arguments() -> argparse.ArgumentParser:
     apply.add_argument("--fill", choices=FILLS, default="impute")
     for reads_csv in (fit, apply):
         reads_csv.add_argument("--salts", type=int, default=1, help="partitions per key in the join")
+        reads_csv.add_argument("--hot-keys", action="store_true", help="find the keys that need spreading instead")
         reads_csv.add_argument("--malformed", choices=("FAILFAST", "PERMISSIVE"), default="FAILFAST")
 
     train = command("train-model", "features", "state", "model", "report", "curve")
@@ -70,14 +71,15 @@ def main(argv: Sequence[str] | None = None) -> None:
         spec = FeatureSpec.from_json(Path(args.spec).read_text()) if args.spec else card_transactions()
         jobs.build_training_features(
             spark, spec, args.facts, args.details, args.features, args.state,
-            salts=args.salts, malformed=args.malformed,
+            salts=args.salts, malformed=args.malformed, hot_keys=args.hot_keys,
             compat=args.compat, on_invalid=args.on_invalid, drop_empty=args.drop_empty,
             median=args.median, labels_on_driver=args.labels_on_driver,
         )
         return
     if args.job == "score-features":
         jobs.build_scoring_features(
-            spark, args.facts, args.details, args.state, args.features, args.fill, args.salts, args.malformed
+            spark, args.facts, args.details, args.state, args.features, args.fill, args.salts, args.malformed,
+            args.hot_keys,
         )
         return
     if args.job == "curve-area":

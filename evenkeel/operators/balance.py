@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
+import functools
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evenkeel.functions.scalars import unit_interval
+from evenkeel.operators.ordered import running_totals
+from evenkeel.operators.rows import hashable_columns
 from evenkeel.staging import stage
 
 # Fixed value: seed of the resampling.
 SEED = 42
+#: Means above this are drawn in parts.
+LARGEST_MEAN = 16
 MODES = ("replicate", "poisson", "weight", "none")
 
 
@@ -103,14 +109,44 @@ def oversample_replicate(df: DataFrame, label: str, key: str, ratio: float) -> D
     return df.withColumn("_copy", F.explode(F.array_repeat(F.lit(True), times))).drop("_copy")
 
 
-def oversample_poisson(df: DataFrame, label: str, ratio: float, seed: int = SEED) -> DataFrame:
+def poisson_copies(key: Column, ratio: float, seed: int = SEED) -> Column:
+    """How often a row is drawn when rows are drawn ``ratio`` times on average with replacement: a Poisson number that
+    depends on ``key``, as text, and the seed alone.
+
+    A hash of both in [0, 1) is looked up among the distribution's sums. Large ratios are several smaller draws, added.
+    """
+    draws = max(1, math.ceil(ratio / LARGEST_MEAN))
+    sums, term, upto = [], math.exp(-ratio / draws), 0.0
+    while upto < 1 - 2.0**-40 and len(sums) < 8 * LARGEST_MEAN:
+        upto += term
+        sums.append(upto)
+        term *= ratio / draws / len(sums)
+    table = F.array(*[F.lit(x) for x in sums])
+    hashes = [unit_interval(F.concat(F.lit(f"{seed}:{n}:"), key)) for n in range(draws)]
+    return functools.reduce(lambda a, b: a + b, [_sums_upto(table, u) for u in hashes])
+
+
+def _sums_upto(table: Column, value: Column) -> Column:
+    return F.size(F.filter(table, lambda x: x <= value))
+
+
+def oversample_poisson(df: DataFrame, label: str, key: str, ratio: float, seed: int = SEED) -> DataFrame:
     """Negatives once, positives drawn with replacement.
 
-    The draw depends on how the rows are partitioned, so they are drawn from a written table: a re-run task draws the
-    same ones.
+    What is drawn follows from the seed, the key, and the place among rows of the same key, so it is the same on any
+    partitioning and in a re-run task. Rows of one key are placed by a hash of their plain columns, in slices, so a key
+    of any number of rows is placed by many tasks; a null key is a key.
     """
-    positives, negatives = split_classes(stage(df, "poisson"), label)
-    return positives.sample(withReplacement=True, fraction=ratio, seed=seed).unionByName(negatives)
+    positives, negatives = split_classes(df, label)
+    text = F.coalesce(F.col(key).cast("string"), F.lit("null"))
+    if positives.groupBy(key).count().where("count > 1").isEmpty():
+        placed = positives.withColumn("_place", F.lit(0).cast("long"))
+    else:
+        ranked = positives.select("*", F.xxhash64(*hashable_columns(positives)).alias("_hash"), F.monotonically_increasing_id().alias("_at"))
+        placed = running_totals(ranked, ["_hash", "_at"], {"_upto": F.lit(1)}, [key]).withColumn("_place", F.col("_upto") - 1)
+    name = F.concat(text, F.lit(":"), F.col("_place").cast("string"))
+    drawn = placed.withColumn("_copy", F.explode(F.array_repeat(F.lit(True), poisson_copies(name, ratio, seed))))
+    return drawn.select(*df.columns).unionByName(negatives)
 
 
 def balance_classes(
@@ -142,7 +178,7 @@ def balance_classes(
             "pass allow_undersampling=True to thin them out"
         )
     if mode == "poisson":
-        return oversample_poisson(df, label, sizes.ratio, seed), sizes
+        return oversample_poisson(df, label, key, sizes.ratio, seed), sizes
     return oversample_replicate(df, label, key, sizes.ratio), sizes
 
 

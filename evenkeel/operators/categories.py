@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.feature import OneHotEncoder, OneHotEncoderModel, StringIndexerModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from evenkeel.operators.hot import digest, look_up
 from evenkeel.operators.ordered import running_totals
 from evenkeel.operators.rows import hashable_columns
+from evenkeel.staging import stage
 
 # Label tables up to this many rows and bytes of text are sent to every task, or to the driver;
 # larger ones are joined by shuffle.
@@ -121,6 +123,44 @@ def _join_hot_then_rest(keyed: DataFrame, entry: DataFrame, spread_by: Sequence[
     )
 
 
+def apply_indexes(
+    df: DataFrame, labels: DataFrame, outputs: Mapping[str, str], sizes: Mapping[str, LabelSize] | None = None
+) -> DataFrame:
+    """As ``apply_index`` for several columns with many labels at once: ``outputs`` names the column of each index.
+
+    The rows are written once with a number. Their values go below each other as digests, are counted, and the distinct
+    ones are joined once with the labels of all columns; the indices found come back to their row by its number. So the
+    whole rows are shuffled once, by number, however many columns there are, and values that many rows share are looked
+    up once and broadcast.
+    """
+    columns = list(outputs)
+    if sizes is None:
+        sizes = label_sizes(labels.where(F.col("column").isin(*columns)))
+    number = F.monotonically_increasing_id().alias("row")
+    rows = stage(df.select(number, F.struct("*").alias("item")), "indexed-rows")
+    pairs = [
+        F.struct(F.lit(i).alias("place"), digest(F.lit(c), F.col("item")[c].cast("string")).alias("value"))
+        for i, c in enumerate(columns)
+    ]
+    values = stage(
+        rows.select("row", F.inline(F.array(*pairs))).where(F.col("value").isNotNull()), "indexed-values"
+    )
+    counts = values.groupBy("value").agg(F.count(F.lit(1)).alias("copies"))
+    known = labels.where(F.col("column").isin(*columns)).select(
+        digest("column", "label").alias("value"), F.col("index").cast("double").alias("index")
+    )
+    dictionary = stage(counts.join(known, "value"), "dictionary")
+    found = look_up(values, dictionary, "value", "copies", values.count())
+    folded = found.groupBy("row").agg(
+        *[F.max(F.when(F.col("place") == i, F.col("index"))).alias(f"index_{i}") for i in range(len(columns))]
+    )
+    indices = [
+        F.coalesce(f"index_{i}", F.lit(float(sizes.get(c, LabelSize()).labels))).alias(outputs[c])
+        for i, c in enumerate(columns)
+    ]
+    return rows.join(folded, "row", "left").select("item.*", *indices)
+
+
 def indexers(labels: DataFrame, columns: Sequence[str]) -> list[StringIndexerModel]:
     """Spark ML's indexers from ``c`` to ``c_idx`` for already numbered labels.
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evenkeel.functions.scalars import log_plus_one
+from evenkeel.operators.hot import digest, frequent_keys
 from evenkeel.spec import FeatureSpec
 from evenkeel.staging import stage
 
@@ -15,6 +16,9 @@ from evenkeel.staging import stage
 MISSING_NUMBER = -999
 MISSING_TEXT = "na"
 
+# Shares that a partition of a join is thought of as: a key with less than one of them is left whole.
+SPREAD_FINER = 8
+
 # Partitions at most that rows without a key are spread over.
 NULL_SPREAD = 10_000
 
@@ -77,6 +81,43 @@ def enrich(facts: DataFrame, details: DataFrame, key: str, salts: int = 1) -> Da
     )
 
 
+def enrich_spread(
+    facts: DataFrame, details: DataFrame, key: str, parts: int | None = None, finer: int = SPREAD_FINER
+) -> DataFrame:
+    """As ``enrich``, for facts piled on few keys and details too large to broadcast.
+
+    Keys with at least one in ``parts * finer`` of the facts are found by summaries of the tasks and recounted exactly; each
+    is dealt into as many pieces as it has such parts, and only its details are copied, once per piece. All other keys
+    are joined as they are. ``parts`` is the number of partitions of the join, by default the session's; facts are read
+    three times, so pass a written table.
+    """
+    parts = parts or int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keyed = facts.withColumn("_digest", digest(key))
+    hot = hot_pieces(keyed, parts, finer)
+    piece = F.pmod(F.monotonically_increasing_id(), F.col("_pieces")).cast("int")
+    spread = F.pmod(F.xxhash64(*hashable_columns(facts)), F.lit(NULL_SPREAD)).cast("int")
+    dealt = keyed.join(F.broadcast(hot), "_digest", "left").withColumn(
+        "_salt", F.when(F.col(key).isNull(), spread).otherwise(F.coalesce(piece, _zero(key)))
+    )
+    copies = spread_details(details, hot, key)
+    return dealt.drop("_digest", "_pieces").join(copies, on=[key, "_salt"], how="left").drop("_salt")
+
+
+def hot_pieces(keyed: DataFrame, parts: int, finer: int = SPREAD_FINER) -> DataFrame:
+    """``(_digest, _pieces)`` of the keys with at least one in ``parts * finer`` of the rows, so of as many at most."""
+    shares = parts * finer
+    total = keyed.where(F.col("_digest").isNotNull()).count()
+    pieces = F.ceil(F.col("n") * F.lit(shares) / F.lit(max(1, total))).cast("int")
+    return stage(frequent_keys(keyed, "_digest", shares).select("_digest", pieces.alias("_pieces")), "hot-keys").limit(shares)
+
+
+def spread_details(details: DataFrame, hot: DataFrame, key: str) -> DataFrame:
+    """Details with ``_salt``: those of hot keys once per piece, all others once."""
+    marked = details.withColumn("_digest", digest(key)).join(F.broadcast(hot), "_digest", "left")
+    last = F.coalesce("_pieces", F.lit(1)) - 1
+    return marked.withColumn("_salt", F.explode(F.sequence(F.lit(0), last))).drop("_digest", "_pieces")
+
+
 def _zero(key: str) -> Column:
     """Always 0, but not a constant the optimizer would take out of the join key."""
     return F.pmod(F.hash(key), F.lit(1)).cast("int")

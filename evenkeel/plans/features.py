@@ -17,6 +17,7 @@ from evenkeel.operators.categories import (
     BROADCAST_LABELS,
     LabelSize,
     apply_index,
+    apply_indexes,
     category_counts,
     encoder,
     index_map,
@@ -32,7 +33,8 @@ from evenkeel.operators.numeric import (
     scaler,
 )
 from evenkeel.operators.rows import conform, fill_sentinel
-from evenkeel.sources.artifacts import load_feature_model, save_model
+from evenkeel.sources.artifacts import load_feature_model
+from evenkeel.sources.published import current, publish
 from evenkeel.spec import Block, FeatureSpec
 from evenkeel.staging import stage, staged
 
@@ -72,8 +74,11 @@ class FittedFeatures:
         if not self.joined:
             return self.model.transform(rows)
         rows = PipelineModel(self.model.stages[: self.before_join]).transform(rows)
-        for c, size in self.joined.items():
-            rows = apply_index(rows, self.labels, c, f"{c}_idx", size=size, spread_by=[self.spec.key])
+        if len(self.joined) > 1:
+            rows = apply_indexes(rows, self.labels, {c: f"{c}_idx" for c in self.joined}, self.joined)
+        else:
+            for c, size in self.joined.items():
+                rows = apply_index(rows, self.labels, c, f"{c}_idx", size=size, spread_by=[self.spec.key])
         return PipelineModel(self.model.stages[self.before_join :]).transform(rows)
 
     def feature_table(self, df: DataFrame, fill: str = "impute") -> DataFrame:
@@ -83,26 +88,30 @@ class FittedFeatures:
         return rows.select(self.spec.key, "features", *label)
 
     def save(self, path: str) -> None:
-        spark = self.labels.sparkSession
-        save_model(self.model, f"{path}/model")
-        self.labels.write.mode("overwrite").parquet(f"{path}/labels")
-        self.numeric.write.mode("overwrite").parquet(f"{path}/numeric")
+        """Publishes model, labels, numbers and settings together: a state saved there before stays whole until then."""
+        publish(self.labels.sparkSession, path, self._write, tables=("labels", "numeric"))
+
+    def _write(self, folder: str) -> None:
+        self.model.write().save(f"{folder}/model")
+        self.labels.write.parquet(f"{folder}/labels")
+        self.numeric.write.parquet(f"{folder}/numeric")
         joined = [(c, size.labels, size.text_bytes) for c, size in self.joined.items()]
-        settings = spark.createDataFrame([(self.spec.to_json(), joined, self.before_join)], SETTINGS)
-        settings.coalesce(1).write.mode("overwrite").json(f"{path}/settings")
+        settings = [(self.spec.to_json(), joined, self.before_join)]
+        self.labels.sparkSession.createDataFrame(settings, SETTINGS).coalesce(1).write.json(f"{folder}/settings")
 
     @staticmethod
     def load_spec(spark: SparkSession, path: str) -> FeatureSpec:
-        return FeatureSpec.from_json(_settings(spark, path)["spec"])
+        return FeatureSpec.from_json(_settings(spark, current(spark, path))["spec"])
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> FittedFeatures:
-        settings = _settings(spark, path)
+        folder = current(spark, path)
+        settings = _settings(spark, folder)
         return cls(
             spec=FeatureSpec.from_json(settings["spec"]),
-            model=load_feature_model(f"{path}/model"),
-            labels=spark.read.parquet(f"{path}/labels"),
-            numeric=spark.read.parquet(f"{path}/numeric"),
+            model=load_feature_model(f"{folder}/model"),
+            labels=spark.read.parquet(f"{folder}/labels"),
+            numeric=spark.read.parquet(f"{folder}/numeric"),
             joined={r["column"]: LabelSize(r["labels"], r["text_bytes"]) for r in settings["joined"]},
             before_join=settings["before_join"],
         )

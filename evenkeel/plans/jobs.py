@@ -8,26 +8,33 @@ from pyspark.sql import types as T
 
 from evenkeel.operators.balance import hold_out
 from evenkeel.operators.roc import area_under_curve
-from evenkeel.operators.rows import conform, enrich
+from evenkeel.operators.rows import conform, enrich, enrich_spread
 from evenkeel.plans.classifier import evaluate, exact_curve, fit_balanced, submission
 from evenkeel.plans.features import FittedFeatures, fit_features
 from evenkeel.sources.artifacts import load_classifier, save_model
+from evenkeel.sources.published import publish_parquet
 from evenkeel.sources.tables import read_csv, read_parquet, write_csv, write_parquet
 from evenkeel.spec import FeatureSpec
-from evenkeel.staging import scratch, staged
+from evenkeel.staging import scratch, stage, staged
 
 
 def read_joined(
-    spark: SparkSession, facts: str, details: str, spec: FeatureSpec, salts: int = 1, malformed: str = "FAILFAST"
+    spark: SparkSession,
+    facts: str,
+    details: str,
+    spec: FeatureSpec,
+    salts: int = 1,
+    malformed: str = "FAILFAST",
+    hot_keys: bool = False,
 ) -> DataFrame:
-    """Both CSV tables, joined on the key; facts without details are kept."""
+    """Both CSV tables, joined on the key; facts without details are kept. ``hot_keys`` parses the facts into a written
+    table first and spreads the keys that it finds to be hot there, and no others."""
     types = spec.types()
-    return enrich(
-        read_csv(spark, facts, types, malformed=malformed),
-        read_csv(spark, details, types, malformed=malformed),
-        spec.key,
-        salts,
-    )
+    rows = read_csv(spark, facts, types, malformed=malformed)
+    more = read_csv(spark, details, types, malformed=malformed)
+    if hot_keys:
+        return enrich_spread(stage(rows, "facts"), more, spec.key)
+    return enrich(rows, more, spec.key, salts)
 
 
 def build_training_features(
@@ -39,6 +46,7 @@ def build_training_features(
     state_out: str,
     salts: int = 1,
     malformed: str = "FAILFAST",
+    hot_keys: bool = False,
     **fit_options,
 ) -> FittedFeatures:
     """CSV tables to a feature table, and the fitted stages saved.
@@ -46,11 +54,11 @@ def build_training_features(
     Text parsing and the join run once; fitting and applying read the staged rows.
     """
     with scratch(spark):
-        joined = conform(read_joined(spark, facts, details, spec, salts, malformed), spec)
+        joined = conform(read_joined(spark, facts, details, spec, salts, malformed, hot_keys), spec)
         with staged(joined, "rows") as rows:
             fitted = fit_features(rows, spec, stage_rows=False, **fit_options)
             fitted.save(state_out)
-            write_parquet(fitted.feature_table(rows), features_out)
+            publish_parquet(fitted.feature_table(rows), features_out)
     return FittedFeatures.load(spark, state_out)
 
 
@@ -75,7 +83,7 @@ def train(
         raise ValueError("a share to hold out and a place for it go together")
     rows, held = hold_out(read_parquet(spark, features), key, hold_out_share)
     if held_out:
-        write_parquet(held, held_out)
+        publish_parquet(held, held_out)
     with scratch(spark):
         fit = fit_balanced(rows, label, key, **fit_options)
         save_model(fit.model, model_out)
@@ -95,11 +103,12 @@ def build_scoring_features(
     fill: str = "impute",
     salts: int = 1,
     malformed: str = "FAILFAST",
+    hot_keys: bool = False,
 ) -> None:
     """New CSV tables through the saved stages."""
     fitted = FittedFeatures.load(spark, state)
-    rows = read_joined(spark, facts, details, fitted.spec, salts, malformed)
-    write_parquet(fitted.feature_table(rows, fill), features_out)
+    rows = read_joined(spark, facts, details, fitted.spec, salts, malformed, hot_keys)
+    publish_parquet(fitted.feature_table(rows, fill), features_out)
 
 
 def score_to_csv(

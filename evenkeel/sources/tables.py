@@ -7,6 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from evenkeel.sources.published import read_published
+
 #: Every text comes back as it was: blanks are kept, quotes are doubled inside quotes.
 EXACT_TEXT = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "escape": '"'}
 
@@ -38,7 +40,8 @@ def read_csv(
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """A table, or the current version of a published one."""
+    return read_published(spark, path)
 
 
 def write_parquet(df: DataFrame, path: str) -> None:

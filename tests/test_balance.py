@@ -125,3 +125,24 @@ def test_shuffle_sorts_in_all_partitions(spark):
     ids = [r["id"] for r in out.collect()]
     assert sorted(ids) == list(range(4000)) and ids != sorted(ids)
     assert out.rdd.getNumPartitions() == 4 and [r["id"] for r in out.collect()] == ids
+
+
+def test_poisson_draw_follows_the_keys(spark):
+    """Equal on any partitioning; numbers of copies are Poisson; large means are drawn in parts; repeated keys differ."""
+    df = spark.range(6000).selectExpr("id as k", "if(id % 3 = 0, 1, 0) as y", "id as v")
+    first = balance.oversample_poisson(df, "y", "k", 2.5)
+    again = balance.oversample_poisson(df.repartition(7, "v"), "y", "k", 2.5)
+    assert first.columns == df.columns and first.exceptAll(again).isEmpty() and again.exceptAll(first).isEmpty()
+    for mean in (0.3, 2.5, 40.0):
+        copies = df.select(balance.poisson_copies(F.col("k").cast("string"), mean).alias("n"))
+        told = copies.agg(F.avg("n"), F.var_samp("n"), F.min("n")).first()
+        assert abs(told[0] - mean) < 5 * (mean / 6000) ** 0.5 and abs(told[1] / mean - 1) < 0.15
+    one = spark.range(0, 3000, 1, 6).selectExpr("1 as k", "1 as y", "id as v").unionByName(
+        spark.createDataFrame([(None, 1, 1), (None, 1, 2), (2, 0, 3)], "k int, y int, v bigint")
+    )
+    drawn = balance.oversample_poisson(one, "y", "k", 1.0)
+    counts = {r["v"]: r["count"] for r in drawn.where("k = 1").groupBy("v").count().collect()}
+    assert 1700 < len(counts) < 2100 and 2700 < sum(counts.values()) < 3300
+    assert drawn.where("y = 0").count() == 1
+    same = balance.oversample_poisson(one.repartition(9), "y", "k", 1.0)
+    assert drawn.exceptAll(same).isEmpty() and same.exceptAll(drawn).isEmpty()

@@ -1,0 +1,90 @@
+from __future__ import annotations
+
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from evenkeel.operators import categories, hot, rows
+from evenkeel.staging import stage
+from test_rows import plain_shuffles  # noqa: F401
+
+
+def test_summary_has_every_frequent_key(spark):
+    keys = spark.range(0, 30_000, 1, 9).selectExpr(
+        "case when id % 3 = 0 then 'third' when id % 50 = 1 then 'fiftieth' when id % 11 = 2 then null else concat('k', id) end as k"
+    )
+    digests = stage(keys.select(hot.digest("k").alias("d"), "k"))
+    assert hot.frequent_candidates(digests, "d", 100).count() <= 100
+    names = {r["d"]: r["k"] for r in digests.where("k in ('third', 'fiftieth')").distinct().collect()}
+    found = {names[r["d"]]: r["n"] for r in hot.frequent_keys(digests, "d", 100).collect()}
+    expected = Counter(r["k"] for r in keys.where("k in ('third', 'fiftieth')").collect())
+    assert found == dict(expected)
+    assert {names[r["d"]] for r in hot.frequent_keys(digests, "d", 4).collect()} == {"third"}
+    assert hot.frequent_keys(digests.limit(0), "d", 4).count() == 0
+
+
+def test_join_copies_hot_details_only(spark, plain_shuffles):  # noqa: F811
+    facts = stage(spark.range(0, 48_000, 1, 8).selectExpr("if(id % 3 = 0, 7, if(id % 10 = 1, null, id)) as k", "id"))
+    details = spark.range(0, 48_000, 1, 4).selectExpr("id as k", "concat('d', id) as name").unionByName(
+        spark.createDataFrame([(7, "again"), (None, "none")], "k bigint, name string")
+    )
+    joined = rows.enrich_spread(facts, details, "k", parts=16)
+    expected = Counter(map(tuple, facts.join(details, "k", "left").collect()))
+    assert Counter(map(tuple, joined.collect())) == expected
+    spread = stage(rows.enrich_spread(facts, details.where("name <> 'again'"), "k", parts=16).withColumn("p", F.spark_partition_id()))
+    per_part = [r["count"] for r in spread.groupBy("p").count().collect()]
+    assert max(per_part) <= 2 * 48_000 / 16, per_part
+    # One key of a third of the facts is dealt into a third of 16 * 8 pieces; every other detail stays single.
+    copies = rows.spread_details(details, hot_pieces(spark, facts), "k")
+    counts = {r["k"]: r["count"] for r in copies.groupBy("k").count().where("count > 1").collect()}
+    assert list(counts) == [7] and counts[7] <= 2 * 48
+
+
+def hot_pieces(spark, facts):
+    return rows.hot_pieces(facts.withColumn("_digest", hot.digest("k")), 16, 8)
+
+
+def test_join_without_hot_keys_and_empty(spark):
+    facts = stage(spark.range(500).selectExpr("id as k"))
+    details = spark.range(0, 500, 2).selectExpr("id as k", "id * 2 as v")
+    assert rows.enrich_spread(facts, details, "k", parts=4).where("v is not null").count() == 250
+    assert rows.enrich_spread(facts.limit(0), details, "k").count() == 0
+    assert rows.enrich_spread(facts, details.limit(0), "k").where("v is null").count() == 500
+
+
+@pytest.fixture
+def wide(spark):
+    return spark.range(0, 24_000, 1, 6).selectExpr(
+        "id", "if(id % 3 = 0, 'hot', concat('a', id % 5000)) as a", "concat('b', id) as b",
+        "if(id % 3 = 1, null, if(id % 7 = 0, 'unknown', concat('c', id % 10))) as c", "id as row", "'x' as item",
+    )
+
+
+def test_joined_indexes_are_those_one_by_one(spark, wide):
+    known = stage(categories.index_map(categories.category_counts(wide.where("id % 2 = 0 and c <> 'unknown'"), ["a", "b", "c"])))
+    outputs = {c: f"{c}_idx" for c in "abc"}
+    found = categories.apply_indexes(wide, known, outputs)
+    expected = wide
+    for c, out in outputs.items():
+        expected = categories.apply_index(expected, known, c, out, broadcast_up_to=0)
+    assert found.columns == expected.columns
+    assert Counter(map(tuple, found.collect())) == Counter(map(tuple, expected.collect()))
+
+
+def test_joined_indexes_shuffle_the_rows_once(spark, wide, plain_shuffles):  # noqa: F811
+    known = stage(categories.index_map(categories.category_counts(wide, ["a", "b", "c"])))
+    found = categories.apply_indexes(wide, known, {c: f"{c}_idx" for c in "abc"})
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning(row" in line]
+    assert len(exchanges) == 2 and plan.count("item#") > 0  # the whole rows, and the indices folded per row
+    written = stage(found.withColumn("p", F.spark_partition_id()))
+    assert max(r["count"] for r in written.groupBy("p").count().collect()) <= 2 * 24_000 / 16
+
+
+def test_joined_indexes_of_nothing(spark, wide):
+    none = categories.index_map(categories.category_counts(wide.limit(0), ["a", "b"]))
+    out = categories.apply_indexes(wide.limit(0), stage(none), {"a": "x", "b": "y"})
+    assert out.count() == 0 and out.columns[-2:] == ["x", "y"]
+    unknown = categories.apply_indexes(wide.limit(10), stage(none), {"a": "x", "b": "y"})
+    assert {(r["x"], r["y"]) for r in unknown.collect()} == {(0.0, 0.0)}
