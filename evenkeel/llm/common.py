@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 from pathlib import Path
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -47,6 +48,24 @@ def numbered(df: DataFrame, name: str, *columns: Column) -> DataFrame:
     return stage(df.select(number, F.struct("*").alias("item"), *columns), name)
 
 
+def identified(documents: DataFrame) -> DataFrame:
+    """``(file, at, item)``: each row as a struct, so that its names clash with nothing, and where it lies: a digest of its
+    Parquet file's path and its place there. Every scan tells the same, however Spark cuts the files by then.
+
+    Rows that do not come straight from Parquet files are written to some first.
+    """
+
+    def marked(rows: DataFrame) -> DataFrame:
+        origin = rows.metadataColumn("_metadata")
+        file = F.unhex(F.md5(origin["file_path"])).alias("file")
+        return rows.select(file, origin["row_index"].alias("at"), F.struct("*").alias("item"))
+
+    try:
+        return marked(documents)
+    except AnalysisException:
+        return marked(stage(documents, "identified"))
+
+
 def dealt(number: str | Column, groups: int) -> Column:
     """A group for a row number: groups are even, whatever the rows hold."""
     return F.pmod(F.xxhash64(number), F.lit(groups)).cast("int")

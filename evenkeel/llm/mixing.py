@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from evenkeel.llm.common import WORD, attach, numbered, slots
+from evenkeel.llm.common import WORD, attach, identified, slots
 from evenkeel.staging import stage
 
 WEIGHTS = (5, 2, 1)
@@ -219,19 +219,22 @@ def mixed_documents(
 
     Documents of which nothing is taken are not in the result, so neither are null texts, nor those without words. A null
     source is a source, repeated rows are taken each by itself, and columns may have any names. An empty table stays
-    empty. The documents are written once with a number in each row, and all scans read that.
+    empty. Documents are told by their place in their files, which no re-run and no change of executors between two scans
+    alters.
     """
-    counted = numbered(documents, "numbered", F.col(key).alias("key"), F.col(text).alias("text"), F.col(source).alias("source"))
-    rows = stage(sized(counted, "key", "text", "source", F.col("row")), "sizes")
+    place = ["file", "at"]
+    counted = identified(documents).select(*place, "item", F.col("item")[text].alias("text"))
+    named = counted.select(*place, "text", F.col("item")[key].alias("key"), F.col("item")[source].alias("source"))
+    rows = stage(sized(named, "key", "text", "source", *map(F.col, place)), "sizes")
     rule = ["copies", "start", "quota", "blocks", "shift", "block", "longer"]
     planned = stage(plan(rows, **settings).select("_group", *rule), "plan")
     found = stage(
-        attach(rows.select("row", "_group", "size"), planned, "_group", "copies", rows.count(), keep_copies=True), "picks"
+        attach(rows.select(*place, "_group", "size"), planned, "_group", "copies", rows.count(), keep_copies=True), "picks"
     )
     once = found.where(F.col("copies") == 1).withColumn("_copy", F.lit(0).cast("long"))
-    repeated = slots(found.where(F.col("copies") > 1), "_group", ["row"], "_copy")
+    repeated = slots(found.where(F.col("copies") > 1), "_group", place, "_copy")
     picks = once.unionByName(repeated).where(F.col("size") > 0).select(
-        "row", F.col("size").alias("_words"), (F.col("start") + F.col("_copy") * F.col("size")).alias("_at"), *rule[2:]
+        *place, F.col("size").alias("_words"), (F.col("start") + F.col("_copy") * F.col("size")).alias("_at"), *rule[2:]
     )
     every = F.floor(F.col("quota") / F.col("blocks")).cast("int")
     end = F.col("_at") + F.col("_words")
@@ -247,11 +250,11 @@ def mixed_documents(
     part = lambda s: F.array_join(F.slice("_tokens", (s["from"] + 1).cast("int"), (s["to"] - F.col("_at") - s["from"]).cast("int")), "")
     some = F.aggregate("_cut", F.lit(0).cast("long"), lambda n, s: n + s["to"] - F.col("_at") - s["from"])
     taken = (
-        counted.select("row", "item", "text").join(
+        counted.join(
             picks.withColumn("_every", every).withColumn("_spans", spans).withColumn("_cut", cut).withColumn(
                 "_some", some
             ),
-            "row",
+            place,
         )
         .where((F.col("_every") > 0) | (F.col("_some") > 0))
         .withColumn("_tokens", F.when((F.col("_some") > 0) & (F.col("_some") < F.col("_words")), tokens))

@@ -12,7 +12,7 @@ a spanning forest of its links, never its pairs, and the components are joined u
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evenkeel.llm.common import attach, numbered, shares
+from evenkeel.llm.common import attach, identified, shares
 from evenkeel.llm.components import component_roots
 from evenkeel.staging import stage
 
@@ -53,16 +53,26 @@ def fingerprint_of(text: str | None, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * counts.ravel() > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(documents: DataFrame, shingle: int = SHINGLE, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(doc_id, code)``, the code as a signed long. One scan; null texts count as empty."""
+def fingerprints(
+    documents: DataFrame,
+    shingle: int = SHINGLE,
+    key: str | None = "doc_id",
+    text: str = "text",
+    place: Sequence[str] = (),
+) -> DataFrame:
+    """``(doc_id, code)``, the code as a signed long, or the columns ``place`` (binary and long) instead of the key. One
+    scan; null texts count as empty."""
+    names, kinds = (["doc_id"], ["long"]) if key else (list(place), ["binary", "long"])
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            codes = np.array([fingerprint_of(t.as_py(), shingle) for t in batch.column(1)], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(codes.view(np.int64))], ["doc_id", "code"])
+            codes = np.array([fingerprint_of(t.as_py(), shingle) for t in batch.column("text")], dtype=np.uint64)
+            kept = [batch.column(n) for n in names]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(codes.view(np.int64))], [*names, "code"])
 
-    rows = documents.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return rows.mapInArrow(of_batches, "doc_id long, code long")
+    own = [F.col(key).cast("long").alias("doc_id")] if key else list(place)
+    schema = ", ".join(f"{n} {k}" for n, k in zip([*names, "code"], [*kinds, "long"], strict=True))
+    return documents.select(*own, F.col(text).alias("text")).mapInArrow(of_batches, schema)
 
 
 def distances(codes: np.ndarray, point: np.uint64) -> np.ndarray:
@@ -222,8 +232,14 @@ def near_duplicates(
     Null keys name no component unless it has no other. An empty table gives an empty result.
     """
     rows = stage(fingerprints(documents, shingle, key, text), "fingerprints")
+    named = components(rows, max_bits, "doc_id", ["doc_id"])
+    return named.select("doc_id", F.lower(F.lpad(F.hex("code"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def components(rows: DataFrame, max_bits: int, name: str, kept: Sequence[str]) -> DataFrame:
+    """``kept``, ``code`` and ``component_id``, the smallest ``name`` (a long) reachable, for a written table of codes."""
     distinct = stage(
-        rows.groupBy("code").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies")), "codes"
+        rows.groupBy("code").agg(F.min(name).alias("least"), F.count(F.lit(1)).alias("copies")), "codes"
     )
     roots = stage(component_roots(links(distinct, max_bits)), "roots")
     rooted = distinct.join(roots.withColumnRenamed("node", "code"), "code", "left").withColumn(
@@ -231,8 +247,8 @@ def near_duplicates(
     )
     names = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     lookup = rooted.join(names, "root").select("code", "copies", "component_id")
-    named = attach(rows, stage(lookup, "components"), "code", "copies", rows.count())
-    return named.select("doc_id", F.lower(F.lpad(F.hex("code"), 16, "0")).alias("fingerprint"), "component_id")
+    found = attach(rows, stage(lookup, "components"), "code", "copies", rows.count())
+    return found.select(*kept, "code", "component_id")
 
 
 def distinct_documents(
@@ -241,16 +257,21 @@ def distinct_documents(
     """One row of each group of near duplicates, in all its columns: the one with the smallest key, nulls last.
 
     Null and empty texts are near duplicates of each other. Of rows that tie for the smallest key any one stays. Columns
-    may have any names. An empty table stays empty. The documents are written once with a number in each row, and all
-    scans read that, so a re-run or a change of executors between them changes nothing.
+    may have any names. An empty table stays empty. Documents are told by their place in their files, which no re-run and
+    no change of executors between two scans alters; their numbers are written once.
     """
-    rows = numbered(documents, "numbered", F.col(key).alias("key"), F.col(text).alias("text"))
-    groups = near_duplicates(rows.select("row", "text"), shingle, max_bits, "row", "text").select(
-        F.col("doc_id").alias("row"), "component_id"
+    rows = identified(documents)
+    place = ["file", "at"]
+    narrow = stage(
+        fingerprints(rows.select(*place, F.col("item")[text].alias("text")), shingle, None, "text", place).withColumn(
+            "row", F.monotonically_increasing_id()
+        ),
+        "fingerprints",
     )
-    keyed = stage(groups.join(rows.select("row", "key"), "row"), "groups")
+    groups = components(narrow, max_bits, "row", ["row", *place])
+    keyed = stage(groups.join(rows.select(*place, F.col("item")[key].alias("key")), place), "groups")
     first = keyed.groupBy("component_id").agg(
         F.min_by("row", F.struct(F.col("key").isNull(), "key", "row")).alias("row")
     )
-    others = keyed.select("row").join(first.select("row"), "row", "left_anti")
-    return rows.select("row", "item").join(others, "row", "left_anti").select("item.*")
+    others = keyed.join(first.select("row"), "row", "left_anti").select(*place)
+    return rows.join(others, place, "left_anti").select("item.*")
