@@ -304,6 +304,16 @@ ORACLES: dict[str, str] = {
                   from (select {c} as label, count(*) as n from documents group by 1)) m on d.{c} = m.label"""
         for c in ("lang", "source")
     ),
+    # The bits of a positive double are in the order of the values.
+    "median_fit_approximate": " union all ".join(
+        f"""select '{c}' as "column", min(v) filter (lead = mid) as median, cast(count(*) as bigint) as rows,
+                   cast(count(*) filter (lead < mid) as bigint) as below,
+                   cast(count(*) filter (lead = mid) as bigint) as inside
+            from (select v, lead, quantile_disc(lead, 0.5) over () as mid
+                  from (select {c} as v, cast(cast({c} as double)::bit as bigint) >> 32 as lead from lineitem
+                        where {c} is not null))"""
+        for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+    ),
     "median_fit": medians("lineitem", "l_quantity", "l_extendedprice", "l_discount", "l_tax"),
     "median_impute": f"""
         select doc_id, {dimension_columns('max(v) filter (i = {i})')} from ({IMPUTED_LONG}) group by doc_id
@@ -378,6 +388,11 @@ ORACLES: dict[str, str] = {
         from orders
     """,
     "lr_fit_rates": f"select kind, round(avg(label), 5) as open from ({LINES}) group by kind",
+    "lr_fit_folded": f"""
+        select l.label, cast(count(*) as bigint) as rows, round(max(r.share), 5) as open
+        from ({LINES}) l join (select kind, avg(label) as share from ({LINES}) group by kind) r on l.kind = r.kind
+        group by l.kind, l.label
+    """,
     "lr_fit_weighted_rates": f"""
         with l as ({LINES}),
              w as (select cast(count(*) filter (label = 0) as double) / count(*) filter (label = 1) as ratio from l)
@@ -415,6 +430,16 @@ ORACLES: dict[str, str] = {
     """,
     "metrics_report": report(EVENTS, 9),
     "roc_curve": f'select round(x, 9) as "FPR", round(y, 9) as "TPR" from ({curve_points(EVENTS)})',
+    "roc_curve_bounded": f"""
+        with p as (select distinct x, y from ({curve_points(EVENTS)})),
+             c as (select least(cast(floor((x + y) / 2 * 51) as bigint), 50) as cell, x, y from p where x + y > 0),
+             e as (select cell, min(x) as x0, min(y) as y0, max(x) as x1, max(y) as y1, count(*) as n from c group by cell),
+             k as (select 0.0::double as x, 0.0::double as y, 0.0::double as b
+                   union all select 1.0, 1.0, 0.0
+                   union all select x0, y0, 0.0 from e
+                   union all select x1, y1, case when n > 2 then (x1 - x0) * (y1 - y0) / 2 else 0.0 end from e)
+        select round(x, 9) as "FPR", round(y, 9) as "TPR", round(max(b), 9) as bound from k group by x, y
+    """,
     "auc_exact": f"select round(area, 9) as area from ({area(EVENTS)})",
     "auc_from_curve": f"select round(area, 9) as area from ({area(EVENTS)})",
     "csv_text_roundtrip": """
@@ -444,10 +469,6 @@ ORACLES: dict[str, str] = {
                  from orders group by 1) r using (o_orderpriority)"""
     )})""",
     # Results that follow a draw or unfinished iterations: what holds for all of them.
-    "median_fit_approximate": " union all ".join(
-        f"select '{c}' as \"column\", cast(count({c}) as bigint) as rows, true as near_middle from lineitem"
-        for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
-    ),
     "pca_project": f"""
         select (select count(*) from embeddings) as rows, round(sum(x), 6) as total_variance,
                true as uncorrelated, true as falling, true as within_total

@@ -384,16 +384,8 @@ def median_fit(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def median_fit_approximate(spark: SparkSession, d: str) -> DataFrame:
-    """How many rows a column has, and whether the value found is at most 0.1 % of them off the middle."""
-    lines_ = table(spark, d, "lineitem")
-    found = numeric.as_dict(numeric.approximate_medians(lines_, LINE_NUMBERS), "median")
-    counts = lines_.agg(*[
-        F.struct(F.count(c), F.count_if(F.col(c) < found[c]), F.count_if(F.col(c) <= found[c])).alias(
-            c
-        ) for c in LINE_NUMBERS
-    ]).first()
-    checks = [(c, n, bool(below <= 0.501 * n + 1 and upto >= 0.499 * n - 1)) for c, (n, below, upto) in counts.asDict().items()]
-    return spark.createDataFrame(checks, "column string, rows bigint, near_middle boolean")
+    """To 32 leading bits: the value, and how many rows are smaller or share the bits."""
+    return numeric.radix_medians(table(spark, d, "lineitem"), LINE_NUMBERS)
 
 
 @query
@@ -636,6 +628,20 @@ def lr_fit_rates(spark: SparkSession, d: str) -> DataFrame:
     return scored.select("kind", F.round("open", 5).alias("open")).distinct()
 
 
+@query
+def lr_fit_folded(spark: SparkSession, d: str) -> DataFrame:
+    """Fitted on rows that stand for all with the same features and label: what they weigh, and their probability."""
+    features = line_features(spark, d)
+    fit = classifier.fit_balanced(
+        features, "open", "line_id", mode="none", stage_rows=False, fold=True, **TO_CONVERGENCE
+    )
+    scored = classifier.unpack_probability(
+        classifier.score(fit.model, balance.fold_rows(features.withColumnRenamed("open", "label"), "label"))
+        .withColumn("id", F.struct("label", "weight")), "id", ("closed", "open")
+    )
+    return scored.select("id.label", F.col("id.weight").cast("bigint").alias("rows"), F.round("open", 5).alias("open"))
+
+
 @query
 def lr_fit_weighted_rates(spark: SparkSession, d: str) -> DataFrame:
     features = line_features(spark, d)
@@ -840,6 +846,13 @@ def roc_curve(spark: SparkSession, d: str) -> DataFrame:
     return curve.select(F.round("FPR", 9).alias("FPR"), F.round("TPR", 9).alias("TPR"))
 
 
+@query
+def roc_curve_bounded(spark: SparkSession, d: str) -> DataFrame:
+    """At most 104 points of the exact curve, and by how much the area of the step to each may be off."""
+    curve = roc.bounded_curve(scored_events(spark, d), "label", "score")
+    return curve.select(F.round("FPR", 9).alias("FPR"), F.round("TPR", 9).alias("TPR"), F.round("bound", 9).alias("bound"))
+
+
 @query
 def auc_exact(spark: SparkSession, d: str) -> DataFrame:
     area = roc.area_under_roc(scored_events(spark, d), "label", "score")

@@ -56,7 +56,11 @@ def arguments() -> argparse.ArgumentParser:
     train.add_argument("--hold-out", type=float, default=0.0, help="share of the keys kept from the fit")
     train.add_argument("--held-out", help="where the rows kept from the fit are written")
 
-    command("evaluate", "features", "state", "model", "report", "curve")
+    train.add_argument("--fold", action="store_true", help="add up equal rows before the fit")
+
+    judge = command("evaluate", "features", "state", "model", "report", "curve")
+    for draws_curve in (train, judge):
+        draws_curve.add_argument("--curve-points", type=int, help="at most; a point for every score if left out")
     command("curve-area", "curve", "out")
 
     score = command("score", "features", "state", "model", "out")
@@ -92,10 +96,11 @@ def main(argv: Sequence[str] | None = None) -> None:
             hold_out_share=args.hold_out, held_out=args.held_out,
             mode=args.mode, seed=args.seed, shuffle=args.shuffle, partitions=args.partitions,
             max_iter=args.iterations, reg_param=args.penalty, elastic_net=args.elastic_net, threshold=args.threshold,
-            tree_depth=args.tree_depth, allow_undersampling=args.allow_undersampling,
+            tree_depth=args.tree_depth, allow_undersampling=args.allow_undersampling, fold=args.fold,
+            curve_points=args.curve_points,
         )
     elif args.job == "evaluate":
-        jobs.evaluate_table(spark, args.features, args.model, spec.label, args.report, args.curve)
+        jobs.evaluate_table(spark, args.features, args.model, spec.label, args.report, args.curve, args.curve_points)
     else:
         jobs.score_to_csv(spark, args.features, args.model, spec.key, spec.label, args.out, args.files)
 

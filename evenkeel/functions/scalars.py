@@ -8,6 +8,9 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# The power of two of the smallest normal double; smaller ones count in its steps.
+LEAST_POWER = -1022
+
 
 def log_plus_one(column: str | Column) -> Column:
     """``ln(x + 1)``; null where ``x + 1`` is not positive."""
@@ -47,6 +50,26 @@ def logistic(columns: Sequence[str | Column], weights: Sequence[float], intercep
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-margin))
 
 
+def ordered_bits(column: str | Column) -> Column:
+    """A whole number that orders doubles as their values do: the bits of the absolute value, with the value's sign.
+
+    Spark has no view of a double's bits, so they follow from its power of two and what is left of it, both exact. Zero of
+    either sign is 0; null and NaN have no place in the order and must be left out before.
+    """
+    value = F.abs(_col(column).cast("double"))
+    near = F.greatest(F.floor(F.log2(value)), F.lit(LEAST_POWER))
+    power = F.pow(F.lit(2.0), near)
+    # The logarithm may be rounded across a power of two.
+    exact = F.when((power > value) & (near > LEAST_POWER), near - 1).when(value >= 2 * power, near + 1).otherwise(near)
+    rest = (value / F.pow(F.lit(2.0), exact) * float(2**52)).cast("bigint")
+    bits = (
+        F.when(value == 0, F.lit(0).cast("bigint"))
+        .when(value == float("inf"), F.lit(2047 * 2**52))
+        .otherwise((exact - LEAST_POWER) * F.lit(2**52) + rest)
+    )
+    return F.when(_col(column) < 0, -bits).otherwise(bits)
+
+
 def vector_element(column: str, position: int) -> Column:
     return vector_to_array(F.col(column))[position]
 

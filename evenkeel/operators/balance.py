@@ -192,3 +192,15 @@ def shuffle_rows(df: DataFrame, seed: int = SEED, partitions: int | None = None)
     if partitions is None:
         return drawn.orderBy("_draw").drop("_draw")
     return drawn.repartitionByRange(partitions, "_draw").sortWithinPartitions("_draw").drop("_draw")
+
+
+def fold_rows(rows: DataFrame, label: str, features: str = "features", weight: str | None = None) -> DataFrame:
+    """``(features, label, weight)``: rows equal in features and label as one row that weighs what they do together.
+
+    Vectors are compared as they are stored, so a sparse and a dense one of the same values stay apart, which changes no
+    sum. Equal rows are added up inside each task first: a vector that a third of the rows share is one row per task.
+    Rows without a label or a vector go.
+    """
+    times = F.lit(1.0) if weight is None else F.col(weight)
+    known = rows.where(F.col(label).isNotNull() & F.col(features).isNotNull())
+    return known.groupBy(features, label).agg(F.sum(times).cast("double").alias("weight"))

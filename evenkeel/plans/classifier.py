@@ -14,9 +14,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from evenkeel.functions.scalars import vector_element
-from evenkeel.operators.balance import SEED, ClassBalance, balance_classes, shuffle_rows
+from evenkeel.operators.balance import SEED, ClassBalance, balance_classes, fold_rows, shuffle_rows
 from evenkeel.operators.metrics import metrics_report
-from evenkeel.operators.roc import roc_curve
+from evenkeel.operators.roc import bounded_curve, roc_curve
 from evenkeel.staging import stage
 
 # Settings of the published fit.
@@ -68,6 +68,7 @@ def fit_balanced(
     tree_depth: int = 2,
     allow_undersampling: bool = False,
     stage_rows: bool = True,
+    fold: bool = False,
 ) -> Fit:
     """Balance the classes and fit a binary logistic regression.
 
@@ -75,6 +76,10 @@ def fit_balanced(
     them randomly all the same. ``tree_depth`` above 2 adds levels when gradients of
     very wide features from many partitions are summed. The features are written once, as counting, balancing and
     fitting read them (turn ``stage_rows`` off for a written table), and cached by the fit, on disk where memory is short. The model carries its training summary.
+
+    ``fold`` adds up balanced rows that are equal in features and label before the fit, so that an iteration reads each of
+    them once. Where the fit converges, the weights are the same; after a fixed number of iterations they differ slightly, as
+    Spark scales features by a variance that depends on how the weight is spread over rows.
     """
     written = stage(features.select(key, "features", label), "features") if stage_rows else features
     rows, sizes = balance_classes(written, label, key, mode, seed, allow_undersampling)
@@ -93,9 +98,12 @@ def fit_balanced(
         tol=tolerance,
         aggregationDepth=tree_depth,
     )
-    if mode == "weight":
+    if mode == "weight" or fold:
         regression = regression.setWeightCol("weight")
-    return Fit(regression.fit(rows), rows, sizes)
+    fitted_on = rows
+    if fold:
+        fitted_on = stage(fold_rows(rows, label, weight="weight" if mode == "weight" else None), "folded")
+    return Fit(regression.fit(fitted_on), rows, sizes)
 
 
 def summary_report(summary: BinaryLogisticRegressionTrainingSummary, df: DataFrame) -> DataFrame:
@@ -133,6 +141,13 @@ def exact_curve(model: LogisticRegressionModel, features: DataFrame, label: str)
     return roc_curve(scored.withColumn("_score", vector_element("probability", 1)), label, "_score", weight)
 
 
+def thinned_curve(model: LogisticRegressionModel, features: DataFrame, label: str, points: int) -> DataFrame:
+    """``(FPR, TPR, bound)``: as ``exact_curve``, with at most so many points and what each step may be off."""
+    scored = score(model, features.where(F.col(label).isNotNull()))
+    weight = F.col("weight") if "weight" in features.columns else None
+    return bounded_curve(scored.withColumn("_score", vector_element("probability", 1)), label, "_score", points, weight)
+
+
 def unpack_probability(scored: DataFrame, key: str, names: tuple[str, str]) -> DataFrame:
     """The key and one column per class probability."""
     probability = vector_to_array(F.col("probability"))

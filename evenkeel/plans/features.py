@@ -134,7 +134,7 @@ def fit_features(
         default each column has one slot more than labels, for null and unseen values.
     on_invalid: what to do with rows whose amount has no logarithm: fail with their
         number, skip them (they then count for no statistic), or keep them as NaN.
-    median: "exact" (the lower median) or "approximate" (about 0.1 % of the rows off at most, not the same in every run).
+    median: "exact" (the lower median) or "approximate" (to 32 leading bits, in two passes).
     drop_empty: leave out block columns without any value instead of failing.
     labels_on_driver: all categories' labels together that may go to the driver; beyond, or with too much text in
         them, the columns with the most labels are indexed by a join.

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from evenkeel.operators.balance import hold_out
 from evenkeel.operators.roc import area_under_curve
 from evenkeel.operators.rows import conform, enrich, enrich_spread
-from evenkeel.plans.classifier import evaluate, exact_curve, fit_balanced, submission
+from evenkeel.plans.classifier import evaluate, exact_curve, fit_balanced, submission, thinned_curve
 from evenkeel.plans.features import FittedFeatures, fit_features
 from evenkeel.sources.artifacts import load_classifier, save_model
 from evenkeel.sources.tables import read_csv, read_parquet, write_csv, write_parquet
@@ -71,12 +72,14 @@ def train(
     curve_out: str,
     hold_out_share: float = 0.0,
     held_out: str | None = None,
+    curve_points: int | None = None,
     **fit_options,
 ) -> LogisticRegressionModel:
     """Feature table to a saved classifier, with its metrics and exact curve on the balanced training rows.
 
     The report also tells the rows of either class before balancing, and those without a label. With a share to hold
-    out, rows are split by their key before balancing, and the ones held out are written as a feature table.
+    out, rows are split by their key before balancing, and the ones held out are written as a feature table. With
+    ``curve_points`` the curve has so many points at most, and the report tells how far its area may be off.
     """
     if bool(hold_out_share) != bool(held_out):
         raise ValueError("a share to hold out and a place for it go together")
@@ -88,8 +91,7 @@ def train(
         save_model(fit.model, model_out)
         # Weights only matter to the fit; the report counts rows.
         report = evaluate(fit.model, fit.rows, label).unionByName(fit.sizes_report())
-        write_parquet(report.coalesce(1), report_out)
-        write_csv(exact_curve(fit.model, fit.rows.drop("weight"), label), curve_out)
+        _write_evaluation(fit.model, fit.rows.drop("weight"), label, report, report_out, curve_out, curve_points)
     return load_classifier(model_out)
 
 
@@ -117,12 +119,41 @@ def score_to_csv(
     write_csv(submission(load_classifier(model), read_parquet(spark, features), key, label), out, files)
 
 
-def evaluate_table(spark: SparkSession, features: str, model: str, label: str, report_out: str, curve_out: str) -> None:
-    """Metrics and exact curve of a saved classifier on any labelled feature table."""
+def evaluate_table(
+    spark: SparkSession,
+    features: str,
+    model: str,
+    label: str,
+    report_out: str,
+    curve_out: str,
+    curve_points: int | None = None,
+) -> None:
+    """Metrics and curve of a saved classifier on any labelled feature table; ``curve_points`` as for ``train``."""
     classifier, rows = load_classifier(model), read_parquet(spark, features)
     with scratch(spark):
-        write_parquet(evaluate(classifier, rows, label).coalesce(1), report_out)
-        write_csv(exact_curve(classifier, rows, label), curve_out)
+        report = evaluate(classifier, rows, label)
+        _write_evaluation(classifier, rows, label, report, report_out, curve_out, curve_points)
+
+
+def _write_evaluation(
+    model: LogisticRegressionModel,
+    rows: DataFrame,
+    label: str,
+    report: DataFrame,
+    report_out: str,
+    curve_out: str,
+    curve_points: int | None,
+) -> None:
+    if curve_points is None:
+        curve = exact_curve(model, rows, label)
+    else:
+        thinned = stage(thinned_curve(model, rows, label, curve_points), "curve")
+        curve = thinned.select("FPR", "TPR")
+        off = thinned.agg(F.sum("bound").alias("value"))
+        bound = off.select(F.lit("curve_area_bound").alias("metric"), F.lit(None).cast("double").alias("label"), "value")
+        report = report.unionByName(bound)
+    write_parquet(report.coalesce(1), report_out)
+    write_csv(curve, curve_out)
 
 
 def curve_area(spark: SparkSession, curve: str, out: str) -> None:

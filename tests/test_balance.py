@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 import pytest
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from evenkeel.operators import balance
 
@@ -146,3 +151,27 @@ def test_poisson_draw_follows_the_keys(spark):
     assert drawn.where("y = 0").count() == 1
     same = balance.oversample_poisson(one.repartition(9), "y", "k", 1.0)
     assert drawn.exceptAll(same).isEmpty() and same.exceptAll(drawn).isEmpty()
+
+
+def test_folded_rows(spark):
+    vectors = [Vectors.sparse(3, {0: 1.0}), Vectors.sparse(3, {2: 4.0}), Vectors.dense(1.0, 0.0, 0.0), None]
+    rows = [(vectors[i % 4], (None, 0, 1, 1)[i % 7 % 4], float(i % 3)) for i in range(840)]
+    fields = [StructField("features", VectorUDT()), StructField("y", IntegerType()), StructField("w", DoubleType())]
+    df = spark.createDataFrame(rows, StructType(fields))
+    for weight in (None, "w"):
+        want = Counter()
+        for v, y, w in rows:
+            if v is not None and y is not None:
+                want[str(v), y] += w if weight else 1.0
+        found = balance.fold_rows(df, "y", weight=weight).collect()
+        assert {(str(r["features"]), r["y"]): r["weight"] for r in found} == want and len(found) == len(want)
+    assert balance.fold_rows(df.limit(0), "y").count() == 0
+
+
+def test_folding_counts_hot_rows_before_the_shuffle(spark):
+    hot = spark.range(0, 9_000, 1, 6).select(
+        array_to_vector(F.array((F.col("id") % 3 % 2).cast("double"))).alias("features"), (F.col("id") % 2).alias("y")
+    )
+    plan = balance.fold_rows(hot, "y")._jdf.queryExecution().executedPlan().toString()
+    assert "partial_sum" in plan and "SortAggregate" not in plan
+    assert balance.fold_rows(hot, "y").agg(F.count("*"), F.sum("weight")).first() == (4, 9_000.0)

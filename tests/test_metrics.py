@@ -107,3 +107,27 @@ def test_report_holds_all_metrics(spark):
     report = metrics.metrics_report(events(spark), "label", "prediction", "score").collect()
     assert len(report) == 12
     assert {r["metric"] for r in report if r["label"] is None} == {"accuracy", "area_under_roc"}
+
+
+def test_bounded_curve(spark):
+    df = events(spark)
+    exact = {tuple(r) for r in roc.roc_curve(df, "label", "score").collect()}
+    area = roc.area_under_roc(df, "label", "score").first()["area"]
+    for points in (4, 5, 30, 104, 1_000_000):
+        thinned = roc.bounded_curve(df, "label", "score", points)
+        rows = [tuple(r) for r in thinned.collect()]
+        kept, bound = {r[:2] for r in rows}, sum(r[2] for r in rows)
+        assert len(kept) == len(rows) <= points and kept <= exact
+        assert bound <= 1 / (points - 3)
+        off = abs(roc.area_under_curve(thinned).first()["area"] - area)
+        assert off <= bound + 1e-12
+    # Enough points for every score: the exact curve.
+    assert kept == exact and bound == 0
+    with pytest.raises(ValueError, match="4 points"):
+        roc.bounded_curve(df, "label", "score", 3)
+
+
+def test_bounded_curve_of_few_scores(spark):
+    df = scored(spark, (1, 0.9), (0, 0.5), (1, 0.5), (0, 0.1), (None, 0.7))
+    rows = sorted(tuple(r) for r in roc.bounded_curve(df, "label", "score").collect())
+    assert rows == [(0.0, 0.0, 0.0), (0.0, 0.5, 0.0), (0.5, 1.0, 0.0), (1.0, 1.0, 0.0)]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import struct
+
 import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -10,6 +12,7 @@ from pyspark.ml.feature import PCA, Imputer, MinMaxScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from evenkeel.functions.scalars import ordered_bits
 from evenkeel.operators import numeric
 
 NAN = float("nan")
@@ -43,12 +46,42 @@ def test_exact_medians_equal_the_imputer_without_error(spark):
     assert numeric.as_dict(numeric.exact_medians(lineitem, MONEY), "median") == {c: expected[c] for c in MONEY}
 
 
-def test_approximate_medians_are_near_the_middle(spark):
+EDGES = [0.0, -0.0, 5e-324, 2.225073858507201e-308, 2.2250738585072014e-308, 1.0, 1.9999999999999998, 2.0, 0.1, 1 / 3,
+         2.0**-40, 2.0**1023, 1.7976931348623157e308, float("inf"), 1024.0, 1023.9999999999999, 7.0]
+
+
+def test_ordered_bits_are_those_of_the_double(spark):
+    values = sorted({*EDGES, *(-v for v in EDGES), *(2.0**e for e in range(-1074, 1024, 7))})
+    found = spark.createDataFrame([(v,) for v in values], "x double").select("x", ordered_bits("x").alias("code")).collect()
+    for row in found:
+        (bits,) = struct.unpack("<q", struct.pack("<d", abs(row["x"])))
+        assert row["code"] == (-bits if row["x"] < 0 else bits), row
+    assert spark.createDataFrame([(None,)], "x double").select(ordered_bits("x").alias("c")).first()["c"] is None
+
+
+def test_medians_by_bits(spark):
     lineitem = spark.read.parquet(LINEITEM)
+    exact = numeric.as_dict(numeric.exact_medians(lineitem, MONEY), "median")
     rows = lineitem.count()
-    for column, value in numeric.as_dict(numeric.approximate_medians(lineitem, MONEY), "median").items():
-        below, upto = lineitem.agg(F.count_if(F.col(column) < value), F.count_if(F.col(column) <= value)).first()
-        assert below <= rows * 0.501 + 1 and upto >= rows * 0.499 - 1
+    assert numeric.as_dict(numeric.radix_medians(lineitem.repartition(5), MONEY, 64), "median") == exact
+    for bits, near in ((16, 0.07), (32, 1e-6)):
+        for row in numeric.radix_medians(lineitem, MONEY, bits).collect():
+            assert row["rows"] == rows and row["median"] == pytest.approx(exact[row["column"]], rel=near)
+            below, upto = lineitem.agg(
+                F.count_if(F.col(row["column"]) < row["median"]), F.count_if(F.col(row["column"]) < exact[row["column"]])
+            ).first()
+            assert row["below"] == below and below <= upto < below + row["inside"]
+    with pytest.raises(ValueError, match="16, 32"):
+        numeric.radix_medians(lineitem, MONEY, 20)
+
+
+def test_medians_by_bits_of_signs_and_nothing(spark):
+    df = frame(spark, [-3.0, -0.0, 0.0, 2.0], [float("-inf"), -5e-324, float("inf"), NAN], [None] * 4, [-7.0, -7.0, -7.0, 1e300])
+    found = numeric.radix_medians(df, df.columns, 64)
+    assert [tuple(r)[1:] for r in found.orderBy("column").collect()] == [
+        (0.0, 4, 1, 2), (-5e-324, 3, 1, 1), (None, 0, 0, 0), (-7.0, 4, 0, 3)
+    ]
+    assert [r["rows"] for r in numeric.radix_medians(df.limit(0), df.columns).collect()] == [0] * 4
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
