@@ -5,20 +5,25 @@ host decides: personalised PageRank carries trust from hosts that rules allow al
 that rules block against the links, to those that point at them.
 
 A host's seed is the part of its pages that rules allow (or block), so scores are in units of one wholly allowed or
-blocked host. Distrust is divided among all that link to a host, so it shrinks as they grow in number. What decides is the
-host's leaning: distrust carried against the links by the part of a host's own links that lead to each other host,
-whoever else links there. Those that link to nothing but a blocked host lean by the damping, be they two or a million.
-A host is blocked where its leaning reaches the threshold and exceeds its trust; hosts without evidence are allowed.
+blocked host. Trust adds up over all that link to a host, and distrust is divided among them, so either follows a host's
+fame. Verdicts compare the same walks as seen from the host. Its leaning is distrust carried against the links by the part
+of its own links that lead to each other host: how much of a personalised PageRank from there meets blocked hosts. Its
+backing is trust carried along the links by the part of the links to it that come from each other host: the same against
+the links, for allowed hosts. Hosts that link to nothing but a blocked host lean by the damping, be they two or a million,
+and those that only wholly allowed hosts link to are backed by the damping, be these one or a million.
+A host is blocked where its leaning reaches the threshold and its backing is no greater (a tie, up to the tolerance, is
+decided by the host's own links); hosts without evidence are allowed.
 """
 
 from __future__ import annotations
 
+import functools
 import string
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evenkeel.llm.common import attach
+from evenkeel.llm.common import HOT_PARTS, attach
 from evenkeel.staging import stage
 
 RULES = (
@@ -31,8 +36,7 @@ RULES = (
 DAMPING = 0.85
 THRESHOLD = 0.5
 TOLERANCE = 1e-4
-LEANING = "leaning"
-KINDS = ("trust", "distrust", LEANING)
+KINDS = ("trust", "backing", "distrust", "leaning")
 ROUNDS = 50
 
 _URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
@@ -72,41 +76,78 @@ def host_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
     return between.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("links"))
 
 
+def _along(host: Column) -> Column:
+    return F.concat(F.lit("along "), host)
+
+
+def _against(host: Column) -> Column:
+    return F.concat(F.lit("against "), host)
+
+
+def host_edges(links: DataFrame) -> DataFrame:
+    """``(node, to, divided, shared, hot)``: every link between hosts in both directions, a node being a host and a direction.
+
+    ``divided`` is the link's part of all that leave ``node``, ``shared`` its part of all that reach ``to``; ``hot`` marks
+    nodes that a thousandth of the rows leave, of which there are a thousand at most.
+    """
+    src, dst = F.col("src"), F.col("dst")
+    both = stage(
+        links.select(_along(src).alias("node"), _along(dst).alias("to"), "links").unionByName(
+            links.select(_against(dst).alias("node"), _against(src).alias("to"), "links")
+        ),
+        "host-links",
+    )
+    total = both.count()
+    hot = (F.col("n") * HOT_PARTS >= total).alias("hot")
+    for end, all_links, more in (("node", "leaving", [hot]), ("to", "reaching", [])):
+        sums = stage(both.groupBy(end).agg(F.count(F.lit(1)).alias("n"), F.sum("links").alias(all_links)), "host-sums")
+        joined = attach(both, sums, end, "n", total, keep_copies=True)
+        both = stage(joined.select(*both.columns, all_links, *more), "host-links")
+    part = lambda name: F.col("links") / F.col(name)
+    return both.select("node", "to", part("leaving").alias("divided"), part("reaching").alias("shared"), "hot")
+
+
 def spread(
     edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, tolerance: float = TOLERANCE, rounds: int = ROUNDS
 ) -> DataFrame:
-    """``(kind, host, score)``: seeds and what reaches a host from them, for each kind by itself.
+    """``(node, divided, shared)``: seeds and what reaches a node from them, by either part of ``host_edges``.
 
-    ``edges (kind, src, dst, weight)``, weights summing to 1 for each source, for leaning for each ``dst``; ``seeds (kind,
-    host, seed)``. What a host has flows on, damped, until a round moves less than ``tolerance`` of the seeds, and no
-    host's leaning by more than ``tolerance`` (or ``rounds`` are over). What hosts without links have flows nowhere. Each
-    round is written, and only one total of it comes to the driver.
+    ``seeds (node, seed)``. What a node has flows on, damped, until a round moves less than ``tolerance`` of the seeds
+    by ``divided`` parts, and to no node more than ``tolerance`` by ``shared`` ones (or ``rounds`` are over). What nodes
+    without links have flows nowhere. Each round is written, and only one total of it comes to the driver. What hot nodes
+    have, a thousand rows at most, is broadcast to their edges.
     """
-    scores = flow = stage(seeds.where(F.col("seed") > 0).select("kind", "host", F.col("seed").alias("score")), "seeds")
-    leans = F.col("kind") == LEANING
-    moving = F.coalesce(F.sum(F.when(~leans, F.col("score"))), F.lit(0.0)), F.coalesce(
-        F.max(F.when(leans, F.col("score"))), F.lit(0.0)
-    )
-    mass = scores.agg(*moving).first()[0]
+    seed = F.col("seed")
+    flow = stage(seeds.where(seed > 0).select("node", seed.alias("score"), seed.alias("share")), "seeds")
+    moving = F.coalesce(F.sum("score"), F.lit(0.0)), F.coalesce(F.max("share"), F.lit(0.0))
+    mass = flow.agg(*moving).first()[0]
+    hot_nodes = stage(edges.where("hot").select("node").distinct(), "hot-nodes")
+    walked = [flow]
     for _ in range(rounds if mass else 0):
-        moved = flow.withColumnRenamed("host", "src").join(edges, ["kind", "src"])
+        of_hot = flow.join(F.broadcast(hot_nodes), "node")
+        moved = edges.where(~F.col("hot")).join(flow, "node").unionByName(
+            edges.where("hot").join(F.broadcast(of_hot), "node")
+        )
         flow = stage(
-            moved.groupBy("kind", F.col("dst").alias("host")).agg(
-                F.sum(F.col("score") * F.col("weight") * damping).alias("score")
+            moved.groupBy(F.col("to").alias("node")).agg(
+                F.sum(F.col("score") * F.col("divided") * damping).alias("score"),
+                F.sum(F.col("share") * F.col("shared") * damping).alias("share"),
             ),
             "flow",
         )
         total, most = flow.agg(*moving).first()
         if total <= tolerance * mass and most <= tolerance:
             break
-        scores = stage(scores.unionByName(flow).groupBy("kind", "host").agg(F.sum("score").alias("score")), "scores")
-    return scores
+        walked.append(flow)
+    every = functools.reduce(DataFrame.unionByName, walked)
+    return every.groupBy("node").agg(F.sum("score").alias("divided"), F.sum("share").alias("shared"))
 
 
 def host_scores(
     hosts: DataFrame, links: DataFrame, rules: tuple[tuple[str, str], ...] = RULES, **settings
 ) -> DataFrame:
-    """``(host, copies, trust, distrust, leaning)`` for ``hosts (host, copies, allowed, blocked)`` and all that they link to."""
+    """``(host, copies, trust, backing, distrust, leaning)`` for ``hosts (host, copies, allowed, blocked)`` and all that
+    they link to."""
     _, of_root = rule_of(F.col("host"), F.lit("/"), rules)
     linked = links.select(F.col("dst").alias("host")).distinct().join(hosts, "host", "left_anti")
     uncrawled = linked.select("host", F.lit(0).cast("long").alias("copies"), *[
@@ -115,24 +156,14 @@ def host_scores(
         )
     ])
     nodes = stage(hosts.unionByName(uncrawled), "hosts")
-    seeds = nodes.select(
-        "host",
-        F.explode(
-            F.create_map(F.lit("trust"), "allowed", F.lit("distrust"), "blocked", F.lit(LEANING), "blocked")
-        ).alias("kind", "seed"),
-    )
-    against = F.col("dst").alias("src"), F.col("src").alias("dst"), "links"
-    every = links.select(F.lit("trust").alias("kind"), "src", "dst", "links", F.col("src").alias("_of")).unionByName(
-        links.select(F.lit("distrust").alias("kind"), *against, F.col("dst").alias("_of"))
-    ).unionByName(links.select(F.lit(LEANING).alias("kind"), *against, F.col("src").alias("_of")))
-    out = every.groupBy("kind", "_of").agg(F.sum("links").alias("_all"))
-    edges = stage(
-        every.join(out, ["kind", "_of"]).select("kind", "src", "dst", (F.col("links") / F.col("_all")).alias("weight")),
-        "host-edges",
-    )
-    scores = spread(edges, seeds, **settings)
-    wide = scores.groupBy("host").agg(
-        *[F.sum(F.when(F.col("kind") == k, F.col("score")).otherwise(0.0)).alias(k) for k in KINDS]
+    host = F.col("host")
+    seeds = nodes.select(F.explode(F.create_map(_along(host), "allowed", _against(host), "blocked")).alias("node", "seed"))
+    scores = spread(stage(host_edges(links), "host-edges"), seeds, **settings)
+    along = F.col("node").startswith("along ")
+    named = {"trust": (along, "divided"), "backing": (along, "shared"),
+             "distrust": (~along, "divided"), "leaning": (~along, "shared")}
+    wide = scores.groupBy(F.substring_index("node", " ", -1).alias("host")).agg(
+        *[F.sum(F.when(way, F.col(part)).otherwise(0.0)).alias(k) for k, (way, part) in named.items()]
     )
     return nodes.select("host", "copies").join(wide, "host", "left").fillna(0.0, [*KINDS])
 
@@ -146,7 +177,7 @@ def judge(
     html: str = "html",
     **settings,
 ) -> DataFrame:
-    """``(page_id, host, path, rule, verdict, trust, distrust, leaning)`` per page.
+    """``(page_id, host, path, rule, verdict, trust, backing, distrust, leaning)`` per page.
 
     A null URL, or one without ``://``, has an empty host and path, fits no rule and no graph, and is allowed. Null html
     has no links. Null and repeated ids stay. Extra columns are left out. ``settings`` as for ``spread``.
@@ -162,8 +193,9 @@ def judge(
         F.count(F.lit(1)).alias("copies"), share("allow").alias("allowed"), share("block").alias("blocked")
     )
     scores = stage(host_scores(hosts, links, rules, **settings), "host-scores")
-    empty = rows.sparkSession.createDataFrame([("", rows.where(F.col("host") == "").count(), 0.0, 0.0, 0.0)], scores.schema)
+    empty = rows.sparkSession.createDataFrame([("", rows.where(F.col("host") == "").count(), *[0.0] * len(KINDS))], scores.schema)
     judged = attach(rows, scores.unionByName(empty), "host", "copies", rows.count())
-    distrusted = (F.col(LEANING) >= threshold) & (F.col(LEANING) > F.col("trust"))
+    margin = settings.get("tolerance", TOLERANCE)
+    distrusted = (F.col("leaning") >= threshold) & (F.col("leaning") >= F.col("backing") - margin)
     verdict = F.coalesce(F.col("said"), F.when(distrusted, "block").otherwise("allow"))
     return judged.select("page_id", "host", "path", "rule", verdict.alias("verdict"), *KINDS)

@@ -112,6 +112,38 @@ def test_verdicts_do_not_depend_on_the_number_of_linkers(spark):
         assert r["verdict"] == verdict and r["leaning"] == pytest.approx(leaning, abs=1e-9), r
 
 
+def test_verdicts_do_not_depend_on_the_number_of_trusted_linkers(spark):
+    """Hosts that only wholly allowed hosts link to: one that links to a blocked host, one with a link of three, one with none."""
+    ship(spark)
+    links = [("bad.net", [])]
+    for n in (1, 3, 100, 10_000):
+        links += [(f"worst.n{n}.org", ["bad.net"]), (f"third.n{n}.org", ["bad.net", "x.org", "y.org"]), (f"clean.n{n}.org", [])]
+        links += [(f"good{i}.n{n}.com", [f"{k}.n{n}.org" for k in ("worst", "third", "clean")]) for i in range(n)]
+        # Linked to by one that leans as it does itself, beside the trusted ones.
+        links += [(f"twin.n{n}.org", [f"worst.n{n}.org"])]
+    rows = [(i, f"http://{h}/", "".join(f'<a href="//{t}/">' for t in to)) for i, (h, to) in enumerate(links)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r["host"]: r for r in urls.judge(frame, (("allow", "com/"), ("block", "bad.net/"))).collect()}
+    assert len(found) == len(links)
+    for n in (1, 3, 100, 10_000):
+        verdicts = [found[f"{k}.n{n}.org"]["verdict"] for k in ("worst", "third", "clean", "twin")]
+        assert verdicts == ["block", "allow", "allow", "block"], n
+        assert found[f"third.n{n}.org"]["backing"] == pytest.approx(0.85, abs=1e-9)
+        assert found[f"worst.n{n}.org"]["backing"] == pytest.approx(0.85 * n / (n + 1), abs=1e-9)
+        assert found[f"clean.n{n}.org"]["trust"] == pytest.approx(0.85 * n / 3, rel=1e-9)
+
+
+def test_backing_outweighs_a_smaller_leaning(spark):
+    """Two of three links to a blocked host, and trusted ones alone link there: leaning 0.57, backing 0.85."""
+    ship(spark)
+    rows = [(1, "http://bad.net/", ""), (2, "http://a.com/", '<a href="//mixed.org/">'),
+            (3, "http://mixed.org/", '<a href="//bad.net/"><a href="//bad.net/2"><a href="//x.org/">'),
+            (4, "http://alone.org/", '<a href="//bad.net/"><a href="//bad.net/2"><a href="//x.org/">')]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r["host"]: r["verdict"] for r in urls.judge(frame, (("allow", "com/"), ("block", "bad.net/"))).collect()}
+    assert (found["mixed.org"], found["alone.org"]) == ("allow", "block")
+
+
 def test_leaning_against_the_series(pages):
     found = {r["host"]: r["leaning"] for r in urls.judge(pages, tolerance=1e-12, rounds=400).collect()}
     leads = {"a.org": {"bad.net": 0.5, "good.com": 0.5}, "bad.net": {"a.org": 1.0}, "c.org": {"a.org": 1.0},
