@@ -78,8 +78,8 @@ def fit_balanced(
     fitting read them (turn ``stage_rows`` off for a written table), and cached by the fit, on disk where memory is short. The model carries its training summary.
 
     ``fold`` adds up balanced rows that are equal in features and label before the fit, so that an iteration reads each of
-    them once. Where the fit converges, the weights are the same; after a fixed number of iterations they differ slightly, as
-    Spark scales features by a variance that depends on how the weight is spread over rows.
+    them once. Where a fit without a penalty converges, the weights are the same; with a penalty, or after a fixed number
+    of iterations, they differ slightly, as Spark scales features by a variance that depends on how weight is spread over rows.
     """
     written = stage(features.select(key, "features", label), "features") if stage_rows else features
     rows, sizes = balance_classes(written, label, key, mode, seed, allow_undersampling)

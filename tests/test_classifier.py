@@ -212,3 +212,20 @@ def test_commands_for_evaluation_and_held_out_rows(spark, files, tmp_path):
     assert spark.read.parquet(f"{at}/area").first()["area"] == pytest.approx(area)
     with pytest.raises(ValueError, match="go together"):
         jobs.train(spark, f"{at}/train", "toxic", "doc_id", f"{at}/m", f"{at}/r", f"{at}/c", hold_out_share=0.2)
+
+
+def test_commands_with_folded_rows_and_a_short_curve(spark, features, tmp_path):
+    at = str(tmp_path)
+    tables.write_parquet(features, f"{at}/f")
+    paths = [[f"{at}/{kind}{n}" for kind in "mrc"] for n in range(2)]
+    jobs.train(spark, f"{at}/f", "y", "id", *paths[0], max_iter=60, tolerance=1e-10)
+    jobs.train(
+        spark, f"{at}/f", "y", "id", *paths[1], max_iter=60, tolerance=1e-10, fold=True, curve_points=20
+    )
+    plain, folded = (artifacts.load_classifier(m) for m, _, _ in paths)
+    assert folded.coefficients.toArray() == pytest.approx(plain.coefficients.toArray(), abs=1e-4)
+    reports = [{(r["metric"], r["label"]): r["value"] for r in spark.read.parquet(r_).collect()} for _, r_, _ in paths]
+    off = reports[1].pop(("curve_area_bound", None))
+    assert 0 <= off <= 1 / 17 and set(reports[0]) == set(reports[1])
+    exact, short = ({tuple(p) for p in spark.read.csv(c, header=True).collect()} for _, _, c in paths)
+    assert len(short) <= 20 < len(exact) and short <= exact
