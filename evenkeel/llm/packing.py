@@ -11,6 +11,7 @@ by row number and packed group by group, so the work is spread and no document o
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator, Mapping
 from functools import cache
@@ -190,12 +191,15 @@ def pack(
 def pack_documents(
     documents: DataFrame,
     window: int = WINDOW,
-    segments: int = SEGMENTS,
+    segments: int | None = None,
     loss: int | None = None,
     group_items: int = GROUP_PIECES,
 ) -> DataFrame:
     """Sequences of at most ``window`` ids, ``segments`` pieces and ``loss`` loss-bearing ids from whole documents.
 
+    ``segments`` defaults to ``SEGMENTS``, or to twice as many pieces of the mean length as a sequence holds if that is
+    more, so that a table of very short texts leaves no padding either.
+
     All ids of a piece but its first bear loss: nothing in the sequence comes before that one. ``loss`` defaults to
     ``window``, which binds for no document; instruction data with masked prompts goes to ``pack`` with its own counts.
     """
@@ -209,6 +213,9 @@ def pack_documents(
     rests = pieces.where(F.col("length") < window).select(
         "*", F.lit(1).cast("long").alias("segments"), (F.col("length") - 1).alias("loss")
     )
+    if segments is None:
+        mean = rests.agg(F.avg("length")).first()[0] or window
+        segments = max(SEGMENTS, math.ceil(2 * window / mean))
     limits = {"length": window, "segments": segments, "loss": loss or window}
     packed = pack(rests, limits, tokens="length", group_items=group_items).drop("segments", "loss")
     return alone.unionByName(packed)

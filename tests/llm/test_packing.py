@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from evenkeel.llm import packing
 from evenkeel.llm.common import ship
@@ -102,3 +103,14 @@ def test_empty_table(spark, documents):
     empty = packing.pack_documents(documents.limit(0))
     assert empty.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
     assert empty.count() == 0
+
+
+@pytest.mark.parametrize("text", ["", "a b c"])
+def test_many_very_short_texts_fill_their_sequences(spark, text):
+    ship(spark)
+    rows = spark.range(10_000).select(F.col("id").alias("doc_id"), F.lit(text).alias("text"))
+    packed = packing.pack_documents(rows).groupBy("sequence_id").agg(F.sum("length").alias("n"), F.count("*").alias("pieces"))
+    used, sequences = packed.agg(F.sum("n"), F.count("*")).first()
+    assert used > 0.9 * 1024 * (sequences - 1)
+    capped = packing.pack_documents(rows, segments=100).groupBy("sequence_id").count()
+    assert capped.agg(F.max("count")).first()[0] == 100
