@@ -185,6 +185,58 @@ ORACLES: dict[str, str] = {
                strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') as o_orderdate
         from orders
     """,
+    "csv_type_evidence": r"""
+        with t as (
+            select cast(o_orderkey as varchar) as o_orderkey, cast(o_custkey as varchar) as o_custkey, o_orderstatus,
+                   cast(o_totalprice as varchar) as o_totalprice, o_orderpriority,
+                   strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') as stamp, strftime(o_orderdate, '%Y-%m-%d') as "day",
+                   cast(o_totalprice > 1000 as varchar) as dear,
+                   case when o_orderstatus = 'P' then 'part ' || o_orderpriority
+                        else cast(o_custkey as varchar) end as note,
+                   case when o_orderstatus <> 'P' then lpad(cast(o_custkey as varchar), 9, '0') end as code,
+                   case when o_orderstatus = 'P' then cast(o_orderkey * 10000000000 as varchar) end as "wide"
+            from orders),
+        cells as (select "column", cell from t unpivot include nulls (cell for "column" in (columns(*)))),
+        kinds as (
+            select *, case
+                when cell is null then null
+                when regexp_full_match(cell, '[+-]?[0-9]+') and try_cast(cell as bigint) between -2147483648 and 2147483647
+                    then 'int'
+                when regexp_full_match(cell, '[+-]?[0-9]+') and try_cast(cell as bigint) is not null then 'bigint'
+                when try_cast(cell as double) is not null then 'double'
+                when lower(cell) in ('true', 'false') then 'boolean'
+                when length(cell) = 10 and try_cast(cell as date) is not null then 'date'
+                when try_cast(cell as timestamp) is not null then 'timestamp_ntz'
+                else 'string' end as kind
+            from cells),
+        counts as (
+            select "column", count(cell) as "values", count(*) - count(cell) as nulls,
+                   count(*) filter (where cell[1] = '0' and length(cell) > 1 and kind in ('int', 'bigint')) as padded,
+                   count(*) filter (where kind in ('int', 'bigint', 'double')) as numbers,
+                   count(*) filter (where kind = 'bigint') as big, count(*) filter (where kind = 'double') as fractions,
+                   count(*) filter (where kind = 'boolean') as flags, count(*) filter (where kind = 'date') as dates,
+                   count(*) filter (where kind = 'timestamp_ntz') as stamps
+            from kinds group by 1),
+        typed as (
+            select *, case when fractions > 0 then 'double' when big > 0 then 'bigint' else 'int' end as number_type
+            from counts),
+        judged as (
+            select *, case
+                when "values" = 0 then 'string'
+                when numbers = "values" then number_type
+                when dates + stamps = "values" then case when stamps > 0 then 'timestamp_ntz' else 'date' end
+                when flags = "values" then 'boolean' else 'string' end as type,
+                case when numbers > 0 and numbers < "values" and 2 * numbers >= "values" then number_type end as mostly
+            from typed),
+        odd as (
+            select k."column", count(*) as misfits, min(cell) as example
+            from kinds k join judged j using ("column")
+            where j.mostly is not null and cell is not null and kind not in ('int', 'bigint', 'double') group by 1)
+        select "column", type, "values", nulls, padded, mostly, misfits, example from judged left join odd using ("column")
+    """,
+    "csv_proposed_read": """
+        select o_orderkey, o_totalprice, o_orderstatus, o_totalprice > 1000 as dear from orders
+    """,
     "scan_parquet_project": "select o_orderkey as order_key, o_custkey as customer, o_totalprice as price from orders",
     "sink_parquet_roundtrip": "select c_custkey, c_name, c_acctbal, c_mktsegment from customer",
     "left_join_enrich": f"""

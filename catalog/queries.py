@@ -16,7 +16,7 @@ from evenkeel.functions.scalars import logistic, min_max
 from evenkeel.operators import balance, categories, metrics, numeric, permutation, roc, rows
 from evenkeel.plans import classifier, jobs
 from evenkeel.plans.features import FittedFeatures, fit_features
-from evenkeel.sources import artifacts, published, tables
+from evenkeel.sources import artifacts, evidence, published, tables
 from evenkeel.spec import Block, FeatureSpec, family
 from evenkeel.staging import scratch_path, stage
 
@@ -115,6 +115,45 @@ def csv_text_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     return tables.read_csv(spark, path, {"id": T.LongType(), "turn": T.LongType()}, multi_line=True)
 
 
+@query
+def csv_type_evidence(spark: SparkSession, d: str) -> DataFrame:
+    """What the cells of orders' CSV columns say about their types; ``note`` mixes numbers and words."""
+    path = scratch_path(spark, "untyped")
+    orders = table(spark, d, "orders")
+    is_partial = F.col("o_orderstatus") == "P"
+    tables.write_csv(
+        orders.select(
+            "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority",
+            F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("stamp"),
+            F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"),
+            (F.col("o_totalprice") > 1000).alias("dear"),
+            F.when(is_partial, F.concat(F.lit("part "), "o_orderpriority"))
+            .otherwise(F.col("o_custkey").cast("string"))
+            .alias("note"),
+            F.when(~is_partial, F.lpad(F.col("o_custkey").cast("string"), 9, "0")).alias("code"),
+            F.when(is_partial, F.col("o_orderkey") * 10_000_000_000).alias("wide"),
+        ),
+        path,
+    )
+    found = evidence.csv_evidence(spark, path)
+    kept = ["column", "type", "values", "nulls", "padded", "mostly", "misfits", "example"]
+    return found.select(*kept)
+
+
+@query
+def csv_proposed_read(spark: SparkSession, d: str) -> DataFrame:
+    """Orders through CSV and back, with the types that the evidence proposes."""
+    path = scratch_path(spark, "proposed")
+    tables.write_csv(
+        table(spark, d, "orders").select(
+            "o_orderkey", "o_totalprice", "o_orderstatus", (F.col("o_totalprice") > 1000).alias("dear")
+        ),
+        path,
+    )
+    back = tables.read_csv(spark, path, evidence.proposed_types(evidence.csv_evidence(spark, path)))
+    return back.withColumn("o_orderkey", F.col("o_orderkey").cast("bigint"))
+
+
 @query
 def scan_parquet_project(spark: SparkSession, d: str) -> DataFrame:
     chosen = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice")

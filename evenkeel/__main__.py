@@ -27,6 +27,10 @@ def arguments() -> argparse.ArgumentParser:
             sub.add_argument(f"--{path}", required=True)
         return sub
 
+    propose = command("propose-types", "table", "report")
+    propose.add_argument("--spec", help="JSON file; says which columns cannot be read as it declares them")
+    propose.add_argument("--multi-line", action="store_true", help="cells have line breaks; a file is then one task")
+
     fit = command("train-features", "facts", "details", "features", "state")
     fit.add_argument("--spec", help="JSON file; card transactions if left out")
     fit.add_argument("--compat", action="store_true")
@@ -71,6 +75,10 @@ def arguments() -> argparse.ArgumentParser:
 def main(argv: Sequence[str] | None = None) -> None:
     args = arguments().parse_args(argv)
     spark = SparkSession.builder.appName(f"evenkeel {args.job}").getOrCreate()
+    if args.job == "propose-types":
+        spec = FeatureSpec.from_json(Path(args.spec).read_text()) if args.spec else None
+        jobs.propose_types(spark, args.table, args.report, spec, args.multi_line)
+        return
     if args.job == "train-features":
         spec = FeatureSpec.from_json(Path(args.spec).read_text()) if args.spec else card_transactions()
         jobs.build_training_features(

@@ -13,6 +13,7 @@ from evenkeel.operators.rows import conform, enrich, enrich_spread
 from evenkeel.plans.classifier import evaluate, exact_curve, fit_balanced, submission, thinned_curve
 from evenkeel.plans.features import FittedFeatures, fit_features
 from evenkeel.sources.artifacts import load_classifier, save_model
+from evenkeel.sources.evidence import against_spec, csv_evidence
 from evenkeel.sources.tables import read_csv, read_parquet, write_csv, write_parquet
 from evenkeel.spec import FeatureSpec
 from evenkeel.staging import scratch, stage, staged
@@ -37,6 +38,15 @@ def read_joined(
     return enrich(rows, more, spec.key, salts)
 
 
+def propose_types(
+    spark: SparkSession, table: str, report_out: str, spec: FeatureSpec | None = None, multi_line: bool = False
+) -> None:
+    """What the cells of a CSV table say about its columns' types, as one CSV file with a row per column; with ``spec``,
+    whether they can be read as it declares them."""
+    evidence = csv_evidence(spark, table, multi_line=multi_line)
+    write_csv(evidence if spec is None else against_spec(evidence, spec), report_out, files=1)
+
+
 def build_training_features(
     spark: SparkSession,
     spec: FeatureSpec,
