@@ -38,6 +38,16 @@ def shares(rows: int, per_group: int) -> int:
     return max(1, -(-rows // per_group))
 
 
+#: More tasks than this gain nothing; groups beyond it share tasks.
+MOST_TASKS = 20_000
+
+
+def by_group(df: DataFrame, groups: int, *keys: str) -> DataFrame:
+    """Rows laid out for one task per group, as near as hashing comes: Spark would merge small partitions by their bytes,
+    though the work on a group may be far more than its rows weigh."""
+    return df.repartition(max(1, min(int(groups), MOST_TASKS)), *keys)
+
+
 def numbered(df: DataFrame, name: str, *columns: Column) -> DataFrame:
     """``(row, item, *columns)``: a written table with a distinct number in each row, the row itself as a struct, so that
     its names clash with nothing, and ``columns`` of ``df``.

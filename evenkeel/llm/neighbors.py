@@ -6,7 +6,8 @@ are ranked by their exact distance. How many rows are enough is found out on a b
 neighbours are known: it is what the wanted recall needs there.
 
 Equal vectors are one entry with its smallest ids, as many as can be among the nearest, so copies weigh nothing. Cells
-are put into shards of bounded size, large ones into several; each shard works on blocks of the queries that come by.
+are put into shards of bounded size, large ones into several. A shard is copied for every ``BLOCK_QUERIES`` queries that
+come by, and goes nowhere if none does; in it a query is compared with the rows of the cells it passes and no others.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from evenkeel.llm.common import shares
+from evenkeel.llm.common import by_group, shares
 from evenkeel.llm.vectors import matrix, usable
 from evenkeel.staging import stage
 
@@ -30,11 +31,13 @@ SAMPLE = 20_000
 ROUNDS = 12
 SEED = 42
 TRIAL_QUERIES = 128
-RECALL = 0.97
-LEAST_ROWS = 1_000
+RECALL = 0.93
+LEAST_ROWS = 100
 SHARD_ROWS = 20_000
 BLOCK_QUERIES = 20_000
-AT_ONCE = 64
+AT_ONCE = 256
+PROBES = "shard int, query_id long, point array<double>, cells array<int>, depths array<long>"
+FOUND = "query_id long, vec_id long, score double, depth long"
 
 
 def centroids(points: np.ndarray, count: int, rounds: int = ROUNDS, seed: int = SEED) -> np.ndarray:
@@ -124,6 +127,16 @@ class Index:
         return int((self.shard_of + self.shards_of).max()) if len(self.shard_of) else 0
 
 
+def _once(vectors: DataFrame, nearest: int) -> DataFrame:
+    """``(same, ids, vector)``: equal vectors as one entry with the ids that can be among a query's nearest."""
+    pairs = vectors.groupBy("same", "vec_id").agg(F.first("vector").alias("vector"))
+    smallest = F.row_number().over(Window.partitionBy("same").orderBy("vec_id"))
+    few = pairs.withColumn("_n", smallest).where(F.col("_n") <= nearest + 1)
+    return few.groupBy("same").agg(
+        F.sort_array(F.collect_list("vec_id")).alias("ids"), F.first("vector").alias("vector")
+    )
+
+
 def build(
     vectors: DataFrame,
     nearest: int = NEAREST,
@@ -133,16 +146,10 @@ def build(
 ) -> Index | None:
     """The index of ``vectors (vec_id, vector, same)``; the quantiser is fitted on ``sample`` entries or about that.
 
-    ``count`` is the number of centroids of a half, by default the fourth root of the entries within bounds; its square is
-    the number of cells, which are counted on the driver. None if there is no vector. Vectors must have one length.
+    ``count`` is the number of centroids of a half, by default the fourth root of the entries within bounds; its square
+    is the number of cells, which are counted on the driver. None if there is no vector. Vectors must have one length.
     """
-    once = vectors.groupBy("same", "vec_id").agg(F.first("vector").alias("vector"))
-    smallest = F.row_number().over(Window.partitionBy("same").orderBy("vec_id"))
-    few = once.withColumn("_n", smallest).where(F.col("_n") <= nearest + 1)
-    entries = stage(
-        few.groupBy("same").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"), F.first("vector").alias("vector")),
-        "entries",
-    )
+    entries = stage(_once(vectors, nearest), "entries")
     total = entries.count()
     if not total:
         return None
@@ -201,9 +208,8 @@ def search(index: Index, queries: DataFrame, enough: float, block_queries: int =
 
     Rows with the query's own id are left out. ``depth`` is the number of rows in the cells passed up to the result's.
     """
-    quantiser, sizes, nearest = index.quantiser, index.sizes, index.nearest
+    quantiser, sizes = index.quantiser, index.sizes
     shard_of, shards_of = index.shard_of, index.shards_of
-    blocks = shares(queries.count(), block_queries)
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -228,52 +234,94 @@ def search(index: Index, queries: DataFrame, enough: float, block_queries: int =
                 ["shard", "query_id", "point", "cells", "depths"],
             )
 
-    def rank(entries: pa.Table, probes: pa.Table) -> pa.Table:
-        found = {"query_id": [], "vec_id": [], "score": [], "depth": []}
-        if entries.num_rows and probes.num_rows:
-            rows, cell = matrix(entries.column("vector")), entries.column("cell").to_numpy()
-            ids = entries.column("ids").to_pylist()
-            names, points = probes.column("query_id").to_pylist(), matrix(probes.column("point"))
-            cells, depths = probes.column("cells").combine_chunks(), probes.column("depths").combine_chunks()
-            for at in range(0, len(names), AT_ONCE):
-                near = squared(points[at : at + AT_ONCE], rows)
-                margin = 2 * rounding(points[at : at + AT_ONCE], rows)
-                for i in range(len(near)):
-                    depth_of = np.full(len(sizes), -1, dtype=np.int64)
-                    depth_of[cells[at + i].values.to_numpy()] = depths[at + i].values.to_numpy()
-                    depth = depth_of[cell]
-                    passed = np.flatnonzero(depth >= 0)
-                    keep = 2 * (nearest + 1)
-                    if len(passed) > keep:
-                        # All that ties with the last one kept, or may by rounding, is ranked exactly.
-                        last = np.partition(near[i, passed], keep - 1)[keep - 1]
-                        passed = passed[~(near[i, passed] > last + margin[i])]
-                    exact = np.sqrt(((rows[passed] - points[at + i]) ** 2).sum(axis=1))
-                    best = sorted((float(s), v, int(depth[p])) for s, p in zip(exact, passed, strict=True) for v in ids[p] if v is not None and v != names[at + i])
-                    for score, vec, d in best[:nearest]:
-                        for column, value in zip(found.values(), (names[at + i], vec, score, d), strict=True):
-                            column.append(value)
-        return pa.table(
-            found,
-            schema=pa.schema(
-                [("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64()), ("depth", pa.int64())]
-            ),
-        )
-
-    probes = queries.select("vec_id", "vector").mapInArrow(
-        probe, "shard int, query_id long, point array<double>, cells array<int>, depths array<long>"
-    )
-    probes = probes.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int"))
-    entries = index.entries.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    ranked = entries.groupBy("shard", "block").cogroup(probes.groupBy("shard", "block")).applyInArrow(
-        rank, "query_id long, vec_id long, score double, depth long"
-    )
+    probes = stage(queries.select("vec_id", "vector").mapInArrow(probe, PROBES), "probes")
+    return _best(index.entries, probes, index.nearest, block_queries)
+
+
+def _best(entries: DataFrame, probes: DataFrame, nearest: int, block_queries: int = BLOCK_QUERIES) -> DataFrame:
+    """The nearest rows for ``probes``, a written table with the cells that a query passes in a shard.
+
+    Both sides are cut into blocks by how many probes come to a shard, so entries are copied as often as their own shard
+    needs.
+    """
+    blocks = F.ceil(F.count(F.lit(1)) / F.lit(block_queries)).cast("int").alias("blocks")
+    visits = stage(probes.groupBy("shard").agg(blocks), "visits")
+    groups = visits.agg(F.sum("blocks")).first()[0] or 1
+    block = F.pmod(F.xxhash64("query_id"), F.col("blocks")).cast("int").alias("block")
+    coming = probes.join(visits, "shard").select("shard", block, "query_id", "point", "cells", "depths")
+    spread = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")
+    visited = entries.join(visits, "shard").select("shard", spread, "cell", "ids", "vector")
+    key = ["shard", "block"]
+    ranked = by_group(visited, groups, *key).groupBy(*key).cogroup(
+        by_group(coming, groups, *key).groupBy(*key)
+    ).applyInArrow(lambda left, right: _rank(left, right, nearest), FOUND)
     place = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
     return ranked.withColumn("rank", place).where(F.col("rank") <= nearest).select(
         "query_id", "rank", "vec_id", "score", "depth"
     )
 
 
+def _rank(entries: pa.Table, probes: pa.Table, nearest: int) -> pa.Table:
+    """The nearest entries of a shard for each of its probes, among the cells that the probe passes."""
+    found: list[tuple] = []
+    if entries.num_rows and probes.num_rows:
+        entries = entries.sort_by("cell")
+        rows, ids = matrix(entries.column("vector")), entries.column("ids").to_pylist()
+        own, first = np.unique(entries.column("cell").to_numpy(), return_index=True)
+        last = np.r_[first[1:], len(rows)]
+        for at in range(0, probes.num_rows, AT_ONCE):
+            some = probes.slice(at, AT_ONCE).combine_chunks()
+            names, points = some.column("query_id").to_pylist(), matrix(some.column("point"))
+            for i, passed, depth in _candidates(rows, own, first, last, points, some, 2 * (nearest + 1)):
+                exact = np.sqrt(((rows[passed] - points[i]) ** 2).sum(axis=1))
+                best = sorted(
+                    (float(s), v, int(d))
+                    for s, p, d in zip(exact, passed, depth, strict=True)
+                    for v in ids[p]
+                    if v is not None and v != names[i]
+                )
+                found += [(names[i], v, s, d) for s, v, d in best[:nearest]]
+    columns = list(zip(*found, strict=True)) or [()] * 4
+    types = [pa.int64(), pa.int64(), pa.float64(), pa.int64()]
+    arrays = [pa.array(list(c), t) for c, t in zip(columns, types, strict=True)]
+    return pa.table(arrays, names=["query_id", "vec_id", "score", "depth"])
+
+
+def _candidates(
+    rows: np.ndarray,
+    own: np.ndarray,
+    first: np.ndarray,
+    last: np.ndarray,
+    points: np.ndarray,
+    probes: pa.Table,
+    keep: int,
+) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For each probe: its number, its ``keep`` nearest rows and all that tie with the last one or may by rounding, and
+    how deep they lie. Cell ``own[c]`` has the rows from ``first[c]`` to ``last[c]``; each cell is measured against all
+    probes that pass it at once."""
+    cells, depths = (probes.column(c).combine_chunks() for c in ("cells", "depths"))
+    asker = np.repeat(np.arange(len(points)), np.diff(cells.offsets.to_numpy()))
+    cell, depth = cells.flatten().to_numpy(), depths.flatten().to_numpy()
+    at = np.searchsorted(own, cell)
+    held = at < len(own)  # a cell in several shards may have no row in this one
+    held[held] = own[at[held]] == cell[held]
+    order = np.flatnonzero(held)[np.argsort(at[held], kind="stable")]
+    margin = 2 * rounding(points, rows)
+    closest = np.full((len(points), keep), np.inf)
+    parts: list[tuple] = [(np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0), np.zeros(0))]
+    for of_cell in np.split(order, np.flatnonzero(np.diff(at[order])) + 1) if len(order) else []:
+        c, who = at[of_cell[0]], asker[of_cell]
+        near = squared(points[who], rows[first[c] : last[c]])
+        closest[who] = np.partition(np.concatenate([closest[who], near], axis=1), keep - 1, axis=1)[:, :keep]
+        q, r = np.nonzero(~(near > (closest[who, keep - 1] + margin[who])[:, None]))
+        parts.append((who[q], first[c] + r, near[q, r], depth[of_cell][q]))
+    who, row, near, deep = (np.concatenate(x) for x in zip(*parts, strict=True))
+    kept = np.flatnonzero(~(near > closest[who, keep - 1] + margin[who]))
+    kept = kept[np.argsort(who[kept], kind="stable")]
+    for of_probe in np.split(kept, np.flatnonzero(np.diff(who[kept])) + 1) if len(kept) else []:
+        yield int(who[of_probe[0]]), row[of_probe], deep[of_probe]
+
+
 def rows_for_recall(index: Index, queries: DataFrame, recall: float = RECALL, trials: int = TRIAL_QUERIES) -> float:
     """How many rows a query must pass for the wanted recall, by the exact neighbours of ``trials`` queries."""
     count = queries.count()
@@ -284,28 +332,46 @@ def rows_for_recall(index: Index, queries: DataFrame, recall: float = RECALL, tr
 
 
 def nearest_neighbours(
-    vectors: DataFrame, queries: DataFrame, nearest: int = NEAREST, recall: float = RECALL
+    vectors: DataFrame,
+    queries: DataFrame,
+    nearest: int = NEAREST,
+    recall: float = RECALL,
+    shard_rows: int = SHARD_ROWS,
 ) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: for each of ``queries (vec_id, vector)`` the nearest of ``vectors``.
 
-    Both as ``usable`` gives them. Rows without a vector take no part, nor do vectors of another length than the most
-    frequent one; null ids are no result. A query with fewer candidates than ``nearest`` gets all of them; no vectors
-    or no queries give an empty result. Repeated queries of one id count once.
+    Both as ``usable`` gives them, written tables. Vectors of each length are searched by themselves, as distances exist
+    only between them: the most frequent length and all with over ``shard_rows`` vectors by an index each, those of the
+    other lengths, which are a shard each, in full. Rows without a vector take no part; null ids are no result. A query
+    with fewer candidates than ``nearest`` gets all of them; no vectors or no queries give an empty result. Repeated
+    queries of one id count once for each length.
     """
-    ready = vectors.where(F.col("vector").isNotNull() & F.col("vec_id").isNotNull())
-    lengths = ready.groupBy(F.size("vector").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    empty = vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    if lengths is None:
-        return empty
-    one_length = lambda df: df.where(F.size("vector") == lengths["n"])
-    index = build(one_length(ready), nearest)
+    size = F.size("vector")
+    named = F.col("vector").isNotNull() & F.col("vec_id").isNotNull()
+    ready = vectors.where(named)
     asked = stage(
-        one_length(queries.where(F.col("vector").isNotNull() & F.col("vec_id").isNotNull())).select(
-            "vec_id", "vector"
-        ).dropDuplicates(["vec_id"]),
+        queries.where(named).select("vec_id", "vector", size.alias("length")).dropDuplicates(["vec_id", "length"]),
         "queries",
     )
-    found = search(index, asked, rows_for_recall(index, asked, recall))
+    counts = ready.groupBy(size.alias("length")).agg(F.count(F.lit(1)).alias("n"))
+    most = counts.orderBy(F.desc("n"), "length").limit(1)
+    # As many as there are shards' worth of rows, at most.
+    lengths = sorted(r["length"] for r in counts.where(F.col("n") > shard_rows).union(most).distinct().collect())
+    if not lengths:
+        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    rest = _once(ready.where(~size.isin(lengths)), nearest).select(
+        F.size("vector").alias("shard"), F.lit(0).alias("cell"), "ids", "vector"
+    )
+    only_cell = [F.array(F.lit(0)).alias("cells"), F.array(F.lit(0).cast("long")).alias("depths")]
+    point = F.col("vector").cast("array<double>").alias("point")
+    others = asked.where(~F.col("length").isin(lengths)).select(
+        F.col("length").alias("shard"), F.col("vec_id").alias("query_id"), point, *only_cell
+    )
+    found = _best(rest, others, nearest)
+    for length in lengths:
+        index = build(ready.where(size == length), nearest, shard_rows=shard_rows)
+        of_length = asked.where(F.col("length") == length)
+        found = found.unionByName(search(index, of_length, rows_for_recall(index, of_length, recall)))
     return found.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 

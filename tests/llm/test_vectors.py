@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pytest
 from compare import assert_same, duck
@@ -98,6 +100,69 @@ def test_ties_go_to_the_smaller_ids_beyond_the_rows_kept(spark):
     assert [r["score"] * 64 for r in found] == list(range(1, 11))
 
 
+def test_each_length_is_searched_by_itself(spark):
+    ship(spark)
+    draw = np.random.default_rng(11)
+    lengths = [3] * 900 + [5] * 700 + [2] * 60 + [4] * 40
+    rows = [(i, draw.standard_normal(lengths[i * 7 % len(lengths)]).tolist()) for i in range(len(lengths))]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    ready = neighbors.stage(neighbors.usable(frame, group=None), "vectors")
+    asked = ready.where("vec_id % 20 = 0")
+    found = {}
+    for r in neighbors.nearest_neighbours(ready, asked, recall=1.0, shard_rows=300).collect():
+        found.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    assert {len(rows[q][1]) for q in found} == {2, 3, 4, 5}
+    missed = 0
+    for query in range(0, len(rows), 20):
+        alike = [i for i, v in rows if len(v) == len(rows[query][1])]
+        want = exact(alike, np.array([rows[i][1] for i in alike]), query)
+        got = sorted(found[query])
+        assert [g[0] for g in got] == list(range(1, len(want) + 1))
+        assert all(len(rows[v][1]) == len(rows[query][1]) for _, v, _ in got)
+        if len(rows[query][1]) in (2, 4):
+            assert [v for _, v, _ in got] == [v for _, v in want]
+        missed += len({v for _, v in want} - {v for _, v, _ in got})
+    assert missed <= 0.02 * 10 * len(found)
+
+
+def test_candidates_are_the_nearest_of_the_passed_cells():
+    draw = np.random.default_rng(12)
+    rows, points = draw.random((400, 3)).round(1), draw.random((30, 3)).round(1)  # many ties
+    cell = np.sort(draw.integers(0, 20, 400))
+    own, first = np.unique(cell, return_index=True)
+    last = np.r_[first[1:], len(rows)]
+    passes = [draw.choice(25, size=draw.integers(1, 12), replace=False).tolist() for _ in points]  # some cells are not here
+    probes = neighbors.pa.table({"cells": passes, "depths": [[10 * c for c in p] for p in passes]})
+    told = {}
+    for i, row, depth in neighbors._candidates(rows, own, first, last, points, probes, 5):
+        assert (depth == 10 * cell[row]).all() and len(set(row.tolist())) == len(row)
+        told[i] = set(row.tolist())
+    for i, passed in enumerate(passes):
+        near = {r: ((rows[r] - points[i]) ** 2).sum() for r in range(400) if cell[r] in passed}
+        if not near:
+            assert i not in told
+            continue
+        bound = sorted(near.values())[: min(5, len(near))][-1]
+        assert {r for r, d in near.items() if d <= bound} <= told[i]
+        assert max(near[r] for r in told[i]) <= bound + 1e-9
+
+
+def test_entries_go_where_queries_come(spark):
+    ship(spark)
+    schema = "shard int, cell int, ids array<long>, vector array<double>"
+    entries = neighbors.stage(
+        spark.createDataFrame([(s, 0, [10 * s + i], [float(i)]) for s in range(4) for i in range(3)], schema), "entries"
+    )
+    asked = [(1, q, [0.2], [0], [3]) for q in range(7)] + [(2, 7, [1.9], [0], [3])]
+    probes = neighbors.stage(spark.createDataFrame(asked, neighbors.PROBES), "probes")
+    best = neighbors._best(entries, probes, 2, block_queries=3)
+    rows = sorted((r["query_id"], r["rank"], r["vec_id"]) for r in best.collect())
+    assert rows == [(q, k, 9 + k) for q in range(7) for k in (1, 2)] + [(7, 1, 22), (7, 2, 21)]
+    plan = best._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    sides = re.findall(r"Exchange hashpartitioning\(shard#\d+, block#\d+, 4\), (\w+)", plan)
+    assert sides == ["REPARTITION_BY_NUM"] * 2  # one shuffle of each side, into as many tasks as groups
+
+
 def test_vectors_of_length_one(spark):
     ship(spark)
     rows = spark.range(300).selectExpr("id as vec_id", "array(double(id + 1)) as embedding")
