@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from evenkeel.llm.common import crc32_of_key
+from evenkeel.staging import stage
 
 
 @dataclass(frozen=True)
@@ -35,7 +36,8 @@ def sample(
     bytes, none held out.
 
     Null keys, labels and texts are left out; a key with several labels has the largest, one with several texts the
-    least. The keys are chosen among the labels, so only the chosen texts are gathered.
+    least. The keys are chosen among the labels, so only the chosen texts are gathered; they are written once, so that
+    the documents are scanned once for all classes.
     """
     known = labels.where(F.col(key).isNotNull() & F.col(label).isNotNull() & ~holdout.column(key))
     once = known.groupBy(F.col(key).cast("long").alias("_key")).agg(F.max(label).cast("int").alias("_label"))
@@ -49,7 +51,9 @@ def sample(
     texts = documents.where(F.col(text).isNotNull() & (F.octet_length(text) <= longest)).select(
         F.col(key).cast("long").alias("_key"), body.alias("_text")
     )
-    chosen = texts.join(F.broadcast(picks), "_key").groupBy("_key", "_label").agg(F.min("_text").alias("_text"))
+    chosen = stage(
+        texts.join(F.broadcast(picks), "_key").groupBy("_key", "_label").agg(F.min("_text").alias("_text")), "sample"
+    )
     out: list[tuple[bytes, int]] = []
     for value, most in sorted(per_class.items()):
         rows = chosen.where(F.col("_label") == value).orderBy(order, "_key").limit(most).select("_text").collect()

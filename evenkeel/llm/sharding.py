@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evenkeel.llm.common import attach, dealt, shares, slots
+from evenkeel.llm.common import attach, by_group, dealt, shares, slots
 from evenkeel.staging import stage
 
 SHARDS = 40
@@ -105,10 +105,9 @@ def assign(
         )
 
     schema = "key binary, bytes long, copies long, shard int"
-    spread = groups.where(~is_large).select(
-        "key", "bytes", "copies", dealt("key", shares(count, lot_groups)).alias("_lot")
-    )
-    small = spread.groupBy("_lot").applyInArrow(of_lot, schema)
+    lots = shares(count, lot_groups)
+    spread = groups.where(~is_large).select("key", "bytes", "copies", dealt("key", lots).alias("_lot"))
+    small = by_group(spread, lots, "_lot").groupBy("_lot").applyInArrow(of_lot, schema)
     rows = [(bytes(r["key"]), int(s)) for r, s in zip(large, placed, strict=True)]
     numbers = groups.sparkSession.createDataFrame(rows, "key binary, shard int")
     return small.unionByName(

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evenkeel.llm.common import attach, identified, shares
+from evenkeel.llm.common import attach, by_group, identified, shares
 from evenkeel.llm.components import component_roots
 from evenkeel.staging import stage
 
@@ -220,7 +220,7 @@ def links(
         return pa.table({"a": own[linked], "b": own[labels[linked]]})
 
     dealt_codes = codes.select("code").mapInArrow(deal, "shard int, code long, home boolean")
-    return dealt_codes.groupBy("shard").applyInArrow(link, "a long, b long")
+    return by_group(dealt_codes, 1 << levels, "shard").groupBy("shard").applyInArrow(link, "a long, b long")
 
 
 def near_duplicates(

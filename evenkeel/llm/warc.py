@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evenkeel.llm.common import HOT_PARTS
+from evenkeel.llm.common import HOT_PARTS, by_group
 from evenkeel.staging import scratch_path, stage
 
 #: Fixed value: the profile that marks a revisit by payload digest.
@@ -199,6 +199,7 @@ def read_records(
 
     Each stretch of a file is one group. Its records are read in the order of their offsets; those with at most
     ``gap_bytes`` between them come from one read. A record given twice is returned twice; an empty index gives no rows.
+    The stretches set the number of tasks, not the size of the index, which says little of the bytes it points to.
     """
 
     def read(keys: tuple, group: pa.Table) -> pa.Table:
@@ -225,7 +226,8 @@ def read_records(
 
     stretch = F.floor(F.col("offset") / F.lit(stretch_bytes)).cast("long")
     places = index.select("file", stretch.alias("_stretch"), "offset", "length")
-    return places.groupBy("file", "_stretch").applyInArrow(read, RECORDS)
+    stretches = places.agg(F.approx_count_distinct(F.struct("file", "_stretch"))).first()[0]
+    return by_group(places, stretches, "file", "_stretch").groupBy("file", "_stretch").applyInArrow(read, RECORDS)
 
 
 _RECORD_SCHEMA = pa.schema([
