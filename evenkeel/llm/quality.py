@@ -77,7 +77,11 @@ def score_documents(documents: DataFrame, labels: DataFrame) -> DataFrame:
 def good_documents(
     documents: DataFrame, model: cnn.Network | float, threshold: float = THRESHOLD, text: str = "text"
 ) -> DataFrame:
-    """The rows, in all their columns, whose score reaches the threshold."""
+    """The rows, in all their columns and whatever their names, whose score reaches the threshold.
+
+    Only the text decides: null counts as empty, equal texts get equal verdicts, nulls in other columns change nothing.
+    Repeated rows stay or go together, a score equal to the threshold stays, an empty table stays empty.
+    """
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
