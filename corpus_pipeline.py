@@ -10,30 +10,49 @@ from evenkeel.staging import stage
 
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier accepts."""
+    """Documents that the quality classifier accepts, in all their columns; rows without a label are judged as others.
+
+    A null text counts as empty, equal texts go or stay together, whatever their keys, and a score equal to the
+    threshold stays. An empty table stays empty; without labels of both classes all documents have the same score.
+    """
     return quality.good_documents(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity classifier does not call toxic."""
+    """Documents that the toxicity classifier does not call toxic, in all their columns.
+
+    A null text counts as empty, equal texts go or stay together, whatever their keys, and a score equal to the
+    threshold goes. An empty table stays empty.
+    """
     labels = table(spark, sf_dir, "labels")
     rows = learning.sample(docs, labels, "toxic", toxicity.PER_CLASS, toxicity.HOLDOUT, toxicity.LONGEST)
     return toxicity.clean_documents(docs, toxicity.train(rows))
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates."""
+    """One document of each group of near duplicates: that with the smallest key, null keys last, one of rows that tie.
+
+    Null and empty texts are copies of each other. All columns stay, whatever their names. An empty table stays empty.
+    """
     ship(spark)
     return simhash.distinct_documents(docs)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts as often as their sources' target weights ask for, the last time in part."""
+    """Texts as often as their sources' target weights ask for, the last time in part.
+
+    A null source is a source like any other, the last in order. Texts without words have no share and go; equal rows
+    are taken each by itself. All columns stay, whatever their names. An empty table stays empty.
+    """
     return mixing.mixed_documents(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix as pieces in sequences."""
+    """The mix as pieces in sequences, each id in exactly one.
+
+    A null text counts as empty and is one id, the end. Rows that repeat, as mixed rows do, are pieces of their own.
+    Other columns are left out. An empty table gives no pieces.
+    """
     ship(spark)
     return packing.pack_documents(docs)
 
