@@ -6,6 +6,7 @@ from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.ml.feature import Imputer, ImputerModel, MinMaxScaler, MinMaxScalerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -13,7 +14,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from evenkeel.functions.scalars import impute, min_max, ordered_bits
+from evenkeel.functions.scalars import impute, min_max
 from evenkeel.operators.ordered import running_totals
 from evenkeel.staging import stage
 
@@ -25,6 +26,9 @@ BRACKETS = (0.002, 0.02, 0.2)
 # Leading bits of a double that an approximate median is told by.
 RADIX_BITS = 32
 
+# Counts by leading bits that a task holds before it hands them on.
+HELD_COUNTS = 1_000_000
+
 # Summaries and matrices of tasks are merged in so many groups before they meet.
 MERGE_GROUPS = 256
 
@@ -71,30 +75,25 @@ def radix_medians(df: DataFrame, columns: Sequence[str], bits: int = RADIX_BITS)
     that depends on partitions. ``median`` is the smallest of the column's own values that share the leading bits with
     the lower median; ``below`` rows are smaller and ``inside`` share them, so it is at most ``inside`` - 1 ranks off,
     and with 32 bits less than a millionth of itself. 64 bits give the lower median. Null and NaN do not count; a column
-    that has nothing else has a null median and no rows.
+    that has nothing else has a null median and no rows. Each task counts its own rows before the shuffle.
     """
     if bits not in (16, 32, 48, 64):
         raise ValueError(f"16, 32, 48 or 64 bits, not {bits!r}")
     spark = df.sparkSession
-    values = long_values(df, columns).withColumn("code", ordered_bits("value"))
+    values = df.select(*[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(columns)])
     found: dict[int, tuple] = {}
     for shift in range(48, 48 - bits, -16):
-        if shift == 48:
-            rows, rank = values, F.ceil(F.col("all") / 2)
-        elif not found:
+        if shift != 48 and not found:
             break
+        within = None if shift == 48 else {p: state[0] for p, state in found.items()}
+        counts = _leading_counts(values, shift, within)
+        if shift == 48:
+            rank = F.ceil(F.col("all") / 2)
         else:
-            known = [(p, prefix, rank - below) for p, (prefix, _, _, below, _, rank) in found.items()]
-            wanted = spark.createDataFrame(known, "place int, prefix bigint, rank bigint")
+            known = [(p, rank - below) for p, (_, _, _, below, _, rank) in found.items()]
             # One row per column.
-            rows = values.join(F.broadcast(wanted), on="place").where(
-                F.shiftright("code", shift + 16) == F.col("prefix")
-            )
+            counts = counts.join(F.broadcast(spark.createDataFrame(known, "place int, rank bigint")), on="place")
             rank = F.col("rank")
-        extra = [] if shift == 48 else [F.max("rank").alias("rank")]
-        counts = rows.groupBy("place", F.shiftright("code", shift).alias("prefix")).agg(
-            F.count(F.lit(1)).alias("n"), F.min("value").alias("least"), *extra
-        )
         place = Window.partitionBy("place")
         summed = counts.withColumns(
             {"upto": F.sum("n").over(place.orderBy("prefix")), "all": F.sum("n").over(place)}
@@ -111,6 +110,66 @@ def radix_medians(df: DataFrame, columns: Sequence[str], bits: int = RADIX_BITS)
     return spark.createDataFrame(table, "column string, median double, rows bigint, below bigint, inside bigint")
 
 
+def bits_in_order(values: np.ndarray) -> np.ndarray:
+    """``scalars.ordered_bits`` of an array: the bits of the absolute value, with the value's sign."""
+    bits = np.abs(values).view(np.int64)
+    return np.where(values < 0, -bits, bits)
+
+
+def _leading_counts(values: DataFrame, shift: int, within: Mapping[int, int] | None) -> DataFrame:
+    """``(place, prefix, n, least)``: rows and smallest value by the bits above ``shift``, per column of doubles.
+
+    ``within`` names per column the 16 bits fewer that values must share to count; other columns are left out. A task
+    holds ``HELD_COUNTS`` counts at a time, whatever the number of its rows and columns, and hands on those that are more.
+    """
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list] = {}
+        for batch in batches:
+            for place, column in enumerate(batch.columns):
+                if within is not None and place not in within:
+                    continue
+                # Null comes as NaN; zero gets one sign.
+                found = column.to_numpy(zero_copy_only=False) + 0.0
+                if within is None:
+                    found = found[~np.isnan(found)]
+                else:
+                    found = found[~np.isnan(found) & (bits_in_order(found) >> (shift + 16) == within[place])]
+                if len(found):
+                    found.sort()
+                    held.setdefault(place, []).append(
+                        _added(bits_in_order(found) >> shift, np.ones(len(found), np.int64), found)
+                    )
+            if sum(len(part[0]) for parts in held.values() for part in parts) > HELD_COUNTS:
+                held = {p: [_merged(parts)] for p, parts in held.items()}
+                if sum(len(part[0]) for (part,) in held.values()) > HELD_COUNTS // 2:
+                    yield from handed_on(held)
+                    held = {}
+        yield from handed_on({p: [_merged(parts)] for p, parts in held.items()})
+
+    def handed_on(held: Mapping[int, list]) -> Iterator[pa.RecordBatch]:
+        for place, ((prefix, n, least),) in held.items():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(prefix), place, np.int32)), pa.array(prefix), pa.array(n), pa.array(least)],
+                ["place", "prefix", "n", "least"],
+            )
+
+    counts = values.mapInArrow(fold, "place int, prefix bigint, n bigint, least double")
+    return counts.groupBy("place", "prefix").agg(F.sum("n").alias("n"), F.min("least").alias("least"))
+
+
+def _merged(parts: Sequence[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    prefix, n, least = (np.concatenate(arrays) for arrays in zip(*parts, strict=True))
+    order = np.argsort(prefix, kind="stable")
+    return _added(prefix[order], n[order], least[order])
+
+
+def _added(prefix: np.ndarray, n: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """One entry per prefix of sorted ones."""
+    starts = np.flatnonzero(np.r_[True, prefix[1:] != prefix[:-1]])
+    return prefix[starts], np.add.reduceat(n, starts), np.minimum.reduceat(least, starts)
+
+
 def approximate_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``(column, median)`` to 32 leading bits, by ``radix_medians``: two passes, the same in every run."""
     return radix_medians(df, columns).select("column", "median")

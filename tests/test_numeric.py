@@ -84,6 +84,33 @@ def test_medians_by_bits_of_signs_and_nothing(spark):
     assert [r["rows"] for r in numeric.radix_medians(df.limit(0), df.columns).collect()] == [0] * 4
 
 
+def test_bits_of_an_array_are_those_of_the_column(spark):
+    values = [*EDGES, *(-v for v in EDGES)]
+    found = spark.createDataFrame([(v,) for v in values], "x double").select(ordered_bits("x").alias("code")).collect()
+    assert numeric.bits_in_order(np.array(values)).tolist() == [r["code"] for r in found]
+
+
+@pytest.mark.parametrize("held", [1_000_000, 1])
+def test_tasks_count_leading_bits_themselves(spark, monkeypatch, held):
+    """Also when a task hands on its counts after each batch; no logarithm and no row per value leaves Spark's scan."""
+    monkeypatch.setattr(numeric, "HELD_COUNTS", held)
+    df = spark.range(0, 60_000, 1, 2).selectExpr(
+        "cast(id % 700 - 300 as double) / 7 as x0", "if(id % 3 = 0, null, if(id % 5 = 0, double('NaN'), double(id))) as x1"
+    )
+    for shift, within in ((48, None), (32, {1: 20_000.0})):
+        prefixes = within and {p: struct.unpack("<q", struct.pack("<d", v))[0] >> shift + 16 for p, v in within.items()}
+        counts = numeric._leading_counts(df, shift, prefixes)
+        plan = counts._jdf.queryExecution().executedPlan().toString()
+        assert "LOG" not in plan.upper() and "Generate" not in plan and plan.count("Exchange") == 1
+        expected = {}
+        for place, name in enumerate(df.columns):
+            for row in df.where(f"{name} is not null and not isnan({name})").select(name, ordered_bits(name)).collect():
+                if prefixes is None or prefixes.get(place) == row[1] >> shift + 16:
+                    n, least = expected.get((place, row[1] >> shift), (0, float("inf")))
+                    expected[place, row[1] >> shift] = n + 1, min(least, row[0])
+        assert {(r["place"], r["prefix"]): (r["n"], r["least"]) for r in counts.collect()} == expected
+
+
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.integers(-3, 3) | st.integers(-1000, 1000), min_size=1, max_size=200))
 def test_median_of_any_list(spark, values):
