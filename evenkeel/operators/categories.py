@@ -9,7 +9,7 @@ from pyspark.ml.feature import OneHotEncoder, OneHotEncoderModel, StringIndexerM
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evenkeel.operators.hot import digest, look_up
+from evenkeel.operators.hot import brief, look_up
 from evenkeel.operators.ordered import running_totals
 from evenkeel.operators.rows import hashable_columns
 from evenkeel.staging import stage
@@ -128,30 +128,45 @@ def apply_indexes(
 ) -> DataFrame:
     """As ``apply_index`` for several columns with many labels at once: ``outputs`` names the column of each index.
 
-    The rows are written once with a number. Their values go below each other as digests, are counted, and the distinct
+    The rows are written once with a number. Their values go below each other in brief form, are counted, and the distinct
     ones are joined once with the labels of all columns; the indices found come back to their row by its number. So the
-    whole rows are shuffled once, by number, however many columns there are, and values that many rows share are looked
-    up once and broadcast.
+    whole rows are shuffled once, by number, however many columns there are, and values that many rows share, known to the
+    labels or not, are looked up once and broadcast. Values are read from the written rows in every pass, not written
+    again; those without a label go no further than their lookup.
     """
     columns = list(outputs)
     if sizes is None:
         sizes = label_sizes(labels.where(F.col("column").isin(*columns)))
     number = F.monotonically_increasing_id().alias("row")
     rows = stage(df.select(number, F.struct("*").alias("item")), "indexed-rows")
+    texts = [F.col("item")[c].cast("string") for c in columns]
+    # Row and column are one number, which makes what is shuffled by value smaller.
     pairs = [
-        F.struct(F.lit(i).alias("place"), digest(F.lit(c), F.col("item")[c].cast("string")).alias("value"))
-        for i, c in enumerate(columns)
+        F.struct(
+            (F.col("row") * len(columns) + i).alias("cell"), brief(F.concat(F.lit(f"{i}:"), text)).alias("value")
+        )
+        for i, text in enumerate(texts)
     ]
-    values = stage(
-        rows.select("row", F.inline(F.array(*pairs))).where(F.col("value").isNotNull()), "indexed-values"
-    )
+    values = rows.select(F.inline(F.array(*pairs))).where(F.col("value").isNotNull())
+    (total,) = rows.agg(F.coalesce(F.sum(sum(t.isNotNull().cast("bigint") for t in texts)), F.lit(0))).first()
     counts = values.groupBy("value").agg(F.count(F.lit(1)).alias("copies"))
+    places = F.create_map(*[F.lit(x) for i, c in enumerate(columns) for x in (c, f"{i}:")])
     known = labels.where(F.col("column").isin(*columns)).select(
-        digest("column", "label").alias("value"), F.col("index").cast("double").alias("index")
+        brief(F.concat(places[F.col("column")], "label")).alias("value"), F.col("index").cast("double").alias("index")
+    )
+    # Unknown values matter only where they are hot.
+    dictionary = stage(
+        counts.join(known, "value", "left").where(
+            F.col("index").isNotNull() | (F.col("copies") * HOT_PARTS >= F.lit(total))
+        ),
+        "dictionary",
     )
-    dictionary = stage(counts.join(known, "value"), "dictionary")
-    found = look_up(values, dictionary, "value", "copies", values.count())
-    folded = found.groupBy("row").agg(
+    found = look_up(values, dictionary, "value", "copies", total, HOT_PARTS).where(F.col("index").isNotNull())
+    # A row's values come from different tasks, so there is nothing to fold before the shuffle.
+    of_rows = found.select(
+        F.expr(f"cell div {len(columns)}").alias("row"), (F.col("cell") % len(columns)).alias("place"), "index"
+    ).repartition("row")
+    folded = of_rows.groupBy("row").agg(
         *[F.max(F.when(F.col("place") == i, F.col("index"))).alias(f"index_{i}") for i in range(len(columns))]
     )
     indices = [

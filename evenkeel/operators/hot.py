@@ -21,6 +21,11 @@ def digest(*parts: Column | str) -> Column:
     return F.unhex(F.md5(F.concat(*sized)))
 
 
+def brief(text: Column) -> Column:
+    """At most 16 bytes that stand for a text: its own if they are fewer, else a digest of 16; null for null."""
+    return F.when(F.octet_length(text) < 16, text.cast("binary")).otherwise(F.unhex(F.md5(text)))
+
+
 def _trimmed(counts: dict[bytes, int], most: int) -> dict[bytes, int]:
     """A summary cut back to ``most`` counters: the count of the next one is taken from all."""
     if len(counts) <= most:

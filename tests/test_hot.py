@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import hashlib
 from collections import Counter
 
 import pytest
@@ -88,3 +89,38 @@ def test_joined_indexes_of_nothing(spark, wide):
     assert out.count() == 0 and out.columns[-2:] == ["x", "y"]
     unknown = categories.apply_indexes(wide.limit(10), stage(none), {"a": "x", "b": "y"})
     assert {(r["x"], r["y"]) for r in unknown.collect()} == {(0.0, 0.0)}
+
+
+def test_brief_is_the_text_or_its_digest(spark):
+    texts = ["", "0:15 bytes long", "0:16 bytes long.", "é" * 7, "é" * 8, None]
+    found = spark.createDataFrame(enumerate(texts), "i int, t string").orderBy("i").select(hot.brief(F.col("t")).alias("b"))
+    brief = [None if r["b"] is None else bytes(r["b"]) for r in found.collect()]
+    assert brief == [
+        t if t is None else t.encode() if len(t.encode()) < 16 else hashlib.md5(t.encode()).digest() for t in texts
+    ]
+
+
+def test_joined_indexes_write_rows_and_known_values_only(spark, wide, monkeypatch):
+    """Values are neither written nor moved by row without a label, and a hot unknown one not by value either."""
+    written = {}
+
+    def recorded(df, name):
+        written[name] = stage(df, name)
+        return written[name]
+
+    monkeypatch.setattr(categories, "stage", recorded)
+    long = wide.withColumn("b", F.concat(F.lit("x" * 40), "b"))
+    known = stage(categories.index_map(categories.category_counts(long.where("id % 2 = 0 and c <> 'unknown'"), ["a", "b", "c"])))
+    outputs = {c: f"{c}_idx" for c in "abc"}
+    found = categories.apply_indexes(long, known, outputs)
+    assert set(written) == {"indexed-rows", "dictionary"}
+    dictionary = written["dictionary"].collect()
+    hot_unknown = {bytes(r["value"]) for r in dictionary if r["index"] is None}
+    assert hot_unknown == {b"2:unknown", *(f"2:c{i}".encode() for i in range(1, 10, 2))}
+    assert sum(r["index"] is not None for r in dictionary) == known.count()
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "isnotnull(index" in plan and plan.count("Join LeftOuter") == 1
+    expected = long
+    for c, out in outputs.items():
+        expected = categories.apply_index(expected, known, c, out, broadcast_up_to=0)
+    assert Counter(map(tuple, found.collect())) == Counter(map(tuple, expected.collect()))
