@@ -29,6 +29,9 @@ RADIX_BITS = 32
 # Counts by leading bits that a task holds before it hands them on.
 HELD_COUNTS = 1_000_000
 
+# Counts that weigh as much as the arrays which hold those of one batch and column.
+PART_COUNTS = 16
+
 # Summaries and matrices of tasks are merged in so many groups before they meet.
 MERGE_GROUPS = 256
 
@@ -125,6 +128,7 @@ def _leading_counts(values: DataFrame, shift: int, within: Mapping[int, int] | N
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list] = {}
+        size = 0
         for batch in batches:
             for place, column in enumerate(batch.columns):
                 if within is not None and place not in within:
@@ -137,14 +141,15 @@ def _leading_counts(values: DataFrame, shift: int, within: Mapping[int, int] | N
                     found = found[~np.isnan(found) & (bits_in_order(found) >> (shift + 16) == within[place])]
                 if len(found):
                     found.sort()
-                    held.setdefault(place, []).append(
-                        _added(bits_in_order(found) >> shift, np.ones(len(found), np.int64), found)
-                    )
-            if sum(len(part[0]) for parts in held.values() for part in parts) > HELD_COUNTS:
+                    part = _added(bits_in_order(found) >> shift, np.ones(len(found), np.int64), found)
+                    held.setdefault(place, []).append(part)
+                    size += len(part[0]) + PART_COUNTS
+            if size > HELD_COUNTS:
                 held = {p: [_merged(parts)] for p, parts in held.items()}
-                if sum(len(part[0]) for (part,) in held.values()) > HELD_COUNTS // 2:
+                size = sum(len(part[0]) + PART_COUNTS for (part,) in held.values())
+                if size > HELD_COUNTS // 2:
                     yield from handed_on(held)
-                    held = {}
+                    held, size = {}, 0
         yield from handed_on({p: [_merged(parts)] for p, parts in held.items()})
 
     def handed_on(held: Mapping[int, list]) -> Iterator[pa.RecordBatch]:
