@@ -40,10 +40,18 @@ def place_of(number: Column, rows: int, seed: int) -> Column:
             high, low = low, F.pmod(high + square, F.lit(base).cast("long"))
         return high * F.lit(base).cast("long") + low
 
-    steps = F.sequence(F.lit(1), F.lit(MOST_STEPS))
-    inside = lambda v: F.when(v < F.lit(rows), v).otherwise(mixed(v))
-    walked = F.aggregate(steps, mixed(number.cast("long")), lambda v, _: inside(v))
-    return F.when(walked < F.lit(rows), walked).otherwise(F.raise_error(F.lit("the permutation did not end")))
+    def ended(place: Column, otherwise: Column) -> Column:
+        return F.when(place < F.lit(rows), place).otherwise(otherwise)
+
+    # Lambdas are interpreted and nothing in them is shared, so only the few numbers outside get into one.
+    first = mixed(number.cast("long"))
+    walked = F.aggregate(
+        F.sequence(F.lit(1), F.lit(MOST_STEPS)),
+        first,
+        lambda v, _: ended(v, mixed(v)),
+        lambda v: ended(v, F.raise_error(F.lit("the permutation did not end"))),
+    )
+    return ended(first, walked)
 
 
 def numbered(df: DataFrame) -> tuple[DataFrame, int]:
